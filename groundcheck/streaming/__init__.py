@@ -1,0 +1 @@
+"""Streaming of the evidence-grounding engine."""
