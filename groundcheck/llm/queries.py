@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam
+from groundcheck.llm import decontam, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,12 @@ SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.words) AS contaminated
 FROM w LEFT JOIN hit ON w.doc_id = hit.doc_id LEFT JOIN it ON w.doc_id = it.doc_id
 """
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+QUERIES["op9_simhash"] = op9_simhash
