@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, simhash
+from groundcheck.llm import decontam, langid, simhash
+from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +57,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_simhash"] = op9_simhash
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows of folds 0, 1 and 3."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(fold(F.col("doc_id"), 4) != 2))
+    found = langid.identify(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op2_language_id"] = op2_language_id
