@@ -64,6 +64,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Bytes that part words: white space, or everything in ASCII that is neither digit nor letter.
+SPACES = _SPACE
+MARKS = np.zeros(256, bool)
+MARKS[:128] = [not chr(c).isalnum() for c in range(128)]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -116,9 +120,9 @@ def pieces(batch: pa.RecordBatch, name: str, most: int = CHUNK_BYTES) -> Iterato
         begin = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word between ASCII white space, and how many each text has."""
-    word = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word between parting bytes, and how many words each text has."""
+    word = ~parting[data]
     before = np.empty_like(word)
     before[:1] = False
     before[1:] = word[:-1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, langid, simhash
+from groundcheck.llm import decontam, langid, simhash, toxicity
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_language_id"] = op2_language_id
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows of folds 0, 1 and 3."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = fold(F.col("doc_id"), 4) != 2
+    model = toxicity.train(docs.where(learned), labels.where(learned))
+    found = toxicity.score_texts(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+QUERIES["op6_toxicity"] = op6_toxicity
