@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, langid, simhash, toxicity
+from groundcheck.llm import decontam, kneserney, langid, simhash, toxicity
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_toxicity"] = op6_toxicity
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a model of those outside fold 2 of 7."""
+    docs = table(spark, sf_dir, "documents")
+    model = kneserney.train(docs.where(fold(F.col("doc_id"), 7) != 2))
+    found = kneserney.score_texts(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+QUERIES["op7_lm_scoring"] = op7_lm_scoring
