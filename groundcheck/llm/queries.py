@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, kneserney, langid, simhash, toxicity
+from groundcheck.llm import decontam, kneserney, langid, sentencepieces, simhash, tokencount, toxicity, vocabulary
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,24 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_lm_scoring"] = op7_lm_scoring
+
+#: Where the public tokenizers' vocabulary files lie; a parameter, never copied here.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+PIECES = "piece_bpe_32k.model"
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document: their number, a digest of their ids, and the round trip."""
+    found = sentencepieces.encode(table(spark, sf_dir, "documents"), vocabulary.load(f"{TOKENIZERS}/{PIECES}"), check=True)
+    digest = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return found.select(F.col("id").alias("doc_id"), F.col("n_pieces").cast("long").alias("n_pieces"), digest.alias("ids_sha256"), "round_trip")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token count of every document, with the vocabulary's scores."""
+    found = tokencount.token_counts(table(spark, sf_dir, "documents"), vocabulary.load(f"{TOKENIZERS}/{PIECES}"))
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", "score")
+
+
+QUERIES["op3_sentencepiece"] = op3_sentencepiece
+QUERIES["op8_token_counts"] = op8_token_counts
