@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, kneserney, langid, sentencepieces, simhash, tokencount, toxicity, vocabulary
+from groundcheck.llm import decontam, kneserney, langid, sentencepieces, sharding, simhash, tokencount, toxicity, vocabulary
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op3_sentencepiece"] = op3_sentencepiece
 QUERIES["op8_token_counts"] = op8_token_counts
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards of nearly equal bytes."""
+    found = sharding.shard(table(spark, sf_dir, "documents"), 16, "bytes")
+    return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES["op4_sharding"] = op4_sharding
