@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, kneserney, langid, sentencepieces, sharding, simhash, tokencount, toxicity, vocabulary
+from groundcheck.llm import decontam, kneserney, langid, orderminhash, sentencepieces, sharding, simhash, tokencount, toxicity, vocabulary
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_sharding"] = op4_sharding
+
+
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    found = orderminhash.edited_likeness(table(spark, sf_dir, "documents"))
+    shown = {c: orderminhash.as_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(shown).withColumnRenamed("id", "doc_id")
+
+
+QUERIES["op10_order_minhash"] = op10_order_minhash

@@ -61,27 +61,30 @@ def range_index(h: Column, tie: Column, cuts: list[tuple[int, str]]) -> Column:
     return F.when(head == 0, 0).otherwise((head - 1) * wide + F.size(F.filter(F.element_at(groups, F.greatest(head, F.lit(1))), lambda s: s <= me)))
 
 
-def ranged(keys: DataFrame, weight_col: str, per_range: int, rounds: int = 3) -> DataFrame:
-    """``keys`` with a column ``range`` that follows the order of ``(h, tie)``; overfull ranges
-    are subdivided by splitters drawn from their own records."""
+def range_cuts(keys: DataFrame, weight_col: str, per_range: int, rounds: int = 3) -> list[tuple[int, str]]:
+    """Splitters for ranges of about ``per_range`` rows; overfull ranges are subdivided by splitters
+    drawn from their own records."""
     rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight_col), F.lit(0))).first()
     ranges = int(min(MOST_RANGES, max(1, rows // per_range)))
     cuts = splitters(keys, F.col(weight_col), float(total), ranges) if ranges > 1 else []
-    for _ in range(rounds):
+    for _ in range(rounds if cuts else 0):
         placed = keys.withColumn("range", range_index(F.col("h"), F.col("tie"), cuts))
-        if not cuts:
-            return placed
         sums = placed.groupBy("range").agg(F.sum(weight_col).alias("w"), F.min(F.struct("h", "tie")).alias("a"), F.max(F.struct("h", "tie")).alias("b"))
-        over = [r.range for r in sums.where((F.col("w") > OVERFULL * total / ranges) & (F.col("a") != F.col("b"))).select("range").collect()]
+        over = sums.where((F.col("w") > OVERFULL * total / ranges) & (F.col("a") != F.col("b"))).select("range", "w").collect()
         if not over:
-            return placed
-        share = sum(r.w for r in sums.where(F.col("range").isin(over)).select("w").collect())
-        more = splitters(placed.where(F.col("range").isin(over)), F.col(weight_col), float(share), max(2, int(2 * ranges * share / total)))
-        grown = sorted(set(cuts) | set(more))
-        if grown == cuts:
-            return placed
-        cuts = grown
-    return keys.withColumn("range", range_index(F.col("h"), F.col("tie"), cuts))
+            break
+        share = sum(r.w for r in over)
+        crowded = placed.where(F.col("range").isin([r.range for r in over]))
+        more = splitters(crowded, F.col(weight_col), float(share), max(2, int(2 * ranges * share / total)))
+        if set(more) <= set(cuts):
+            break
+        cuts = sorted(set(cuts) | set(more))
+    return cuts
+
+
+def ranged(keys: DataFrame, weight_col: str, per_range: int) -> DataFrame:
+    """``keys`` with a column ``range`` that follows the order of ``(h, tie)``."""
+    return keys.withColumn("range", range_index(F.col("h"), F.col("tie"), range_cuts(keys, weight_col, per_range)))
 
 
 def shard(docs: DataFrame, shards: int = 16, law: str = "bytes", id_col: str = "doc_id", text_col: str = "text", per_range: int = 1000) -> DataFrame:
