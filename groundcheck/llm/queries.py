@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, kneserney, langid, orderminhash, sentencepieces, sharding, simhash, tokencount, toxicity, vocabulary
+from groundcheck.llm import decontam, kneserney, langid, orderminhash, sentencepieces, sharding, simhash, tokencount, toxicity, urlfilter, vocabulary
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,15 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_order_minhash"] = op10_order_minhash
+
+RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"), urlfilter.Rule("block", "example.com", "/de/"), urlfilter.Rule("allow", "org", "/fr/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page, by rule or by the host's and path's words."""
+    pages = table(spark, sf_dir, "pages")
+    found = urlfilter.judge(pages, RULES, urlfilter.train(pages))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+QUERIES["op5_url_filter"] = op5_url_filter
