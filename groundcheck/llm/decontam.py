@@ -100,7 +100,7 @@ def candidates(index: DataFrame, chosen: DataFrame, lists: int) -> DataFrame:
 
 
 def exact_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, width: int = 13, lists: int = 2) -> DataFrame:
-    """One row for each document row: ``id, n_words, matches``, where ``matches`` lists
+    """One row for each document row: ``id, text_key, n_words, matches``, where ``matches`` lists
     ``item, begin, length`` of every window that occurs. Positions count words from 0."""
     windows = stored(test_windows(items, item_id, item_text, width), "windows")
     vocabulary = stored(windows.select(F.explode("item_words").alias("word")).select(F.xxhash64("word").alias("term")).distinct(), "vocabulary")
@@ -114,7 +114,7 @@ def exact_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str,
     hinted = _small(per_doc, per_doc.count())
     joined = rows.join(hinted.withColumnRenamed("id", "id_").withColumnRenamed("text_key", "key_"), F.expr("id <=> id_ AND text_key = key_"), "left")
     # Positions count every element of the split, so that a leading separator shifts both sides alike.
-    split = joined.select("id", "laid", F.split(lower_ascii(F.coalesce("_text", F.lit(""))), SEPARATORS).alias("w"))
+    split = joined.select("id", "text_key", "laid", F.split(lower_ascii(F.coalesce("_text", F.lit(""))), SEPARATORS).alias("w"))
     first = F.when(F.col("w")[0] == "", 1).otherwise(0)
     last = F.when((F.size("w") > 1) & (F.element_at("w", -1) == ""), 1).otherwise(0)
     checked = F.flatten(
@@ -129,7 +129,7 @@ def exact_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str,
             ),
         )
     )
-    return split.withColumn("first", first).select("id", (F.size("w") - F.col("first") - last).cast("long").alias("n_words"), checked.alias("matches"))
+    return split.withColumn("first", first).select("id", "text_key", (F.size("w") - F.col("first") - last).cast("long").alias("n_words"), checked.alias("matches"))
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, width: int = 13, lists: int = 4, slack: int = 3) -> DataFrame:
@@ -155,13 +155,21 @@ def proximity_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col:
     return near.select("id", "item", "start", F.explode(fits).alias("begin")).drop("cell").distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, words_per_hit: int = 20) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, words_per_hit: int = 20, with_key: bool = False) -> DataFrame:
     """``id, n_words, n_hit, n_items, items, contaminated`` for every document row: a word inside
     an occurring window is hit; a document is contaminated if it has one hit for every
     ``words_per_hit`` words at least."""
     found = exact_matches(docs, items, id_col, text_col, item_id, item_text, width)
     covered = F.array_distinct(F.flatten(F.transform("matches", lambda m: F.sequence(m["begin"], m["begin"] + m["length"] - 1))))
     listed = F.array_distinct(F.transform("matches", lambda m: m["item"]))
-    hits = found.select("id", "n_words", F.when(F.size("matches") == 0, 0).otherwise(F.size(covered)).cast("long").alias("n_hit"), listed.alias("items"))
+    hits = found.select("id", "text_key", "n_words", F.when(F.size("matches") == 0, 0).otherwise(F.size(covered)).cast("long").alias("n_hit"), listed.alias("items"))
     dirty = (F.col("n_hit") > 0) & (F.lit(words_per_hit) * F.col("n_hit") >= F.col("n_words"))
-    return hits.select("id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", dirty.alias("contaminated"))
+    return hits.select("id", *(["text_key"] if with_key else []), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", dirty.alias("contaminated"))
+
+
+def keep_uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns. Contaminated rows are
+    told by id and text; a row with the same id and another text stays."""
+    found = contamination(docs, items, id_col, text_col, with_key=True, **options).where("contaminated").select(F.col("id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    dirty = stored(found, "contaminated")
+    return docs.join(dirty, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key")), "left_anti")
