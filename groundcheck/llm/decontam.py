@@ -113,23 +113,23 @@ def exact_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str,
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("_text"))
     hinted = _small(per_doc, per_doc.count())
     joined = rows.join(hinted.withColumnRenamed("id", "id_").withColumnRenamed("text_key", "key_"), F.expr("id <=> id_ AND text_key = key_"), "left")
-    # Positions count every element of the split, so that a leading separator shifts both sides alike.
-    split = joined.select("id", "text_key", "laid", F.split(lower_ascii(F.coalesce("_text", F.lit(""))), SEPARATORS).alias("w"))
-    first = F.when(F.col("w")[0] == "", 1).otherwise(0)
-    last = F.when((F.size("w") > 1) & (F.element_at("w", -1) == ""), 1).otherwise(0)
-    checked = F.flatten(
-        F.transform(
-            F.coalesce("laid", F.array().cast("array<struct<item:%s,item_words:array<string>,begin:int,starts:array<struct<start:int,length:int>>>>" % dict(items.dtypes)[item_id])),
-            lambda c: F.transform(
-                F.filter(
-                    c["starts"],
-                    lambda s: (c["begin"] + s["start"] >= 0) & (F.slice(F.col("w"), c["begin"] + s["start"] + 1, s["length"]) == F.slice(c["item_words"], s["start"] + 1, s["length"])),
-                ),
-                lambda s: F.struct(c["item"].alias("item"), (c["begin"] + s["start"] - F.col("first")).alias("begin"), s["length"].alias("length")),
-            ),
-        )
-    )
-    return split.withColumn("first", first).select("id", "text_key", (F.size("w") - F.col("first") - last).cast("long").alias("n_words"), checked.alias("matches"))
+    none = F.array().cast("array<struct<item:%s,item_words:array<string>,begin:int,starts:array<struct<start:int,length:int>>>>" % dict(items.dtypes)[item_id])
+
+    def read(w: Column) -> Column:
+        """Counts and matches of one text's split. Positions count every element, so that a leading
+        separator shifts both sides alike."""
+        first = F.when(w[0] == "", 1).otherwise(0)
+        last = F.when((F.size(w) > 1) & (F.element_at(w, -1) == ""), 1).otherwise(0)
+
+        def occurs(c: Column) -> Column:
+            return F.filter(c["starts"], lambda s: (c["begin"] + s["start"] >= 0) & (F.slice(w, c["begin"] + s["start"] + 1, s["length"]) == F.slice(c["item_words"], s["start"] + 1, s["length"])))
+
+        matches = F.transform(F.coalesce("laid", none), lambda c: F.transform(occurs(c), lambda s: F.struct(c["item"].alias("item"), (c["begin"] + s["start"] - first).alias("begin"), s["length"].alias("length"))))
+        return F.struct((F.size(w) - first - last).cast("long").alias("n_words"), F.flatten(matches).alias("matches"))
+
+    # The split is an array's only element, so that it is made once and not for every candidate.
+    split = F.array(F.split(lower_ascii(F.coalesce("_text", F.lit(""))), SEPARATORS))
+    return joined.select("id", "text_key", F.transform(split, read)[0].alias("r")).select("id", "text_key", "r.n_words", "r.matches")
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, width: int = 13, lists: int = 4, slack: int = 3) -> DataFrame:
