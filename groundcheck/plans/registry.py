@@ -5,6 +5,290 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from groundcheck.functions import calc, documents, text as tx
+from groundcheck.operators import audits, claims, coverage, reviews, segments, selection, triage
+from groundcheck.plans import tables
+from groundcheck.plans.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(function: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return add
+
+
+#: The same claims as ``tables`` cuts, in SQL.
+_CLAIMS = r"""
+d AS (SELECT doc_id, source AS run_id, coalesce(text, '') AS text FROM documents),
+c AS (SELECT run_id, doc_id, length(text) AS len,
+  substr(text, CAST(floor(length(text) / 2.0) AS INTEGER) + 1, 80) || CASE WHEN doc_id % 5 = 0 THEN ' altered' ELSE '' END AS quote,
+  CASE WHEN doc_id % 7 = 0 THEN 'missing' ELSE CAST(doc_id AS VARCHAR) END AS segment_id FROM d),
+f AS (SELECT DISTINCT run_id, length(text) AS value FROM d WHERE doc_id % 3 = 0),
+j AS (SELECT c.*, d.text, d.doc_id IS NOT NULL AS found, trim(regexp_replace(c.quote, '\s+', ' ', 'g')) AS q,
+  EXISTS (SELECT 1 FROM f WHERE f.run_id = c.run_id AND f.value = c.len) AS fact
+  FROM c LEFT JOIN d ON d.run_id = c.run_id AND CAST(d.doc_id AS VARCHAR) = c.segment_id),
+n AS (SELECT *, len(list_filter([TRY_CAST(replace(x, ',', '') AS DOUBLE) FOR x IN regexp_extract_all(coalesce(text, ''), '\d[\d,]*(?:\.\d+)?')], lambda v: abs(v) = len)) > 0 AS told FROM j),
+i AS (
+  SELECT run_id, doc_id AS claim_index, 'schema' AS "check" FROM n WHERE NOT found
+  UNION ALL SELECT run_id, doc_id, 'exact_quote' FROM n WHERE found AND (q = '' OR NOT contains(trim(regexp_replace(text, '\s+', ' ', 'g')), q))
+  UNION ALL SELECT run_id, doc_id, 'numeric' FROM n WHERE found AND NOT fact AND NOT told)
+"""
+
+
+@query("WITH" + _CLAIMS + 'SELECT "check", count(*) AS n FROM i GROUP BY "check"')
+def claim_issue_counts(spark, sf_dir):
+    """Flagship: issues per check over claims cut from every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = claims.issues(tables.claims(docs), tables.evidence(docs), tables.no_pages(docs), tables.financials(docs))
+    return found.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH" + _CLAIMS + 'SELECT run_id, claim_index, "check" FROM i')
+def claim_issues(spark, sf_dir):
+    """Every issue of every claim."""
+    docs = table(spark, sf_dir, "documents")
+    return claims.issues(tables.claims(docs), tables.evidence(docs), tables.no_pages(docs), tables.financials(docs)).select("run_id", "claim_index", "check")
+
+
+@query("WITH" + _CLAIMS + "SELECT c.run_id, count(DISTINCT c.doc_id) AS claims, coalesce(max(k.n), 0) AS issues, coalesce(max(k.n), 0) = 0 AS ok FROM c LEFT JOIN (SELECT run_id, count(*) AS n FROM i GROUP BY run_id) k ON k.run_id = c.run_id GROUP BY c.run_id")
+def claims_gate(spark, sf_dir):
+    """Verdict of every run."""
+    docs = table(spark, sf_dir, "documents")
+    own = tables.claims(docs)
+    return claims.gate(own, claims.issues(own, tables.evidence(docs), tables.no_pages(docs), tables.financials(docs)))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS folded, sha256(coalesce(text, '')) AS sha256, strlen(coalesce(text, '')) AS byte_length FROM documents")
+def folded_hashes(spark, sf_dir):
+    """Folded text, hash and byte length of every document."""
+    text = F.coalesce("text", F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.normalize_whitespace(text).alias("folded"), tx.sha256_hex(text).alias("sha256"), F.octet_length(text).cast("long").alias("byte_length"))
+
+
+@query(r"SELECT doc_id, regexp_replace(text, '[\x{00AD}\x{0600}-\x{0605}\x{061C}\x{06DD}\x{070F}\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}]|[\x00-\x08\x0b-\x1f\x7f]', '', 'g') AS clean FROM documents")
+def invisible_stripped(spark, sf_dir):
+    """Documents without invisible and control characters."""
+    return table(spark, sf_dir, "documents").select("doc_id", tx.strip_invisible(F.col("text")).alias("clean"))
+
+
+@query(r"""SELECT doc_id, v, count(*) AS n FROM (SELECT doc_id, unnest(list_distinct([TRY_CAST(replace(x, ',', '') AS DOUBLE) FOR x IN regexp_extract_all(regexp_replace(coalesce(text, ''), '[^0-9,.]', ' ', 'g'), '\d[\d,]*(?:\.\d+)?')])) AS v FROM documents) GROUP BY doc_id, v""")
+def document_numbers(spark, sf_dir):
+    """Absolute values of the numbers in every document."""
+    docs = table(spark, sf_dir, "documents")
+    values = F.array_distinct(F.transform(tx.numbers(F.coalesce("text", F.lit(""))), lambda v: F.abs(v)))
+    return docs.select("doc_id", F.explode(values).alias("v")).groupBy("doc_id", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH m AS (SELECT l_orderkey, round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS total FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, o_totalprice, coalesce(abs(m.total - o_totalprice) < 1e-6, false) AS grounded FROM orders LEFT JOIN m ON l_orderkey = o_orderkey""")
+def numeric_grounding(spark, sf_dir):
+    """Whether an order's price is grounded in what its lines add up to."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))), 2).alias("total"))
+    known = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("total").alias("known"))
+    return table(spark, sf_dir, "orders").join(known, "o_orderkey", "left").select("o_orderkey", "o_totalprice", tx.grounded(F.col("o_totalprice").cast("double"), F.col("known")).alias("grounded"))
+
+
+@query("""WITH y AS (SELECT year(o_orderdate) AS y, sum(o_totalprice) AS v, count(*) AS n FROM orders GROUP BY 1)
+SELECT a.y, round(a.v / b.v - 1, 6) AS growth, round(a.v / a.n, 4) AS ratio, abs((a.v / b.v - 1) - round(a.v / b.v - 1, 2)) <= greatest(0.005, 0.01 * abs(a.v / b.v - 1)) AS ok FROM y a JOIN y b ON b.y = a.y - 1""")
+def recomputed_ratios(spark, sf_dir):
+    """Growth of yearly order value, recomputed against a rounded assertion."""
+    per = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.sum(F.col("o_totalprice").cast("double")).alias("v"), F.count(F.lit(1)).alias("n"))
+    both = per.join(per.select((F.col("y") + 1).alias("y"), F.col("v").alias("p")), "y")
+    growth = calc.recompute(F.lit("yoy_growth"), F.create_map(F.lit("current"), F.col("v"), F.lit("prior"), F.col("p")))
+    ratio = calc.recompute(F.lit("margin"), F.create_map(F.lit("numerator"), F.col("v"), F.lit("denominator"), F.col("n").cast("double")))
+    return both.select("y", F.round(growth, 6).alias("growth"), F.round(ratio, 4).alias("ratio"), calc.within_tolerance(growth, F.round(growth, 2)).alias("ok"))
+
+
+@query("""SELECT l_partkey, l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS "end" FROM (
+SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, coalesce(CAST(o_orderdate AS VARCHAR), ''), l_orderkey, l_linenumber) AS n
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey) WHERE n = 1""")
+def point_in_time_facts(spark, sf_dir):
+    """For every part the latest shipment, of the earliest order."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("string").alias("end"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("string").alias("filed"))
+    facts = lines.join(orders, "l_orderkey", "left").withColumnsRenamed({"l_orderkey": "unit_pos", "l_linenumber": "entry_pos"})
+    return selection.point_in_time(facts, ["l_partkey"]).select("l_partkey", F.col("unit_pos").alias("l_orderkey"), F.col("entry_pos").alias("l_linenumber"), "end")
+
+
+@query("""SELECT k AS kind, count(*) AS n FROM (SELECT CASE WHEN days BETWEEN 80 AND 100 THEN 'quarter' WHEN days BETWEEN 170 AND 190 THEN 'half_year' WHEN days BETWEEN 260 AND 280 THEN 'nine_months' WHEN days BETWEEN 355 AND 375 THEN 'full_year' ELSE 'other' END AS k
+FROM (SELECT date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS days FROM lineitem JOIN orders ON o_orderkey = l_orderkey)) GROUP BY k""")
+def period_kinds(spark, sf_dir):
+    """Kinds of the periods between order and shipment."""
+    joined = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    kind = tx.period_type(F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date"))
+    return joined.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT c_custkey, count(*) FILTER (WHERE s <> 'post_event') AS kept, count(*) FILTER (WHERE s = 'post_event') AS excluded FROM (
+SELECT c_custkey, CASE WHEN o_orderdate IS NULL THEN 'undated' WHEN CAST(o_orderdate AS DATE) > DATE '1997-06-30' THEN 'post_event' ELSE 'pre_event' END AS s FROM customer LEFT JOIN orders ON o_custkey = c_custkey) GROUP BY c_custkey""")
+def date_guard_counts(spark, sf_dir):
+    """Orders kept and excluded by a cutoff; customers without orders have an undated row."""
+    hits = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.col("o_orderdate").cast("string").alias("published_date"))
+    return selection.guard_counts(selection.date_guard(hits, F.to_date(F.lit("1997-06-30"))), "c_custkey")
+
+
+@query("""WITH o AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY coalesce(value, -1) DESC, event_id) AS o FROM (SELECT *, CAST(ts AS DATE) AS d FROM events)),
+r AS (SELECT *, row_number() OVER (PARTITION BY d, event_type ORDER BY o) AS rk, min(o) OVER (PARTITION BY d, event_type) AS f FROM o),
+u AS (SELECT *, row_number() OVER (PARTITION BY d, user_id ORDER BY rk, f) AS u FROM r WHERE user_id IS NOT NULL),
+s AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY rk, f) AS selected FROM u WHERE u = 1)
+SELECT CAST(d AS VARCHAR) AS day, event_id, selected FROM s WHERE selected <= 15""")
+def round_robin_selection(spark, sf_dir):
+    """Every day's 15 events, in turn from the event types, each user once."""
+    events = table(spark, sf_dir, "events").withColumns({"day": F.col("ts").cast("date").cast("string"), "u": F.col("user_id").cast("string"), "none": F.lit(None).cast("string")})
+    return selection.round_robin(events, 15, run="day", url="u", score="value", pos="event_id", select_key="event_type", cls="none").select("day", "event_id", "selected")
+
+
+@query(r"""WITH l AS (SELECT doc_id, n - 1 AS line_no, lines[n] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
+b AS (SELECT *, trim(regexp_replace(line, '\s+', ' ', 'g')) = '' AS blank FROM l),
+i AS (SELECT *, regexp_matches(line, '^\s*(?:[-*+]|\d+\.)\s+') AS item, regexp_matches(line, '^\s*#+\s') AS head FROM b),
+g AS (SELECT *, sum(CASE WHEN blank OR head OR item THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM i)
+SELECT doc_id, count(DISTINCT g) AS units, sum(length(line)) AS chars FROM g WHERE NOT blank AND NOT head GROUP BY doc_id""")
+def brief_units(spark, sf_dir):
+    """Grounding units of every document and the characters in their lines."""
+    from groundcheck.operators import briefs
+
+    units = briefs.grounding_units(table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("run_id"), F.regexp_replace("text", "\r\n?", "\n").alias("text")), "run_id")
+    return units.groupBy(F.col("run_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("units"), F.sum(F.length(F.replace("body", F.lit("\n"), F.lit("")))).alias("chars"))
+
+
+@query()
+def segmented_conversations(spark, sf_dir):
+    """Conversations as transcripts: turns become speaker lines, segments come back."""
+    turns = table(spark, sf_dir, "conversations")
+    lines = turns.select("conv_id", F.col("turn").alias("line_no"), F.concat(F.initcap(F.coalesce("role", F.lit("unknown"))), F.lit(": "), F.translate(F.coalesce("text", F.lit("")), "\r\n", "  ")).alias("line"))
+    return segments.segments(lines, "conv_id").select("conv_id", "id", "section", "speaker", "text")
+
+
+@query("""SELECT conv_id, turn, lag(text, 1) OVER w AS previous, lag(text, 2) OVER w AS earlier FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def preceding_turns(spark, sf_dir):
+    """Every turn with the two before it."""
+    turns = table(spark, sf_dir, "conversations").withColumn("said", F.struct("text"))
+    rows = segments.preceding_turns(turns, "conv_id", "turn", "said")
+    n = F.size("context")
+    return rows.select("conv_id", "turn", F.when(n > 0, F.element_at("context", -1)["text"]).alias("previous"), F.when(n > 1, F.element_at("context", -2)["text"]).alias("earlier"))
+
+
+@query()
+def sanitized_pages(spark, sf_dir):
+    """Text of every page without markup and invisible characters, and its injection findings."""
+    pages = table(spark, sf_dir, "pages").select("page_id", documents.sanitize(F.col("html"), True).alias("text"))
+    return pages.select("page_id", "text", F.size(documents.scan_for_injection(F.col("text"))).alias("findings"))
+
+
+@query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN l.doc_id IS NULL THEN 'left' ELSE 'right' END AS side FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id WHERE d.doc_id IS NULL OR l.doc_id IS NULL""")
+def coverage_difference(spark, sf_dir):
+    """Documents without labels and labels without documents."""
+    return coverage.difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("""WITH e AS (SELECT CAST(o_custkey AS VARCHAR) AS run_id, CAST(o_orderkey AS VARCHAR) AS id FROM orders),
+r AS (SELECT run_id, id, CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'skipped' WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'extracted' ELSE 'immaterial' END AS outcome, CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN '' ELSE 'said' END AS reason FROM e WHERE CAST(id AS BIGINT) % 13 <> 0)
+SELECT message, count(*) AS n FROM (
+SELECT 'missing from the receipt' AS message FROM e WHERE CAST(id AS BIGINT) % 13 = 0 AND run_id IN (SELECT run_id FROM e)
+UNION ALL SELECT 'outcome must be extracted or immaterial' FROM r WHERE outcome = 'skipped'
+UNION ALL SELECT 'extracted without claim ids' FROM r WHERE outcome = 'extracted'
+UNION ALL SELECT 'immaterial without a reason' FROM r WHERE outcome = 'immaterial' AND reason = '') GROUP BY message""")
+def coverage_receipts(spark, sf_dir):
+    """Orders as evidence of their customers, and a receipt that leaves some out."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    evidence = orders.select(F.col("o_custkey").cast("string").alias("run_id"), F.lit("segments").alias("section"), key.cast("string").alias("id"))
+    outcome = F.when(key % 11 == 0, "skipped").when(key % 2 == 0, "extracted").otherwise("immaterial")
+    receipt = orders.where(key % 13 != 0).select(F.col("o_custkey").cast("string").alias("run_id"), F.lit("segments").alias("section"), key.cast("string").alias("id"), outcome.alias("outcome"), F.array().cast("array<string>").alias("claim_ids"), F.when(key % 5 == 0, "").otherwise("said").alias("reason"))
+    found = coverage.coverage_issues(receipt, evidence, tables.claims(table(spark, sf_dir, "documents")))
+    return found.groupBy("message").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH a AS (SELECT doc_id, lang, source FROM documents WHERE doc_id % 17 <> 3), b AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'xx' ELSE lang END AS lang, source FROM documents WHERE doc_id % 19 <> 5)
+SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' WHEN b.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.doc_id = b.doc_id
+WHERE a.doc_id IS NULL OR b.doc_id IS NULL OR a.lang IS DISTINCT FROM b.lang OR a.source IS DISTINCT FROM b.source""")
+def record_diff(spark, sf_dir):
+    """Documents against a perturbed copy: added, removed and changed records."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    old = docs.where(F.col("doc_id") % 17 != 3)
+    new = docs.where(F.col("doc_id") % 19 != 5).withColumn("lang", F.when(F.col("doc_id") % 7 == 0, "xx").otherwise(F.col("lang")))
+    return reviews.claim_diff(old, new, ["doc_id"], ["lang", "source"]).select("doc_id", "change")
+
+
+@query("""SELECT user_id AS run_id, event_type AS stage, count(*) AS attempts, count(*) FILTER (WHERE value < 10) AS rejections, greatest(count(*) - 1, 0) AS retries, arg_max(CASE WHEN value < 10 THEN 'rejected' ELSE 'passed' END, event_id) AS outcome FROM events GROUP BY 1, 2""")
+def attempt_rollup(spark, sf_dir):
+    """Events as attempts of stages: rejections, retries, last outcome."""
+    attempts = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"), F.col("event_id").alias("attempt"), F.when(F.col("value") < 10, "rejected").otherwise("passed").alias("outcome"))
+    return audits.attempt_rollup(attempts)
+
+
+@query("""SELECT user_id, count(*) FILTER (WHERE s = 'info') AS info, count(*) FILTER (WHERE s = 'low') AS low, count(*) FILTER (WHERE s = 'medium') AS medium, count(*) FILTER (WHERE s = 'high') AS high, count(*) FILTER (WHERE s = 'critical') AS critical
+FROM (SELECT user_id, CASE WHEN event_id % 5 = 0 THEN 'info' WHEN event_id % 5 = 1 THEN 'low' WHEN event_id % 5 = 2 THEN 'medium' WHEN event_id % 5 = 3 THEN 'high' ELSE 'critical' END AS s FROM events) GROUP BY user_id""")
+def severity_pivot(spark, sf_dir):
+    """Findings by severity, one column each."""
+    named = F.element_at(F.array(*[F.lit(s) for s in reviews.SEVERITIES]), (F.col("event_id") % 5 + 1).cast("int"))
+    return audits.severity_counts(table(spark, sf_dir, "events").select("user_id", named.alias("severity")), ["user_id"])
+
+
+@query("""SELECT event_type, CAST(ts AS DATE) AS date, min(value) AS low, max(value) AS high, arg_min(value, event_id) AS open, arg_max(value, event_id) AS close, count(*) AS row_count FROM events WHERE value IS NOT NULL GROUP BY 1, 2""")
+def daily_series(spark, sf_dir):
+    """Daily bars of every event type."""
+    events = table(spark, sf_dir, "events").where("value is not null").withColumn("date", F.col("ts").cast("date"))
+    return events.groupBy("event_type", "date").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.min_by("value", "event_id").alias("open"), F.max_by("value", "event_id").alias("close"), F.count(F.lit(1)).alias("row_count"))
+
+
+_ANSWERS = "(SELECT event_id, user_id, ((event_id * 37) % 101) / 100.0 AS noul FROM events)"
+
+
+@query(f"""SELECT accept, count(*) FILTER (WHERE noul < accept) AS flagged, count(*) FILTER (WHERE noul < accept AND noul < 0.5) AS defect, count(*) FILTER (WHERE noul < accept AND noul >= 0.5) AS "check" FROM {_ANSWERS}, (VALUES (0.8), (0.7), (0.6)) t(accept) GROUP BY accept""")
+def triage_sweep(spark, sf_dir):
+    """Flagged answers under three acceptance thresholds."""
+    return triage.sweep(_answers(spark, sf_dir), [triage.Thresholds(accept=a) for a in (0.8, 0.7, 0.6)]).select("accept", "flagged", "defect", "check")
+
+
+@query(f"""SELECT user_id AS run_id, count(*) AS audited, count(*) FILTER (WHERE noul < 0.7) AS flagged, count(*) FILTER (WHERE noul < 0.5) AS defect, count(*) FILTER (WHERE noul >= 0.5 AND noul < 0.7) AS "check" FROM {_ANSWERS} GROUP BY user_id""")
+def triage_counts(spark, sf_dir):
+    """Answers triaged at the chosen thresholds, by run."""
+    answers = _answers(spark, sf_dir)
+    return triage.counts(answers, triage.triage(answers))
+
+
+def _answers(spark, sf_dir):
+    none = {"choice": "string", "expected": "string", "confidence": "double", "probabilities": "map<string,double>", "score": "double", "legend": "map<string,string>"}
+    noul = ((F.col("event_id") * 37) % 101) / F.lit(100.0)
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.lit("noul").alias("type"), noul.alias("noul"), *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS run_id, class, select_key, query FROM (
+SELECT c_custkey, 'consensus' AS class, 'consensus' AS select_key, c_name || ' consensus' AS query FROM customer
+UNION ALL SELECT c_custkey, 'peer', n_name, n_name || ' against ' || c_name FROM customer JOIN nation ON n_nationkey <> c_nationkey AND n_regionkey = (SELECT n2.n_regionkey FROM nation n2 WHERE n2.n_nationkey = c_nationkey))""")
+def expanded_queries(spark, sf_dir):
+    """Search templates filled for every customer and the other nations of its region."""
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    companies = customers.select(F.col("c_custkey").cast("string").alias("run_id"), F.col("c_name").alias("company"), F.lit("").alias("ticker"), F.lit("").alias("event_id"))
+    own = nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    peers = customers.join(own, "c_nationkey").join(nations, "n_regionkey").where(F.col("c_nationkey") != F.col("n_nationkey")).select(F.col("c_custkey").cast("string").alias("run_id"), F.col("n_name").alias("peer"), F.col("n_nationkey").alias("peer_pos"))
+    templates = spark.createDataFrame([("consensus", 0, "{company} consensus"), ("peer", 1, "{peer} against {company}")], "class string, pos int, template string")
+    return selection.expand_queries(companies, templates, peers).select("run_id", "class", "select_key", "query")
+
+
+@query(r"""SELECT doc_id, regexp_matches(text, '[$€£]\s?\d|\d\s?%|\d[\d,]*(\.\d+)?\s*(thousand|million|billion|trillion|bps|basis\s+points)\b|\bper\s+cent\b', 'i') AS financial, regexp_matches(text, '\b(every|all (four|three|of the)|none of|no (peer|bank|competitor)s?|each of the)\b', 'i') AS universal, length(text) - length(replace(text, '$', '')) AS dollars FROM documents WHERE text IS NOT NULL AND text NOT LIKE '%\%' """)
+def prose_flags(spark, sf_dir):
+    """Financial figures, universal quantifiers and bare dollar signs of texts without backslash."""
+    docs = table(spark, sf_dir, "documents").where(~F.col("text").contains("\\"))
+    return docs.select("doc_id", tx.has_financial_figure(F.col("text")).alias("financial"), tx.has_universal_quantifier(F.col("text")).alias("universal"), tx.unescaped_dollars(F.col("text"))["n"].alias("dollars"))
+
+
+@query("""SELECT source AS run_id, lang AS category, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY 1, 2""")
+def card_categories(spark, sf_dir):
+    """Signal cards: a run's categories, their first claim and how many lines they have."""
+    docs = table(spark, sf_dir, "documents")
+    own = docs.select(F.col("source").alias("run_id"), F.col("lang").alias("category"), F.col("doc_id").alias("claim_index"), F.lit("fact").alias("claim_text"), F.col("doc_id").cast("string").alias("id"))
+    card = audits.signal_card(own)
+    first = F.regexp_extract(F.get(F.split("lines", "\n"), F.lit(0)), r"\[(\d+)\]$", 1).cast("long")
+    return card.select("run_id", "category", first.alias("first"), F.size(F.split("lines", "\n")).cast("long").alias("n"))
+
