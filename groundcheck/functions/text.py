@@ -111,7 +111,7 @@ def unescaped_dollars(text: Column) -> Column:
 
 
 def escape_currency(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?<!\\)\$", r"\\\\\$")
+    return F.regexp_replace(text, r"(?<!\\)\$", r"\\\$")
 
 
 def has_financial_figure(text: Column) -> Column:
