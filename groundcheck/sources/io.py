@@ -96,21 +96,23 @@ def ticker_ids(payload: DataFrame, json_col: str = "value") -> DataFrame:
 
 def price_bars(payloads: DataFrame, json_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Bars (ticker, date, open, high, low, close, volume) of payloads in three shapes, and the
-    payloads without a series, which are errors: ``bars`` arrays, date-keyed maps with numbered
-    names, and parallel arrays with epoch seconds."""
+    payloads without a series, which are errors. Shapes: an array of rows, plain or under
+    ``historical``, with lower-case or capital names, and a map by date with numbered names."""
     text = F.col(json_col)
-    listed = F.transform(F.from_json(F.get_json_object(text, "$.historical"), "array<struct<date:string,open:double,high:double,low:double,close:double,volume:bigint>>"), lambda b: b)
-    keyed = F.transform(
-        F.map_entries(F.from_json(F.get_json_object(text, "$['Time Series (Daily)']"), "map<string,map<string,string>>")),
-        lambda e: F.struct(
-            e["key"].alias("date"),
-            *[F.try_element_at(e["value"], F.lit(k)).try_cast("double").alias(n) for k, n in (("1. open", "open"), ("2. high", "high"), ("3. low", "low"), ("4. close", "close"))],
-            F.coalesce(F.try_element_at(e["value"], F.lit("5. volume")), F.try_element_at(e["value"], F.lit("6. volume"))).try_cast("bigint").alias("volume"),
-        ),
-    )
-    arrays = F.from_json(text, "struct<t:array<bigint>,o:array<double>,h:array<double>,l:array<double>,c:array<double>,v:array<bigint>>")
-    zipped = F.transform(F.arrays_zip(*[arrays[k].alias(k) for k in "tohlcv"]), lambda z: F.struct(F.date_format(F.timestamp_seconds(z["t"]), "yyyy-MM-dd").alias("date"), z["o"].alias("open"), z["h"].alias("high"), z["l"].alias("low"), z["c"].alias("close"), z["v"].alias("volume")))
-    marked = payloads.withColumn("_bars", F.coalesce(listed, keyed, zipped))
+    names = ("open", "high", "low", "close", "volume")
+
+    def bar(date, get):
+        values = [get(i, n).try_cast("double") for i, n in enumerate(names, 1)]
+        return F.struct(F.substr(date, F.lit(1), F.lit(10)).alias("date"), *[v.alias(n) for n, v in zip(names[:4], values)], values[4].cast("bigint").alias("volume"))
+
+    def of_rows(rows):
+        parsed = F.from_json(rows, "array<map<string,string>>")
+        return F.transform(parsed, lambda r: bar(F.coalesce(F.try_element_at(r, F.lit("date")), F.try_element_at(r, F.lit("Date"))), lambda i, n: F.coalesce(F.try_element_at(r, F.lit(n)), F.try_element_at(r, F.lit(n.title())))))
+
+    listed, plain = of_rows(F.get_json_object(text, "$.historical")), of_rows(F.when(F.ltrim(text).startswith("["), text))
+    daily = F.map_entries(F.from_json(F.get_json_object(text, "$['Time Series (Daily)']"), "map<string,map<string,string>>"))
+    keyed = F.transform(daily, lambda e: bar(e["key"], lambda i, n: F.try_element_at(e["value"], F.lit(f"{i}. {n}"))))
+    marked = payloads.withColumn("_bars", F.coalesce(listed, keyed, plain))
     bars = marked.select("ticker", F.explode("_bars").alias("b")).select("ticker", F.try_to_date("b.date", "yyyy-MM-dd").alias("date"), "b.open", "b.high", "b.low", "b.close", "b.volume")
     return bars, marked.where(F.coalesce(F.size("_bars"), F.lit(0)) < 1).select("ticker", text.alias("payload"))
 

@@ -63,7 +63,7 @@ def test_price_shapes(spark):
     shapes = [
         ("A", {"historical": [{"date": "2026-01-02", "open": 1, "high": 2, "low": 0.5, "close": 1.5, "volume": 10}]}),
         ("B", {"Time Series (Daily)": {"2026-01-02": {"1. open": "1", "2. high": "2", "3. low": "0.5", "4. close": "1.5", "5. volume": "10"}}}),
-        ("C", {"t": [1767312000], "o": [1], "h": [2], "l": [0.5], "c": [1.5], "v": [10]}),
+        ("C", [{"Date": "2026-01-02T00:00:00", "Open": 1, "High": 2, "Low": 0.5, "Close": 1.5, "Volume": 10.0}]),
         ("D", {"Note": "limit reached"}),
     ]
     bars, errors = io.price_bars(spark.createDataFrame([(t, json.dumps(p)) for t, p in shapes], "ticker string, value string"))
