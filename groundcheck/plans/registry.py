@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundcheck.functions import calc, documents, text as tx
-from groundcheck.operators import audits, claims, coverage, reviews, segments, selection, triage
+from groundcheck.operators import audits, briefs, claims, coverage, integrity, reviews, segments, selection, triage
 from groundcheck.plans import tables
 from groundcheck.plans.tables import table
 
@@ -154,8 +154,6 @@ g AS (SELECT *, sum(CASE WHEN blank OR head OR item THEN 1 ELSE 0 END) OVER (PAR
 SELECT doc_id, count(DISTINCT g) AS units, sum(length(line)) AS chars FROM g WHERE NOT blank AND NOT head GROUP BY doc_id""")
 def brief_units(spark, sf_dir):
     """Grounding units of every document and the characters in their lines."""
-    from groundcheck.operators import briefs
-
     units = briefs.grounding_units(table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("run_id"), F.regexp_replace("text", "\r\n?", "\n").alias("text")), "run_id")
     return units.groupBy(F.col("run_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("units"), F.sum(F.length(F.replace("body", F.lit("\n"), F.lit("")))).alias("chars"))
 
@@ -292,3 +290,178 @@ def card_categories(spark, sf_dir):
     first = F.regexp_extract(F.get(F.split("lines", "\n"), F.lit(0)), r"\[(\d+)\]$", 1).cast("long")
     return card.select("run_id", "category", first.alias("first"), F.size(F.split("lines", "\n")).cast("long").alias("n"))
 
+
+
+@query("""SELECT source AS run_id, CAST(doc_id AS VARCHAR) AS path, CASE WHEN doc_id % 10 = 3 THEN 'file is missing' WHEN doc_id % 11 = 4 THEN 'length differs' ELSE 'hash differs' END AS message
+FROM documents WHERE text IS NOT NULL AND (doc_id % 10 = 3 OR doc_id % 11 = 4 OR doc_id % 9 = 0)""")
+def manifest_integrity(spark, sf_dir):
+    """Documents as files against a manifest with some wrong hashes, lengths and paths."""
+    d = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.col("source").alias("run_id"), d, d.cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    manifest = docs.select("run_id", "path", F.when(d % 9 == 0, "0").otherwise(F.sha2("content", 256)).alias("sha256"), (F.octet_length("content") + F.when(d % 11 == 4, 1).otherwise(0)).alias("byte_length"))
+    return integrity.manifest_issues(manifest, docs.where(d % 10 != 3).select("run_id", "path", "content"))
+
+
+@query("""SELECT doc_id AS run_id, NOT (doc_id % 7 = 0 OR doc_id % 5 = 1) AS fresh, CASE WHEN doc_id % 7 = 0 AND doc_id % 5 = 1 THEN 'claims,lang' WHEN doc_id % 7 = 0 THEN 'lang' WHEN doc_id % 5 = 1 THEN 'claims' ELSE '' END AS stale FROM documents""")
+def stale_inputs(spark, sf_dir):
+    """Recorded hashes against current ones: one changed for every seventh run, one unrecorded for every fifth."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("run_id"), F.coalesce("lang", F.lit("")).alias("lang"))
+    r, lang = F.col("run_id"), F.sha2("lang", 256)
+    recorded = docs.select(r, F.when(r % 5 == 1, F.create_map(F.lit("lang"), lang)).otherwise(F.create_map(F.lit("lang"), lang, F.lit("claims"), F.sha2(r.cast("string"), 256))).alias("input_hashes"))
+    now = docs.select(r, F.lit("lang").alias("name"), F.when(r % 7 == 0, "changed").otherwise(lang).alias("sha256"))
+    now = now.unionByName(docs.select(r, F.lit("claims").alias("name"), F.sha2(r.cast("string"), 256).alias("sha256")))
+    return integrity.staleness(recorded, now, ["claims", "lang"]).select("run_id", "fresh", F.array_join("stale", ",").alias("stale"))
+
+
+@query("""WITH l AS (SELECT o_custkey AS c, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'O') AS ok FROM orders GROUP BY 1),
+d AS (SELECT c_custkey, c_custkey % 3 AS k, c_custkey % 5 = 0 AS mute, coalesce(n, 0) AS n, coalesce(ok, 0) AS ok FROM customer LEFT JOIN l ON c = c_custkey)
+SELECT message, count(*) AS n FROM (SELECT 'decision has no reason' AS message FROM d WHERE mute UNION ALL SELECT 'used without a successful lookup' FROM d WHERE k = 0 AND ok = 0
+UNION ALL SELECT 'failed needs lookups and no success' FROM d WHERE k = 1 AND (n = 0 OR ok > 0) UNION ALL SELECT 'not used but looked up' FROM d WHERE k = 2 AND n > 0) GROUP BY message""")
+def price_decisions(spark, sf_dir):
+    """Customers' decisions against their orders as a lookup log."""
+    k = F.col("c_custkey")
+    decisions = table(spark, sf_dir, "customer").select(k.alias("run_id"), F.element_at(F.array(F.lit("used"), F.lit("failed"), F.lit("not_used")), (k % 3 + 1).cast("int")).alias("decision"), F.when(k % 5 == 0, " ").otherwise("said").alias("reason"))
+    log = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.lit("T").alias("ticker"), F.when(F.col("o_orderstatus") == "O", "ok").otherwise("error").alias("status"), F.lit("T").alias("own_ticker"))
+    return integrity.price_issues(decisions, log).groupBy("message").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT source AS run_id, CAST(doc_id AS VARCHAR) AS subject, CASE WHEN doc_id % 13 = 0 THEN 'pre_replay' WHEN doc_id % 6 = 1 THEN 'unreplayable' WHEN doc_id % 4 <> 0 THEN 'match' WHEN doc_id % 8 = 0 THEN 'mismatch_builder' ELSE 'mismatch_input' END AS outcome FROM documents""")
+def replayed_calls(spark, sf_dir):
+    """Logged state hashes against rebuilt ones."""
+    d = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("run_id"), d, d.cast("string").alias("subject"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    logged = docs.select("run_id", "subject", F.when(d % 13 != 0, F.col("h")).alias("state_hash"), F.lit("b1").alias("builder_hash"))
+    rebuilt = docs.where(d % 6 != 1).select("run_id", "subject", F.when(d % 4 == 0, "other").otherwise(F.col("h")).alias("state_hash"), F.when(d % 8 == 0, "b2").otherwise("b1").alias("builder_hash"))
+    return integrity.replay(logged, rebuilt)
+
+
+@query("""WITH c AS (SELECT o_custkey AS run_id, o_orderkey AS id FROM orders), l AS (SELECT * FROM c WHERE id % 7 <> 0 UNION ALL SELECT * FROM c WHERE id % 9 = 0 AND id % 7 <> 0 UNION ALL SELECT run_id, id + 1000000000 FROM c WHERE id % 50 = 1)
+SELECT run_id, kind, count(*) AS n FROM (SELECT run_id, 'not accounted for' AS kind FROM c WHERE id % 7 = 0 AND run_id IN (SELECT run_id FROM l)
+UNION ALL SELECT run_id, 'in more than one bucket' FROM c WHERE id % 9 = 0 AND id % 7 <> 0 UNION ALL SELECT run_id, 'absent from the claims' FROM c WHERE id % 50 = 1) GROUP BY run_id, kind""")
+def review_receipts(spark, sf_dir):
+    """Orders as claims of their customers; a receipt that leaves out, doubles and invents some."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("k"))
+    k = F.col("k")
+    kept = orders.where(k % 7 != 0)
+    listed = kept.select("run_id", F.lit("reviewed_ok").alias("bucket"), k.cast("string").alias("claim_id"))
+    listed = listed.unionByName(kept.where(k % 9 == 0).select("run_id", F.lit("unverifiable").alias("bucket"), k.cast("string").alias("claim_id")))
+    listed = listed.unionByName(orders.where(k % 50 == 1).select("run_id", F.lit("reviewed_ok").alias("bucket"), (k + 1000000000).cast("string").alias("claim_id")))
+    reports = orders.select("run_id").distinct().select("run_id", F.lit("full").alias("mode"), F.lit(1).alias("unverified_items"))
+    findings = spark.createDataFrame([], "run_id long, list_name string, idx int, severity string, artifact string, passage string, evidence string, recommendation string")
+    found = reviews.receipt_issues(reports, listed, findings, orders.select("run_id", k.cast("string").alias("id"))).where("message <> 'receipt is missing'")
+    ids = F.split(F.regexp_replace(F.regexp_replace("message", "^[^:]*: ", ""), " and (\\d+) more$", ""), ", ")
+    more = F.coalesce(F.regexp_extract("message", " and (\\d+) more$", 1).try_cast("long"), F.lit(0))
+    return found.select("run_id", F.regexp_extract("message", "^([^:]*):", 1).alias("kind"), (F.size(ids) + more).alias("n"))
+
+
+@query("""WITH f AS (SELECT o_custkey, count(*) AS n, bool_or(o_orderkey % 5 >= 2) AS over_low, bool_or(o_orderkey % 5 >= 3) AS over_medium FROM orders WHERE o_orderkey % 6 = 0 GROUP BY 1),
+r AS (SELECT c_custkey AS run_id, c_custkey % 3 AS v, coalesce(n, 0) AS n, coalesce(over_low, false) AS l, coalesce(over_medium, false) AS m FROM customer LEFT JOIN f ON o_custkey = c_custkey)
+SELECT run_id, message FROM (SELECT run_id, 'pass with a finding above low' AS message FROM r WHERE v = 0 AND l UNION ALL SELECT run_id, 'warnings with a finding above medium' FROM r WHERE v = 1 AND m
+UNION ALL SELECT run_id, 'warnings without a finding or unverified item' FROM r WHERE v = 1 AND n = 0 UNION ALL SELECT run_id, 'fail without a high or critical finding' FROM r WHERE v = 2 AND NOT m)""")
+def verdict_checks(spark, sf_dir):
+    """Customers' verdicts against the severities of some of their orders."""
+    named = F.element_at(F.array(*[F.lit(s) for s in reviews.SEVERITIES]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    findings = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 6 == 0).select(F.col("o_custkey").alias("run_id"), named.alias("severity"))
+    verdict = F.element_at(F.array(F.lit("pass"), F.lit("pass_with_warnings"), F.lit("fail")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    reports = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id"), verdict.alias("verdict"), F.lit(1).alias("source_checks"), F.lit(1).alias("process_findings"), F.lit(0).alias("unverified_items"))
+    return reviews.verdict_issues(reports, findings).select("run_id", "message")
+
+
+@query("""SELECT user_id AS run_id, event_id AS key FROM events WHERE event_id % 4 <> 0 AND (event_id % 3 = 0 OR user_id % 10 <> 0)""")
+def open_triage(spark, sf_dir):
+    """Events as triage items: every fourth is settled, some runs settle all of tier check."""
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_id"), F.col("event_id").cast("string").alias("key"), F.when(F.col("event_id") % 3 == 0, "defect").otherwise("check").alias("severity"))
+    settled = events.where(F.col("event_id") % 4 == 0).select("run_id", "key", F.lit("fixed").alias("action"))
+    groups = events.where(F.col("run_id") % 10 == 0).select("run_id").distinct().select("run_id", F.lit("check-tier").alias("key"), F.lit("accepted").alias("action"))
+    return triage.open_items(events, settled.unionByName(groups)).select("run_id", F.col("key").cast("long").alias("key"))
+
+
+@query("""WITH x AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line FROM documents WHERE text IS NOT NULL) SELECT DISTINCT line FROM x WHERE line <> '' AND doc_id % 2 = 1 AND line NOT IN (SELECT line FROM x WHERE doc_id % 2 = 0)""")
+def new_lessons(spark, sf_dir):
+    """Lines of odd documents that no even document has, once each."""
+    lines = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return audits.new_lessons(lines.where("doc_id % 2 = 1"), lines.where("doc_id % 2 = 0"))
+
+
+@query("""SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n = 1""")
+def first_hits(spark, sf_dir):
+    """The first event of every user and type."""
+    hits = table(spark, sf_dir, "events").withColumnsRenamed({"user_id": "run_id", "event_type": "query", "event_id": "pos"})
+    return selection.first_per_query(hits).select(F.col("run_id").alias("user_id"), F.col("query").alias("event_type"), F.col("pos").alias("event_id"))
+
+
+@query("""WITH p AS (SELECT l_partkey, l_orderkey, l_linenumber, date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) BETWEEN 80 AND 100 AS q FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+w AS (SELECT *, bool_or(q) OVER (PARTITION BY l_partkey) AS has FROM p) SELECT l_partkey, count(*) AS n FROM w WHERE q OR NOT has GROUP BY 1""")
+def facts_in_period(spark, sf_dir):
+    """Lines of a part whose period is a quarter, or all of them where none is."""
+    joined = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    facts = joined.select("l_partkey", F.col("o_orderdate").cast("string").alias("start"), F.col("l_shipdate").cast("string").alias("end"))
+    return selection.in_period(selection.with_period(facts), ["l_partkey"], kind="quarter").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT source AS run_id, count(*) AS pages, count(*) FILTER (WHERE doc_id % 3 = 0) AS cited, CASE WHEN count(*) FILTER (WHERE doc_id % 3 = 0) = 0 THEN 'no page is cited' WHEN count(*) FILTER (WHERE doc_id % 3 = 0) <= 0.5 * count(*) THEN 'few pages are cited' END AS advisory FROM documents GROUP BY 1""")
+def evidence_use(spark, sf_dir):
+    """Runs that cite few of their pages."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("run_id"), F.col("doc_id"), F.col("doc_id").cast("string").alias("id"))
+    return claims.evidence_use(docs.select("run_id", "id"), docs.where("doc_id % 3 = 0").select("run_id", F.col("id").alias("web_evidence_id")))
+
+
+@query("""SELECT source AS run_id, doc_id AS claim_index, CASE WHEN doc_id % 4 = 0 THEN 'none' WHEN doc_id % 4 = 1 THEN 'self' ELSE 'unknown' END AS kind FROM documents WHERE doc_id % 4 < 3""")
+def inference_citations(spark, sf_dir):
+    """Inferences that cite nothing, themselves or an unknown claim."""
+    d = F.col("doc_id")
+    own = F.concat(F.lit("claim-"), d.cast("string"))
+    cited = F.when(d % 4 == 0, F.array().cast("array<string>")).when(d % 4 == 1, F.array(own)).when(d % 4 == 2, F.array(own, F.lit("claim-none"))).otherwise(F.array(F.lit("claim-3x")))
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("run_id"), d.alias("claim_index"), own.alias("id"), F.lit(claims.INFERENCE).alias("classification"), cited.alias("inferred_from"))
+    known = rows.select("run_id").distinct().select("run_id", F.lit(-5).cast("long").alias("claim_index"), F.lit("claim-3x").alias("id"), F.lit("reported_fact").alias("classification"), F.array().cast("array<string>").alias("inferred_from"))
+    found = claims.inference_problems(rows.unionByName(known))
+    kind = F.when(F.col("message").contains("unknown"), "unknown").when(F.col("message").contains("itself"), "self").otherwise("none")
+    return found.select("run_id", "claim_index", kind.alias("kind"))
+
+
+@query("""SELECT o_custkey AS run_id, count(*) AS rounds, count(*) FILTER (WHERE o_orderstatus = 'F') AS failed_rounds, count(*) FILTER (WHERE o_totalprice > 200000) AS escalations, arg_max(CASE WHEN o_orderstatus = 'F' THEN 'fail' ELSE 'pass' END, o_orderkey) AS verdict FROM orders GROUP BY 1""")
+def round_rollup(spark, sf_dir):
+    """Orders as review rounds of their customers."""
+    rounds = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("round"), F.when(F.col("o_orderstatus") == "F", "fail").otherwise("pass").alias("verdict"), (F.col("o_totalprice") > 200000).alias("escalated"))
+    return audits.round_rollup(rounds)
+
+
+@query("""SELECT user_id AS run_id, count(*) AS calls, count(*) FILTER (WHERE event_id % 5 <> 0) AS ok, round(coalesce(sum(value), 0), 4) AS cost, count(*) FILTER (WHERE event_id % 2 = 0) AS windowed FROM events GROUP BY 1""")
+def audit_runs(spark, sf_dir):
+    """Events as logged calls: successes, cost and windowed ones by run."""
+    e = F.col("event_id")
+    answers = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.when(e % 5 != 0, "ok").otherwise("error").alias("status"), F.col("value").alias("cost"), (e % 2 == 0).alias("windowed"))
+    return audits.audit_runs(answers).withColumn("cost", F.round("cost", 4))
+
+
+@query("""SELECT doc_id, length(text) - length(replace(text, '$', '')) AS signs, sha256(replace(text, '$', chr(92) || '$')) AS escaped FROM documents WHERE text IS NOT NULL AND strpos(text, chr(92)) = 0""")
+def escaped_currency(spark, sf_dir):
+    """Texts without backslash, their dollar signs escaped."""
+    docs = table(spark, sf_dir, "documents").where(~F.col("text").contains("\\"))
+    return docs.select("doc_id", (F.length("text") - F.length(F.replace("text", F.lit("$"), F.lit("")))).alias("signs"), F.sha2(tx.escape_currency(F.col("text")), 256).alias("escaped"))
+
+
+@query()
+def audit_questions(spark, sf_dir):
+    """What a model would be asked of every claim cut from the documents."""
+    docs = table(spark, sf_dir, "documents")
+    found = triage.state_hash(triage.audit_states(tables.claims(docs), tables.evidence(docs)))
+    return found.select("run_id", "id", F.size("questions").alias("questions"), "note", "state_hash")
+
+
+@query()
+def injection_findings(spark, sf_dir):
+    """Injection patterns found in documents and pages, counted."""
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text")
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("key"), F.col("html").alias("text"))
+    return documents.injection_counts(docs.unionByName(pages), "key", "text")
+
+
+@query()
+def brief_figures(spark, sf_dir):
+    """Documents as briefs that cite their own claim: figures it does not hold, and citations."""
+    docs = table(spark, sf_dir, "documents")
+    own = tables.claims(docs).withColumn("run_id", F.col("id"))
+    texts = docs.where("text is not null").select(F.concat(F.lit("claim-"), F.col("doc_id").cast("string")).alias("run_id"), F.concat("text", F.lit(" [claim-"), F.col("doc_id").cast("string"), F.lit("]")).alias("text"))
+    found = briefs.number_issues(texts, own).select("run_id", "check", "message")
+    return found.unionByName(briefs.citation_issues(texts, own).select("run_id", "check", "message")).unionByName(briefs.dollar_issues(texts))
