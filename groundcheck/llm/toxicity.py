@@ -59,27 +59,41 @@ def word_hits(data: np.ndarray, at: np.ndarray, words: np.ndarray) -> tuple[np.n
     return pair // len(words), pair % len(words)
 
 
-def nnpu_fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights and bias that lower the non-negative risk, by full-batch Adam steps."""
-    x = np.concatenate([positive, unlabelled]).astype(np.float32)
-    n = len(positive)
-    width = x.shape[1]
-    w = np.zeros(width + 1)
+@dataclass
+class Presence:
+    """Which words each text of a sample holds: only the places that are set."""
+
+    row: np.ndarray
+    word: np.ndarray
+    texts: int
+    words: int
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=weights[self.word], minlength=self.texts)
+
+    def by_word(self, of_text: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=of_text[self.row], minlength=self.words)
+
+
+def nnpu_fit(x: Presence, n: int, prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and bias that lower the non-negative risk, by full-batch Adam steps; the first ``n``
+    texts are the positives."""
+    w = np.zeros(x.words + 1)
     w[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        margin = x @ w[:-1].astype(np.float32) + w[-1]
+        margin = x.margins(w[:-1]) + w[-1]
         chance = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
         loss_negative = np.logaddexp(0, margin)
         negative_risk = loss_negative[n:].mean() - prior * loss_negative[:n].mean()
-        pull = np.empty(len(x))  # derivative of the risk by each margin
+        pull = np.empty(x.texts)  # derivative of the risk by each margin
         if negative_risk >= 0:
             pull[:n] = prior * (chance[:n] - 1) / n - prior * chance[:n] / n
-            pull[n:] = chance[n:] / (len(x) - n)
+            pull[n:] = chance[n:] / (x.texts - n)
         else:
             pull[:n] = prior * chance[:n] / n
-            pull[n:] = -chance[n:] / (len(x) - n)
-        gradient = np.append(x.T @ pull.astype(np.float32), pull.sum())
+            pull[n:] = -chance[n:] / (x.texts - n)
+        gradient = np.append(x.by_word(pull), pull.sum())
         gradient[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -99,16 +113,18 @@ def _word_sets(df: DataFrame) -> list[np.ndarray]:
                 sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary())], ["words"])
 
-    found = df.select("text").mapInArrow(run, "words binary").toPandas()["words"]
-    return [np.frombuffer(x, np.uint64) for x in sorted(found)]
+    found = sorted(df.select("text").mapInArrow(run, "words binary").toArrow().column("words").to_pylist())
+    return [np.frombuffer(x, np.uint64) for x in found]
 
 
-def _matrix(sets: list[np.ndarray], words: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(sets), len(words)), np.float32)
+def _presence(sets: list[np.ndarray], words: np.ndarray) -> Presence:
+    rows, places = [], []
     for i, held in enumerate(sets):
         place = np.minimum(np.searchsorted(words, held), len(words) - 1)
-        out[i, place[words[place] == held]] = 1
-    return out
+        place = place[words[place] == held]
+        rows.append(np.full(len(place), i, np.int32))
+        places.append(place.astype(np.int32))
+    return Presence(np.concatenate(rows), np.concatenate(places), len(sets), len(words))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", positives: int = 3000, unlabelled: int = 9000, z: float = 4.0) -> Model:
@@ -140,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     words = words[apart >= z]
     if not len(words):
         return Model(words, np.zeros(0), float(np.log(prior / (1 - prior))))
-    weights, bias = nnpu_fit(_matrix(p, words), _matrix(u, words), prior)
+    weights, bias = nnpu_fit(_presence(p + u, words), len(p), prior)
     return Model(words, weights, bias)
 
 
