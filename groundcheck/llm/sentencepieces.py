@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from groundcheck.llm.common import pieces, text_column
 from groundcheck.llm.vocabulary import BLANK, Vocabulary, units
 
-#: Units and pairs of pieces that a worker remembers before it begins afresh; only speed depends on them.
-HELD_UNITS = 400_000
-HELD_PAIRS = 2_000_000
+#: Units and pairs of pieces that a worker remembers before it begins afresh, and units that are
+#: indexed at once; only speed and memory depend on them.
+HELD_UNITS = 150_000
+HELD_PAIRS = 400_000
+INDEXED_UNITS = 30_000
 LANE = 4  # characters in a 64-bit key
 
 
@@ -127,8 +129,8 @@ class Encoder:
             self.clear()
         split = [units(t, self.pattern) if t else [] for t in texts]
         fresh = list(dict.fromkeys(u for us in split for u in us if u not in self.known))
-        if fresh:
-            self.learn(fresh)
+        for begin in range(0, len(fresh), INDEXED_UNITS):
+            self.learn(fresh[begin : begin + INDEXED_UNITS])
         which = np.fromiter((self.known[u] for us in split for u in us), np.int64)
         sizes = np.diff(self.first)[which]
         begin = self.first[which]
