@@ -59,7 +59,7 @@ def claim_issues(spark, sf_dir):
     return claims.issues(tables.claims(docs), tables.evidence(docs), tables.no_pages(docs), tables.financials(docs)).select("run_id", "claim_index", "check")
 
 
-@query("WITH" + _CLAIMS + "SELECT c.run_id, count(DISTINCT c.doc_id) AS claims, coalesce(max(k.n), 0) AS issues, coalesce(max(k.n), 0) = 0 AS ok FROM c LEFT JOIN (SELECT run_id, count(*) AS n FROM i GROUP BY run_id) k ON k.run_id = c.run_id GROUP BY c.run_id")
+@query("WITH" + _CLAIMS + "SELECT c.run_id, count(DISTINCT c.doc_id) AS claims, CAST(coalesce(max(k.n), 0) AS BIGINT) AS issues, coalesce(max(k.n), 0) = 0 AS ok FROM c LEFT JOIN (SELECT run_id, count(*) AS n FROM i GROUP BY run_id) k ON k.run_id = c.run_id GROUP BY c.run_id")
 def claims_gate(spark, sf_dir):
     """Verdict of every run."""
     docs = table(spark, sf_dir, "documents")
@@ -151,7 +151,7 @@ def round_robin_selection(spark, sf_dir):
 b AS (SELECT *, trim(regexp_replace(line, '\s+', ' ', 'g')) = '' AS blank FROM l),
 i AS (SELECT *, regexp_matches(line, '^\s*(?:[-*+]|\d+\.)\s+') AS item, regexp_matches(line, '^\s*#+\s') AS head FROM b),
 g AS (SELECT *, sum(CASE WHEN blank OR head OR item THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM i)
-SELECT doc_id, count(DISTINCT g) AS units, sum(length(line)) AS chars FROM g WHERE NOT blank AND NOT head GROUP BY doc_id""")
+SELECT doc_id, count(DISTINCT g) AS units, CAST(sum(length(line)) AS BIGINT) AS chars FROM g WHERE NOT blank AND NOT head GROUP BY doc_id""")
 def brief_units(spark, sf_dir):
     """Grounding units of every document and the characters in their lines."""
     units = briefs.grounding_units(table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("run_id"), F.regexp_replace("text", "\r\n?", "\n").alias("text")), "run_id")
@@ -242,7 +242,7 @@ def daily_series(spark, sf_dir):
 _ANSWERS = "(SELECT event_id, user_id, ((event_id * 37) % 101) / 100.0 AS noul FROM events)"
 
 
-@query(f"""SELECT accept, count(*) FILTER (WHERE noul < accept) AS flagged, count(*) FILTER (WHERE noul < accept AND noul < 0.5) AS defect, count(*) FILTER (WHERE noul < accept AND noul >= 0.5) AS "check" FROM {_ANSWERS}, (VALUES (0.8), (0.7), (0.6)) t(accept) GROUP BY accept""")
+@query(f"""SELECT CAST(accept AS DOUBLE) AS accept, count(*) FILTER (WHERE noul < accept) AS flagged, count(*) FILTER (WHERE noul < accept AND noul < 0.5) AS defect, count(*) FILTER (WHERE noul < accept AND noul >= 0.5) AS "check" FROM {_ANSWERS}, (VALUES (0.8), (0.7), (0.6)) t(accept) GROUP BY accept""")
 def triage_sweep(spark, sf_dir):
     """Flagged answers under three acceptance thresholds."""
     return triage.sweep(_answers(spark, sf_dir), [triage.Thresholds(accept=a) for a in (0.8, 0.7, 0.6)]).select("accept", "flagged", "defect", "check")
