@@ -96,11 +96,13 @@ def grounded(value: Column, known: Column, tolerance: float = 1e-6) -> Column:
 def first_ungrounded(tokens: Column, known: Column) -> Column:
     """First token whose value is not grounded; one written as percent may also be stored as a fraction."""
 
-    def loose(token: Column) -> Column:
-        value = number_value(token)
-        return value.isNotNull() & ~(grounded(value, known) | (token.contains("%") & grounded(value / 100, known)))
+    # Values are parsed once, in an array of their own, and not in every comparison.
+    parsed = F.transform(tokens, lambda t: F.struct(t.alias("token"), number_value(t).alias("value")))
 
-    return F.get(F.filter(tokens, loose), F.lit(0))
+    def loose(p: Column) -> Column:
+        return p["value"].isNotNull() & ~(grounded(p["value"], known) | (p["token"].contains("%") & grounded(p["value"] / 100, known)))
+
+    return F.get(F.filter(parsed, loose), F.lit(0))["token"]
 
 
 def unescaped_dollars(text: Column) -> Column:
