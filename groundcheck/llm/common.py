@@ -6,6 +6,8 @@ Python object per word. All of them treat a null text as an empty one.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a kernel takes at once; a longer text is taken alone.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text that a kernel takes at once; a longer text is taken alone. A kernel's arrays take
+#: some fifty times as much.
+CHUNK_BYTES = 1 << 20
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -118,6 +121,14 @@ def pieces(batch: pa.RecordBatch, name: str, most: int = CHUNK_BYTES) -> Iterato
         end = min(end, batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory goes back to the system, as workers live on between tasks and share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
