@@ -32,7 +32,7 @@ from groundcheck.llm.vocabulary import BLANK, Vocabulary, units
 
 #: Units and pairs of pieces that a worker remembers before it begins afresh, and units that are
 #: indexed at once; only speed and memory depend on them.
-HELD_UNITS = 150_000
+HELD_UNITS = 300_000
 HELD_PAIRS = 400_000
 INDEXED_UNITS = 30_000
 LANE = 4  # characters in a 64-bit key
@@ -159,9 +159,9 @@ class Encoder:
         at = np.concatenate([at, lone])
         piece = np.concatenate([piece, np.full(len(lone), -1)])
         end = at + np.where(piece < 0, 1, self.lengths[piece])
-        unit = np.searchsorted(start, at, "right") - 1
-        local = end - start[unit]
-        order = np.lexsort((at, local))
+        local = end - np.repeat(start, lengths + 1)[at]
+        small = np.uint16 if len(local) and local.max() < 1 << 16 else np.int64  # short keys are sorted by radix
+        order = np.argsort(local.astype(small), kind="stable")
         at, piece, end, local = at[order], piece[order], end[order], local[order]
         last = np.full(len(codes) + 1, -2, np.int64)  # the piece that ends here; -2: none
         back = np.zeros(len(codes) + 1, np.int64)
