@@ -24,7 +24,7 @@ from groundcheck.llm.common import lower_ascii, stored
 
 #: Everything in ASCII that is neither a digit nor a letter separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rows of a test-side table up to which it is sent to every executor; beyond it Spark shuffles.
+#: Rows of a table of narrow rows up to which it is sent to every executor; beyond it Spark decides.
 BROADCAST_ROWS = 200_000
 
 
@@ -110,26 +110,30 @@ def exact_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str,
         candidates(index, chosen, lists).groupBy("id", "text_key").agg(F.collect_list(F.struct("item", "item_words", "begin", "starts")).alias("laid")),
         "candidates",
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("_text"))
-    hinted = _small(per_doc, per_doc.count())
-    joined = rows.join(hinted.withColumnRenamed("id", "id_").withColumnRenamed("text_key", "key_"), F.expr("id <=> id_ AND text_key = key_"), "left")
-    none = F.array().cast("array<struct<item:%s,item_words:array<string>,begin:int,starts:array<struct<start:int,length:int>>>>" % dict(items.dtypes)[item_id])
-
-    def read(w: Column) -> Column:
-        """Counts and matches of one text's split. Positions count every element, so that a leading
-        separator shifts both sides alike."""
-        first = F.when(w[0] == "", 1).otherwise(0)
-        last = F.when((F.size(w) > 1) & (F.element_at(w, -1) == ""), 1).otherwise(0)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.split(lower_ascii(F.coalesce(text_col, F.lit(""))), SEPARATORS).alias("w"))
+    # Texts with candidates, told by keys of a few bytes, are all that is compared word by word.
+    keys, n = per_doc.select(F.col("id").alias("id_"), F.col("text_key").alias("key_")), per_doc.count()
+    met = F.expr("id <=> id_ AND text_key = key_")
+    likely = rows.join(F.broadcast(keys), met, "left_semi") if n <= BROADCAST_ROWS else rows
+    joined = likely.join(per_doc.withColumnsRenamed({"id": "id_", "text_key": "key_"}), met)
+    none = F.array().cast("array<struct<item:%s,begin:int,length:int>>" % dict(items.dtypes)[item_id])
+    leading = lambda w: F.when(w[0] == "", 1).otherwise(0)
+    trailing = lambda w: F.when((F.size(w) > 1) & (F.element_at(w, -1) == ""), 1).otherwise(0)
+
+    def matches(w: Column) -> Column:
+        """Matches in one text's split. Positions count every element, so that a leading separator
+        shifts both sides alike."""
 
         def occurs(c: Column) -> Column:
             return F.filter(c["starts"], lambda s: (c["begin"] + s["start"] >= 0) & (F.slice(w, c["begin"] + s["start"] + 1, s["length"]) == F.slice(c["item_words"], s["start"] + 1, s["length"])))
 
-        matches = F.transform(F.coalesce("laid", none), lambda c: F.transform(occurs(c), lambda s: F.struct(c["item"].alias("item"), (c["begin"] + s["start"] - first).alias("begin"), s["length"].alias("length"))))
-        return F.struct((F.size(w) - first - last).cast("long").alias("n_words"), F.flatten(matches).alias("matches"))
+        return F.flatten(F.transform("laid", lambda c: F.transform(occurs(c), lambda s: F.struct(c["item"].alias("item"), (c["begin"] + s["start"] - leading(w)).alias("begin"), s["length"].alias("length")))))
 
     # The split is an array's only element, so that it is made once and not for every candidate.
-    split = F.array(F.split(lower_ascii(F.coalesce("_text", F.lit(""))), SEPARATORS))
-    return joined.select("id", "text_key", F.transform(split, read)[0].alias("r")).select("id", "text_key", "r.n_words", "r.matches")
+    found = joined.select("id_", "key_", F.transform(F.array("w"), matches)[0].alias("matches")).where(F.size("matches") > 0).dropDuplicates(["id_", "key_"])
+    n_words = F.transform(F.array("w"), lambda w: F.size(w) - leading(w) - trailing(w))[0].cast("long")
+    counted = rows.select("id", "text_key", n_words.alias("n_words"))
+    return counted.join(stored(found, "matches"), met, "left").select("id", "text_key", "n_words", F.coalesce("matches", none).alias("matches"))
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, width: int = 13, lists: int = 4, slack: int = 3) -> DataFrame:

@@ -245,6 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names its component, once each."""
+    """The rows of ``docs`` whose id names its component, once each; ids tell rows apart, and a row
+    without one is left out."""
     kept = near_duplicates(docs, id_col, text_col, **options).where(F.col("id") == F.col("component")).select(F.col("id").alias(id_col)).distinct()
     return docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
