@@ -111,7 +111,8 @@ def shard(docs: DataFrame, shards: int = 16, law: str = "bytes", id_col: str = "
     nth = Window.partitionBy("range").orderBy("h", "tie")
     run = placed.withColumn("w", F.coalesce(F.sum("weight").over(inner), F.lit(0))).withColumn("n", F.row_number().over(nth) - 1)
     put = run.join(F.broadcast(offsets), "range").withColumn("n", F.col("n") + F.col("n0"))
-    put = put.withColumn("shard", ((F.col("w") + F.col("w0")) * F.lit(shards)).cast("decimal(38,0)") / F.lit(max(int(total), 1)).cast("decimal(38,0)"))
-    put = stored(put.select("id", "size", "text_crc32", F.floor("shard").cast("int").alias("shard"), "n"), "shard-places")
+    # Whole numbers throughout: a quotient of decimals is rounded to six places and may reach the next shard.
+    put = put.withColumn("shard", F.expr(f"cast(w + w0 as decimal(38,0)) * {int(shards)} div cast({max(int(total), 1)} as decimal(38,0))"))
+    put = stored(put.select("id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "n"), "shard-places")
     firsts = put.groupBy("shard").agg(F.min("n").alias("first"))
     return put.join(F.broadcast(firsts), "shard").select("id", "size", "text_crc32", "shard", (F.col("n") - F.col("first")).cast("long").alias("slot"))

@@ -44,3 +44,12 @@ def test_range_index_follows_key_order(spark):
     rows = sharding.ranged(keys, "weight", 20).collect()
     ordered = [r.range for r in sorted(rows, key=lambda r: (r.h, r.tie))]
     assert ordered == sorted(ordered) and len(set(ordered)) > 20
+
+
+@pytest.mark.parametrize("shards", [1, 2])
+def test_small_records_at_the_end_stay_in_the_last_shard(spark, shards):
+    rows = [(i, f"{i:02d}") for i in range(40)] + [(100, "x" * 20_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard(docs, shards).collect()
+    assert len(got) == len(rows)
+    assert {r.shard for r in got} <= set(range(shards))
