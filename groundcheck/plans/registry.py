@@ -445,7 +445,7 @@ def escaped_currency(spark, sf_dir):
 def audit_questions(spark, sf_dir):
     """What a model would be asked of every claim cut from the documents."""
     docs = table(spark, sf_dir, "documents")
-    found = triage.state_hash(triage.audit_states(tables.claims(docs), tables.evidence(docs)))
+    found = triage.state_hash(triage.audit_states(tables.claims(docs), tables.evidence(docs), tables.no_pages(docs)))
     return found.select("run_id", "id", F.size("questions").alias("questions"), "note", "state_hash")
 
 

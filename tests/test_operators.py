@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import pytest
@@ -256,3 +257,24 @@ def test_audits(spark):
     assert audits.issue_counts(found, ["run_id"]).first().issue_counts == {"a": 2, "b": 1}
     lessons = spark.createDataFrame([(" x ",), ("x",), ("y",), ("",)], "line string")
     assert [r.line for r in audits.new_lessons(lessons, spark.createDataFrame([("y",)], "line string")).collect()] == ["x"]
+
+
+def test_audit_states_window_only_web_evidence(spark):
+    text = "  head\n" + "word " * 4000 + "tail  "
+    values = '{"m": 0.31, "n": 5, "half": 1.50, "big": 12345678.0, "huge": 2.5e20, "tiny": 1e-5, "s": "12", "flag": true, "calculation": {"op": "x"}, "none": null, "minus": -3, "zero": 0.0}'
+    rows = [("r", "c1", "s", None, "not there", "FY2026", values), ("r", "c2", None, "w", "tail", None, None), ("r", "c3", None, "w", "not there", "", "{}"), ("r", "c4", None, "gone", "x", None, "{}")]
+    own = spark.createDataFrame(rows, "run_id string, id string, segment_id string, web_evidence_id string, quote string, period string, values string")
+    passages = spark.createDataFrame([("r", "s", text)], "run_id string, id string, text string")
+    pages = spark.createDataFrame([("r", "w", text)], "run_id string, id string, content string")
+    got = {r.id: r for r in triage.audit_states(own, passages, pages, 100).collect()}
+    passage = {i: r.state.split("PASSAGE\n", 1)[1] for i, r in got.items()}
+    flat = " ".join(text.split())
+    assert passage == {"c1": text, "c2": flat[-100:], "c3": flat[:100], "c4": ""}
+    assert [got[i].note for i in ("c1", "c2", "c3", "c4")] == [None, "windowed", "quote not found; head only", None]
+    always = ["claim_vs_evidence", "classification", "values_capture", "claim_text_traceable"]
+    asked = {k: v for k, v in json.loads(values).items() if k != "calculation" and isinstance(v, (int, float))}
+    assert [q.key for q in got["c1"].questions] == [*always, "period_correct", *[f"value__{k}" for k in asked]]
+    assert [q.instructions.split(". Read")[0] for q in got["c1"].questions[5:]] == [f"The record extracts values['{k}'] = {v}" for k, v in asked.items()]
+    assert [[q.key for q in got[i].questions] for i in ("c2", "c3", "c4")] == [always] * 3
+    assert [q.type for q in got["c2"].questions] == ["choice", "choice", "score", "noul"] and len(json.loads(got["c2"].questions[2].criteria)) == 4
+    assert set(json.loads(got["c1"].questions[5].criteria)) == {"true", "false"}
