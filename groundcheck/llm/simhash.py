@@ -17,6 +17,7 @@ in the component; an empty table gives an empty result; further columns are igno
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -245,7 +246,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names its component, once each; ids tell rows apart, and a row
-    without one is left out."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where(F.col("id") == F.col("component")).select(F.col("id").alias(id_col)).distinct()
-    return docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    """One row of every component: the one with the smallest id, null ids last, and of rows that
+    share it the one with the smallest hash of the text. Rows are told apart by numbers of their
+    own, so that null and shared ids lose no component."""
+    row, tie = f"row_{uuid.uuid4().hex}", f"tie_{uuid.uuid4().hex}"
+    # Numbers hold only once they are written: a second reading may deal the rows out otherwise.
+    numbered = stored(docs.select("*", F.xxhash64(text_col).alias(tie), F.monotonically_increasing_id().alias(row)), "numbered")
+    placed = near_duplicates(numbered, row, text_col, **options).select(F.col("id").alias(row), "component")
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(tie).alias("tie"), F.col(row).alias("row"))
+    kept = placed.join(numbered.select(row, order.alias("at")), row).groupBy("component").agg(F.min("at").alias("at")).select(F.col("at.row").alias(row))
+    return numbered.join(kept, row, "left_semi").drop(row, tie)

@@ -82,3 +82,14 @@ def test_edge_rows(spark):
     assert by[1] == by[2] == by[3] == 1 and by[4] == by[6] == by[None] == 4 and by[5] == 5
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [1, 4, 5]
+
+
+def test_keep_one_loses_no_component_with_null_or_shared_ids(spark):
+    first, second = "the quick brown fox jumps over the lazy dog", "a stitch in time saves nine of any ten coats"
+    rows = [(None, "alone and without any number at all"), (None, "two alike without a number here"), (None, "two alike without a number here")]
+    rows += [(5, first), (9, first), (5, second), (3, second), (8, "one text of number eight stands here"), (8, "another which shares its number only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row", "2 as component", "3 as id").repartition(3)
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    want = [rows[0], rows[1], rows[3], rows[6], rows[7], rows[8]]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
