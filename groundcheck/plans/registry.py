@@ -276,8 +276,8 @@ def expanded_queries(spark, sf_dir):
 
 @query(r"""SELECT doc_id, regexp_matches(text, '[$€£]\s?\d|\d\s?%|\d[\d,]*(\.\d+)?\s*(thousand|million|billion|trillion|bps|basis\s+points)\b|\bper\s+cent\b', 'i') AS financial, regexp_matches(text, '\b(every|all (four|three|of the)|none of|no (peer|bank|competitor)s?|each of the)\b', 'i') AS universal, length(text) - length(replace(text, '$', '')) AS dollars FROM documents WHERE text IS NOT NULL AND text NOT LIKE '%\%' """)
 def prose_flags(spark, sf_dir):
-    """Financial figures, universal quantifiers and bare dollar signs of texts without backslash."""
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").contains("\\"))
+    """Financial figures, universal quantifiers and bare dollar signs of all texts."""
+    docs = table(spark, sf_dir, "documents").where("text is not null")
     return docs.select("doc_id", tx.has_financial_figure(F.col("text")).alias("financial"), tx.has_universal_quantifier(F.col("text")).alias("universal"), tx.unescaped_dollars(F.col("text"))["n"].alias("dollars"))
 
 
@@ -436,8 +436,8 @@ def audit_runs(spark, sf_dir):
 
 @query("""SELECT doc_id, length(text) - length(replace(text, '$', '')) AS signs, sha256(replace(text, '$', chr(92) || '$')) AS escaped FROM documents WHERE text IS NOT NULL AND strpos(text, chr(92)) = 0""")
 def escaped_currency(spark, sf_dir):
-    """Texts without backslash, their dollar signs escaped."""
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").contains("\\"))
+    """All texts, their bare dollar signs escaped."""
+    docs = table(spark, sf_dir, "documents").where("text is not null")
     return docs.select("doc_id", (F.length("text") - F.length(F.replace("text", F.lit("$"), F.lit("")))).alias("signs"), F.sha2(tx.escape_currency(F.col("text")), 256).alias("escaped"))
 
 

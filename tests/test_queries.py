@@ -1,5 +1,7 @@
+import hashlib
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -44,3 +46,16 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_texts_with_backslashes_are_kept(spark, tmp_path):
+    texts = [r"costs \$5 or $6 million", "C:\\every\\path", r"\\$1 and \$$2", "every bank pays $3", "a\\nb 4 % \n\\$7\n$8", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    bare = re.compile(r"(?<!\\)\$")
+    want = {i: t for i, t in enumerate(texts) if t is not None}
+    escaped = {r.doc_id: (r.signs, r.escaped) for r in registry.QUERIES["escaped_currency"](spark, str(tmp_path)).collect()}
+    assert escaped == {i: (t.count("$"), hashlib.sha256(bare.sub(r"\\$", t).encode()).hexdigest()) for i, t in want.items()}
+    flags = {r.doc_id: (r.financial, r.universal, r.dollars) for r in registry.QUERIES["prose_flags"](spark, str(tmp_path)).collect()}
+    assert {i: f[2] for i, f in flags.items()} == {i: len(bare.findall(t)) for i, t in want.items()}
+    assert {i for i, f in flags.items() if f[0]} == {0, 3, 4} | {i for i, t in want.items() if re.search(r"[$€£]\s?\d", t)}
+    assert {i for i, f in flags.items() if f[1]} == {1, 3}
