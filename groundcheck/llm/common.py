@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,12 +26,15 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where none is set."""
+    """The shared folder that the cluster names. One of our own only where none is set and driver
+    and tasks are one process; executors elsewhere would not see it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             root = found.get()
+        elif not re.fullmatch(r"local(\[[^,]*(,\d+)?\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             root = tempfile.mkdtemp(prefix="spark-")
             spark.sparkContext.setCheckpointDir(root)
@@ -50,6 +54,26 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_spread(left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "inner", share: float = 0.001, salts: int = 64) -> DataFrame:
+    """``left`` joined to ``right`` by equal ``on`` columns, however often a key occurs in ``left``.
+
+    Keys with more than ``share`` of the left rows, no more than ``1 / share`` of them, are sent to
+    all tasks; their left rows are dealt over ``salts`` parts by a hash of the ``spread_by``
+    columns, and their right rows are repeated for each part. Left rows with a null key are dealt
+    out likewise. ``left`` is read three times: give a stored table or a narrow one."""
+    total = left.count()
+    hot = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(share * total)).select(*on, F.lit(True).alias("_hot"))
+    marks = F.broadcast(stored(hot, "hot-keys"))
+    loose = F.col("_hot").isNotNull()
+    for c in on:
+        loose = loose | F.col(c).isNull()
+    part = F.when(loose, F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0).cast("long"))
+    parts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    a = left.join(marks, on, "left").withColumn("_part", part).drop("_hot")
+    b = right.join(marks, on, "left").withColumn("_part", F.explode(parts)).drop("_hot")
+    return a.join(b, [*on, "_part"], how).drop("_part")
+
+
 def fold(id_column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))) % F.lit(modulus)

@@ -1,41 +1,43 @@
 """URL filters: rules first, then host word segmentation and naive Bayes.
 
-A URL's host and path are cut into runs of letters. A unigram Viterbi splits every run into words,
-with word frequencies counted in Spark over a text column. A multinomial naive Bayes model, counted
-in Spark over the distinct (host, word) pairs of all pages, scores the words. Its labels come from
-seed words, a parameter: a host with a seed word among its words is an example of ``block``,
-every other host one of ``allow``; words that go with seeds learn from that. Each pair counts
-once, however many pages a host has.
-
-Word and token tables keep what has a share of at least ``least_share`` of all occurrences: one
-rule at every size, and a proof that no more than ``1 / least_share`` entries are broadcast. Rarer
-words count as unseen.
-
-Defined results: a null URL, or one without ``://``, has an empty host and path and is allowed;
-ports and user names stay part of the host; repeated rows are judged alike; without any host all
+Runs of letters in a host are split into words by a unigram Viterbi, with word frequencies counted
+in Spark over a text column: a run's substrings meet the table of words in a join, and the edges of
+a run are relaxed in one small step. A multinomial naive Bayes model scores the tokens of a URL:
+the words of its host, and the runs of letters or digits of its path, each as often as it occurs.
+
+No page comes with a verdict, so a page's *text* labels its URL: a page whose visible text holds a
+word of ``SEEDS`` (a parameter) is an example of ``block``, every other one of ``allow``; or a label
+column is given. Seed words are masked: they are no tokens, neither in training nor in scoring, so
+that a URL is never judged by the words that labelled it.
+
+All words and tokens are counted and kept in stored tables, however rare; hosts, paths and tokens
+are joined to them. Keys that hold many rows are dealt over several tasks.
+
+Defined results: a null URL, or one without ``://``, has an empty host and path and is allowed, with
+null odds; ports and user names stay part of the host; a run of more than 63 letters is no label of
+a host name and stays one token; digits count by their number, not their value; tokens that no page
+of the training has say nothing; repeated rows count and are judged each; without any host all
 pages are allowed; empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import lower_ascii, stored
+from groundcheck.llm.common import join_spread, lower_ascii, stored
 
 BLOCK, ALLOW = "block", "allow"
-#: Words that mark unwanted hosts; a parameter.
+#: Words that mark the text of an unwanted page; a parameter.
 SEEDS = "ads adult bet bets betting casino escort gambling loan loans malware phish phishing pills poker porn sex slots spam torrent viagra warez xxx".split()
-#: Letters in the longest word of a segmentation.
-LONGEST = 24
-#: Runs that a worker remembers before it begins afresh; only speed depends on it.
-HELD_RUNS = 500_000
+#: Letters that a label of a host name can have (RFC 1035); longer runs are not segmented.
+LABEL = 63
+RUNS = r"(\p{L}+|\p{N}+)"
 
 
 @dataclass(frozen=True)
@@ -68,119 +70,154 @@ def rule_for(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Col
     return name, verdict
 
 
-def word_shares(text: DataFrame, text_col: str, least_share: float) -> dict[str, float]:
-    """Share of every frequent word among the words of a text column, tags left out."""
-    plain = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"<[^>]*>", " ")
-    words = text.select(F.explode(F.split(F.lower(plain), r"[^a-z]+")).alias("word")).where((F.length("word") >= 2) & (F.length("word") <= LONGEST))
-    counts = stored(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "url-words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    kept = counts.where(F.col("n") >= F.lit(least_share * total)).collect()
-    return {r.word: r.n / total for r in kept}
+def visible(html: Column) -> Column:
+    """Lower-cased text of a page without scripts, styles and tags."""
+    return F.lower(F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " "))
 
 
-@dataclass
-class Segmenter:
-    """Unigram Viterbi over letters; an unknown word costs ten times more with every letter."""
-
-    shares: dict[str, float]
-    known: dict[str, list[str]] = field(default_factory=dict)
-
-    def cost(self, word: str) -> float:
-        share = self.shares.get(word)
-        return -math.log(share) if share else math.log(1e6) + len(word) * math.log(10)
-
-    def split(self, run: str) -> list[str]:
-        found = self.known.get(run)
-        if found is None:
-            if len(self.known) > HELD_RUNS:
-                self.known.clear()
-            best, back = [0.0] + [math.inf] * len(run), [0] * (len(run) + 1)
-            for end in range(1, len(run) + 1):
-                for begin in range(max(0, end - LONGEST), end):
-                    c = best[begin] + self.cost(run[begin:end])
-                    if c < best[end]:
-                        best[end], back[end] = c, begin
-            words, end = [], len(run)
-            while end:
-                words.append(run[back[end] : end])
-                end = back[end]
-            found = self.known[run] = words[::-1]
-        return found
+def holds_seed(html: Column, seeds: list[str]) -> Column:
+    return visible(html).rlike(r"(?<!\p{L})(?:" + "|".join(seeds) + r")(?!\p{L})") if seeds else F.lit(False)
 
 
-@dataclass
-class Model:
-    segmenter: Segmenter
-    #: Logarithm of how much likelier each word is in blocked than in allowed hosts; unseen words say nothing.
-    ratio: dict[str, float]
-    prior: float
+def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """``word, n`` of every word of a text column, stored."""
+    words = texts.select(F.explode(F.split(visible(F.col(text_col)), r"[^\p{L}]+")).alias("word")).where("word <> ''")
+    return stored(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "url-words")
 
-    def blocks(self, host: str, path: str) -> float:
-        """Logarithm of the odds that a URL is unwanted."""
-        words = {w for run in runs_of(host, path) for w in self.segmenter.split(run)}
-        return self.prior + sum(self.ratio.get(w, 0.0) for w in words) if words else -math.inf
 
+def runs_of(text: Column) -> Column:
+    """Runs of letters and runs of digits, in order; digits become zeros."""
+    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(RUNS), 1), lambda r: F.regexp_replace(r, r"\p{N}", "0"))
 
-_HOST_RUN, _PATH_RUN = re.compile("[a-z]+"), re.compile("[a-z]{3,}")
 
+# --- segmentation ----------------------------------------------------------------------------
 
-def runs_of(host: str, path: str) -> list[str]:
-    return _HOST_RUN.findall(host) + _PATH_RUN.findall(path.lower())
 
+def best_split(run: str, counts: dict[tuple[int, int], int], total: int) -> list[str]:
+    """Words of the likeliest split. ``counts`` has the frequency of every substring (start, length)
+    that is a word; any other has 10 / (total * 10 ** length). Of equal splits the one whose last
+    word is longest wins."""
+    best, back = [0.0] + [math.inf] * len(run), [0] * (len(run) + 1)
+    whole = math.log(max(total, 1))
+    for end in range(1, len(run) + 1):
+        for begin in range(end):
+            n = counts.get((begin, end - begin))
+            cost = best[begin] + (whole - math.log(n) if n else whole + (end - begin - 1) * math.log(10))
+            if cost < best[end] - 1e-9:
+                best[end], back[end] = cost, begin
+    words, end = [], len(run)
+    while end:
+        words.append(run[back[end] : end])
+        end = back[end]
+    return words[::-1]
 
-def train(pages: DataFrame, url_col: str = "url", text_col: str = "html", seeds: list[str] | None = None, least_share: float = 1e-5, smoothing: float = 0.01, seed_weight: int = 5) -> Model:
-    """A model from all pages' URLs and texts. Every seed adds ``seed_weight`` examples of ``block``
-    to the counts: hosts with that word and, besides, words as hosts have them on average. Every
-    word adds ``smoothing`` to either class."""
-    seeds = SEEDS if seeds is None else seeds
-    shares = word_shares(pages, text_col, least_share)
-    for seed in seeds:
-        shares[seed] = max(shares.get(seed, 0.0), 1e-5)
-    segmenter = Segmenter(shares)
-    shared = pages.sparkSession.sparkContext.broadcast(segmenter)
-    parsed = pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).where("host <> ''")
-    runs = F.array_union(F.regexp_extract_all("host", F.lit("([a-z]+)")), F.regexp_extract_all(F.lower("path"), F.lit("([a-z]{3,})")))
-    distinct = parsed.select("host", F.explode(runs).alias("run")).distinct()
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def segment(runs: DataFrame, words: DataFrame, total: int) -> DataFrame:
+    """``run, tokens`` for every distinct ``run``: a stored or narrow table of runs."""
+    letters = (F.length("run") <= LABEL) & F.col("run").rlike(r"^\p{L}")
+    begins = runs.where(letters).select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("begin"))
+    spans = begins.select("run", "begin", F.explode(F.sequence(F.lit(1), F.length("run") - F.col("begin") + 1)).alias("size"))
+    spans = spans.select("run", "begin", "size", F.substring("run", F.col("begin"), F.col("size")).alias("word"))
+    found = join_spread(spans, words, ["word"], ["run", "begin"]).groupBy("run").agg(F.collect_list(F.struct("begin", "size", "n")).alias("edges"))
+    rows = runs.join(found, "run", "left").select("run", letters.alias("letters"), "edges")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = [(h, w) for h, run in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w in shared.value.split(run)]
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in pairs], pa.string()), pa.array([w for _, w in pairs], pa.string())], ["host", "word"])
-
-    pairs = stored(distinct.mapInArrow(words, "host string, word string").distinct(), "url-pairs")
-    label = pairs.groupBy("host").agg(F.max(F.col("word").isin(*seeds) if seeds else F.lit(False)).alias("bad"))
-    hosts = {r.bad: r.n for r in label.groupBy("bad").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = stored(pairs.join(label, "host").groupBy("word").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")), "url-counts")
-    bad, good, kinds = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0)), F.count(F.lit(1))).first()
-    kept = counts.where(F.col("bad") + F.col("good") >= F.lit(least_share * (bad + good))).collect()
-    every = max(bad + good, 1)
-    assumed = seed_weight * len(seeds)
-    others = assumed * max(every / max(sum(hosts.values()), 1) - 1, 0)
-    kinds += len(seeds) + 1
-    seen = {s: (0, 0) for s in seeds} | {r.word: (r.bad, r.good) for r in kept}
-
-    def log_ratio(word: str | None, in_bad: int, in_good: int) -> float:
-        in_bad = in_bad + seed_weight * (word in seeds) + others * (in_bad + in_good) / every
-        log_chance = [math.log((n + smoothing) / (total + smoothing * kinds)) for n, total in ((in_bad, bad + assumed + others), (in_good, good))]
-        return log_chance[0] - log_chance[1]
-
-    ratio = {w: log_ratio(w, b, g) for w, (b, g) in seen.items()}
-    prior = math.log((hosts.get(True, 0) + 1) / (hosts.get(False, 0) + 1))
-    return Model(segmenter, ratio, prior)
+            out = []
+            for row in batch.to_pylist():
+                edges = {(e["begin"] - 1, e["size"]): e["n"] for e in row["edges"] or ()}
+                out.append(best_split(row["run"], edges, total) if row["letters"] else [row["run"]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["run", "tokens"])
 
+    return rows.mapInArrow(split, "run string, tokens array<string>")
 
-def judge(pages: DataFrame, rules: list[Rule], model: Model, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """``id, host, path, rule, verdict, log_odds`` of every row; a rule's verdict comes before
-    the model's."""
-    shared = pages.sparkSession.sparkContext.broadcast(model)  # no more than 1 / least_share words and tokens
-    host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-    parsed = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            odds = [shared.value.blocks(h, p) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(odds, pa.float64())], ["id", "host", "path", "log_odds"])
+def host_tokens(hosts: DataFrame, words: DataFrame, total: int, seeds: list[str]) -> DataFrame:
+    """``host, token``: one row for every token of every distinct host, stored; seeds are left out."""
+    parts = stored(hosts.select("host", F.posexplode(runs_of(F.col("host"))).alias("pos", "run")), "host-runs")
+    split = stored(segment(parts.select("run").distinct(), words, total), "host-words")
+    tokens = join_spread(parts, split, ["run"], ["host", "pos"]).select("host", F.explode("tokens").alias("token"))
+    return stored(tokens.where(~F.col("token").isin(*seeds)) if seeds else tokens, "host-tokens")
+
+
+def path_tokens(paths: DataFrame, seeds: list[str], *kept: str) -> DataFrame:
+    """``token`` and the ``kept`` columns: one row for every token of ``path``; a slash tells them
+    from the host's. Seeds are left out."""
+    tokens = paths.select(*kept, F.explode(runs_of(F.col("path"))).alias("token"))
+    return (tokens.where(~F.col("token").isin(*seeds)) if seeds else tokens).withColumn("token", F.concat(F.lit("/"), "token"))
+
+
+# --- naive Bayes -----------------------------------------------------------------------------
 
-    scored = parsed.mapInArrow(score, f"id {dict(parsed.dtypes)['id']}, host string, path string, log_odds double")
+
+@dataclass
+class Model:
+    #: Stored tables ``word, n`` and ``token, bad, good``; they grow with the data and are joined.
+    words: DataFrame
+    tokens: DataFrame
+    #: ``host, token`` of the hosts of the training, stored as well.
+    hosts: DataFrame
+    n_words: int
+    #: Tokens and examples of each class.
+    bad: int
+    good: int
+    bad_pages: int
+    good_pages: int
+    smoothing: float
+    seeds: list[str]
+
+    def log_ratio(self, bad: Column, good: Column) -> Column:
+        """Logarithm of how much likelier a token is in ``block``. To each class come ``smoothing``
+        tokens with the shares that all tokens have, so that a rare token does not speak for the
+        smaller class, as it would if every kind of token came with the same weight."""
+        usual = (bad + good) * (self.smoothing / max(self.bad + self.good, 1))
+        return F.log((bad + usual) / (self.bad + self.smoothing)) - F.log((good + usual) / (self.good + self.smoothing))
+
+    @property
+    def prior(self) -> float:
+        return math.log((self.bad_pages + 1) / (self.good_pages + 1))
+
+    def scores(self, tokens: DataFrame, key: str) -> DataFrame:
+        """``key, score``: sums over the rows ``key, token`` of each key."""
+        told = join_spread(tokens, self.tokens, ["token"], [key])
+        return told.groupBy(key).agg(F.sum(self.log_ratio(F.col("bad"), F.col("good"))).alias("score"))
+
+
+def train(pages: DataFrame, url_col: str = "url", text_col: str = "html", seeds: list[str] | None = None, label: Column | None = None, smoothing: float = 100.0) -> Model:
+    """A model from all pages' URLs and texts; ``label`` (true: block) takes the place of the seeds'
+    labels. A page is one example, so that a host counts with all its pages."""
+    seeds = SEEDS if seeds is None else seeds
+    words = word_counts(pages, text_col)
+    bad_page = F.coalesce(holds_seed(F.col(text_col), seeds) if label is None else label, F.lit(False))
+    parsed = pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), bad_page.alias("bad_page")).where("host <> ''")
+    parsed = stored(parsed, "url-pages")
+    per_host = parsed.groupBy("host").agg(F.count_if("bad_page").alias("bad"), F.count_if(~F.col("bad_page")).alias("good"))
+    per_host = stored(per_host, "url-hosts")
+    n_words = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    split = host_tokens(per_host.select("host"), words, n_words, seeds)
+    of_hosts = split.join(per_host, "host").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    of_paths = path_tokens(parsed, seeds, "bad_page").groupBy("token").agg(F.count_if("bad_page").alias("bad"), F.count_if(~F.col("bad_page")).alias("good"))
+    tokens = stored(of_hosts.unionByName(of_paths), "url-tokens")
+    bad, good = tokens.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
+    bad_pages, good_pages = per_host.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
+    return Model(words, tokens, split, n_words, bad, good, bad_pages, good_pages, smoothing, seeds)
+
+
+def judge(pages: DataFrame, rules: list[Rule], model: Model, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """``id, host, path, rule, verdict, log_odds`` of every row; a rule's verdict comes before
+    the model's. Odds are rounded to nine places, so that the order of sums decides nothing."""
+    parsed = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    parsed = stored(parsed, "url-parsed")
+    hosts = stored(parsed.where("host <> ''").select("host").distinct(), "url-hosts")
+    known = model.hosts.join(hosts, "host", "left_semi")
+    new = hosts.join(model.hosts, "host", "left_anti")
+    tokens = known if new.isEmpty() else known.unionByName(host_tokens(new, model.words, model.n_words, model.seeds))
+    of_hosts = model.scores(tokens, "host").withColumnRenamed("score", "host_score")
+    of_paths = model.scores(stored(path_tokens(parsed.where("host <> ''").select("path").distinct(), model.seeds, "path"), "path-tokens"), "path").withColumnRenamed("score", "path_score")
+    scored = join_spread(parsed, stored(of_hosts, "host-scores"), ["host"], ["id", "path"], "left")
+    scored = join_spread(scored, stored(of_paths, "path-scores"), ["path"], ["id", "host"], "left")
+    zero = F.lit(0.0)
+    odds = F.when(F.col("host") != "", F.round(F.lit(model.prior) + F.coalesce("host_score", zero) + F.coalesce("path_score", zero), 9))
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    return scored.select("id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(F.col("log_odds") > 0, BLOCK).otherwise(ALLOW)).alias("verdict"), "log_odds")
+    rows = scored.select("id", "host", "path", odds.alias("log_odds"))
+    return rows.select("id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(F.col("log_odds") > 0, BLOCK).otherwise(ALLOW)).alias("verdict"), "log_odds")
