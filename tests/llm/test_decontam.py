@@ -64,8 +64,22 @@ def test_edge_rows(spark):
 def test_proximity(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu"
     w = item.split()
-    rows = [(1, item), (2, " ".join(w[:6] + ["new", "words"] + w[6:])), (3, " ".join(reversed(w))), (4, " filler ".join(w))]
+    rows = [(1, item), (2, " ".join(w[:6] + ["new", "words"] + w[6:])), (3, " ".join(reversed(w))), (4, " filler ".join(w)), (None, item), (6, None), (7, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    got = {r.id for r in decontam.proximity_matches(docs, bench, "doc_id", "text", "item_id", "text", slack=3, lists=13).collect()}
-    assert got == {1, 2}
+    # Two items share an id: half of either must not add up to one.
+    halves = [(2, " ".join(w[:6]) + " x1 x2 x3 x4 x5 x6 x7"), (2, "y1 y2 y3 y4 y5 y6 " + " ".join(w[6:]))]
+    bench = spark.createDataFrame([(1, item), (1, item), (3, None), *halves], "item_id long, text string")
+    index = decontam.build_index(docs, "doc_id", "text")
+    terms, names = decontam.item_terms(bench, "item_id", "text")
+    found = decontam.proximity_matches(index, terms, names, slack=3, lists=13).collect()
+    assert {(r.id, r.item) for r in found} == {(1, 1), (2, 1), (None, 1)}
+    none, names = decontam.item_terms(bench.limit(0), "item_id", "text")
+    assert decontam.proximity_matches(index, none, names).count() == 0
+
+
+def test_shuffled_joins_give_the_same(spark, small_dir, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{small_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = lambda: sorted((r.id, r.n_hit, r.n_items) for r in decontam.contamination(docs, bench).collect())
+    want = rows()
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", -1)
+    assert rows() == want
