@@ -27,9 +27,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import CHUNK_BYTES, lowered, pieces, stored, text_column, utf8
+from groundcheck.llm.common import CHUNK_BYTES, join_spread, lowered, pieces, stored, text_column, utf8
 
 _DIGEST = xxhash.xxh64_intdigest
+#: Bucket entries for each comparing task, were all of them to share a bucket with another.
+ROWS_PER_PART = 400_000
 
 
 def fingerprint_of(raw: bytes, k: int) -> int:
@@ -207,7 +209,9 @@ def links(values: DataFrame, radius: int = 4, bands: int = 7, tile: int = 4096)
         if held:
             yield walk(pa.Table.from_batches(held))
 
-    ordered = dealt.repartition("slot").sortWithinPartitions("choice", "key", "lo", "hi")
+    # Comparisons cost far more than their few bytes tell, so that their number decides, not their size.
+    parts = max(values.sparkSession.sparkContext.defaultParallelism, values.count() * len(choices) // ROWS_PER_PART)
+    ordered = dealt.repartition(parts, "slot").sortWithinPartitions("choice", "key", "lo", "hi")
     return ordered.select("choice", "key", "lo", "hi", "own", "fp").mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -216,17 +220,24 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternates two steps until nothing changes. Large star: every node hands its larger
     neighbours to its smallest one. Small star: likewise for the smaller neighbours. Each round
-    is written to the shared folder; only a changed-rows count comes to the driver."""
+    is written to the shared folder; only a changed-rows count comes to the driver. The smallest
+    neighbours of hubs, nodes with a thousandth of all links or more, are broadcast."""
     pairs = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
+    before, n_links = None, pairs.count()
     for _ in range(most_rounds):
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("a", "m")), "least")
+        hub = F.col("n") > n_links // 1000 + 1000
+        hubs = F.broadcast(least.where(hub).select("a", F.col("m").alias("of_hub")))  # 2,000 rows at most
+        rest = least.where(~hub).select("a", F.col("m").alias("of_rest"))
+        marked = both.where("b > a").join(hubs, "a", "left")
+        told = marked.where("of_hub is not null").select("b", F.col("of_hub").alias("m")).unionByName(marked.where("of_hub is null").join(rest, "a").select("b", F.col("of_rest").alias("m")))
+        large = told.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         pairs = stored(small, "links")
         state = pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        n_links = state[0]
         if state == before:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
@@ -240,9 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(distinct, radius, bands, tile))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    per_print = rooted.where(F.col("root") != F.col("fp")).join(named, "root").select("fp", "component")
-    alone = rooted.where(F.col("root") == F.col("fp")).join(named, "root").select("fp", "component")
-    return prints.join(per_print.union(alone), "fp").select("id", "fp", "component")
+    # A component may hold many fingerprints, and a fingerprint many texts.
+    rooted = stored(rooted, "rooted")
+    per_print = stored(join_spread(rooted, named, ["root"], ["fp"]).select("fp", "component"), "components")
+    return join_spread(prints, per_print, ["fp"], ["id"]).select("id", "fp", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
