@@ -1,21 +1,21 @@
 """Document fingerprints by order MinHash.
 
 A text's k-mers (k words in a row; a shorter text is one k-mer) are numbered by occurrence, so that
-repeats count, and hashed with their number. The hash deals every numbered k-mer to one of
-``tuples`` groups and to one of the two halves of its group; each half selects its minimal k-mer.
-The two selected k-mers of a group are put back into the order they have in the text, and the
-hash of that ordered tuple is the group's signature, so that moving text about changes it even
-where the set of k-mers stays. The likeness of two fingerprints is the share of equal signatures
-among the groups that either has.
+repeats count. For each of ``tuples`` permutations of the hashes of numbered k-mers, the two minimal
+ones are selected, put back into the order they have in the text, and hashed as an ordered tuple:
+the signature, which changes when text is moved about even where the set of k-mers stays. (A text of
+one k-mer has tuples of one.) The likeness of two fingerprints is the share of equal signatures.
 
-Only DataFrame operations: k-mers are made by array functions, numbered by a window that stays
-within the partitioning the texts already have, and selected by one hash aggregation; texts are
-shuffled once.
+Only DataFrame operations: k-mers are made by array functions; texts in which one repeats are
+numbered by a window, all others need none; one hash aggregation finds the minima of all
+permutations and a second one, over the same rows, the minima beyond them. No array of k-mers is
+grouped or moved: rows aggregate in the task that holds their text.
 
 Defined results: null, empty and wordless texts have no signatures; two fingerprints without
-signatures have likeness 1; equal texts have equal fingerprints; repeated rows each get a result and
-are each other's neighbours; a null id comes before all others; the next document of the only one
-is itself; empty tables give empty results; further columns are ignored.
+signatures have likeness 1, one without and one with have 0; equal texts have equal fingerprints;
+repeated rows each get a result and are each other's neighbours; a null id comes before all others;
+the next document of the only one is itself; empty tables give empty results; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -27,47 +27,84 @@ from groundcheck.llm.common import stored
 from groundcheck.llm.sharding import range_cuts, range_index
 
 SPACES = r"[\x20\x09-\x0D]+"
-POSITION_BITS = 27
+#: Selected k-mers of a tuple.
+SELECTED = 2
+POSITION_BITS = 31  # no array has more places
 BYTES_PER_PARTITION = 4 << 20
 
 
+def split_words(text: Column) -> Column:
+    return F.filter(F.split(text, SPACES), lambda w: w != "")
+
+
 def kmers(text: Column, k: int) -> Column:
     """Hashes of the k-mers of a text, in order; none if it has no words."""
-    words = F.filter(F.split(text, SPACES), lambda w: w != "")
-    return F.transform(F.array(words), lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) <= k, F.array(F.xxhash64(w))).otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*[w[i + j] for j in range(k)]))))[0]
+    return F.transform(F.array(split_words(text)), lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) <= k, F.array(F.xxhash64(w))).otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*[w[i + j] for j in range(k)]))))[0]
+
+
+def permutation(i: int) -> int:
+    """A constant for the i-th permutation: a hash is combined with it and mixed again."""
+    h = (i + 1) * 0x9E3779B97F4A7C15 % 2**64
+    for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ h >> shift) * times % 2**64
+    h ^= h >> 31
+    return h - 2**64 if h >> 63 else h
+
+
+def ranks(tuples: int) -> list[Column]:
+    """For every permutation the upper half of the mixed hash above the k-mer's place: smaller
+    places win the (rare) ties of 32 bits."""
+    mixed = lambda i: F.xxhash64(F.col("h").bitwiseXOR(F.lit(permutation(i)).cast("long")))
+    return [F.shiftleft(F.shiftrightunsigned(mixed(i), 32), POSITION_BITS).bitwiseOR(F.col("pos").cast("long")) for i in range(tuples)]
 
 
-def signatures(texts: DataFrame, keys: list[str], text_cols: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
-    """``keys`` and, for each text column, an array ``fp_<column>`` of signatures: the group's
-    number above 32 bits of its tuple's hash, in order of groups. ``keys`` tell rows apart; the
-    first of them is one by which ``texts`` is partitioned already."""
-    parts = texts.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("which"), kmers(F.col(c), k).alias("kmers")) for i, c in enumerate(text_cols)])).alias("p"))
-    rows = parts.select(*keys, F.col("p.which").alias("which"), F.posexplode("p.kmers").alias("pos", "kmer"))
+def numbered(texts: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Rows ``keys, pos, h`` and what else ``texts`` has besides its ``text``: every k-mer's place
+    and the hash of the k-mer with the number of its occurrence."""
+    rest = [c for c in texts.columns if c not in (*keys, "text")]
+    made = texts.select(*keys, *rest, kmers(F.col("text"), k).alias("kmers"))
+    repeats = F.size(F.array_distinct("kmers")) < F.size("kmers")
+    plain = made.where(~repeats).select(*keys, *rest, F.posexplode("kmers").alias("pos", "kmer"))
+    rows = made.where(repeats).select(*keys, *rest, F.posexplode("kmers").alias("pos", "kmer"))
     # Sorting by one mixed key first settles nearly all comparisons by its eight bytes.
-    rows = rows.withColumn("mixed", F.xxhash64(*keys, "which", "kmer"))
-    nth = F.row_number().over(Window.partitionBy("mixed", *keys, "which", "kmer").orderBy("pos"))
-    numbered = rows.select(*keys, "which", "pos", F.xxhash64("kmer", nth).alias("h"))
-    top = F.shiftleft(F.shiftrightunsigned("h", 64 - (63 - POSITION_BITS)), POSITION_BITS)
-    value = top.bitwiseOR(F.col("pos").cast("long").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)))
-    dealt = numbered.select(*keys, "which", F.pmod("h", F.lit(tuples)).cast("int").alias("group"), F.pmod(F.floor(F.shiftrightunsigned("h", 6)), F.lit(2)).alias("half"), value.alias("v"))
-    least = dealt.groupBy(*keys, "which", "group").agg(F.min(F.when(F.col("half") == 0, F.col("v"))).alias("a"), F.min(F.when(F.col("half") == 1, F.col("v"))).alias("b"))
-    at = lambda c: F.col(c).bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    of = lambda c: F.shiftright(c, POSITION_BITS)
-    joined = F.when(at("a") > at("b"), F.xxhash64(of("b"), of("a"))).otherwise(F.xxhash64(of("a"), of("b")))
-    signed = least.select(*keys, "which", F.shiftleft(F.col("group").cast("long"), 32).bitwiseOR(F.shiftrightunsigned(joined, 32)).alias("s"))
-    return signed.groupBy(*keys).agg(*[F.array_sort(F.collect_list(F.when(F.col("which") == i, F.col("s")))).alias(f"fp_{c}") for i, c in enumerate(text_cols)])
+    rows = rows.withColumn("mixed", F.xxhash64(*keys, "kmer"))
+    nth = F.row_number().over(Window.partitionBy("mixed", *keys, "kmer").orderBy("pos"))
+    counted = rows.select(*keys, *rest, "pos", F.xxhash64("kmer", nth).alias("h"))
+    return plain.select(*keys, *rest, "pos", F.xxhash64("kmer", F.lit(1)).alias("h")).unionByName(counted)
+
+
+def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
+    """``keys, fp`` of every text (columns ``keys, text``; a stored table) that has words: ``fp`` has
+    a signature for each permutation. ``keys`` tell rows apart."""
+    v = ranks(tuples)
+    first = numbered(texts, keys, k).groupBy(*keys).agg(*[F.min(v[i]).alias(f"a{i}") for i in range(tuples)])
+    least = stored(first.select(*keys, F.array(*[F.col(f"a{i}") for i in range(tuples)]).alias("least")), "order-minima")
+    beyond = [F.min(F.when(v[i] > F.col("least")[i], v[i])).alias(f"b{i}") for i in range(tuples)]
+    second = numbered(texts.join(least, keys), keys, k).groupBy(*keys).agg(*beyond)
+    second = second.select(*keys, F.array(*[F.col(f"b{i}") for i in range(tuples)]).alias("second"))
+    rows = texts.join(least, keys).join(second, keys)
+    place = lambda x: x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int")
+    of = lambda w, p: F.xxhash64(F.slice(w, p + 1, F.lit(k)))
+
+    def signature(w: Column, a: Column, b: Column) -> Column:
+        p, q = place(a), place(b)
+        return F.shiftrightunsigned(F.when(b.isNull(), F.xxhash64(of(w, p))).otherwise(F.xxhash64(of(w, F.least(p, q)), of(w, F.greatest(p, q)))), 32)
+
+    both = F.arrays_zip(F.col("least").alias("a"), F.col("second").alias("b"))
+    fp = F.transform(F.array(split_words(F.col("text"))), lambda w: F.transform(both, lambda x: signature(w, x["a"], x["b"])))[0]
+    return rows.select(*keys, fp.alias("fp"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal signatures among the groups that either fingerprint has."""
-    group = lambda fp: F.transform(fp, lambda s: F.shiftright(s, 32))
-    either = F.size(F.array_union(group(a), group(b)))
-    return F.when(either == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / either)
+    """Share of equal signatures; 1 if neither has any, 0 if one has none."""
+    same = F.size(F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: x["a"] == x["b"]))
+    longer = F.greatest(F.size(a), F.size(b))
+    return F.when(longer == 0, 1.0).otherwise(same / longer)
 
 
 def as_text(fp: Column) -> Column:
-    """Ten hexadecimal digits for each signature: two of the group, eight of the tuple's hash."""
-    return F.array_join(F.transform(fp, lambda s: F.lower(F.lpad(F.hex(s), 10, "0"))), "")
+    """Eight hexadecimal digits for each signature."""
+    return F.array_join(F.transform(fp, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), "")
 
 
 def in_order(docs: DataFrame, id_col: str, text_col: str, per_range: int) -> tuple[DataFrame, DataFrame]:
@@ -113,20 +150,25 @@ def edited(text: Column, other: Column) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """``id, fingerprint`` (an array of signatures) of every row."""
     ordered, _ = in_order(docs, id_col, text_col, 1000)
-    rows = ordered.select("range", "nth", "id", "text")
-    found = signatures(rows, ["range", "nth"], ["text"], k, tuples)
+    rows = stored(ordered.select("range", "nth", "id", "text"), "order-texts", compression="zstd")
+    found = signatures(rows.select("range", "nth", "text"), ["range", "nth"], k, tuples)
     none = F.array().cast("array<bigint>")
-    return rows.select("range", "nth", "id").join(found, ["range", "nth"], "left").select("id", F.coalesce("fp_text", none).alias("fingerprint"))
+    return rows.select("range", "nth", "id").join(found, ["range", "nth"], "left").select("id", F.coalesce("fp", none).alias("fingerprint"))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """For every row its fingerprint, that of its edited text, and how like it is to that and to
     the next row's fingerprint."""
-    base = with_next(docs, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    prints = stored(signatures(base.select("range", "nth", "text", "edited"), ["range", "nth"], ["text", "edited"], k, tuples), "order-prints")
+    base = with_next(docs, id_col, text_col).select("range", "nth", "id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
+    base = stored(base, "order-texts", compression="zstd")
+    pairs = base.select("range", "nth", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
+    texts = pairs.select("range", "nth", "t.which", "t.text")
+    prints = stored(signatures(texts, ["range", "nth", "which"], k, tuples), "order-prints")
     none = F.array().cast("array<bigint>")
     facts = base.select("range", "nth", "id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    rows = stored(facts.join(prints, ["range", "nth"], "left").withColumns({"a": F.coalesce("fp_text", none), "b": F.coalesce("fp_edited", none)}).drop("fp_text", "fp_edited"), "order-rows")
+    for which, name in enumerate("ab"):
+        facts = facts.join(prints.where(F.col("which") == which).select("range", "nth", F.col("fp").alias(name)), ["range", "nth"], "left")
+    rows = stored(facts.withColumns({c: F.coalesce(c, none) for c in "ab"}), "order-rows")
     last = rows.groupBy("range").agg(F.max_by("a", "nth").alias("a"))
     around = Window.orderBy("range")
     edges = last.select("range", F.coalesce(F.lag("a").over(around), F.max_by("a", "range").over(Window.partitionBy())).alias("edge"))

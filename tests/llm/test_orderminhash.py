@@ -21,18 +21,14 @@ def test_query(spark, small_dir):
         r = got[i]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edit(text, other).encode()).hexdigest())
         assert prints.setdefault(text, r.fingerprint) == r.fingerprint
-        sig = lambda f: {f[j : j + 2]: f[j + 2 : j + 10] for j in range(0, len(f), 10)}
+        sig = lambda f: [f[j : j + 8] for j in range(0, len(f), 8)]
         for likeness, f in ((r.near_edited, r.edited_fingerprint), (r.near_next, got[after].fingerprint)):
             a, b = sig(r.fingerprint), sig(f)
-            assert likeness == (sum(a.get(k) == v for k, v in b.items()) / len(a | b) if a | b else 1.0)
+            assert len(a) in (0, 32) and likeness == (sum(x == y for x, y in zip(a, b)) / max(len(a), len(b)) if a or b else 1.0)
     long = [r for r in got.values() if r.n_chars > 2000]
     assert sum(r.near_edited for r in long) / len(long) > 0.08 + sum(r.near_next for r in long) / len(long)
 
 
-def signed(v):
-    return v - 2**64 if v >> 63 else v
-
-
 def spark_hash(values, seed=42):
     """XXH64 of longs, chained as Spark does over columns."""
     for v in values:
@@ -40,26 +36,30 @@ def spark_hash(values, seed=42):
     return seed
 
 
+def text_hash(words, seed=42):
+    for w in words:
+        seed = xxhash.xxh64_intdigest(w.encode(), seed)
+    return seed
+
+
 def test_signatures_equal_brute_force(spark):
-    """Selection, numbering and text order, from the k-mer hashes on."""
-    texts = {1: "a b c a b c a b c d e f g", 2: "one", 3: " ".join(f"w{i % 37}" for i in range(400))}
+    """Numbering, the two smallest of every permutation, and text order."""
+    texts = {1: "a b c a b c a b c d e f g", 2: "one", 3: " ".join(f"w{i % 37}" for i in range(400)), 4: "two words", 5: " ".join(f"x{i}" for i in range(90)), 6: "a b c a b c", 7: "p q r s"}
     df = spark.createDataFrame(list(texts.items()), "range int, text string")
-    hashed = {r.range: r.k for r in df.select("range", orderminhash.kmers(df.text, 3).alias("k")).collect()}
-    got = {r.range: r.fp_text for r in orderminhash.signatures(df.withColumn("nth", df.range), ["range", "nth"], ["text"]).collect()}
-    for key, kmers in hashed.items():
-        seen, best = Counter(), {}
-        for pos, kmer in enumerate(kmers):
+    got = {r.range: r.fp for r in orderminhash.signatures(df, ["range"]).collect()}
+    for key, text in texts.items():
+        w, seen, hashed = text.split(), Counter(), []
+        spans = [w[i : i + 3] for i in range(max(1, len(w) - 2))]
+        for span in spans:
+            kmer = text_hash(span)
             seen[kmer] += 1
-            h = xxhash.xxh64_intdigest(seen[kmer].to_bytes(4, "little"), spark_hash([kmer]))
-            cell = (signed(h) % 32, (h >> 6) % 2)
-            value = ((h >> 28) << 27) | pos
-            best[cell] = min(best.get(cell, 2**64), value)
+            hashed.append(xxhash.xxh64_intdigest(seen[kmer].to_bytes(4, "little"), spark_hash([kmer])))
         want = []
-        for group in sorted({g for g, _ in best}):
-            chosen = sorted((best[group, half] for half in (0, 1) if (group, half) in best), key=lambda v: v & (2**27 - 1))
-            t = spark_hash([v >> 27 for v in chosen])
-            want.append(group << 32 | t >> 32)
-        assert got[key] == want
+        for i in range(32):
+            order = sorted((spark_hash([h ^ (orderminhash.permutation(i) & (2**64 - 1))]) >> 32, pos) for pos, h in enumerate(hashed))
+            chosen = sorted(pos for _, pos in order[:2])
+            want.append(spark_hash([text_hash(spans[p]) for p in chosen]) >> 32)
+        assert got[key] == want, key
 
 
 def test_order_matters_and_edge_rows(spark):
