@@ -54,6 +54,17 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the plans of one action; what was set before comes back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def join_spread(left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], how: str = "inner", share: float = 0.001, salts: int = 64) -> DataFrame:
     """``left`` joined to ``right`` by equal ``on`` columns, however often a key occurs in ``left``.
 

@@ -8,8 +8,9 @@ one k-mer has tuples of one.) The likeness of two fingerprints is the share of e
 
 Only DataFrame operations: k-mers are made by array functions; texts in which one repeats are
 numbered by a window, all others need none; one hash aggregation finds the minima of all
-permutations and a second one, over the same rows, the minima beyond them. No array of k-mers is
-grouped or moved: rows aggregate in the task that holds their text.
+permutations and a second one, over the same rows, the minima beyond them. Texts are dealt out
+once, by range of their order; k-mers are numbered, joined and aggregated in the task that holds
+their text, and never moved.
 
 Defined results: null, empty and wordless texts have no signatures; two fingerprints without
 signatures have likeness 1, one without and one with have 0; equal texts have equal fingerprints;
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import stored
+from groundcheck.llm.common import setting, stored
 from groundcheck.llm.sharding import range_cuts, range_index
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -74,25 +75,27 @@ def numbered(texts: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
-    """``keys, fp`` of every text (columns ``keys, text``; a stored table) that has words: ``fp`` has
-    a signature for each permutation. ``keys`` tell rows apart."""
+    """``keys, fp`` of every text (columns ``keys, text``) that has words, stored: ``fp`` has a
+    signature for each permutation. ``keys`` tell rows apart; ``texts`` is partitioned by the first
+    of them, and the join of its minima must not deal the texts out anew by all of them."""
     v = ranks(tuples)
     first = numbered(texts, keys, k).groupBy(*keys).agg(*[F.min(v[i]).alias(f"a{i}") for i in range(tuples)])
     least = stored(first.select(*keys, F.array(*[F.col(f"a{i}") for i in range(tuples)]).alias("least")), "order-minima")
+    again = numbered(texts.join(least, keys), keys, k)
+    minima = [F.min(v[i]).alias(f"a{i}") for i in range(tuples)]
     beyond = [F.min(F.when(v[i] > F.col("least")[i], v[i])).alias(f"b{i}") for i in range(tuples)]
-    second = numbered(texts.join(least, keys), keys, k).groupBy(*keys).agg(*beyond)
-    second = second.select(*keys, F.array(*[F.col(f"b{i}") for i in range(tuples)]).alias("second"))
-    rows = texts.join(least, keys).join(second, keys)
-    place = lambda x: x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).cast("int")
-    of = lambda w, p: F.xxhash64(F.slice(w, p + 1, F.lit(k)))
+    found = again.groupBy(*keys).agg(*minima, *beyond)
+    place = lambda x: x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    rank = lambda x: F.shiftright(x, POSITION_BITS)
 
-    def signature(w: Column, a: Column, b: Column) -> Column:
-        p, q = place(a), place(b)
-        return F.shiftrightunsigned(F.when(b.isNull(), F.xxhash64(of(w, p))).otherwise(F.xxhash64(of(w, F.least(p, q)), of(w, F.greatest(p, q)))), 32)
+    def signature(a: Column, b: Column) -> Column:
+        """Ranks name their k-mers: those of two texts are equal where the k-mers are."""
+        ordered = F.when(b.isNull(), F.xxhash64(rank(a))).when(place(a) < place(b), F.xxhash64(rank(a), rank(b))).otherwise(F.xxhash64(rank(b), rank(a)))
+        return F.shiftrightunsigned(ordered, 32)
 
-    both = F.arrays_zip(F.col("least").alias("a"), F.col("second").alias("b"))
-    fp = F.transform(F.array(split_words(F.col("text"))), lambda w: F.transform(both, lambda x: signature(w, x["a"], x["b"])))[0]
-    return rows.select(*keys, fp.alias("fp"))
+    signed = found.select(*keys, F.array(*[signature(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(tuples)]).alias("fp"))
+    with setting(texts.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        return stored(signed, "order-prints")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -135,7 +138,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, per_range: int = 1000
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("h"), F.hex(F.xxhash64(text)).alias("tie"), text.alias("edge_text"))
     wanted = edges.select("h", "tie").distinct()
     found = rows.join(F.broadcast(wanted), ["h", "tie"], "left_semi").dropDuplicates(["h", "tie"])
-    edge_texts = edges.join(found, ["h", "tie"]).select("range", "edge_text")
+    edge_texts = stored(edges.join(found, ["h", "tie"]).select("range", "edge_text"), "order-edge-texts")
     before = F.lag("text").over(Window.partitionBy("range").orderBy("nth"))
     stepped = ordered.withColumn("before", before)
     return stepped.join(edge_texts, "range").select("range", "nth", "id", "text", F.when(F.col("nth") == 1, F.col("edge_text")).otherwise(F.col("before")).alias("next_text"))
@@ -150,20 +153,18 @@ def edited(text: Column, other: Column) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """``id, fingerprint`` (an array of signatures) of every row."""
     ordered, _ = in_order(docs, id_col, text_col, 1000)
-    rows = stored(ordered.select("range", "nth", "id", "text"), "order-texts", compression="zstd")
-    found = signatures(rows.select("range", "nth", "text"), ["range", "nth"], k, tuples)
+    found = signatures(ordered.select("range", "nth", "text"), ["range", "nth"], k, tuples)
     none = F.array().cast("array<bigint>")
-    return rows.select("range", "nth", "id").join(found, ["range", "nth"], "left").select("id", F.coalesce("fp", none).alias("fingerprint"))
+    return ordered.select("range", "nth", "id").join(found, ["range", "nth"], "left").select("id", F.coalesce("fp", none).alias("fingerprint"))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """For every row its fingerprint, that of its edited text, and how like it is to that and to
     the next row's fingerprint."""
     base = with_next(docs, id_col, text_col).select("range", "nth", "id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    base = stored(base, "order-texts", compression="zstd")
     pairs = base.select("range", "nth", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
     texts = pairs.select("range", "nth", "t.which", "t.text")
-    prints = stored(signatures(texts, ["range", "nth", "which"], k, tuples), "order-prints")
+    prints = signatures(texts, ["range", "nth", "which"], k, tuples)
     none = F.array().cast("array<bigint>")
     facts = base.select("range", "nth", "id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     for which, name in enumerate("ab"):
