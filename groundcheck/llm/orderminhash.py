@@ -60,18 +60,16 @@ def ranks(tuples: int) -> list[Column]:
 
 
 def numbered(texts: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Rows ``keys, pos, h`` and what else ``texts`` has besides its ``text``: every k-mer's place
-    and the hash of the k-mer with the number of its occurrence."""
-    rest = [c for c in texts.columns if c not in (*keys, "text")]
-    made = texts.select(*keys, *rest, kmers(F.col("text"), k).alias("kmers"))
+    """``keys, pos, h``: every k-mer's place and the hash of the k-mer with the number of its occurrence."""
+    made = texts.select(*keys, kmers(F.col("text"), k).alias("kmers"))
     repeats = F.size(F.array_distinct("kmers")) < F.size("kmers")
-    plain = made.where(~repeats).select(*keys, *rest, F.posexplode("kmers").alias("pos", "kmer"))
-    rows = made.where(repeats).select(*keys, *rest, F.posexplode("kmers").alias("pos", "kmer"))
+    plain = made.where(~repeats).select(*keys, F.posexplode("kmers").alias("pos", "kmer"))
+    rows = made.where(repeats).select(*keys, F.posexplode("kmers").alias("pos", "kmer"))
     # Sorting by one mixed key first settles nearly all comparisons by its eight bytes.
     rows = rows.withColumn("mixed", F.xxhash64(*keys, "kmer"))
     nth = F.row_number().over(Window.partitionBy("mixed", *keys, "kmer").orderBy("pos"))
-    counted = rows.select(*keys, *rest, "pos", F.xxhash64("kmer", nth).alias("h"))
-    return plain.select(*keys, *rest, "pos", F.xxhash64("kmer", F.lit(1)).alias("h")).unionByName(counted)
+    counted = rows.select(*keys, "pos", F.xxhash64("kmer", nth).alias("h"))
+    return plain.select(*keys, "pos", F.xxhash64("kmer", F.lit(1)).alias("h")).unionByName(counted)
 
 
 def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
@@ -81,7 +79,8 @@ def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32)
     v = ranks(tuples)
     first = numbered(texts, keys, k).groupBy(*keys).agg(*[F.min(v[i]).alias(f"a{i}") for i in range(tuples)])
     least = stored(first.select(*keys, F.array(*[F.col(f"a{i}") for i in range(tuples)]).alias("least")), "order-minima")
-    again = numbered(texts.join(least, keys), keys, k)
+    # A table of one row for each text, met by hashing: rows of k-mers need no order, and carry no minima through a sort.
+    again = numbered(texts, keys, k).join(least.hint("shuffle_hash"), keys)
     minima = [F.min(v[i]).alias(f"a{i}") for i in range(tuples)]
     beyond = [F.min(F.when(v[i] > F.col("least")[i], v[i])).alias(f"b{i}") for i in range(tuples)]
     found = again.groupBy(*keys).agg(*minima, *beyond)
