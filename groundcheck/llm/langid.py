@@ -13,7 +13,6 @@ are scored alike; empty tables give empty results; further columns are kept or i
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import lowered, pieces, text_column, utf8
+from groundcheck.llm.common import CHUNK_BYTES, lowered, pieces, text_column, utf8
 
 #: Language families, by code; a parameter of ``train``.
 FAMILIES = {
@@ -37,7 +36,6 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 DIM_BITS = 16
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[: ord("a")] = 32  # digits, punctuation and white space all part words
 _FOLD[ord("z") + 1 : 128] = 32
@@ -45,13 +43,18 @@ _FOLD[ord("z") + 1 : 128] = 32
 
 def frequencies(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For every text its distinct features, hashed byte bigrams to tetragrams, and their values,
-    whose Euclidean length is 1. N-grams that cross into the next text are left out."""
-    code = _FOLD[lowered(data)]
-    grams, gram = [], code
-    for order in (2, 3, 4):
-        gram = (gram[:-1] << np.uint32(8)) | code[order - 1 :] if len(gram) > 1 else gram[:0]
-        key = (gram ^ np.uint32(order * 0x1F123BB5)) * np.uint32(0x9E3779B1)
-        grams.append((key >> np.uint32(32 - DIM_BITS)).astype(np.uint16))
+    whose Euclidean length is 1. N-grams that cross into the next text are left out. A text above
+    a chunk is counted slice by slice, so that memory does not grow with it."""
+    if len(at) == 2 and len(data) > CHUNK_BYTES:
+        counts = np.zeros(1 << DIM_BITS, np.int64)
+        for begin in range(0, len(data), CHUNK_BYTES):
+            for order in (2, 3, 4):  # a slice's n-grams begin in it
+                part = data[begin : begin + CHUNK_BYTES + order - 1]
+                counts += np.bincount(hashed_grams(_FOLD[lowered(part)])[order - 2], minlength=1 << DIM_BITS)
+        feature = np.flatnonzero(counts)
+        yield feature, np.sqrt(counts[feature] / counts.sum())
+        return
+    grams = hashed_grams(_FOLD[lowered(data)])
     for begin, end in zip(at[:-1].tolist(), at[1:].tolist()):
         found = np.concatenate([g[begin : max(begin, end - order + 1)] for order, g in zip((2, 3, 4), grams)])
         if not len(found):
@@ -62,6 +65,16 @@ def frequencies(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield found[first[:-1]].astype(np.int64), np.sqrt(np.diff(first) / len(found))
 
 
+def hashed_grams(code: np.ndarray) -> list[np.ndarray]:
+    """Features of all bigrams, trigrams and tetragrams of folded bytes, by where they begin."""
+    grams, gram = [], code
+    for order in (2, 3, 4):
+        gram = (gram[:-1] << np.uint32(8)) | code[order - 1 :] if len(gram) > 1 else gram[:0]
+        key = (gram ^ np.uint32(order * 0x1F123BB5)) * np.uint32(0x9E3779B1)
+        grams.append((key >> np.uint32(32 - DIM_BITS)).astype(np.uint16))
+    return grams
+
+
 @dataclass
 class Model:
     families: list[str]
@@ -72,10 +85,11 @@ class Model:
     family_of: list[int]
     scale: float
 
-    def predict(self, data: np.ndarray, at: np.ndarray, lettered: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def predict(self, data: np.ndarray, at: np.ndarray, lettered: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and the margin of the family's machine (negative: it rejects the text)."""
         n = len(at) - 1
         if not self.languages or n == 0:
-            return [UNDETERMINED] * n, np.zeros(n)
+            return [UNDETERMINED] * n, np.zeros(n), np.full(n, -1.0)
         margins = np.stack([value @ self.weights[feature] for feature, value in frequencies(data, at)]) + self.weights[-1]
         nf = len(self.families)
         sure = 1 / (1 + np.exp(-np.clip(self.scale * margins, -50, 50)))
@@ -97,7 +111,7 @@ class Model:
         best = np.where(allowed, votes + belief / (len(self.languages) + 1), -1).argmax(axis=1)
         score = by_family[np.arange(n), family] * belief[np.arange(n), best]
         names = [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), lettered.tolist())]
-        return names, np.where(lettered, np.clip(score, 0, 1), 0.0)
+        return names, np.where(lettered, np.clip(score, 0, 1), 0.0), margins[np.arange(n), family]
 
 
 def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], sign: np.ndarray, epochs: int, strength: float, seed: int) -> np.ndarray:
@@ -125,10 +139,10 @@ def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], sign: np.ndarray, epo
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
     """About ``per_language`` rows of each language, by a hash of the id: a bound on the sample,
     whatever the size of the table."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return known.join(F.broadcast(counts), known[lang_col] == counts["_lang"]).where(draw * F.col("_n") < per_language).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    draw = F.pmod(F.xxhash64("id", F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return known.join(counts, "lang").where(draw * F.col("n") < per_language).select("text", "lang")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", families: dict[str, list[str]] | None = None, per_language: int = 400, epochs: int = 12, strength: float = 0.02) -> Model:
@@ -166,10 +180,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def has_letter(texts: pa.Array) -> np.ndarray:
-    return np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool)
+    """Whether a text holds a character of category L; fractions, circled digits and the like are none."""
+    return np.array([bool(t) and any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
 
 
-def predictions(part: pa.RecordBatch, text_col: str, model: Model) -> tuple[list[str], np.ndarray]:
+def predictions(part: pa.RecordBatch, text_col: str, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
     texts = text_column(part, text_col)
     data, at = utf8(texts)
     return model.predict(data, at, has_letter(texts))
@@ -183,22 +198,22 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                names, score = predictions(part, "text", shared.value)
+                names, score, _ = predictions(part, "text", shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["id", "lang_pred", "score"])
 
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", languages: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, one of ``languages`` if given."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", languages: list[str] | None = None, least_margin: float = -1.0) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, one of ``languages`` if given, and whose
+    family's machine does not reject it by more than ``least_margin``: a text in no language that
+    was learned, or in none at all, is nearest to one of them, yet all machines reject it."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, text_col):
-                names, _ = predictions(part, text_col, shared.value)
-                yield part.filter(pa.array([n != UNDETERMINED and (languages is None or n in languages) for n in names], pa.bool_()))
+                names, _, margins = predictions(part, text_col, shared.value)
+                yield part.filter(pa.array([n != UNDETERMINED and m >= least_margin and (languages is None or n in languages) for n, m in zip(names, margins.tolist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
-
-

@@ -6,12 +6,14 @@ classifier over the presence of words is fitted with numpy to the risk
 second part lies below zero, a step goes against it, so that the classifier can't profit from
 fitting the unlabelled texts as negatives. The class prior is the toxic share of the labelled rows.
 
-The fit sees about ``positives`` confirmed and ``unlabelled`` other texts, drawn by a hash of the
-id: documented bounds, whatever the table's size. Its words are those whose shares in the two
-samples differ by ``z`` standard errors. Every text is scored whole.
+The fit sees about ``positives`` confirmed texts, and about ``unlabelled`` of all labelled rows, whose
+labels are not read there; both are drawn by a hash of the id: documented bounds on labelled rows,
+whatever the table's size. Where labels tell of toxic texts alone, all texts serve as unlabelled.
+Its words are those whose shares in the two samples differ by ``z`` standard errors. Every text is
+scored whole.
 
 Defined results: a null or empty text has no words and gets the score of the bias alone; without a
-confirmed toxic text every score is the prior; a row with several labels counts as toxic if one of
+confirmed toxic text every score is that of log odds of -5, 0.0067; a row with several labels counts as toxic if one of
 them says so; null labels and null ids confirm nothing; repeated rows are scored alike; empty
 tables give empty results; further columns are kept or ignored, never read.
 """
@@ -133,15 +135,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     told = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(toxic_col).alias("toxic"))
     labelled, toxic = told.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("toxic") == 1, 1)), F.lit(0))).first()
     if not labelled or not toxic:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0 if labelled == toxic and toxic else -5.0)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), -5.0)
     prior = min(max(toxic / labelled, 1e-4), 0.9)
     draw = lambda c: F.pmod(F.xxhash64(c.cast("string"), F.lit("toxicity sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     confirmed = told.where("toxic = 1")
     chosen = confirmed.where(draw(F.col("id")) * F.lit(float(toxic)) < positives).select("id")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    total = rows.count()
-    p = _word_sets(rows.join(F.broadcast(chosen), "id", "left_semi"))  # no more ids than ``positives`` expects
-    u = _word_sets(rows.where(draw(F.concat(F.lit("u"), F.coalesce(F.col("id").cast("string"), F.lit("")))) * F.lit(float(total)) < unlabelled))
+    other = lambda c: draw(F.concat(F.lit("u"), F.coalesce(c.cast("string"), F.lit(""))))
+    p = _word_sets(rows.join(chosen, "id", "left_semi"))
+    if toxic < labelled:
+        mixed = told.where(other(F.col("id")) * F.lit(float(labelled)) < unlabelled).select("id")
+        u = _word_sets(rows.join(mixed, "id", "left_semi"))
+    else:
+        u = _word_sets(rows.where(other(F.col("id")) * F.lit(float(rows.count())) < unlabelled))
     if not p or not u:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     words, count = np.unique(np.concatenate(p), return_counts=True)

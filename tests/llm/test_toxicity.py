@@ -31,4 +31,29 @@ def test_edge_rows(spark):
     kept = toxicity.keep_clean(docs, model)
     assert kept.columns == docs.columns and 201 not in {r.doc_id for r in kept.collect()}
     none = toxicity.train(docs, labels.limit(0))
-    assert len({r.score for r in toxicity.score_texts(docs, none).collect()}) == 1
+    assert {round(r.score, 4) for r in toxicity.score_texts(docs, none).collect()} == {0.0067}
+    alone = toxicity.train(docs, labels.where("toxic = 1"), z=2.0)
+    assert {r.id: r.score for r in toxicity.score_texts(docs, alone).collect()}[201] >= 0.3
+
+
+def test_fit_lowers_the_non_negative_risk():
+    """The risk written out for each text, on small vectors; its gradient by differences."""
+    rng = np.random.default_rng(1)
+    held = rng.random((60, 5)) < 0.4
+    held[:20, 0] = True
+    x = toxicity.Presence(*(a.astype(np.int32) for a in np.nonzero(held)), 60, 5)
+    n, prior = 20, 0.3
+
+    def risk(w):
+        margin = [sum(w[j] for j in range(5) if held[i, j]) + w[5] for i in range(60)]
+        plus, minus = [np.log1p(np.exp(-m)) for m in margin], [np.log1p(np.exp(m)) for m in margin]
+        rest = np.mean(minus[n:]) - prior * np.mean(minus[:n])
+        return prior * np.mean(plus[:n]) + max(0.0, rest), rest
+
+    start = np.append(np.zeros(5), np.log(prior / (1 - prior)))
+    weights, bias = toxicity.nnpu_fit(x, n, prior, steps=1, rate=1e-6, decay=0.0)
+    slope = np.array([(risk(start + 1e-5 * e)[0] - risk(start - 1e-5 * e)[0]) / 2e-5 for e in np.eye(6)])
+    moved = np.append(weights, bias) - start
+    assert (np.sign(moved[np.abs(slope) > 1e-6]) == -np.sign(slope[np.abs(slope) > 1e-6])).all()
+    weights, bias = toxicity.nnpu_fit(x, n, prior)
+    assert risk(np.append(weights, bias))[0] < risk(start)[0] and weights[0] == max(weights)
