@@ -1,6 +1,6 @@
-"""Document functions that need more than expressions: HTML to text, injection scan, vendor layout.
+"""Document functions: HTML to text, injection scan, vendor layout.
 
-Each is an Arrow-batched function of one text at a time with the standard library inside.
+Only HTML leaves the JVM: an Arrow-batched function with the standard library's parser.
 """
 
 from __future__ import annotations
@@ -9,11 +9,12 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
-from groundcheck.functions.text import strip_invisible
+from groundcheck.functions.text import normalize_whitespace, strip_invisible
+from groundcheck.operators import segments
 
 # They must be just these for right results.
 INJECTION_PATTERNS = [
@@ -84,33 +85,35 @@ def sanitize(text: Column, is_html: bool) -> Column:
     return strip_invisible(html_to_text(text) if is_html else text)
 
 
-FINDINGS = ArrayType(StructType([StructField("pattern", StringType()), StructField("match", StringType()), StructField("context", StringType())]))
+def compiles(pattern: str) -> bool:
+    try:
+        re.compile(pattern)
+    except re.error:
+        return False
+    return True
 
 
 def scan_for_injection(text: Column, patterns: list[str] | None = None) -> Column:
-    """Matches of all patterns with 40 characters of context; patterns that don't compile are passed over."""
-    listed = []
-    for pattern in INJECTION_PATTERNS if patterns is None else patterns:
-        try:
-            listed.append((pattern, re.compile(pattern, re.IGNORECASE)))
-        except re.error:
-            continue
-
-    @F.pandas_udf(FINDINGS)
-    def scan(texts: pd.Series) -> pd.Series:
-        def one(t: str | None) -> list[dict]:
-            found: list[dict] = []
-            for pattern, regex in listed if t else ():
-                for m in regex.finditer(t):
-                    if len(found) >= MOST_FINDINGS:
-                        return found
-                    context = re.sub(r"\s+", " ", t[max(0, m.start() - 40) : m.end() + 40]).strip()
-                    found.append({"pattern": pattern, "match": m.group(0), "context": context})
-            return found
-
-        return texts.map(one)
-
-    return scan(text)
+    """``pattern, match, context`` of all matches of all patterns, in their order, with 40 characters
+    on either side; patterns that don't compile are passed over. A text's pieces between matches tell
+    where each match stands, so that the JVM's own functions serve."""
+    total = F.lit(0)
+
+    def of(pattern: str) -> Column:
+        wanted = F.lit(f"(?iU){pattern}")
+        matches, parts = F.regexp_extract_all(text, wanted, 0), F.split(text, f"(?iU){pattern}", -1)
+        length = lambda xs: F.aggregate(xs, total, lambda n, x: n + F.length(x))
+
+        def finding(m: Column, i: Column) -> Column:
+            start = length(F.slice(parts, 1, i + 1)) + length(F.slice(matches, 1, i))
+            context = F.substring(text, F.greatest(start - 40, F.lit(0)) + 1, F.least(start, F.lit(40)) + F.length(m) + 40)
+            return F.struct(F.lit(pattern).alias("pattern"), m.alias("match"), normalize_whitespace(context).alias("context"))
+
+        return F.transform(F.slice(matches, 1, MOST_FINDINGS), finding)
+
+    listed = [p for p in (INJECTION_PATTERNS if patterns is None else patterns) if compiles(p)]
+    none = F.array().cast("array<struct<pattern:string,match:string,context:string>>")
+    return F.slice(F.coalesce(F.concat(none, *[of(p) for p in listed]), none), 1, MOST_FINDINGS)
 
 
 def injection_counts(texts: DataFrame, key: str, text: str, patterns: list[str] | None = None) -> DataFrame:
@@ -120,57 +123,53 @@ def injection_counts(texts: DataFrame, key: str, text: str, patterns: list[str]
     return texts.select(key, F.explode(F.filter(pairs, lambda x: x["n"] > 0)).alias("p")).select(key, "p.pattern", "p.n")
 
 
-_NAME_LINE = re.compile(r"^[^\W\d_][\w'’.\-]*(?:\s+[^\W\d_][\w'’.\-]*){0,5}$")
-_RULE_LINE = re.compile(r"^[.]{10,}\s*$")
-_PARTICLES = {"van", "der", "von", "de", "den", "del", "di", "af", "av", "le", "la"}
-
-
-def _is_name(line: str) -> bool:
-    words = line.split()
-    return bool(words and _NAME_LINE.match(line)) and words[0][0].isupper() and all(w[0].isupper() or w.lower() in _PARTICLES for w in words[1:])
-
-
-def _is_title(line: str) -> bool:
-    words = line.split()
-    return bool(words) and len(line) < 150 and not line.endswith(("?", "!")) and sum(w[0].isupper() for w in words) >= max(1, (len(words) + 1) // 2)
-
-
-def _relaid(text: str | None, banner: re.Pattern[str] | None) -> str | None:
-    if text is None:
-        return None
-    lines = text.split("\n")
-    out: list[str] = []
-    at = 0
-    while at < len(lines):
-        line = lines[at].strip()
-        if _RULE_LINE.match(lines[at]):
-            at += 1
-            while at < len(lines) and not lines[at].strip():
-                at += 1
-            name = lines[at].strip() if at < len(lines) else ""
-            if _is_name(name):
-                at += 1
-                title = lines[at].strip() if at < len(lines) else ""
-                if title and _is_title(title):
-                    out.append(f"{name} — {title}:")
-                    at += 1
-                else:
-                    out.append(f"{name}:")
-            continue
-        if banner and banner.match(line) and out and out[-1].rstrip().endswith((".", "?", "!")):
-            at += 1
-            continue
-        out.append(lines[at])
-        at += 1
-    return "\n".join(out)
-
-
-def reformat_vendor_layout(text: Column, banner: str | None = None) -> Column:
-    """After a dotted rule, a name line and a title line become one speaker line."""
-    compiled = re.compile(banner) if banner else None
-
-    @F.pandas_udf(StringType())
-    def relay(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _relaid(t, compiled))
-
-    return relay(text)
+# --- vendor layout ---------------------------------------------------------------------------
+
+
+def _is_name(line: Column) -> Column:
+    word = segments.NAME_WORD
+    return line.rlike(rf"(?U)^{word}(?:\s+{word}){{0,4}}$") & segments.valid_name(line)
+
+
+def _is_title(line: Column) -> Column:
+    words = F.filter(F.split(normalize_whitespace(line), " "), lambda w: w != "")
+    capital = F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}")))
+    return (F.size(words) > 0) & (F.length(line) < 150) & ~line.rlike("[?!]$") & (capital >= F.floor((F.size(words) + 1) / 2))
+
+
+def reformat_vendor_layout(docs: DataFrame, key: str, text: str = "text", banners: list[str] | None = None, rule: str = r"[.]{10,}\s*$") -> DataFrame:
+    """``key, text``: after the start or a dotted rule, a name line and a title line, if one follows,
+    become one speaker line; rules and blank lines go. A banner (page number, copyright line) goes
+    where nothing or the end of a sentence stands before it; else it may be a wrapped figure.
+
+    Windows over a document's lines. Whether a name opens a turn depends on what stands before its
+    rule only if banners lie between; such a name shares the fate of the name before it, so that the
+    last name that is settled by itself decides. A null text gives null."""
+    line = F.regexp_replace("raw", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    rows = docs.where(F.col(text).isNotNull()).select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("n", "raw")).select(key, "n", line.alias("line"))
+    whole = Window.partitionBy(key).orderBy("n")
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    banner = F.lit(False)
+    for pattern in banners or []:
+        banner = banner | F.col("line").rlike(f"^(?:{pattern})")
+    rows = rows.withColumns({"rule": F.col("line").rlike(f"^{rule}"), "ends": F.col("line").rlike(r"[.?!:]\s*$"), "titled": _is_title(F.col("line"))})
+    rows = rows.withColumn("banner", (F.col("line") != "") & ~F.col("rule") & banner).withColumn("said", (F.col("line") != "") & ~F.col("rule") & ~F.col("banner"))
+    place = lambda c: F.max(F.when(c, F.col("n"))).over(before)
+    rows = rows.withColumns({"last_said": place(F.col("said")), "last_rule": place(F.col("rule")), "last_banner": place(F.col("banner")), "last_end": place(F.col("banner") & F.col("ends"))})
+    fresh = F.col("last_said").isNull() | F.coalesce(F.col("last_rule") > F.col("last_said"), F.lit(False))
+    rows = rows.withColumn("opening", F.col("said") & fresh & _is_name(F.col("line")))
+    latest = lambda c: F.last(F.when(F.col("said"), c), ignorenulls=True).over(before)
+    rows = rows.withColumn("tied", F.col("opening") | (F.coalesce(F.lag("opening").over(whole), F.lit(False)) & F.col("titled")))
+    rows = rows.withColumns({"end_at_rule": F.last(F.when(F.col("rule"), F.coalesce("last_end", F.lit(-1))), ignorenulls=True).over(before), "said_ends": latest(F.col("ends")), "said_tied": latest(F.col("tied"))})
+    clear = F.coalesce(F.col("last_banner") <= F.coalesce("last_rule", F.lit(-1)), F.lit(True)) | F.col("last_said").isNull() | F.coalesce(F.col("end_at_rule") > F.col("last_said"), F.lit(False)) | F.col("said_ends")
+    settled = F.when(F.col("opening") & clear, True).when(F.col("opening") & ~F.col("said_tied"), False)
+    rows = rows.withColumn("settled", settled)
+    rows = rows.withColumn("header", F.col("opening") & F.last("settled", ignorenulls=True).over(whole.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("title", F.coalesce(F.lag("header").over(whole), F.lit(False)) & F.col("titled"))
+    closed = latest(F.col("ends") | F.col("header") | F.col("title"))
+    rows = rows.withColumns({"closed": closed, "next_line": F.lead("line").over(whole), "next_title": F.coalesce(F.lead("title").over(whole), F.lit(False))})
+    stays = F.col("banner") & F.col("last_said").isNotNull() & ~F.col("closed") & ~F.coalesce(F.col("last_end") > F.col("last_said"), F.lit(False))
+    told = F.when(F.col("header") & F.col("next_title"), F.concat("line", F.lit(" — "), "next_line", F.lit(":"))).when(F.col("header"), F.concat("line", F.lit(":"))).otherwise(F.col("line"))
+    kept = rows.where(~F.col("title") & (F.col("said") | stays)).select(key, "n", told.alias("line")).groupBy(key)
+    laid = kept.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n").alias("laid"))
+    return docs.select(key, F.col(text).alias("whole")).join(laid, key, "left").select(key, F.when(F.col("whole").isNotNull(), F.coalesce("laid", F.lit(""))).alias("text"))

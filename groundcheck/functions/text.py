@@ -132,15 +132,23 @@ def sample_ids(ids: Column, n: int = 10) -> Column:
 
 
 def window_around(text: Column, quote: Column, budget: int) -> Column:
-    """``text, note``: the folded text whole if it fits, else ``budget`` characters centred on the
-    quote's first place, or its head if the quote is absent."""
+    """``text, note, quote_offset, start, end``: the folded text whole if it fits, else ``budget``
+    characters centred on the quote's first place (with its offset and the window's bounds), or the
+    text's head if the quote is absent."""
     folded, wanted = normalize_whitespace(text), normalize_whitespace(quote)
-    place = F.instr(folded, wanted)
-    start = F.greatest(F.lit(0), F.least(place - 1 + F.floor(F.length(wanted) / 2) - budget // 2, F.length(folded) - budget)).cast("int")
+    place = F.instr(folded, wanted) - 1
+    half = F.greatest(F.lit(0), F.floor((F.lit(budget) - F.length(wanted)) / 2)).cast("int")
+    end = F.least(F.length(folded), F.greatest(F.lit(0), place - half) + budget)
+    start = F.greatest(F.lit(0), end - budget)
+    none = F.lit(None).cast("int")
+
+    def told(part: Column, note: str | None, *at: Column) -> Column:
+        return F.struct(part.alias("text"), F.lit(note).cast("string").alias("note"), *[c.alias(n) for c, n in zip(at or (none,) * 3, ("quote_offset", "start", "end"))])
+
     return (
-        F.when(F.length(folded) <= budget, F.struct(folded.alias("text"), F.lit(None).cast("string").alias("note")))
-        .when((place > 0) & (wanted != ""), F.struct(F.substr(folded, start + 1, F.lit(budget)).alias("text"), F.lit("windowed").alias("note")))
-        .otherwise(F.struct(F.substr(folded, F.lit(1), F.lit(budget)).alias("text"), F.lit("quote not found; head only").alias("note")))
+        F.when(F.length(folded) <= budget, told(folded, None))
+        .when((place >= 0) & (wanted != ""), told(F.substr(folded, start + 1, F.lit(budget)), "windowed", place, start, end))
+        .otherwise(told(F.substr(folded, F.lit(1), F.lit(budget)), "quote not found; head only"))
     )
 
 

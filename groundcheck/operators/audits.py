@@ -23,7 +23,7 @@ def attempt_rollup(attempts: DataFrame) -> DataFrame:
     """Attempts (run_id, stage, attempt, outcome) of each stage: number, rejections, retries, last outcome."""
     return attempts.groupBy("run_id", "stage").agg(
         F.count(F.lit(1)).alias("attempts"),
-        F.count_if(F.col("outcome") == "rejected").alias("rejections"),
+        F.count_if(~F.col("outcome").eqNullSafe("passed")).alias("rejections"),
         F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("retries"),
         F.max_by("outcome", "attempt").alias("outcome"),
     )

@@ -24,9 +24,9 @@ def grounding_units(briefs: DataFrame, key: str, text: str = "text") -> DataFram
 
 
 def sections(briefs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``key, section, body`` of the numbered second-level headings."""
+    """``key, section, body, heading`` of the numbered second-level headings."""
     parts = briefs.select(key, F.explode(F.split(F.col(text), r"(?m)^(?=## \d+\.)")).alias("body"))
-    return parts.withColumn("section", F.regexp_extract("body", r"^## (\d+)\.", 1).try_cast("int")).where("section is not null").select(key, "section", F.regexp_replace("body", r"^[^\n]*\n?", "").alias("body"))
+    return parts.withColumn("section", F.regexp_extract("body", r"^## (\d+)\.", 1).try_cast("int")).where("section is not null").select(key, "section", F.regexp_replace("body", r"^[^\n]*\n?", "").alias("body"), F.regexp_extract("body", r"^[^\n]*", 0).alias("heading"))
 
 
 def claim_numbers(claims: DataFrame) -> DataFrame:
@@ -63,11 +63,11 @@ def dollar_issues(briefs: DataFrame) -> DataFrame:
     return briefs.select("run_id", d.alias("d")).where("d.n > 0").select("run_id", F.lit("brief_dollars").alias("check"), F.format_string("%d unescaped dollar sign(s) on line(s) %s", F.col("d.n"), F.array_join(F.col("d.lines").cast("array<string>"), ", ")).alias("message"))
 
 
-def citation_pairs(briefs: DataFrame, claims: DataFrame, appendix: str = r"(?m)^#+ *10\. Evidence appendix") -> DataFrame:
+def citation_pairs(briefs: DataFrame, claims: DataFrame, appendix: str = r"(?m)^## 10\. Evidence appendix") -> DataFrame:
     """``run_id, passage, claim_id, key``: every known claim cited in a block before the appendix."""
     main = F.get(F.split(F.col("text"), appendix), F.lit(0))
     blocks = briefs.select("run_id", F.posexplode(F.split(main, r"\n\s*\n")).alias("block", "passage")).withColumn("passage", F.trim("passage")).where("passage <> '' and passage not like '#%'")
-    pairs = blocks.select("run_id", "block", "passage", F.posexplode(F.array_distinct(tx.claim_ids(F.col("passage")))).alias("nth", "claim_id"))
+    pairs = blocks.select("run_id", "block", "passage", F.posexplode(F.array_distinct(F.regexp_extract_all("passage", F.lit(r"\[(claim-[^\[\]\s]+)\]"), 1))).alias("nth", "claim_id"))
     known = claims.select("run_id", F.col("id").alias("claim_id")).distinct()
     return pairs.join(known, ["run_id", "claim_id"], "left_semi").select("run_id", "block", "nth", "passage", "claim_id", F.concat("claim_id", F.lit("@"), F.substr(F.sha2("passage", 256), F.lit(1), F.lit(8))).alias("key"))
 

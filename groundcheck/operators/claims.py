@@ -17,6 +17,8 @@ from groundcheck.functions import calc, text as tx
 ISSUE_COLUMNS = ["run_id", "claim_index", "check", "message"]
 FACTUAL = ("reported_fact", "management_guidance")
 INFERENCE = "analytical_inference"
+NUMERIC = "^(BIGINT|DOUBLE|DECIMAL|BOOLEAN|FLOAT)"
+TOLERANCE = 1e-6
 
 
 def parsed_values(values: Column) -> dict[str, Column]:
@@ -24,13 +26,16 @@ def parsed_values(values: Column) -> dict[str, Column]:
     raw = F.from_json(values, "map<string,string>")
     number = lambda s: F.when(s == "true", 1.0).when(s == "false", 0.0).otherwise(s.try_cast("double"))  # noqa: E731  JSON booleans are numbers
     quoted = F.coalesce(F.from_json(values, "map<string,variant>"), F.create_map().cast("map<string,variant>"))
-    is_number = lambda key: F.schema_of_variant(F.try_element_at(quoted, key)).rlike("^(BIGINT|DOUBLE|DECIMAL|BOOLEAN|FLOAT)")
+    is_number = lambda key: F.schema_of_variant(F.try_element_at(quoted, key)).rlike(NUMERIC)
     entries = F.coalesce(F.map_entries(raw), F.array().cast("array<struct<key:string,value:string>>"))
     scalars = F.filter(F.transform(F.filter(entries, lambda e: (e["key"] != "calculation") & is_number(e["key"])), lambda e: F.struct(e["key"].alias("key"), number(e["value"]).alias("value"))), lambda e: e["value"].isNotNull())
     block = F.try_element_at(raw, F.lit("calculation"))
-    inputs = F.from_json(F.get_json_object(block, "$.inputs"), "map<string,string>")
+    inside, written = F.get_json_object(block, "$.inputs"), F.from_json(block, "map<string,variant>")
+    kinds, inputs = F.from_json(inside, "map<string,variant>"), F.from_json(inside, "map<string,string>")
+    numeric = lambda v: F.coalesce(F.schema_of_variant(v).rlike(NUMERIC), F.lit(False))
     input_entries = F.coalesce(F.map_entries(inputs), F.array().cast("array<struct<key:string,value:string>>"))
-    input_numbers = F.transform(input_entries, lambda e: F.struct(e["key"].alias("key"), number(e["value"]).alias("value")))
+    # A number written as a JSON string is none, as among the scalars.
+    input_numbers = F.transform(input_entries, lambda e: F.struct(e["key"].alias("key"), F.when(numeric(F.try_element_at(kinds, e["key"])), number(e["value"])).alias("value")))
     return {
         "n_values": F.size(entries),
         "scalars": scalars,
@@ -40,18 +45,30 @@ def parsed_values(values: Column) -> dict[str, Column]:
         "calc_entries": F.filter(input_numbers, lambda e: e["value"].isNotNull()),
         "calc_has_inputs": F.get_json_object(block, "$.inputs"),
         "calc_result_text": F.get_json_object(block, "$.result"),
-        "calc_result": number(F.get_json_object(block, "$.result")),
+        "calc_result": F.when(numeric(F.try_element_at(written, F.lit("result"))), number(F.get_json_object(block, "$.result"))),
     }
 
 
+def near_facts(needs: DataFrame, financials: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """``run_id, claim_index, fact_numbers``: the facts of a claim's run that lie within the
+    tolerance of one of its numbers (``needs``: run_id, claim_index, value). Values meet in cells as
+    wide as the tolerance, each number also in the two cells beside its own; a run's facts never
+    become one row."""
+    cell = F.floor(F.col("value") / F.lit(tolerance)).cast("decimal(20,0)")
+    facts = financials.where("value is not null").select("run_id", "value").distinct().select("run_id", F.col("value").alias("fact"), cell.alias("cell"))
+    asked = needs.distinct().select("run_id", "claim_index", "value", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
+    found = asked.join(facts, ["run_id", "cell"]).where(F.abs(F.col("fact") - F.col("value")) < F.lit(tolerance))
+    return found.groupBy("run_id", "claim_index").agg(F.collect_set("fact").alias("fact_numbers"))
+
+
 def with_evidence(claims: DataFrame, segments: DataFrame, web: DataFrame, financials: DataFrame) -> DataFrame:
-    """Claims with their passage's facts. Numbers of a passage are found once, before the join, and
-    its text goes no further than the quote test."""
+    """Claims (with ``needs``, their own numbers) with their passage's facts. Numbers of a passage
+    are found once, before the join, and its text goes no further than the quote test."""
     has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     seg = segments.select("run_id", F.col("id").alias("segment_id"), F.col("text").alias("seg_text"), tx.numbers(F.col("text")).alias("seg_numbers"), F.lit(True).alias("seg_found"))
     page = web.select("run_id", F.col("id").alias("web_evidence_id"), F.col("content").alias("web_text"), tx.numbers(F.col("content")).alias("web_numbers"), "temporal_status", F.lit(True).alias("web_found"))
-    facts = financials.groupBy("run_id").agg(F.collect_set("value").alias("fact_numbers"))
-    joined = claims.join(seg, ["run_id", "segment_id"], "left").join(page, ["run_id", "web_evidence_id"], "left").join(facts, "run_id", "left")
+    facts = near_facts(claims.select("run_id", "claim_index", F.explode("needs").alias("value")).where("value is not null"), financials)
+    joined = claims.join(seg, ["run_id", "segment_id"], "left").join(page, ["run_id", "web_evidence_id"], "left").join(facts, ["run_id", "claim_index"], "left")
     passage = F.when(has("segment_id"), F.col("seg_text")).otherwise(F.col("web_text"))
     quote = tx.normalize_whitespace(F.col("quote"))
     empty = F.array().cast("array<double>")
@@ -75,9 +92,9 @@ def inference_problems(claims: DataFrame) -> DataFrame:
     found = inferences.join(unknown, ["run_id", "claim_index"], "left")
     none = F.size(F.coalesce("inferred_from", F.array().cast("array<string>"))) == 0
     message = (
-        F.when(none, "analytical_inference claim has no inferred_from claim ids")
-        .when(F.col("unknown").isNotNull(), F.concat(F.lit("inferred_from cites unknown claim id(s): "), F.array_join("unknown", ", ")))
-        .when(F.array_contains("inferred_from", F.col("id")), "analytical_inference claim cites itself in inferred_from")
+        F.when(none, "inference cites no claim")
+        .when(F.col("unknown").isNotNull(), F.concat(F.lit("inference rests on unknown claims: "), F.array_join("unknown", ", ")))
+        .when(F.array_contains("inferred_from", F.col("id")), "inference cites itself")
     )
     return found.select("run_id", "claim_index", message.alias("message")).where("message is not null")
 
@@ -93,10 +110,12 @@ def id_problems(claims: DataFrame) -> DataFrame:
 def issues(claims: DataFrame, segments: DataFrame, web: DataFrame, financials: DataFrame) -> DataFrame:
     """All issues of all claims. A claim whose evidence can't be resolved gets that issue and, of
     the checks on its own row, no other."""
-    joined = with_evidence(claims, segments, web, financials)
-    rows = joined.withColumns(parsed_values(F.col("values")))
+    own = claims.withColumns(parsed_values(F.col("values")))
     declared = F.concat(F.transform("scalars", lambda e: e["value"]), F.transform("calc_entries", lambda e: e["value"]), F.filter(F.array("calc_result"), lambda v: v.isNotNull()))
-    rows = rows.withColumns({"declared": declared, "tokens": tx.prose_tokens(F.col("claim_text")), "quote_numbers": tx.numbers(F.coalesce("quote", F.lit("")))})
+    own = own.withColumns({"declared": declared, "tokens": F.coalesce(tx.prose_tokens(F.col("claim_text")), F.array().cast("array<string>"))})
+    spoken = F.transform("tokens", tx.number_value)
+    own = own.withColumn("needs", F.array_distinct(F.concat("declared", spoken, F.transform(spoken, lambda v: v / 100))))
+    rows = with_evidence(own, segments, web, financials).withColumn("quote_numbers", tx.numbers(F.coalesce("quote", F.lit(""))))
     rows = rows.withColumns(
         {
             "bad_scalar": F.get(F.filter("scalars", lambda e: ~tx.grounded(e["value"], F.col("known"))), F.lit(0)),

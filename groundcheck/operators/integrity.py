@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,9 +10,31 @@ def manifest_issues(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """``run_id, path, message``. ``manifest``: run_id, path, sha256, byte_length; ``files``:
     run_id, path, content."""
     held = files.select("run_id", "path", F.sha2("content", 256).alias("got"), F.octet_length("content").alias("length"))
-    escapes = F.col("path").startswith("/") | F.col("path").rlike(r"(^|/)\.\.(/|$)")
-    message = F.when(escapes, "path leaves the run").when(F.col("got").isNull(), "file is missing").when(F.col("length") != F.col("byte_length"), "length differs").when(F.col("got") != F.col("sha256"), "hash differs")
-    return manifest.join(held, ["run_id", "path"], "left").select("run_id", "path", message.alias("message")).where("message is not null")
+    rows = manifest.withColumns({"told": F.col("path"), "path": resolved(F.col("path"))})
+    escapes, missing = F.col("path").isNull(), F.col("got").isNull()
+    named = F.coalesce(F.col("sha256").rlike("^[0-9a-f]{64}$"), F.lit(False))
+    checks = [
+        (escapes, "path is empty or leaves the run"),
+        (~escapes & missing, "file is missing"),
+        (~escapes & ~missing & ~F.col("length").cast("long").eqNullSafe(F.col("byte_length").cast("long")), "length differs"),
+        (~escapes & ~missing & ~(named & F.col("got").eqNullSafe(F.col("sha256"))), "hash differs"),
+    ]
+    told = F.filter(F.array(*[F.when(c, F.lit(m)) for c, m in checks]), lambda m: m.isNotNull())
+    return rows.join(held, ["run_id", "path"], "left").select("run_id", F.col("told").alias("path"), F.explode(told).alias("message"))
+
+
+def resolved(path: Column) -> Column:
+    """A path within a run without ``.`` and ``..``; null if it is empty, absolute or leaves the run."""
+    steps = F.filter(F.split(path, "/"), lambda s: (s != "") & (s != "."))
+    start = F.struct(F.array().cast("array<string>").alias("at"), F.lit(True).alias("fine"))
+
+    def step(state: Column, s: Column) -> Column:
+        up, deep = s == "..", F.size(state["at"]) > 0
+        at = F.when(~up, F.concat(state["at"], F.array(s))).when(deep, F.slice(state["at"], 1, F.greatest(F.size(state["at"]) - 1, F.lit(0)))).otherwise(state["at"])
+        return F.struct(at.alias("at"), (state["fine"] & (~up | deep)).alias("fine"))
+
+    found = F.aggregate(steps, start, step)
+    return F.when((F.coalesce(path, F.lit("")) != "") & ~path.startswith("/") & found["fine"], F.array_join(found["at"], "/"))
 
 
 def staleness(recorded: DataFrame, current: DataFrame, required: list[str]) -> DataFrame:
@@ -31,10 +53,10 @@ def price_log(log: DataFrame) -> DataFrame:
     """Rollup of a run's price lookups (run_id, ticker, status, own_ticker); unreadable lines have
     a null status."""
     return log.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.count("status").alias("rows"),
         F.count_if(F.col("status") == "ok").alias("successes"),
         F.count_if(F.col("status").isNull()).alias("unreadable"),
-        F.count_if(F.col("ticker") != F.col("own_ticker")).alias("foreign"),
+        F.count_if(F.col("status").isNotNull() & ~F.col("ticker").eqNullSafe(F.upper("own_ticker"))).alias("foreign"),
     )
 
 
@@ -47,9 +69,9 @@ def price_issues(decisions: DataFrame, log: DataFrame) -> DataFrame:
         (F.col("unreadable") > 0, "log has an unreadable line"),
         (F.col("foreign") > 0, "log has another ticker"),
         ((d == "used") & (F.col("successes") == 0), "used without a successful lookup"),
-        ((d == "failed") & ((F.col("rows") == 0) | (F.col("successes") > 0)), "failed needs lookups and no success"),
+        ((d == "attempted_failed") & ((F.col("rows") == 0) | (F.col("successes") > 0)), "attempted_failed needs lookups and no success"),
         ((d == "not_used") & (F.col("rows") > 0), "not used but looked up"),
-        (~F.coalesce(d.isin("used", "failed", "not_used"), F.lit(False)), "unknown decision"),
+        (~F.coalesce(d.isin("used", "attempted_failed", "not_used"), F.lit(False)), "unknown decision"),
     ]
     told = F.filter(F.array(*[F.when(c, F.lit(m)) for c, m in checks]), lambda m: m.isNotNull())
     return rows.select("run_id", F.lit("price_decision").alias("check"), F.explode(told).alias("message"))

@@ -7,7 +7,7 @@ recommendation; ``receipts`` run_id, bucket, claim_id; ``claims`` run_id, id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundcheck.functions.text import claim_ids, sample_ids
@@ -27,15 +27,18 @@ def finding_citations(findings: DataFrame) -> DataFrame:
 
 
 def receipt_issues(reports: DataFrame, receipts: DataFrame, findings: DataFrame, claims: DataFrame) -> DataFrame:
-    """Every claim in one bucket, buckets that agree with the findings."""
+    """Every claim in one bucket, buckets that agree with the findings. A report says by
+    ``has_receipt`` that it has a receipt, which may list nothing; without that column runs with
+    listed ids have one."""
     check = "claim_review_receipt"
-    with_receipt = receipts.select("run_id").distinct()
+    with_receipt = (reports.where("has_receipt") if "has_receipt" in reports.columns else receipts).select("run_id").distinct()
     none = _issue(reports.join(with_receipt, "run_id", "left_anti"), check, F.lit("receipt is missing"))
     reported = claims.join(with_receipt, "run_id", "left_semi").select("run_id", F.col("id").alias("claim_id")).distinct().withColumn("known", F.lit(1))
     listed = receipts.groupBy("run_id", "claim_id").agg(F.count(F.lit(1)).alias("times"))
     both = reported.join(listed, ["run_id", "claim_id"], "full_outer")
-    kind = F.when(F.col("times").isNull(), "not accounted for").when(F.col("known").isNull(), "absent from the claims").when(F.col("times") > 1, "in more than one bucket")
-    told = both.withColumn("kind", kind).where("kind is not null").groupBy("run_id", "kind").agg(F.array_sort(F.collect_set("claim_id")).alias("ids"))
+    kinds = F.array(F.when(F.col("times").isNull(), "not accounted for"), F.when(F.col("known").isNull(), "absent from the claims"), F.when(F.col("times") > 1, "in more than one bucket"))
+    told = both.select("run_id", "claim_id", F.explode(F.array_compact(kinds)).alias("kind"))
+    told = told.groupBy("run_id", "kind").agg(F.array_sort(F.collect_set("claim_id")).alias("ids"))
     account = _issue(told, check, F.concat("kind", F.lit(": "), sample_ids(F.col("ids"))))
     carried = receipts.where("bucket = 'carried_forward'").select("run_id").distinct()
     full = _issue(reports.where("mode <> 'diff'").join(carried, "run_id", "left_semi"), check, F.lit("claims are carried forward in a full review"))
@@ -96,7 +99,9 @@ def escalation(diff: DataFrame, sections: DataFrame, briefs: DataFrame, most_cha
         F.count(F.lit(1)).alias("n"),
         F.max(F.when(F.col("change") == "changed", ~F.col("old.period").eqNullSafe(F.col("new.period")) | ~F.col("old.values").eqNullSafe(F.col("new.values"))).otherwise(False)).alias("figures"),
     )
-    cited = sections.select("run_id", "section", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(r"\[(claim-\d[a-zA-Z0-9_-]*)\]"), 1))).alias("claim_id"))
+    # Whatever stands in brackets is looked up among the ids that changed; a section's heading counts.
+    body = F.concat_ws("\n", "heading", "body") if "heading" in sections.columns else F.col("body")
+    cited = sections.select("run_id", "section", F.explode(F.array_distinct(F.regexp_extract_all(body, F.lit(r"\[([^\[\]]+)\]"), 1))).alias("claim_id"))
     hit = cited.join(diff.select("run_id", "claim_id").distinct(), ["run_id", "claim_id"], "left_semi").where(F.col("section").isin(*CONCLUSION_SECTIONS)).groupBy("run_id").agg(F.array_sort(F.collect_set("section")).alias("hit"))
     rows = briefs.join(counts, "run_id", "left").join(hit, "run_id", "left")
     reasons = F.array_compact(
@@ -129,12 +134,40 @@ def round_binding(rounds: DataFrame) -> DataFrame:
 
 
 def review_gate(reports: DataFrame, found: DataFrame, most_rounds: int = 3) -> DataFrame:
-    """``run_id, code``: 4 above the cap, 2 with issues or verdict fail, 3 escalated, 1 warnings, 0
-    pass. ``reports`` has round, verdict and escalated."""
+    """``run_id, code, reason``: 4 above the cap (a bundle that was accepted already is no new
+    round), 2 if blocked, with issues, or with verdict fail, 3 escalated, 1 warnings, 0 pass.
+
+    ``reports`` has round, verdict and escalated, and, where known, ``repeated`` and what blocks a
+    report: claims_ok, claims_fresh, brief_ok, brief_fresh (the validations passed and are of the
+    current bytes) and bound (the report is of the current claims and brief). A null blocks."""
     n = found.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
-    v = F.col("verdict")
-    code = F.when(F.col("round") > most_rounds, 4).when((F.coalesce("n", F.lit(0)) > 0) | (v == "fail"), 2).when(F.coalesce("escalated", F.lit(False)), 3).when(v == "pass_with_warnings", 1).otherwise(0)
-    return reports.join(n, "run_id", "left").select("run_id", code.alias("code"))
+    v, known = F.col("verdict"), set(reports.columns)
+    repeated = F.coalesce("repeated", F.lit(False)) if "repeated" in known else F.lit(False)
+    blocks = [
+        ("claims_ok", "claims have not passed"),
+        ("claims_fresh", "an input of the claims changed"),
+        ("brief_ok", "brief has not passed"),
+        ("brief_fresh", "brief or claims changed since the brief passed"),
+        ("bound", "report is of other claims or another brief"),
+    ]
+    cases = [(4, ~repeated & (F.col("round") > most_rounds), "round cap reached")]
+    cases += [(2, ~F.coalesce(c, F.lit(False)), m) for c, m in blocks if c in known]
+    cases += [
+        (2, F.coalesce("n", F.lit(0)) > 0, "report has issues"),
+        (3, F.coalesce("escalated", F.lit(False)), "escalated"),
+        (2, v == "fail", "verdict fail"),
+        (1, v == "pass_with_warnings", "warnings"),
+    ]
+    first = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("code"), F.lit(m).alias("reason"))) for k, c, m in cases]))
+    ended = F.coalesce(F.get(first, F.lit(0)), F.struct(F.lit(0).alias("code"), F.lit("pass").alias("reason")))
+    return reports.join(n, "run_id", "left").select("run_id", ended.alias("e")).select("run_id", "e.code", "e.reason")
+
+
+def previous_rounds(rounds: DataFrame) -> DataFrame:
+    """Rounds with ``previous`` (the round before it in its run, null for the first) and whether it
+    is the ``latest``."""
+    w = Window.partitionBy("run_id").orderBy("round")
+    return rounds.withColumn("previous", F.lag("round").over(w)).withColumn("latest", F.lead("round").over(w).isNull())
 
 
 def same_bundle(current: DataFrame, snapshot: DataFrame, parts: list[str]) -> DataFrame:

@@ -34,8 +34,11 @@ def point_in_time(facts: DataFrame, keys: list[str]) -> DataFrame:
 
 def expand_queries(companies: DataFrame, templates: DataFrame, peers: DataFrame) -> DataFrame:
     """``run_id, class, select_key, pos, query``: templates (class, pos, template) filled for every
-    company, those with class ``peer`` for each of its peers. Templates are a short list."""
-    base = companies.crossJoin(F.broadcast(templates))
+    company, those with class ``peer`` for each of its peers. Templates are a setting, a list by hand."""
+    # A company carries the templates as one array, so that no side of a product needs a size.
+    listed = [F.struct(F.lit(t["class"]).alias("class"), F.lit(t["pos"]).alias("pos"), F.lit(t["template"]).alias("template")) for t in templates.collect()]
+    none = F.array().cast("array<struct<class:string,pos:int,template:string>>")
+    base = companies.withColumn("t", F.explode(F.array(*listed) if listed else none)).select("*", "t.*").drop("t")
     own = base.where("class <> 'peer'").withColumn("peer", F.lit("")).withColumn("peer_pos", F.lit(0))
     each = base.where("class = 'peer'").join(peers.select("run_id", "peer", "peer_pos"), "run_id")
     text = F.col("template")
@@ -89,5 +92,10 @@ def evidence_ids(selected: DataFrame, prefix: str = "web-") -> DataFrame:
     return selected.withColumn("id", F.concat(F.lit(prefix), F.lpad(F.col("selected").cast("string"), 3, "0")))
 
 
+def by_date(bars: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
+    """Bars numbered by date within each series: dates ascend, whatever order the payload had."""
+    return bars.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(date)))
+
+
 def series_summary(bars: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
     return bars.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), F.min(date).alias("first"), F.max(date).alias("last"))

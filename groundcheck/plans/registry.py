@@ -147,18 +147,20 @@ def round_robin_selection(spark, sf_dir):
     return selection.round_robin(events, 15, run="day", url="u", score="value", pos="event_id", select_key="event_type", cls="none").select("day", "event_id", "selected")
 
 
-@query(r"""WITH l AS (SELECT doc_id, n - 1 AS line_no, lines[n] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
+@query(r"""WITH l AS (SELECT doc_id, n - 1 AS line_no, lines[n] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM documents))),
 b AS (SELECT *, trim(regexp_replace(line, '\s+', ' ', 'g')) = '' AS blank FROM l),
 i AS (SELECT *, regexp_matches(line, '^\s*(?:[-*+]|\d+\.)\s+') AS item, regexp_matches(line, '^\s*#+\s') AS head FROM b),
 g AS (SELECT *, sum(CASE WHEN blank OR head OR item THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM i)
 SELECT doc_id, count(DISTINCT g) AS units, CAST(sum(length(line)) AS BIGINT) AS chars FROM g WHERE NOT blank AND NOT head GROUP BY doc_id""")
 def brief_units(spark, sf_dir):
     """Grounding units of every document and the characters in their lines."""
-    units = briefs.grounding_units(table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("run_id"), F.regexp_replace("text", "\r\n?", "\n").alias("text")), "run_id")
+    units = briefs.grounding_units(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("run_id"), F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n").alias("text")), "run_id")
     return units.groupBy(F.col("run_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("units"), F.sum(F.length(F.replace("body", F.lit("\n"), F.lit("")))).alias("chars"))
 
 
-@query()
+@query(r"""WITH t AS (SELECT conv_id, turn, upper(substr(coalesce(role, 'unknown'), 1, 1)) || lower(substr(coalesce(role, 'unknown'), 2)) AS speaker, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS text FROM conversations),
+q AS (SELECT conv_id, min(turn) AS first_qa FROM t WHERE regexp_matches(lower(text), 'go to q&a|move over to q&a|open the line for q&a|q&a session commences|begin the question-and-answer session') GROUP BY 1)
+SELECT t.conv_id, 'seg-' || CASE WHEN row_number() OVER w < 10000 THEN lpad(CAST(row_number() OVER w AS VARCHAR), 4, '0') ELSE CAST(row_number() OVER w AS VARCHAR) END AS id, CASE WHEN turn > first_qa THEN 'qa' ELSE 'prepared' END AS section, speaker, text FROM t LEFT JOIN q ON q.conv_id = t.conv_id WHERE text <> '' WINDOW w AS (PARTITION BY t.conv_id ORDER BY turn)""")
 def segmented_conversations(spark, sf_dir):
     """Conversations as transcripts: turns become speaker lines, segments come back."""
     turns = table(spark, sf_dir, "conversations")
@@ -189,19 +191,22 @@ def coverage_difference(spark, sf_dir):
 
 
 @query("""WITH e AS (SELECT CAST(o_custkey AS VARCHAR) AS run_id, CAST(o_orderkey AS VARCHAR) AS id FROM orders),
-r AS (SELECT run_id, id, CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'skipped' WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'extracted' ELSE 'immaterial' END AS outcome, CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN '' ELSE 'said' END AS reason FROM e WHERE CAST(id AS BIGINT) % 13 <> 0)
+r AS (SELECT run_id, id, CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'skipped' WHEN CAST(id AS BIGINT) % 2 = 0 THEN 'claims_extracted' ELSE 'deliberately_immaterial' END AS outcome, CASE WHEN CAST(id AS BIGINT) % 5 = 0 THEN '' ELSE 'said' END AS reason FROM e WHERE CAST(id AS BIGINT) % 13 <> 0)
 SELECT message, count(*) AS n FROM (
-SELECT 'missing from the receipt' AS message FROM e WHERE CAST(id AS BIGINT) % 13 = 0 AND run_id IN (SELECT run_id FROM e)
-UNION ALL SELECT 'outcome must be extracted or immaterial' FROM r WHERE outcome = 'skipped'
-UNION ALL SELECT 'extracted without claim ids' FROM r WHERE outcome = 'extracted'
-UNION ALL SELECT 'immaterial without a reason' FROM r WHERE outcome = 'immaterial' AND reason = '') GROUP BY message""")
+SELECT 'missing from the receipt' AS message FROM e WHERE CAST(id AS BIGINT) % 13 = 0 AND run_id IN (SELECT run_id FROM r)
+UNION ALL SELECT 'section is missing: ' || count(*) || ' unaccounted for' FROM e WHERE run_id NOT IN (SELECT run_id FROM r) GROUP BY run_id
+UNION ALL SELECT 'outcome must be claims_extracted or deliberately_immaterial' FROM r WHERE outcome = 'skipped'
+UNION ALL SELECT 'extracted without claim ids' FROM r WHERE outcome = 'claims_extracted' AND CAST(id AS BIGINT) % 3 <> 0
+UNION ALL SELECT 'unknown claim id(s): claim-none' FROM r WHERE CAST(id AS BIGINT) % 3 = 0
+UNION ALL SELECT 'immaterial with claim ids' FROM r WHERE outcome = 'deliberately_immaterial' AND CAST(id AS BIGINT) % 3 = 0
+UNION ALL SELECT 'immaterial without a reason' FROM r WHERE outcome = 'deliberately_immaterial' AND reason = '') GROUP BY message""")
 def coverage_receipts(spark, sf_dir):
     """Orders as evidence of their customers, and a receipt that leaves some out."""
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     evidence = orders.select(F.col("o_custkey").cast("string").alias("run_id"), F.lit("segments").alias("section"), key.cast("string").alias("id"))
-    outcome = F.when(key % 11 == 0, "skipped").when(key % 2 == 0, "extracted").otherwise("immaterial")
-    receipt = orders.where(key % 13 != 0).select(F.col("o_custkey").cast("string").alias("run_id"), F.lit("segments").alias("section"), key.cast("string").alias("id"), outcome.alias("outcome"), F.array().cast("array<string>").alias("claim_ids"), F.when(key % 5 == 0, "").otherwise("said").alias("reason"))
+    outcome = F.when(key % 11 == 0, "skipped").when(key % 2 == 0, coverage.EXTRACTED).otherwise(coverage.IMMATERIAL)
+    receipt = orders.where(key % 13 != 0).select(F.col("o_custkey").cast("string").alias("run_id"), F.lit("segments").alias("section"), key.cast("string").alias("id"), outcome.alias("outcome"), F.when(key % 3 == 0, F.array(F.lit("claim-none"))).otherwise(F.array().cast("array<string>")).alias("claim_ids"), F.when(key % 5 == 0, "").otherwise("said").alias("reason"))
     found = coverage.coverage_issues(receipt, evidence, tables.claims(table(spark, sf_dir, "documents")))
     return found.groupBy("message").agg(F.count(F.lit(1)).alias("n"))
 
@@ -217,10 +222,10 @@ def record_diff(spark, sf_dir):
     return reviews.claim_diff(old, new, ["doc_id"], ["lang", "source"]).select("doc_id", "change")
 
 
-@query("""SELECT user_id AS run_id, event_type AS stage, count(*) AS attempts, count(*) FILTER (WHERE value < 10) AS rejections, greatest(count(*) - 1, 0) AS retries, arg_max(CASE WHEN value < 10 THEN 'rejected' ELSE 'passed' END, event_id) AS outcome FROM events GROUP BY 1, 2""")
+@query("""SELECT user_id AS run_id, event_type AS stage, count(*) AS attempts, count(*) FILTER (WHERE value < 30) AS rejections, greatest(count(*) - 1, 0) AS retries, arg_max(CASE WHEN value < 10 THEN 'rejected' WHEN value < 20 THEN 'blocked' WHEN value < 30 THEN 'failed' ELSE 'passed' END, event_id) AS outcome FROM events GROUP BY 1, 2""")
 def attempt_rollup(spark, sf_dir):
     """Events as attempts of stages: rejections, retries, last outcome."""
-    attempts = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"), F.col("event_id").alias("attempt"), F.when(F.col("value") < 10, "rejected").otherwise("passed").alias("outcome"))
+    attempts = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"), F.col("event_id").alias("attempt"), F.when(F.col("value") < 10, "rejected").when(F.col("value") < 20, "blocked").when(F.col("value") < 30, "failed").otherwise("passed").alias("outcome"))
     return audits.attempt_rollup(attempts)
 
 
@@ -236,7 +241,9 @@ def severity_pivot(spark, sf_dir):
 def daily_series(spark, sf_dir):
     """Daily bars of every event type."""
     events = table(spark, sf_dir, "events").where("value is not null").withColumn("date", F.col("ts").cast("date"))
-    return events.groupBy("event_type", "date").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.min_by("value", "event_id").alias("open"), F.max_by("value", "event_id").alias("close"), F.count(F.lit(1)).alias("row_count"))
+    counts = selection.series_summary(events, ["event_type", "date"]).select("event_type", "date", "row_count")
+    bars = events.groupBy("event_type", "date").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.min_by("value", "event_id").alias("open"), F.max_by("value", "event_id").alias("close"))
+    return bars.join(counts, ["event_type", "date"])
 
 
 _ANSWERS = "(SELECT event_id, user_id, ((event_id * 37) % 101) / 100.0 AS noul FROM events)"
@@ -274,10 +281,10 @@ def expanded_queries(spark, sf_dir):
     return selection.expand_queries(companies, templates, peers).select("run_id", "class", "select_key", "query")
 
 
-@query(r"""SELECT doc_id, regexp_matches(text, '[$€£]\s?\d|\d\s?%|\d[\d,]*(\.\d+)?\s*(thousand|million|billion|trillion|bps|basis\s+points)\b|\bper\s+cent\b', 'i') AS financial, regexp_matches(text, '\b(every|all (four|three|of the)|none of|no (peer|bank|competitor)s?|each of the)\b', 'i') AS universal, length(text) - length(replace(text, '$', '')) AS dollars FROM documents WHERE text IS NOT NULL AND text NOT LIKE '%\%' """)
+@query(r"""SELECT doc_id, regexp_matches(text, '[$€£]\s?\d|\d\s?%|\d[\d,]*(\.\d+)?\s*(thousand|million|billion|trillion|bps|basis\s+points)\b|\bper\s+cent\b', 'i') AS financial, regexp_matches(text, '\b(every|all (four|three|of the)|none of|no (peer|bank|competitor)s?|each of the)\b', 'i') AS universal, length(text) - length(replace(text, '$', '')) AS dollars FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\\$', ' ', 'g') AS text FROM documents)""")
 def prose_flags(spark, sf_dir):
     """Financial figures, universal quantifiers and bare dollar signs of all texts."""
-    docs = table(spark, sf_dir, "documents").where("text is not null")
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     return docs.select("doc_id", tx.has_financial_figure(F.col("text")).alias("financial"), tx.has_universal_quantifier(F.col("text")).alias("universal"), tx.unescaped_dollars(F.col("text"))["n"].alias("dollars"))
 
 
@@ -292,13 +299,19 @@ def card_categories(spark, sf_dir):
 
 
 
-@query("""SELECT source AS run_id, CAST(doc_id AS VARCHAR) AS path, CASE WHEN doc_id % 10 = 3 THEN 'file is missing' WHEN doc_id % 11 = 4 THEN 'length differs' ELSE 'hash differs' END AS message
-FROM documents WHERE text IS NOT NULL AND (doc_id % 10 = 3 OR doc_id % 11 = 4 OR doc_id % 9 = 0)""")
+@query("""WITH m AS (SELECT source AS run_id, doc_id AS d, CASE doc_id % 13 WHEN 0 THEN '../' || doc_id WHEN 1 THEN 'a/./../' || doc_id WHEN 2 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS path FROM documents)
+SELECT run_id, path, 'path is empty or leaves the run' AS message FROM m WHERE d % 13 IN (0, 2)
+UNION ALL SELECT run_id, path, 'file is missing' FROM m WHERE d % 13 NOT IN (0, 2) AND d % 10 = 3
+UNION ALL SELECT run_id, path, 'length differs' FROM m WHERE d % 13 NOT IN (0, 2) AND d % 10 <> 3 AND d % 11 IN (4, 5)
+UNION ALL SELECT run_id, path, 'hash differs' FROM m WHERE d % 13 NOT IN (0, 2) AND d % 10 <> 3 AND d % 9 IN (0, 1, 2)""")
 def manifest_integrity(spark, sf_dir):
-    """Documents as files against a manifest with some wrong hashes, lengths and paths."""
+    """Documents as files against a manifest with some wrong or missing hashes, lengths and paths."""
     d = F.col("doc_id")
-    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.col("source").alias("run_id"), d, d.cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
-    manifest = docs.select("run_id", "path", F.when(d % 9 == 0, "0").otherwise(F.sha2("content", 256)).alias("sha256"), (F.octet_length("content") + F.when(d % 11 == 4, 1).otherwise(0)).alias("byte_length"))
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("run_id"), d, d.cast("string").alias("path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+    told = F.when(d % 13 == 0, F.concat(F.lit("../"), "path")).when(d % 13 == 1, F.concat(F.lit("a/./../"), "path")).when(d % 13 == 2, "").otherwise(F.col("path"))
+    sha = F.when(d % 9 == 0, "0").when(d % 9 == 1, F.upper(F.sha2("content", 256))).when(d % 9 > 2, F.sha2("content", 256))
+    length = F.when(d % 11 == 4, F.octet_length("content") + 1).when(d % 11 != 5, F.octet_length("content"))
+    manifest = docs.select("run_id", told.alias("path"), sha.alias("sha256"), length.alias("byte_length"))
     return integrity.manifest_issues(manifest, docs.where(d % 10 != 3).select("run_id", "path", "content"))
 
 
@@ -315,13 +328,13 @@ def stale_inputs(spark, sf_dir):
 
 @query("""WITH l AS (SELECT o_custkey AS c, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'O') AS ok FROM orders GROUP BY 1),
 d AS (SELECT c_custkey, c_custkey % 3 AS k, c_custkey % 5 = 0 AS mute, coalesce(n, 0) AS n, coalesce(ok, 0) AS ok FROM customer LEFT JOIN l ON c = c_custkey)
-SELECT message, count(*) AS n FROM (SELECT 'decision has no reason' AS message FROM d WHERE mute UNION ALL SELECT 'used without a successful lookup' FROM d WHERE k = 0 AND ok = 0
-UNION ALL SELECT 'failed needs lookups and no success' FROM d WHERE k = 1 AND (n = 0 OR ok > 0) UNION ALL SELECT 'not used but looked up' FROM d WHERE k = 2 AND n > 0) GROUP BY message""")
+SELECT message, count(*) AS n FROM (SELECT 'log has another ticker' AS message FROM d WHERE n > 0 AND c_custkey % 7 = 2 UNION ALL SELECT 'decision has no reason' FROM d WHERE mute UNION ALL SELECT 'used without a successful lookup' FROM d WHERE k = 0 AND ok = 0
+UNION ALL SELECT 'attempted_failed needs lookups and no success' FROM d WHERE k = 1 AND (n = 0 OR ok > 0) UNION ALL SELECT 'not used but looked up' FROM d WHERE k = 2 AND n > 0) GROUP BY message""")
 def price_decisions(spark, sf_dir):
     """Customers' decisions against their orders as a lookup log."""
     k = F.col("c_custkey")
-    decisions = table(spark, sf_dir, "customer").select(k.alias("run_id"), F.element_at(F.array(F.lit("used"), F.lit("failed"), F.lit("not_used")), (k % 3 + 1).cast("int")).alias("decision"), F.when(k % 5 == 0, " ").otherwise("said").alias("reason"))
-    log = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.lit("T").alias("ticker"), F.when(F.col("o_orderstatus") == "O", "ok").otherwise("error").alias("status"), F.lit("T").alias("own_ticker"))
+    decisions = table(spark, sf_dir, "customer").select(k.alias("run_id"), F.element_at(F.array(F.lit("used"), F.lit("attempted_failed"), F.lit("not_used")), (k % 3 + 1).cast("int")).alias("decision"), F.when(k % 5 == 0, " ").otherwise("said").alias("reason"))
+    log = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.when(F.col("o_custkey") % 7 != 2, "ACM").alias("ticker"), F.when(F.col("o_orderstatus") == "O", "ok").otherwise("error").alias("status"), F.lit("acm").alias("own_ticker"))
     return integrity.price_issues(decisions, log).groupBy("message").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -336,8 +349,10 @@ def replayed_calls(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT o_custkey AS run_id, o_orderkey AS id FROM orders), l AS (SELECT * FROM c WHERE id % 7 <> 0 UNION ALL SELECT * FROM c WHERE id % 9 = 0 AND id % 7 <> 0 UNION ALL SELECT run_id, id + 1000000000 FROM c WHERE id % 50 = 1)
-SELECT run_id, kind, count(*) AS n FROM (SELECT run_id, 'not accounted for' AS kind FROM c WHERE id % 7 = 0 AND run_id IN (SELECT run_id FROM l)
-UNION ALL SELECT run_id, 'in more than one bucket' FROM c WHERE id % 9 = 0 AND id % 7 <> 0 UNION ALL SELECT run_id, 'absent from the claims' FROM c WHERE id % 50 = 1) GROUP BY run_id, kind""")
+SELECT run_id, kind, count(*) AS n FROM (SELECT run_id, 'not accounted for' AS kind FROM c WHERE id % 7 = 0 AND run_id % 11 <> 3
+UNION ALL SELECT run_id, 'receipt is missing' FROM (SELECT DISTINCT run_id FROM c WHERE run_id % 11 = 3)
+UNION ALL SELECT run_id, 'in more than one bucket' FROM c WHERE id % 50 = 1 AND id % 3 = 0 AND run_id % 11 <> 3
+UNION ALL SELECT run_id, 'in more than one bucket' FROM c WHERE id % 9 = 0 AND id % 7 <> 0 AND run_id % 11 <> 3 UNION ALL SELECT run_id, 'absent from the claims' FROM c WHERE id % 50 = 1 AND run_id % 11 <> 3) GROUP BY run_id, kind""")
 def review_receipts(spark, sf_dir):
     """Orders as claims of their customers; a receipt that leaves out, doubles and invents some."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("k"))
@@ -345,13 +360,14 @@ def review_receipts(spark, sf_dir):
     kept = orders.where(k % 7 != 0)
     listed = kept.select("run_id", F.lit("reviewed_ok").alias("bucket"), k.cast("string").alias("claim_id"))
     listed = listed.unionByName(kept.where(k % 9 == 0).select("run_id", F.lit("unverifiable").alias("bucket"), k.cast("string").alias("claim_id")))
-    listed = listed.unionByName(orders.where(k % 50 == 1).select("run_id", F.lit("reviewed_ok").alias("bucket"), (k + 1000000000).cast("string").alias("claim_id")))
-    reports = orders.select("run_id").distinct().select("run_id", F.lit("full").alias("mode"), F.lit(1).alias("unverified_items"))
+    unknown = orders.where(k % 50 == 1).select("run_id", F.lit("reviewed_ok").alias("bucket"), (k + 1000000000).cast("string").alias("claim_id"))
+    listed = listed.unionByName(unknown).unionByName(unknown.where(k % 3 == 0)).where("run_id % 11 <> 3")
+    reports = orders.select("run_id").distinct().select("run_id", F.lit("full").alias("mode"), F.lit(1).alias("unverified_items"), (F.col("run_id") % 11 != 3).alias("has_receipt"))
     findings = spark.createDataFrame([], "run_id long, list_name string, idx int, severity string, artifact string, passage string, evidence string, recommendation string")
-    found = reviews.receipt_issues(reports, listed, findings, orders.select("run_id", k.cast("string").alias("id"))).where("message <> 'receipt is missing'")
+    found = reviews.receipt_issues(reports, listed, findings, orders.select("run_id", k.cast("string").alias("id")))
     ids = F.split(F.regexp_replace(F.regexp_replace("message", "^[^:]*: ", ""), " and (\\d+) more$", ""), ", ")
     more = F.coalesce(F.regexp_extract("message", " and (\\d+) more$", 1).try_cast("long"), F.lit(0))
-    return found.select("run_id", F.regexp_extract("message", "^([^:]*):", 1).alias("kind"), (F.size(ids) + more).alias("n"))
+    return found.select("run_id", F.regexp_extract("message", "^([^:]*)", 1).alias("kind"), (F.size(ids) + more).alias("n"))
 
 
 @query("""WITH f AS (SELECT o_custkey, count(*) AS n, bool_or(o_orderkey % 5 >= 2) AS over_low, bool_or(o_orderkey % 5 >= 3) AS over_medium FROM orders WHERE o_orderkey % 6 = 0 GROUP BY 1),
@@ -376,10 +392,10 @@ def open_triage(spark, sf_dir):
     return triage.open_items(events, settled.unionByName(groups)).select("run_id", F.col("key").cast("long").alias("key"))
 
 
-@query("""WITH x AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line FROM documents WHERE text IS NOT NULL) SELECT DISTINCT line FROM x WHERE line <> '' AND doc_id % 2 = 1 AND line NOT IN (SELECT line FROM x WHERE doc_id % 2 = 0)""")
+@query("""WITH x AS (SELECT doc_id, trim(unnest(string_split(coalesce(text, ''), chr(10)))) AS line FROM documents) SELECT DISTINCT line FROM x WHERE line <> '' AND doc_id % 2 = 1 AND line NOT IN (SELECT line FROM x WHERE doc_id % 2 = 0)""")
 def new_lessons(spark, sf_dir):
     """Lines of odd documents that no even document has, once each."""
-    lines = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line"))
     return audits.new_lessons(lines.where("doc_id % 2 = 1"), lines.where("doc_id % 2 = 0"))
 
 
@@ -434,10 +450,10 @@ def audit_runs(spark, sf_dir):
     return audits.audit_runs(answers).withColumn("cost", F.round("cost", 4))
 
 
-@query("""SELECT doc_id, length(text) - length(replace(text, '$', '')) AS signs, sha256(replace(text, '$', chr(92) || '$')) AS escaped FROM documents WHERE text IS NOT NULL AND strpos(text, chr(92)) = 0""")
+@query("""SELECT doc_id, length(text) - length(replace(text, '$', '')) AS signs, sha256(replace(replace(text, chr(92) || '$', '$'), '$', chr(92) || '$')) AS escaped FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""")
 def escaped_currency(spark, sf_dir):
     """All texts, their bare dollar signs escaped."""
-    docs = table(spark, sf_dir, "documents").where("text is not null")
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     return docs.select("doc_id", (F.length("text") - F.length(F.replace("text", F.lit("$"), F.lit("")))).alias("signs"), F.sha2(tx.escape_currency(F.col("text")), 256).alias("escaped"))
 
 
@@ -449,10 +465,11 @@ def audit_questions(spark, sf_dir):
     return found.select("run_id", "id", F.size("questions").alias("questions"), "note", "state_hash")
 
 
-@query()
+@query("""SELECT 'd' || doc_id AS "key", p AS pattern, CASE WHEN p = 'jailbreak' THEN 2 ELSE 1 END AS n FROM documents, (VALUES ('jailbreak'), ('system prompt')) v(p) WHERE doc_id % 10 = 0""")
 def injection_findings(spark, sf_dir):
-    """Injection patterns found in documents and pages, counted."""
-    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text")
+    """Injection patterns in documents, every tenth of which has some planted, and in pages, counted."""
+    planted = F.when(F.col("doc_id") % 10 == 0, " JailBreak the system prompt, jailbreak").otherwise("")
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), F.concat(F.coalesce("text", F.lit("")), planted).alias("text"))
     pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("key"), F.col("html").alias("text"))
     return documents.injection_counts(docs.unionByName(pages), "key", "text")
 
@@ -462,6 +479,6 @@ def brief_figures(spark, sf_dir):
     """Documents as briefs that cite their own claim: figures it does not hold, and citations."""
     docs = table(spark, sf_dir, "documents")
     own = tables.claims(docs).withColumn("run_id", F.col("id"))
-    texts = docs.where("text is not null").select(F.concat(F.lit("claim-"), F.col("doc_id").cast("string")).alias("run_id"), F.concat("text", F.lit(" [claim-"), F.col("doc_id").cast("string"), F.lit("]")).alias("text"))
+    texts = docs.select(F.concat(F.lit("claim-"), F.col("doc_id").cast("string")).alias("run_id"), F.concat(F.coalesce("text", F.lit("")), F.lit(" [claim-"), F.col("doc_id").cast("string"), F.lit("]")).alias("text"))
     found = briefs.number_issues(texts, own).select("run_id", "check", "message")
     return found.unionByName(briefs.citation_issues(texts, own).select("run_id", "check", "message")).unionByName(briefs.dollar_issues(texts))

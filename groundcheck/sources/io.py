@@ -82,8 +82,9 @@ def search_hits(spark: SparkSession, path: str, depth: int = 2) -> DataFrame:
 
 def company_facts(rows: DataFrame, json_col: str, key: str = "cik") -> DataFrame:
     """``key, concept, unit, unit_pos, entry_pos, start, end, val, form, fy, filed, accn`` of nested
-    fact JSON (a map from concept)."""
-    concepts = rows.select(key, F.explode(F.from_json(json_col, FACTS)).alias("concept", "body"))
+    fact JSON: a payload with ``facts.us-gaap``, or that map from concept alone."""
+    inner = F.coalesce(F.get_json_object(json_col, "$.facts['us-gaap']"), F.col(json_col))
+    concepts = rows.select(key, F.explode(F.from_json(inner, FACTS)).alias("concept", "body"))
     units = concepts.select(key, "concept", F.posexplode(F.map_entries("body.units")).alias("unit_pos", "u"))
     return units.select(key, "concept", F.col("u.key").alias("unit"), "unit_pos", F.posexplode("u.value").alias("entry_pos", "e")).select(key, "concept", "unit", "unit_pos", "entry_pos", "e.start", "e.end", "e.val", "e.form", "e.fy", "e.filed", "e.accn")
 
@@ -127,9 +128,9 @@ def append_log(df: DataFrame, path: str, by: list[str] | None = None) -> None:
 
 
 def write_artifacts(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Artifacts by run, in folders of ticker and event."""
-    df.write.mode("overwrite").partitionBy("ticker", "event_id").format(kind).save(path)
+    """Artifacts by run, in folders of ticker and event; only the runs in ``df`` are replaced."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ticker", "event_id").format(kind).save(path)
 
 
 def write_cards(cards: DataFrame, path: str, text: Column) -> None:
-    cards.select("ticker", "event_id", text.alias("value")).write.mode("overwrite").partitionBy("ticker", "event_id").text(path)
+    cards.select("ticker", "event_id", text.alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ticker", "event_id").text(path)

@@ -161,12 +161,12 @@ def test_segmentation(spark):
 def test_coverage(spark):
     evidence = spark.createDataFrame([("r", "segments", s) for s in "abcde"], "run_id string, section string, id string")
     receipt = spark.createDataFrame(
-        [("r", "segments", "a", "extracted", ["claim-1"], None), ("r", "segments", "b", "immaterial", [], " "), ("r", "segments", "c", "skipped", [], "x"), ("r", "segments", "d", "extracted", ["claim-9"], None), ("r", "segments", "z", "immaterial", [], "ok"), ("r", "web_evidence", "w", "skipped", [], None)],
+        [("r", "segments", "a", "claims_extracted", ["claim-1"], None), ("r", "segments", "b", "deliberately_immaterial", [], " "), ("r", "segments", "c", "skipped", [], "x"), ("r", "segments", "d", "claims_extracted", ["claim-9"], None), ("r", "segments", "z", "deliberately_immaterial", [], "ok"), ("r", "web_evidence", "w", "skipped", [], None)],
         "run_id string, section string, id string, outcome string, claim_ids array<string>, reason string",
     )
     own = spark.createDataFrame([("r", "claim-1")], "run_id string, id string")
     got = {(i.id, i.message.split(":")[0]) for i in coverage.coverage_issues(receipt, evidence, own).collect()}
-    assert got == {("b", "immaterial without a reason"), ("c", "outcome must be extracted or immaterial"), ("d", "unknown claim id(s)"), ("e", "missing from the receipt"), ("z", "not in this run's evidence")}
+    assert got == {("b", "immaterial without a reason"), ("c", "outcome must be claims_extracted or deliberately_immaterial"), ("d", "unknown claim id(s)"), ("e", "missing from the receipt"), ("z", "not in this run's evidence")}
 
 
 def test_briefs(spark):
@@ -210,6 +210,8 @@ def test_escalation_and_gate(spark):
     reports = spark.createDataFrame([("a", 1, "pass", False), ("b", 4, "pass", False), ("c", 2, "fail", False), ("d", 2, "pass", True), ("e", 1, "pass_with_warnings", False)], "run_id string, round int, verdict string, escalated boolean")
     none = spark.createDataFrame([], "run_id string, check string, message string")
     assert {g.run_id: g.code for g in reviews.review_gate(reports, none).collect()} == {"a": 0, "b": 4, "c": 2, "d": 3, "e": 1}
+    more = spark.createDataFrame([("a", 4, "pass", False, True, True, True), ("b", 2, "fail", True, False, True, True), ("c", 2, "pass", False, False, None, True), ("d", 2, "pass", True, False, True, False)], "run_id string, round int, verdict string, escalated boolean, repeated boolean, claims_ok boolean, bound boolean")
+    assert {g.run_id: g.code for g in reviews.review_gate(more, none).collect()} == {"a": 0, "b": 3, "c": 2, "d": 2}
 
 
 def test_integrity(spark):
@@ -220,7 +222,7 @@ def test_integrity(spark):
     recorded = spark.createDataFrame([("r", {"x": "1", "y": "2"}), ("s", {"x": "1"})], "run_id string, input_hashes map<string,string>")
     now = spark.createDataFrame([("r", "x", "1"), ("r", "y", "3"), ("s", "x", "1")], "run_id string, name string, sha256 string")
     assert {r.run_id: (r.fresh, r.stale) for r in integrity.staleness(recorded, now, ["x"]).collect()} == {"r": (False, ["y"]), "s": (True, [])}
-    decisions = spark.createDataFrame([("ok", "used", "why"), ("bad", "used", "why"), ("none", "not_used", "why"), ("f", "failed", "why"), ("r", "not_used", "")], "run_id string, decision string, reason string")
+    decisions = spark.createDataFrame([("ok", "used", "why"), ("bad", "used", "why"), ("none", "not_used", "why"), ("f", "attempted_failed", "why"), ("r", "not_used", "")], "run_id string, decision string, reason string")
     log = spark.createDataFrame([("ok", "T", "ok", "T"), ("bad", "T", "error", "T"), ("f", "T", "error", "T")], "run_id string, ticker string, status string, own_ticker string")
     assert {i.run_id for i in integrity.price_issues(decisions, log).collect()} == {"bad", "r"}
 

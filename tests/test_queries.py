@@ -6,7 +6,7 @@ import re
 import duckdb
 import pytest
 
-from groundcheck.plans import registry
+from groundcheck.plans import checks, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,7 +52,7 @@ def test_texts_with_backslashes_are_kept(spark, tmp_path):
     texts = [r"costs \$5 or $6 million", "C:\\every\\path", r"\\$1 and \$$2", "every bank pays $3", "a\\nb 4 % \n\\$7\n$8", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     bare = re.compile(r"(?<!\\)\$")
-    want = {i: t for i, t in enumerate(texts) if t is not None}
+    want = {i: t or "" for i, t in enumerate(texts)}
     escaped = {r.doc_id: (r.signs, r.escaped) for r in registry.QUERIES["escaped_currency"](spark, str(tmp_path)).collect()}
     assert escaped == {i: (t.count("$"), hashlib.sha256(bare.sub(r"\\$", t).encode()).hexdigest()) for i, t in want.items()}
     flags = {r.doc_id: (r.financial, r.universal, r.dollars) for r in registry.QUERIES["prose_flags"](spark, str(tmp_path)).collect()}

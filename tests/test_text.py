@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,7 +96,41 @@ def test_html_and_injection(spark):
     assert [(r.pattern, r.n) for r in documents.injection_counts(df, "id", "t").collect()] == [("jailbreak", 2)]
 
 
+def laid_out(text, banners):
+    """The rule read line by line: what has been put out so far decides about banners."""
+    word = "[^\\W\\d_](?:[^\\W\\d_]|['’.\\-])*"
+    out, fresh, lines, i = [], True, [x.strip() for x in text.split("\n")], 0
+    while i < len(lines):
+        line = lines[i]
+        words = line.split()
+        name = bool(re.fullmatch(rf"{word}(?:\s+{word}){{0,4}}", line)) and all(w[0].isupper() for w in words)
+        if not line:
+            pass
+        elif re.match(r"[.]{10,}$", line):
+            fresh = True
+        elif any(re.match(b, line) for b in banners):
+            if out and not re.search("[.?!:]$", out[-1]):
+                out, fresh = [*out, line], False
+        elif fresh and name:
+            after = lines[i + 1] if i + 1 < len(lines) else ""
+            titled = bool(after) and len(after) < 150 and after[-1] not in "?!" and sum(w[0].isupper() for w in after.split()) >= max(1, (len(after.split()) + 1) // 2)
+            out, fresh = [*out, f"{line} — {after}:" if titled else f"{line}:"], False
+            i += titled
+        else:
+            out, fresh = [*out, line], False
+        i += 1
+    return "\n".join(out)
+
+
 def test_vendor_layout(spark):
     text = "..........\nJane Smith\nChief Executive Officer\nGood day. All fine.\n............\nOperator\nPlease go ahead.\n"
-    got = one(spark, documents.reformat_vendor_layout(F.lit(text)))
-    assert got == "Jane Smith — Chief Executive Officer:\nGood day. All fine.\nOperator:\nPlease go ahead.\n"
+    fixed = {0: text, 1: "..........\nFINAL TRANSCRIPT\nJohn Doe\nAnalyst\nHello", 2: "", 3: None}
+    rng = random.Random(3)
+    parts = ["", "..........", "12", "500", "PAGE 3.", "Jane Smith", "Bob Ray", "Chief Officer", "we grew to", "All is well.", "Why?", "Operator"]
+    texts = fixed | {i: "\n".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for i in range(4, 400)}
+    banners = [r"\d{1,4}$", "PAGE", "FINAL TRANSCRIPT"]
+    df = spark.createDataFrame(list(texts.items()), "id int, text string")
+    got = {r.id: r.text for r in documents.reformat_vendor_layout(df, "id", banners=banners).collect()}
+    assert got[0] == "Jane Smith — Chief Executive Officer:\nGood day. All fine.\nOperator:\nPlease go ahead." and got[3] is None
+    assert got[1] == "John Doe — Analyst:\nHello"
+    assert {i: g for i, g in got.items() if i != 3} == {i: laid_out(t, banners) for i, t in texts.items() if i != 3}
