@@ -73,9 +73,9 @@ def numbered(texts: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
-    """``keys, fp`` of every text (columns ``keys, text``) that has words, stored: ``fp`` has a
-    signature for each permutation. ``keys`` tell rows apart; ``texts`` is partitioned by the first
-    of them, and the join of its minima must not deal the texts out anew by all of them."""
+    """``keys, fp`` of every text (columns ``keys, text``) that has words: ``fp`` has a signature for
+    each permutation. ``keys`` tell rows apart; ``texts`` is partitioned by the first of them. Write
+    it under ``dealt_once``, so that joins do not deal the texts out anew by all keys."""
     v = ranks(tuples)
     first = numbered(texts, keys, k).groupBy(*keys).agg(*[F.min(v[i]).alias(f"a{i}") for i in range(tuples)])
     least = stored(first.select(*keys, F.array(*[F.col(f"a{i}") for i in range(tuples)]).alias("least")), "order-minima")
@@ -92,9 +92,13 @@ def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32)
         ordered = F.when(b.isNull(), F.xxhash64(rank(a))).when(place(a) < place(b), F.xxhash64(rank(a), rank(b))).otherwise(F.xxhash64(rank(b), rank(a)))
         return F.shiftrightunsigned(ordered, 32)
 
-    signed = found.select(*keys, F.array(*[signature(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(tuples)]).alias("fp"))
-    with setting(texts.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-        return stored(signed, "order-prints")
+    return found.select(*keys, F.array(*[signature(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(tuples)]).alias("fp"))
+
+
+def dealt_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored; its joins may use a partitioning by some of their keys."""
+    with setting(df.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        return stored(df, name)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -152,7 +156,7 @@ def edited(text: Column, other: Column) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """``id, fingerprint`` (an array of signatures) of every row."""
     ordered, _ = in_order(docs, id_col, text_col, 1000)
-    found = signatures(ordered.select("range", "nth", "text"), ["range", "nth"], k, tuples)
+    found = dealt_once(signatures(ordered.select("range", "nth", "text"), ["range", "nth"], k, tuples), "order-prints")
     none = F.array().cast("array<bigint>")
     return ordered.select("range", "nth", "id").join(found, ["range", "nth"], "left").select("id", F.coalesce("fp", none).alias("fingerprint"))
 
@@ -163,12 +167,13 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = with_next(docs, id_col, text_col).select("range", "nth", "id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
     pairs = base.select("range", "nth", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
     texts = pairs.select("range", "nth", "t.which", "t.text")
-    prints = signatures(texts, ["range", "nth", "which"], k, tuples)
+    prints = signatures(texts, ["range", "nth", "which"], k, tuples).groupBy("range", "nth")
+    prints = prints.agg(*[F.first(F.when(F.col("which") == which, F.col("fp")), ignorenulls=True).alias(name) for which, name in enumerate("ab")])
     none = F.array().cast("array<bigint>")
     facts = base.select("range", "nth", "id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    for which, name in enumerate("ab"):
-        facts = facts.join(prints.where(F.col("which") == which).select("range", "nth", F.col("fp").alias(name)), ["range", "nth"], "left")
-    rows = stored(facts.withColumns({c: F.coalesce(c, none) for c in "ab"}), "order-rows")
+    # Facts and signatures come from the same deal of the texts.
+    told = facts.join(prints, ["range", "nth"], "left").withColumns({c: F.coalesce(c, none) for c in "ab"})
+    rows = dealt_once(told, "order-rows")
     last = rows.groupBy("range").agg(F.max_by("a", "nth").alias("a"))
     around = Window.orderBy("range")
     edges = last.select("range", F.coalesce(F.lag("a").over(around), F.max_by("a", "range").over(Window.partitionBy())).alias("edge"))
