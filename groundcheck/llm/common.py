@@ -85,6 +85,12 @@ def join_spread(left: DataFrame, right: DataFrame, on: list[str], spread_by: lis
     return a.join(b, [*on, "_part"], how).drop("_part")
 
 
+def counted_small(df: DataFrame, name: str, rows: int = 100_000) -> DataFrame | None:
+    """``df`` stored and marked for broadcast if it is counted to have no more than ``rows`` rows."""
+    kept = stored(df, name)
+    return F.broadcast(kept) if kept.count() <= rows else None
+
+
 def fold(id_column: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))) % F.lit(modulus)

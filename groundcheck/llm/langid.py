@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import CHUNK_BYTES, lowered, pieces, text_column, utf8
+from groundcheck.llm.common import CHUNK_BYTES, counted_small, join_spread, lowered, pieces, text_column, utf8
 
 #: Language families, by code; a parameter of ``train``.
 FAMILIES = {
@@ -141,8 +141,11 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     whatever the size of the table."""
     known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    few = counted_small(counts, "languages")
+    # Texts of one language must never meet in one task.
+    told = join_spread(known, counts, ["lang"], ["id"]) if few is None else known.join(few, "lang")
     draw = F.pmod(F.xxhash64("id", F.lit("language sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return known.join(counts, "lang").where(draw * F.col("n") < per_language).select("text", "lang")
+    return told.where(draw * F.col("n") < per_language).select("text", "lang")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", families: dict[str, list[str]] | None = None, per_language: int = 400, epochs: int = 12, strength: float = 0.02) -> Model:

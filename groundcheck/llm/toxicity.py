@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import MARKS, lowered, pieces, span_hashes, text_column, utf8, word_spans
+from groundcheck.llm.common import MARKS, counted_small, lowered, pieces, span_hashes, text_column, utf8, word_spans
 
 
 @dataclass
@@ -142,10 +142,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = confirmed.where(draw(F.col("id")) * F.lit(float(toxic)) < positives).select("id")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     other = lambda c: draw(F.concat(F.lit("u"), F.coalesce(c.cast("string"), F.lit(""))))
-    p = _word_sets(rows.join(chosen, "id", "left_semi"))
+
+    def drawn(ids: DataFrame, name: str) -> DataFrame:
+        """Rows with these ids; the ids are few, as drawn, and counted before they are sent to all tasks."""
+        few = counted_small(ids, name)
+        return rows.join(ids if few is None else few, "id", "left_semi")
+
+    p = _word_sets(drawn(chosen, "confirmed"))
     if toxic < labelled:
         mixed = told.where(other(F.col("id")) * F.lit(float(labelled)) < unlabelled).select("id")
-        u = _word_sets(rows.join(mixed, "id", "left_semi"))
+        u = _word_sets(drawn(mixed, "unlabelled"))
     else:
         u = _word_sets(rows.where(other(F.col("id")) * F.lit(float(rows.count())) < unlabelled))
     if not p or not u:
