@@ -31,8 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from the documents: those that the machine of their
-    own family, at least, accepts with a margin of 0.1. Held-out documents lie at 0.2 and above but
-    for texts of a word or two; text in other languages, scripts or none lies about 0."""
+    own family, at least, accepts with a margin of 0.1. The README has the margins of held-out
+    documents and of text in other languages."""
     return langid.keep_identified(docs, langid.train(docs.where(fold(F.col("doc_id"), 4) != 2)), least_margin=0.1)
 
 
