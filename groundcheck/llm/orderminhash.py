@@ -59,31 +59,35 @@ def ranks(tuples: int) -> list[Column]:
     return [F.shiftleft(F.shiftrightunsigned(mixed(i), 32), POSITION_BITS).bitwiseOR(F.col("pos").cast("long")) for i in range(tuples)]
 
 
-def numbered(texts: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """``keys, pos, h``: every k-mer's place and the hash of the k-mer with the number of its occurrence."""
-    made = texts.select(*keys, kmers(F.col("text"), k).alias("kmers"))
+def numbered(texts: DataFrame, keys: list[str], carried: list[str], k: int) -> DataFrame:
+    """``keys, carried, pos, h``: every k-mer's place and the hash of the k-mer with the number of its occurrence."""
+    own = [*keys, *carried]
+    made = texts.select(*own, kmers(F.col("text"), k).alias("kmers"))
     repeats = F.size(F.array_distinct("kmers")) < F.size("kmers")
-    plain = made.where(~repeats).select(*keys, F.posexplode("kmers").alias("pos", "kmer"))
-    rows = made.where(repeats).select(*keys, F.posexplode("kmers").alias("pos", "kmer"))
+    plain = made.where(~repeats).select(*own, F.posexplode("kmers").alias("pos", "kmer"))
+    rows = made.where(repeats).select(*own, F.posexplode("kmers").alias("pos", "kmer"))
     # Sorting by one mixed key first settles nearly all comparisons by its eight bytes.
     rows = rows.withColumn("mixed", F.xxhash64(*keys, "kmer"))
     nth = F.row_number().over(Window.partitionBy("mixed", *keys, "kmer").orderBy("pos"))
-    counted = rows.select(*keys, "pos", F.xxhash64("kmer", nth).alias("h"))
-    return plain.select(*keys, "pos", F.xxhash64("kmer", F.lit(1)).alias("h")).unionByName(counted)
+    counted = rows.select(*own, "pos", F.xxhash64("kmer", nth).alias("h"))
+    return plain.select(*own, "pos", F.xxhash64("kmer", F.lit(1)).alias("h")).unionByName(counted)
 
 
-def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
-    """``keys, fp`` of every text (columns ``keys, text``) that has words: ``fp`` has a signature for
-    each permutation. ``keys`` tell rows apart; ``texts`` is partitioned by the first of them. Write
-    it under ``dealt_once``, so that joins do not deal the texts out anew by all keys."""
+def signatures(texts: DataFrame, keys: list[str], carried: list[str], k: int = 3, tuples: int = 32) -> DataFrame:
+    """``keys, carried, fp`` of every text (columns ``keys, carried, text``) that has words: ``fp``
+    has a signature for each permutation. ``keys`` tell rows apart; ``texts`` is partitioned by the
+    first of them. Write it under ``dealt_once``, so that joins do not deal the texts out anew by
+    all keys. ``carried`` columns go with their text through both passes: where the caller reads
+    them too, all passes ask for the same columns and so share one deal of the texts."""
     v = ranks(tuples)
-    first = numbered(texts, keys, k).groupBy(*keys).agg(*[F.min(v[i]).alias(f"a{i}") for i in range(tuples)])
-    least = stored(first.select(*keys, F.array(*[F.col(f"a{i}") for i in range(tuples)]).alias("least")), "order-minima")
-    # A table of one row for each text, met by hashing: rows of k-mers need no order, and carry no minima through a sort.
-    again = numbered(texts, keys, k).join(least.hint("shuffle_hash"), keys)
+    own = [*keys, *carried]
+    first = numbered(texts, keys, carried, k).groupBy(*own).agg(*[F.min(v[i]).alias(f"a{i}") for i in range(tuples)])
+    least = first.select(*keys, F.array(*[F.col(f"a{i}") for i in range(tuples)]).alias("least"))
+    # One row for each text, met by hashing: rows of k-mers need no order, and carry no minima through a sort.
+    again = numbered(texts, keys, carried, k).join(least.hint("shuffle_hash"), keys)
     minima = [F.min(v[i]).alias(f"a{i}") for i in range(tuples)]
     beyond = [F.min(F.when(v[i] > F.col("least")[i], v[i])).alias(f"b{i}") for i in range(tuples)]
-    found = again.groupBy(*keys).agg(*minima, *beyond)
+    found = again.groupBy(*own).agg(*minima, *beyond)
     place = lambda x: x.bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     rank = lambda x: F.shiftright(x, POSITION_BITS)
 
@@ -92,7 +96,7 @@ def signatures(texts: DataFrame, keys: list[str], k: int = 3, tuples: int = 32)
         ordered = F.when(b.isNull(), F.xxhash64(rank(a))).when(place(a) < place(b), F.xxhash64(rank(a), rank(b))).otherwise(F.xxhash64(rank(b), rank(a)))
         return F.shiftrightunsigned(ordered, 32)
 
-    return found.select(*keys, F.array(*[signature(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(tuples)]).alias("fp"))
+    return found.select(*own, F.array(*[signature(F.col(f"a{i}"), F.col(f"b{i}")) for i in range(tuples)]).alias("fp"))
 
 
 def dealt_once(df: DataFrame, name: str) -> DataFrame:
@@ -156,22 +160,23 @@ def edited(text: Column, other: Column) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """``id, fingerprint`` (an array of signatures) of every row."""
     ordered, _ = in_order(docs, id_col, text_col, 1000)
-    found = dealt_once(signatures(ordered.select("range", "nth", "text"), ["range", "nth"], k, tuples), "order-prints")
+    found = signatures(ordered.select("range", "nth", "id", "text"), ["range", "nth"], ["id"], k, tuples).drop("id")
+    rows = dealt_once(ordered.select("range", "nth", "id", F.octet_length("text").alias("bytes")).join(found, ["range", "nth"], "left"), "order-prints")
     none = F.array().cast("array<bigint>")
-    return ordered.select("range", "nth", "id").join(found, ["range", "nth"], "left").select("id", F.coalesce("fp", none).alias("fingerprint"))
+    return rows.select("id", F.coalesce("fp", none).alias("fingerprint"))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, tuples: int = 32) -> DataFrame:
     """For every row its fingerprint, that of its edited text, and how like it is to that and to
     the next row's fingerprint."""
     base = with_next(docs, id_col, text_col).select("range", "nth", "id", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    pairs = base.select("range", "nth", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
-    texts = pairs.select("range", "nth", "t.which", "t.text")
-    prints = signatures(texts, ["range", "nth", "which"], k, tuples).groupBy("range", "nth")
+    pairs = base.select("range", "nth", "id", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
+    texts = pairs.select("range", "nth", "id", "t.which", "t.text")
+    prints = signatures(texts, ["range", "nth", "which"], ["id"], k, tuples).groupBy("range", "nth")
     prints = prints.agg(*[F.first(F.when(F.col("which") == which, F.col("fp")), ignorenulls=True).alias(name) for which, name in enumerate("ab")])
     none = F.array().cast("array<bigint>")
     facts = base.select("range", "nth", "id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    # Facts and signatures come from the same deal of the texts.
+    # Facts and signatures ask for the same columns and come from the same deal of the texts.
     told = facts.join(prints, ["range", "nth"], "left").withColumns({c: F.coalesce(c, none) for c in "ab"})
     rows = dealt_once(told, "order-rows")
     last = rows.groupBy("range").agg(F.max_by("a", "nth").alias("a"))

@@ -46,7 +46,7 @@ def test_signatures_equal_brute_force(spark):
     """Numbering, the two smallest of every permutation, and text order."""
     texts = {1: "a b c a b c a b c d e f g", 2: "one", 3: " ".join(f"w{i % 37}" for i in range(400)), 4: "two words", 5: " ".join(f"x{i}" for i in range(90)), 6: "a b c a b c", 7: "p q r s"}
     df = spark.createDataFrame(list(texts.items()), "range int, text string")
-    got = {r.range: r.fp for r in orderminhash.signatures(df, ["range"]).collect()}
+    got = {r.range: r.fp for r in orderminhash.signatures(df, ["range"], []).collect()}
     for key, text in texts.items():
         w, seen, hashed = text.split(), Counter(), []
         spans = [w[i : i + 3] for i in range(max(1, len(w) - 2))]
