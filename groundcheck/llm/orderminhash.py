@@ -62,7 +62,8 @@ def ranks(tuples: int) -> list[Column]:
 def numbered(texts: DataFrame, keys: list[str], carried: list[str], k: int) -> DataFrame:
     """``keys, carried, pos, h``: every k-mer's place and the hash of the k-mer with the number of its occurrence."""
     own = [*keys, *carried]
-    made = texts.select(*own, kmers(F.col("text"), k).alias("kmers"))
+    # Exploded from an array of one, as filters on a plain column would each make the k-mers anew.
+    made = texts.select(*own, F.explode(F.array(kmers(F.col("text"), k))).alias("kmers"))
     repeats = F.size(F.array_distinct("kmers")) < F.size("kmers")
     plain = made.where(~repeats).select(*own, F.posexplode("kmers").alias("pos", "kmer"))
     rows = made.where(repeats).select(*own, F.posexplode("kmers").alias("pos", "kmer"))
