@@ -55,10 +55,15 @@ def audit_record(runs: DataFrame, attempts: DataFrame, rounds: DataFrame, findin
 
 
 def signal_card(claims: DataFrame) -> DataFrame:
-    """``run_id, place, category, lines``: a run's categories as they first come, claims in order."""
+    """``run_id, place, category, claim_index, line``: a line for each claim. A run's categories stand
+    by ``place``, as they first come, and the lines of one by ``claim_index``; a card is its rows in
+    this order and never becomes one row."""
     line = F.concat(F.lit("- "), "claim_text", F.lit(" ["), "id", F.lit("]"))
-    per = claims.groupBy("run_id", "category").agg(F.min("claim_index").alias("first"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("claim_index", line.alias("l")))), lambda x: x["l"]), "\n").alias("lines"))
-    return per.withColumn("place", F.row_number().over(Window.partitionBy("run_id").orderBy("first"))).select("run_id", "place", "category", "lines")
+    first = claims.groupBy("run_id", "category").agg(F.min("claim_index").alias("first"))
+    order = Window.partitionBy("run_id").orderBy("first")
+    places = first.select(F.col("run_id").alias("_run"), F.col("category").alias("_category"), F.row_number().over(order).alias("place"))
+    same = F.col("run_id").eqNullSafe(F.col("_run")) & F.col("category").eqNullSafe(F.col("_category"))
+    return claims.select("run_id", "category", "claim_index", line.alias("line")).join(places, same).select("run_id", "place", "category", "claim_index", "line")
 
 
 def audit_runs(answers: DataFrame) -> DataFrame:

@@ -288,14 +288,13 @@ def prose_flags(spark, sf_dir):
     return docs.select("doc_id", tx.has_financial_figure(F.col("text")).alias("financial"), tx.has_universal_quantifier(F.col("text")).alias("universal"), tx.unescaped_dollars(F.col("text"))["n"].alias("dollars"))
 
 
-@query("""SELECT source AS run_id, lang AS category, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY 1, 2""")
+@query("""SELECT run_id, category, "first", n, row_number() OVER (PARTITION BY run_id ORDER BY "first") AS place FROM (SELECT source AS run_id, lang AS category, min(doc_id) AS "first", count(*) AS n FROM documents GROUP BY 1, 2)""")
 def card_categories(spark, sf_dir):
-    """Signal cards: a run's categories, their first claim and how many lines they have."""
+    """Signal cards: a run's categories, their place, first claim and how many lines they have."""
     docs = table(spark, sf_dir, "documents")
     own = docs.select(F.col("source").alias("run_id"), F.col("lang").alias("category"), F.col("doc_id").alias("claim_index"), F.lit("fact").alias("claim_text"), F.col("doc_id").cast("string").alias("id"))
-    card = audits.signal_card(own)
-    first = F.regexp_extract(F.get(F.split("lines", "\n"), F.lit(0)), r"\[(\d+)\]$", 1).cast("long")
-    return card.select("run_id", "category", first.alias("first"), F.size(F.split("lines", "\n")).cast("long").alias("n"))
+    card = audits.signal_card(own).groupBy("run_id", "category", "place").agg(F.min_by("line", "claim_index").alias("line"), F.count(F.lit(1)).alias("n"))
+    return card.select("run_id", "category", F.regexp_extract("line", r"\[(\d+)\]$", 1).cast("long").alias("first"), "n", F.col("place").cast("long").alias("place"))
 
 
 

@@ -261,6 +261,14 @@ def test_audits(spark):
     assert [r.line for r in audits.new_lessons(lessons, spark.createDataFrame([("y",)], "line string")).collect()] == ["x"]
 
 
+def test_signal_cards_are_rows_in_order(spark):
+    rows = [("r", 4, "c4", "b", "four"), ("r", 2, "c2", None, "two"), ("r", 1, "c1", "b", "one"), ("r", 3, "c3", "a", "three"), (None, 0, "c0", "a", "zero")]
+    own = spark.createDataFrame(rows, "run_id string, claim_index int, id string, category string, claim_text string")
+    card = audits.signal_card(own)
+    got = sorted(((r.run_id or "", r.place, r.claim_index, r.category, r.line) for r in card.collect()), key=lambda x: x[:3])
+    assert got == [("", 1, 0, "a", "- zero [c0]"), ("r", 1, 1, "b", "- one [c1]"), ("r", 1, 4, "b", "- four [c4]"), ("r", 2, 2, None, "- two [c2]"), ("r", 3, 3, "a", "- three [c3]")]
+
+
 def test_audit_states_window_only_web_evidence(spark):
     text = "  head\n" + "word " * 4000 + "tail  "
     values = '{"m": 0.31, "n": 5, "half": 1.50, "big": 12345678.0, "huge": 2.5e20, "tiny": 1e-5, "s": "12", "flag": true, "calculation": {"op": "x"}, "none": null, "minus": -3, "zero": 0.0}'
