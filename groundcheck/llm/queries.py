@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundcheck.llm import decontam, kneserney, langid, orderminhash, sentencepieces, sharding, simhash, tokencount, toxicity, urlfilter, vocabulary
+from groundcheck.llm import decontam, divergence, kneserney, langid, orderminhash, quality, sentencepieces, sharding, simhash, tokencount, toxicity, urlfilter, vocabulary, whitening
 from groundcheck.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,55 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_url_filter"] = op5_url_filter
+
+
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts, base rule and verdict on the quality of every document."""
+    found = quality.judge(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+QUERIES["op11_quality_rules"] = op11_quality_rules
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between a language's sources, and the terms that a source has more of."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_source_divergence"] = op12_source_divergence
+ORACLES["op12_source_divergence"] = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    unnest([x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+') if x <> '']) AS term
+  FROM documents),
+kept AS (SELECT lang, term, count(*) AS n_all FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+g AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+cnt AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept ON w.lang = kept.lang AND w.term = kept.term GROUP BY ALL),
+tot AS (SELECT lang, source, sum(n) AS total FROM cnt GROUP BY ALL),
+lg AS (SELECT lang, count(*) AS v, sum(n_all) AS total FROM kept GROUP BY lang),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(cnt.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(cnt.n, 0) + 5) // (coalesce(tot.total, 0) + 5 * lg.v) AS p,
+    1 + 1000000000::HUGEINT * (kept.n_all + 5) // (lg.total + 5 * lg.v) AS q
+  FROM g JOIN kept ON g.lang = kept.lang JOIN lg ON g.lang = lg.lang
+    LEFT JOIN tot ON g.lang = tot.lang AND g.source = tot.source
+    LEFT JOIN cnt ON g.lang = cnt.lang AND g.source = cnt.source AND kept.term = cnt.term),
+d AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN d ON a.lang = d.lang AND a.source = d.source AND b.source = d.item
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 50
+"""
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every embedding."""
+    return whitening.whitened_embeddings(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+QUERIES["op13_embedding_whitening"] = op13_embedding_whitening
