@@ -44,6 +44,7 @@ INJECTION_PATTERNS = [
     "<\\|?(system|im_start|endoftext)\\|?>",
     "end of (transcript|document)\\.? (now|then) (ignore|disregard|follow)",
 ]
+BANNERS = [r"FINAL TRANSCRIPT\s*$", r"Copyright ©.*$", r"\d{1,4}\s*$"]
 MOST_FINDINGS = 500  # of an advisory report, as the feature states
 
 
@@ -51,18 +52,46 @@ class _Text(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parts: list[str] = []
-        self.hidden = 0
+        self.node: list[str] = []
+        self.hidden = self.kept = 0
+
+    def end_node(self) -> None:
+        """A text node ends at a tag, comment or declaration, not where the parser happens to pause.
+        White space alone is one blank or line feed, outside ``pre`` and ``textarea``."""
+        text, self.node = "".join(self.node), []
+        if text and not text.strip(" \n\t\f\r") and not self.kept:
+            text = "\n" if "\n" in text else " "
+        if text:
+            self.parts.append(text)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.end_node()
         self.hidden += tag in ("script", "style")
+        self.kept += tag in ("pre", "textarea")
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self.end_node()
 
     def handle_endtag(self, tag: str) -> None:
+        self.end_node()
         if tag in ("script", "style") and self.hidden:
             self.hidden -= 1
+        if tag in ("pre", "textarea") and self.kept:
+            self.kept -= 1
+
+    def handle_comment(self, data: str) -> None:
+        self.end_node()
+
+    handle_decl = handle_pi = handle_comment
+
+    def unknown_decl(self, data: str) -> None:
+        self.end_node()
+        if data.upper().startswith("CDATA[") and not self.hidden:
+            self.parts.append(data[6:])
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
-            self.parts.append(data)
+            self.node.append(data)
 
 
 @F.pandas_udf(StringType())
@@ -75,6 +104,7 @@ def html_to_text(html: pd.Series) -> pd.Series:
         parser = _Text()
         parser.feed(page)
         parser.close()
+        parser.end_node()
         return "\n".join(parser.parts)
 
     return html.map(one, na_action="ignore")
@@ -150,8 +180,8 @@ def reformat_vendor_layout(docs: DataFrame, key: str, text: str = "text", banner
     whole = Window.partitionBy(key).orderBy("n")
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
     banner = F.lit(False)
-    for pattern in banners or []:
-        banner = banner | F.col("line").rlike(f"^(?:{pattern})")
+    for pattern in BANNERS if banners is None else banners:
+        banner = banner | F.col("line").rlike(f"(?U)^(?:{pattern})")
     rows = rows.withColumns({"rule": F.col("line").rlike(f"^{rule}"), "ends": F.col("line").rlike(r"[.?!:]\s*$"), "titled": _is_title(F.col("line"))})
     rows = rows.withColumn("banner", (F.col("line") != "") & ~F.col("rule") & banner).withColumn("said", (F.col("line") != "") & ~F.col("rule") & ~F.col("banner"))
     place = lambda c: F.max(F.when(c, F.col("n"))).over(before)

@@ -93,14 +93,19 @@ def grounded(value: Column, known: Column, tolerance: float = 1e-6) -> Column:
     return F.exists(F.coalesce(known, F.array().cast("array<double>")), lambda k: F.abs(k - value) < F.lit(tolerance))
 
 
-def first_ungrounded(tokens: Column, known: Column) -> Column:
-    """First token whose value is not grounded; one written as percent may also be stored as a fraction."""
+def first_ungrounded(tokens: Column, known: Column, settled: Column | None = None) -> Column:
+    """First token whose value is not grounded; one written as percent may also be stored as a
+    fraction. ``settled`` holds values that are known to be grounded elsewhere."""
 
     # Values are parsed once, in an array of their own, and not in every comparison.
     parsed = F.transform(tokens, lambda t: F.struct(t.alias("token"), number_value(t).alias("value")))
 
+    def fine(value: Column) -> Column:
+        held = grounded(value, known)
+        return held if settled is None else held | F.array_contains(settled, value)
+
     def loose(p: Column) -> Column:
-        return p["value"].isNotNull() & ~(grounded(p["value"], known) | (p["token"].contains("%") & grounded(p["value"] / 100, known)))
+        return p["value"].isNotNull() & ~(fine(p["value"]) | (p["token"].contains("%") & fine(p["value"] / 100)))
 
     return F.get(F.filter(parsed, loose), F.lit(0))["token"]
 

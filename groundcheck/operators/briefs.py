@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundcheck.functions import text as tx
-from groundcheck.operators.claims import parsed_values
+from groundcheck.operators.claims import with_values
 
 HEADING = r"(?U)^\s*#+\s"
 LIST_ITEM = r"(?U)^\s*(?:[-*+]|\d+\.)\s+"
@@ -31,10 +31,8 @@ def sections(briefs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 def claim_numbers(claims: DataFrame) -> DataFrame:
     """``run_id, cited, allowed``: every number that a claim quotes, states or declares."""
-    rows = claims.withColumns(parsed_values(F.col("values")))
-    declared = F.concat(F.transform("scalars", lambda e: e["value"]), F.transform("calc_entries", lambda e: e["value"]), F.filter(F.array("calc_result"), lambda v: v.isNotNull()))
     spoken = F.array_union(tx.numbers(F.coalesce("quote", F.lit(""))), tx.numbers(F.coalesce("claim_text", F.lit(""))))
-    return rows.select("run_id", F.col("id").alias("cited"), F.concat(spoken, declared).alias("allowed"))
+    return with_values(claims).select("run_id", F.col("id").alias("cited"), F.concat(spoken, "declared").alias("allowed"))
 
 
 def number_issues(briefs: DataFrame, claims: DataFrame) -> DataFrame:
@@ -75,11 +73,10 @@ def citation_pairs(briefs: DataFrame, claims: DataFrame, appendix: str = r"(?m)^
 def outlook_gate(briefs: DataFrame, claims_ok: DataFrame, fresh: DataFrame, *found: DataFrame) -> DataFrame:
     """``run_id, outcome``: blocked unless the claims passed and their inputs are unchanged, else
     failed with any brief issue, else passed."""
-    counts = None
+    issues = briefs.select("run_id").limit(0)
     for df in found:
-        own = df.select("run_id")
-        counts = own if counts is None else counts.unionByName(own)
-    n = counts.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+        issues = issues.unionByName(df.select("run_id"))
+    n = issues.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
     rows = briefs.select("run_id").join(claims_ok.select("run_id", "ok"), "run_id", "left").join(fresh.select("run_id", "fresh"), "run_id", "left").join(n, "run_id", "left")
     outcome: Column = F.when(~F.coalesce("ok", F.lit(False)) | ~F.coalesce("fresh", F.lit(False)), "blocked").when(F.coalesce("n", F.lit(0)) > 0, "failed").otherwise("passed")
     return rows.select("run_id", outcome.alias("outcome"))

@@ -1,4 +1,5 @@
-"""Claim validation: every claim meets its evidence once; all checks are columns of that row.
+"""Claim validation: claims meet their passages, and their runs' facts, by what they ask of them;
+all checks are columns of one row.
 
 Tables and their columns:
 ``claims``: run_id, claim_index, id, classification, claim_text, quote, segment_id,
@@ -21,66 +22,114 @@ NUMERIC = "^(BIGINT|DOUBLE|DECIMAL|BOOLEAN|FLOAT)"
 TOLERANCE = 1e-6
 
 
-def parsed_values(values: Column) -> dict[str, Column]:
-    """Scalars (key order of the text kept), calculation block and what a claim declares."""
-    raw = F.from_json(values, "map<string,string>")
+def json_pairs(text: Column) -> Column:
+    """``key, value`` of a JSON object in the order of its keys; of a repeated key the last value."""
+    pairs = F.coalesce(F.map_entries(F.from_json(text, "map<string,string>")), F.array().cast("array<struct<key:string,value:string>>"))
+    keys = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
+    last = F.transform(keys, lambda k: F.named_struct(F.lit("key"), k, F.lit("value"), last_value(pairs, k)))
+    return F.when(F.size(keys) < F.size(pairs), last).otherwise(pairs)
+
+
+def last_value(pairs: Column, key: Column) -> Column:
+    return F.try_element_at(F.filter(pairs, lambda e: e["key"] == key), F.lit(-1))["value"]
+
+
+def with_values(claims: DataFrame) -> DataFrame:
+    """Claims with what their values say: ``n_values``, ``scalars`` (key, value; in the order of the
+    text), the calculation (``calc`` and its parts) and ``declared``, all numbers among them.
+
+    A number written as a JSON string is none. An object that repeats a key below the first level has
+    no VARIANT; what looks like a number counts as one there."""
     number = lambda s: F.when(s == "true", 1.0).when(s == "false", 0.0).otherwise(s.try_cast("double"))  # noqa: E731  JSON booleans are numbers
-    quoted = F.coalesce(F.from_json(values, "map<string,variant>"), F.create_map().cast("map<string,variant>"))
-    is_number = lambda key: F.schema_of_variant(F.try_element_at(quoted, key)).rlike(NUMERIC)
-    entries = F.coalesce(F.map_entries(raw), F.array().cast("array<struct<key:string,value:string>>"))
-    scalars = F.filter(F.transform(F.filter(entries, lambda e: (e["key"] != "calculation") & is_number(e["key"])), lambda e: F.struct(e["key"].alias("key"), number(e["value"]).alias("value"))), lambda e: e["value"].isNotNull())
-    block = F.try_element_at(raw, F.lit("calculation"))
-    inside, written = F.get_json_object(block, "$.inputs"), F.from_json(block, "map<string,variant>")
-    kinds, inputs = F.from_json(inside, "map<string,variant>"), F.from_json(inside, "map<string,string>")
-    numeric = lambda v: F.coalesce(F.schema_of_variant(v).rlike(NUMERIC), F.lit(False))
-    input_entries = F.coalesce(F.map_entries(inputs), F.array().cast("array<struct<key:string,value:string>>"))
-    # A number written as a JSON string is none, as among the scalars.
-    input_numbers = F.transform(input_entries, lambda e: F.struct(e["key"].alias("key"), F.when(numeric(F.try_element_at(kinds, e["key"])), number(e["value"])).alias("value")))
-    return {
-        "n_values": F.size(entries),
-        "scalars": scalars,
-        "calc": block,
-        "calc_name": F.get_json_object(block, "$.name"),
-        "calc_inputs": F.map_from_entries(input_numbers),
-        "calc_entries": F.filter(input_numbers, lambda e: e["value"].isNotNull()),
-        "calc_has_inputs": F.get_json_object(block, "$.inputs"),
-        "calc_result_text": F.get_json_object(block, "$.result"),
-        "calc_result": F.when(numeric(F.try_element_at(written, F.lit("result"))), number(F.get_json_object(block, "$.result"))),
-    }
 
+    def numeric(kinds: str, key: Column, value: Column) -> Column:
+        told = F.schema_of_variant(last_value(F.map_entries(kinds), key)).rlike(NUMERIC)
+        return F.coalesce(told, F.col(kinds).isNull() & value.rlike(r"^(-?[0-9].*|true|false)$"), F.lit(False))
+
+    def numbers(pairs: Column, kinds: str) -> Column:
+        return F.transform(pairs, lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), F.when(numeric(kinds, e["key"], e["value"]), number(e["value"]))))
+
+    there = lambda pairs: F.filter(pairs, lambda e: e["value"].isNotNull())
+    rows = claims.withColumns({"_pairs": json_pairs(F.col("values")), "_kinds": F.from_json("values", "map<string,variant>")})
+    rows = rows.withColumns({"n_values": F.size("_pairs"), "scalars": there(numbers(F.filter("_pairs", lambda e: e["key"] != "calculation"), "_kinds")), "calc": last_value(F.col("_pairs"), F.lit("calculation"))})
+    rows = rows.withColumns({"_parts": json_pairs(F.col("calc")), "_part_kinds": F.from_json("calc", "map<string,variant>")})
+    part = lambda key: last_value(F.col("_parts"), F.lit(key))
+    rows = rows.withColumns({"calc_name": part("name"), "calc_has_inputs": part("inputs"), "calc_result_text": part("result")})
+    rows = rows.withColumns({"_inputs": json_pairs(F.col("calc_has_inputs")), "_input_kinds": F.from_json("calc_has_inputs", "map<string,variant>")})
+    rows = rows.withColumns({"calc_numbers": numbers(F.col("_inputs"), "_input_kinds"), "calc_result": F.when(numeric("_part_kinds", F.lit("result"), F.col("calc_result_text")), number(F.col("calc_result_text")))})
+    rows = rows.withColumns({"calc_inputs": F.map_from_entries("calc_numbers"), "calc_entries": there(F.col("calc_numbers"))})
+    declared = F.concat(F.transform("scalars", lambda e: e["value"]), F.transform("calc_entries", lambda e: e["value"]), F.filter(F.array("calc_result"), lambda v: v.isNotNull()))
+    return rows.withColumn("declared", declared).drop("_pairs", "_kinds", "_parts", "_part_kinds", "_inputs", "_input_kinds", "calc_numbers")
+
+
+def near_facts(needs: DataFrame, financials: DataFrame, tolerance: float = TOLERANCE, salts: int = 8) -> DataFrame:
+    """``run_id, claim_index, by_facts``: those numbers of a claim (``needs``: run_id, claim_index,
+    value) that a fact of its run lies within the tolerance of.
+
+    Values meet in cells as wide as the tolerance, each number also in the two cells beside its own.
+    Doubles so large that their neighbours lie further off than the tolerance meet in a cell of their
+    own, by hash. A cell's claims are dealt over ``salts`` parts; a run's facts never become one row."""
+    edge = tolerance * 2.0**53
+    value, size = F.col("value").cast("double"), F.abs(F.col("value").cast("double"))
+    cell, own = F.floor(value / F.lit(tolerance)), F.xxhash64(value)
+    none = F.array().cast("array<bigint>")
+    facts = financials.where(value.isNotNull() & ~F.isnan(value)).select("run_id", value.alias("value")).distinct()
+    facts = facts.select("run_id", F.col("value").alias("fact"), F.when(size < edge, cell).otherwise(own).alias("cell"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("part"))
+    cells = F.concat(F.when(size <= edge * 1.001, F.array(cell - 1, cell, cell + 1)).otherwise(none), F.when(size >= edge * 0.999, F.array(own)).otherwise(none))
+    asked = needs.where(value.isNotNull() & ~F.isnan(value)).distinct().select("run_id", "claim_index", value.alias("value"), F.explode(cells).alias("cell"), F.pmod(F.xxhash64("claim_index"), F.lit(salts)).cast("int").alias("part"))
+    found = asked.join(facts, ["run_id", "cell", "part"]).where((F.col("fact") == F.col("value")) | (F.abs(F.col("fact") - F.col("value")) < F.lit(tolerance)))
+    return found.groupBy("run_id", "claim_index").agg(F.collect_set("value").alias("by_facts"))
+
+
+#: Claims of one passage that are tested in one row.
+CLAIMS_IN_ROW = 256
+
+
+def by_passage(claims: DataFrame, segments: DataFrame, web: DataFrame) -> DataFrame:
+    """``run_id, claim_index, found, temporal_status, quote_found, by_text`` of claims that cite one
+    passage: whether it is there, holds the quote, and which of the claim's numbers it has.
+
+    Claims are gathered by passage, many of one passage in several rows. A passage meets them in one
+    join, is folded and searched for numbers once for each such row, and goes no further."""
+    seg = segments.select("run_id", F.lit("segment").alias("kind"), F.col("id").alias("evidence_id"), F.col("text"), F.lit(None).cast("string").alias("temporal_status"))
+    page = web.select("run_id", F.lit("page").alias("kind"), F.col("id").alias("evidence_id"), F.col("content").alias("text"), "temporal_status")
+    key = ["run_id", "kind", "evidence_id"]
+    one = claims.where(F.col("cites_segment") != F.col("cites_web"))
+    asks = one.select(
+        "run_id",
+        F.when(F.col("cites_segment"), "segment").otherwise("page").alias("kind"),
+        F.when(F.col("cites_segment"), F.col("segment_id")).otherwise(F.col("web_evidence_id")).alias("evidence_id"),
+        F.struct("claim_index", F.col("folded_quote").alias("quote"), "needs").alias("ask"),
+    )
+    crowded = asks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CLAIMS_IN_ROW).withColumn("parts", F.ceil(F.col("n") / CLAIMS_IN_ROW)).drop("n")
+    part = F.pmod(F.xxhash64("ask.claim_index"), F.coalesce("parts", F.lit(1).cast("long")))
+    rows = asks.join(crowded, key, "left").groupBy(*key, part.alias("part")).agg(F.collect_list("ask").alias("asks"))
+    met = rows.join(seg.unionByName(page).withColumn("there", F.lit(True)), key, "left")
+    met = met.select("run_id", "asks", "temporal_status", F.coalesce("there", F.lit(False)).alias("found"), tx.normalize_whitespace(F.coalesce("text", F.lit(""))).alias("folded"), tx.numbers(F.coalesce("text", F.lit(""))).alias("numbers"))
+
+    def answer(a: Column) -> Column:
+        has = F.coalesce(F.col("folded").contains(a["quote"]), F.lit(False))
+        told = F.filter(a["needs"], lambda v: tx.grounded(v, F.col("numbers")))
+        return F.named_struct(F.lit("claim_index"), a["claim_index"], F.lit("quote_found"), has, F.lit("by_text"), told)
 
-def near_facts(needs: DataFrame, financials: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """``run_id, claim_index, fact_numbers``: the facts of a claim's run that lie within the
-    tolerance of one of its numbers (``needs``: run_id, claim_index, value). Values meet in cells as
-    wide as the tolerance, each number also in the two cells beside its own; a run's facts never
-    become one row."""
-    cell = F.floor(F.col("value") / F.lit(tolerance)).cast("decimal(20,0)")
-    facts = financials.where("value is not null").select("run_id", "value").distinct().select("run_id", F.col("value").alias("fact"), cell.alias("cell"))
-    asked = needs.distinct().select("run_id", "claim_index", "value", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    found = asked.join(facts, ["run_id", "cell"]).where(F.abs(F.col("fact") - F.col("value")) < F.lit(tolerance))
-    return found.groupBy("run_id", "claim_index").agg(F.collect_set("fact").alias("fact_numbers"))
+    # Both columns are read twice, so that the optimiser computes them once before the lambda.
+    ready = (F.length("folded") >= 0) & (F.size("numbers") >= 0)
+    each = met.select("run_id", "found", "temporal_status", F.explode(F.when(ready, F.transform("asks", answer))).alias("a")).select("run_id", "a.claim_index", "found", "temporal_status", "a.quote_found", "a.by_text")
+    return each
 
 
 def with_evidence(claims: DataFrame, segments: DataFrame, web: DataFrame, financials: DataFrame) -> DataFrame:
-    """Claims (with ``needs``, their own numbers) with their passage's facts. Numbers of a passage
-    are found once, before the join, and its text goes no further than the quote test."""
+    """Claims (with ``needs``, their own numbers) with the facts of what they cite: ``found``,
+    ``temporal_status``, ``quote_found``, and ``known``, those of their numbers that are grounded."""
     has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    seg = segments.select("run_id", F.col("id").alias("segment_id"), F.col("text").alias("seg_text"), tx.numbers(F.col("text")).alias("seg_numbers"), F.lit(True).alias("seg_found"))
-    page = web.select("run_id", F.col("id").alias("web_evidence_id"), F.col("content").alias("web_text"), tx.numbers(F.col("content")).alias("web_numbers"), "temporal_status", F.lit(True).alias("web_found"))
-    facts = near_facts(claims.select("run_id", "claim_index", F.explode("needs").alias("value")).where("value is not null"), financials)
-    joined = claims.join(seg, ["run_id", "segment_id"], "left").join(page, ["run_id", "web_evidence_id"], "left").join(facts, ["run_id", "claim_index"], "left")
-    passage = F.when(has("segment_id"), F.col("seg_text")).otherwise(F.col("web_text"))
-    quote = tx.normalize_whitespace(F.col("quote"))
-    empty = F.array().cast("array<double>")
-    return joined.withColumns(
-        {
-            "cites_segment": has("segment_id"),
-            "cites_web": has("web_evidence_id"),
-            "quote_empty": F.coalesce(quote, F.lit("")) == "",
-            "quote_found": F.coalesce(tx.normalize_whitespace(passage).contains(quote), F.lit(False)),
-            "known": F.array_union(F.coalesce(F.when(has("segment_id"), F.col("seg_numbers")).otherwise(F.col("web_numbers")), empty), F.coalesce("fact_numbers", empty)),
-        }
-    ).drop("seg_text", "web_text", "seg_numbers", "web_numbers", "fact_numbers")
+    quote = F.coalesce(tx.normalize_whitespace(F.col("quote")), F.lit(""))
+    own = claims.withColumns({"cites_segment": has("segment_id"), "cites_web": has("web_evidence_id"), "folded_quote": quote})
+    own = own.withColumn("quote_empty", F.col("folded_quote") == "")
+    facts = near_facts(claims.select("run_id", "claim_index", F.explode("needs").alias("value")), financials)
+    keys, empty = ["run_id", "claim_index"], F.array().cast("array<double>")
+    joined = own.join(by_passage(own, segments, web), keys, "left").join(facts, keys, "left")
+    known = F.array_union(F.coalesce("by_text", empty), F.coalesce("by_facts", empty))
+    return joined.withColumns({"known": known, "found": F.coalesce("found", F.lit(False)), "quote_found": F.coalesce("quote_found", F.lit(False))}).drop("by_text", "by_facts", "folded_quote")
 
 
 def inference_problems(claims: DataFrame) -> DataFrame:
@@ -110,23 +159,22 @@ def id_problems(claims: DataFrame) -> DataFrame:
 def issues(claims: DataFrame, segments: DataFrame, web: DataFrame, financials: DataFrame) -> DataFrame:
     """All issues of all claims. A claim whose evidence can't be resolved gets that issue and, of
     the checks on its own row, no other."""
-    own = claims.withColumns(parsed_values(F.col("values")))
-    declared = F.concat(F.transform("scalars", lambda e: e["value"]), F.transform("calc_entries", lambda e: e["value"]), F.filter(F.array("calc_result"), lambda v: v.isNotNull()))
-    own = own.withColumns({"declared": declared, "tokens": F.coalesce(tx.prose_tokens(F.col("claim_text")), F.array().cast("array<string>"))})
+    own = with_values(claims).withColumn("tokens", F.coalesce(tx.prose_tokens(F.col("claim_text")), F.array().cast("array<string>")))
     spoken = F.transform("tokens", tx.number_value)
-    own = own.withColumn("needs", F.array_distinct(F.concat("declared", spoken, F.transform(spoken, lambda v: v / 100))))
+    needs = F.filter(F.array_distinct(F.concat("declared", spoken, F.transform(spoken, lambda v: v / 100))), lambda v: v.isNotNull())
+    own = own.withColumn("needs", needs)
     rows = with_evidence(own, segments, web, financials).withColumn("quote_numbers", tx.numbers(F.coalesce("quote", F.lit(""))))
     rows = rows.withColumns(
         {
-            "bad_scalar": F.get(F.filter("scalars", lambda e: ~tx.grounded(e["value"], F.col("known"))), F.lit(0)),
-            "bad_input": F.get(F.filter("calc_entries", lambda e: ~tx.grounded(e["value"], F.col("known"))), F.lit(0)),
-            "bad_prose": tx.first_ungrounded(F.col("tokens"), F.concat("known", "declared")),
+            "bad_scalar": F.get(F.filter("scalars", lambda e: ~F.array_contains("known", e["value"])), F.lit(0)),
+            "bad_input": F.get(F.filter("calc_entries", lambda e: ~F.array_contains("known", e["value"])), F.lit(0)),
+            "bad_prose": tx.first_ungrounded(F.col("tokens"), F.col("declared"), F.col("known")),
             "bad_trace": tx.first_ungrounded(F.col("tokens"), F.concat("quote_numbers", "declared")),
             "recomputed": calc.recompute(F.col("calc_name"), F.col("calc_inputs")),
         }
     )
     reference = F.when(F.col("cites_segment") & F.col("cites_web"), "claim cites both a segment and a page; exactly one is allowed").when(~F.col("cites_segment") & ~F.col("cites_web"), "claim cites neither a segment nor a page")
-    dangling = F.when(reference.isNull() & F.col("cites_segment") & F.col("seg_found").isNull(), "segment_id is not in this run's segments").when(reference.isNull() & F.col("cites_web") & F.col("web_found").isNull(), "web_evidence_id is not in this run's pages")
+    dangling = F.when(reference.isNull() & F.col("cites_segment") & ~F.col("found"), "segment_id is not in this run's segments").when(reference.isNull() & F.col("cites_web") & ~F.col("found"), "web_evidence_id is not in this run's pages")
     late = F.when(reference.isNull() & F.col("cites_web") & (F.col("temporal_status") == "post_event"), "cited page was published after the event")
     resolved = reference.isNull() & dangling.isNull() & late.isNull()
     calc_message = (

@@ -1,4 +1,4 @@
-"""Review rounds: receipts, verdicts, citations, diffs with escalation, round binding and gates.
+"""Review rounds: receipts, verdicts, citations, diffs with escalation, and gates; ``rounds`` chains them.
 
 Tables: ``reports`` run_id, verdict, mode, source_checks (n), process_findings (n),
 unverified_items (n); ``findings`` run_id, list_name, idx, severity, artifact, passage, evidence,
@@ -14,6 +14,7 @@ from groundcheck.functions.text import claim_ids, sample_ids
 
 SEVERITIES = ["info", "low", "medium", "high", "critical"]
 CONCLUSION_SECTIONS = [1, 5, 6, 7]
+RECEIPT, NO_RECEIPT = "claim_review_receipt", "receipt is missing"
 
 
 def _issue(df: DataFrame, check: str, message) -> DataFrame:
@@ -30,9 +31,9 @@ def receipt_issues(reports: DataFrame, receipts: DataFrame, findings: DataFrame,
     """Every claim in one bucket, buckets that agree with the findings. A report says by
     ``has_receipt`` that it has a receipt, which may list nothing; without that column runs with
     listed ids have one."""
-    check = "claim_review_receipt"
+    check = RECEIPT
     with_receipt = (reports.where("has_receipt") if "has_receipt" in reports.columns else receipts).select("run_id").distinct()
-    none = _issue(reports.join(with_receipt, "run_id", "left_anti"), check, F.lit("receipt is missing"))
+    none = _issue(reports.join(with_receipt, "run_id", "left_anti"), check, F.lit(NO_RECEIPT))
     reported = claims.join(with_receipt, "run_id", "left_semi").select("run_id", F.col("id").alias("claim_id")).distinct().withColumn("known", F.lit(1))
     listed = receipts.groupBy("run_id", "claim_id").agg(F.count(F.lit(1)).alias("times"))
     both = reported.join(listed, ["run_id", "claim_id"], "full_outer")
@@ -115,45 +116,34 @@ def escalation(diff: DataFrame, sections: DataFrame, briefs: DataFrame, most_cha
     return rows.select("run_id", reasons.alias("reasons")).withColumn("escalated", F.size("reasons") > 0)
 
 
-def carried_but_changed(receipts: DataFrame, diff: DataFrame) -> DataFrame:
-    return receipts.where("bucket = 'carried_forward'").join(diff.select("run_id", "claim_id").distinct(), ["run_id", "claim_id"], "left_semi").select("run_id", "claim_id")
-
-
-def round_binding(rounds: DataFrame) -> DataFrame:
-    """Rounds (run_id, round, mode, report_claims_sha, claims_sha, report_brief_sha, brief_sha,
-    diff_claims_sha, escalated) that are not bound to what they reviewed."""
-    checks = [
-        (~F.col("report_claims_sha").eqNullSafe(F.col("claims_sha")), "report was written for other claims"),
-        (~F.col("report_brief_sha").eqNullSafe(F.col("brief_sha")), "report was written for another brief"),
-        ((F.col("round") == 1) & (F.col("mode") != "full"), "the first round must be full"),
-        ((F.col("round") > 1) & (F.col("mode") == "diff") & ~F.col("diff_claims_sha").eqNullSafe(F.col("claims_sha")), "diff is not of the current claims"),
-        (F.coalesce("escalated", F.lit(False)) & (F.col("mode") != "full"), "an escalated round must be full"),
-    ]
-    told = F.filter(F.array(*[F.when(c, F.lit(m)) for c, m in checks]), lambda m: m.isNotNull())
-    return rounds.select("run_id", "round", F.lit("review_binding").alias("check"), F.explode(told).alias("message"))
-
-
 def review_gate(reports: DataFrame, found: DataFrame, most_rounds: int = 3) -> DataFrame:
     """``run_id, code, reason``: 4 above the cap (a bundle that was accepted already is no new
     round), 2 if blocked, with issues, or with verdict fail, 3 escalated, 1 warnings, 0 pass.
 
     ``reports`` has round, verdict and escalated, and, where known, ``repeated`` and what blocks a
-    report: claims_ok, claims_fresh, brief_ok, brief_fresh (the validations passed and are of the
-    current bytes) and bound (the report is of the current claims and brief). A null blocks."""
-    n = found.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
-    v, known = F.col("verdict"), set(reports.columns)
+    report, in this order: named (the run folder is the run named), claims_ok, claims_fresh, brief_ok,
+    brief_fresh (the validations passed and are of the current bytes), bound (the report is of the
+    current claims and brief) and chained (so is its diff, see ``rounds``). A null blocks. No receipt
+    is asked of a bundle that was accepted already: it may be older than receipts are."""
+    known = set(reports.columns)
     repeated = F.coalesce("repeated", F.lit(False)) if "repeated" in known else F.lit(False)
+    waived = (F.col("check") == RECEIPT) & (F.col("message") == NO_RECEIPT) if {"check", "message"} <= set(found.columns) else F.lit(False)
+    n = found.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(waived).alias("n_waived"))
+    counted = F.coalesce(F.col("n") - F.when(repeated, F.col("n_waived")).otherwise(0), F.lit(0))
+    v = F.col("verdict")
     blocks = [
+        ("named", "run folder is of another run"),
         ("claims_ok", "claims have not passed"),
         ("claims_fresh", "an input of the claims changed"),
         ("brief_ok", "brief has not passed"),
         ("brief_fresh", "brief or claims changed since the brief passed"),
         ("bound", "report is of other claims or another brief"),
+        ("chained", "round is not bound to the one before it"),
     ]
     cases = [(4, ~repeated & (F.col("round") > most_rounds), "round cap reached")]
     cases += [(2, ~F.coalesce(c, F.lit(False)), m) for c, m in blocks if c in known]
     cases += [
-        (2, F.coalesce("n", F.lit(0)) > 0, "report has issues"),
+        (2, counted > 0, "report has issues"),
         (3, F.coalesce("escalated", F.lit(False)), "escalated"),
         (2, v == "fail", "verdict fail"),
         (1, v == "pass_with_warnings", "warnings"),

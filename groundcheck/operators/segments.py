@@ -96,7 +96,7 @@ def segments(lines: DataFrame, key: str) -> DataFrame:
     joined = groups.withColumn("text", normalize_whitespace(F.array_join(F.transform("cs", lambda x: x["c"]), " "))).where("text <> ''")
     seq = F.row_number().over(Window.partitionBy(key).orderBy("at"))
     section = F.when(F.col("at") > F.col("first_qa"), "qa").otherwise("prepared")
-    return joined.withColumn("seq", seq).select(key, F.concat(F.lit("seg-"), F.lpad(F.col("seq").cast("string"), 4, "0")).alias("id"), "seq", section.alias("section"), "speaker", "text")
+    return joined.withColumn("seq", seq).select(key, F.format_string("seg-%04d", "seq").alias("id"), "seq", section.alias("section"), "speaker", "text")
 
 
 def omissions(lines: DataFrame, key: str) -> DataFrame:

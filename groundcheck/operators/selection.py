@@ -89,7 +89,7 @@ def round_robin(hits: DataFrame, n: int, run: str = "run_id", url: str = "url",
 
 def evidence_ids(selected: DataFrame, prefix: str = "web-") -> DataFrame:
     """Ids by place in the selection, so that later failures leave gaps."""
-    return selected.withColumn("id", F.concat(F.lit(prefix), F.lpad(F.col("selected").cast("string"), 3, "0")))
+    return selected.withColumn("id", F.concat(F.lit(prefix), F.format_string("%03d", "selected")))
 
 
 def by_date(bars: DataFrame, keys: list[str], date: str = "date") -> DataFrame:

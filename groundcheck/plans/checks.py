@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundcheck.functions import documents, text as tx
-from groundcheck.operators import audits, briefs, claims, coverage, reviews, segments, selection, triage
+from groundcheck.operators import audits, briefs, claims, coverage, reviews, rounds, segments, selection, triage
 from groundcheck.plans.registry import query
 from groundcheck.plans.tables import table
 
@@ -145,28 +145,70 @@ def receipt_findings(spark, sf_dir):
     return told.unionByName(reviews.verdict_issues(reports, findings).select("run_id", "message"))
 
 
-@query("""WITH r AS (SELECT c_custkey AS run_id, c_custkey % 6 AS k, 1 + c_custkey % 2 AS round FROM customer)
-SELECT run_id, unnest(CASE WHEN k = 0 THEN ['report was written for other claims'] WHEN k = 1 THEN ['report was written for another brief', 'diff is not of the current claims']
- WHEN k = 2 THEN ['the first round must be full'] WHEN k = 3 THEN ['diff is not of the current claims', 'an escalated round must be full'] WHEN k = 4 THEN ['report was written for other claims'] ELSE [] END) AS message FROM r""")
+_ROUNDS = """WITH o AS (SELECT o_custkey AS run_id, o_orderkey AS round, o_orderkey % 13 AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous FROM orders),
+r AS (SELECT *, CASE WHEN k = 1 THEN 'x' ELSE 'c' || round END AS report_claims, CASE WHEN k = 2 THEN NULL ELSE 'b' || round END AS report_brief, CASE WHEN k = 12 THEN NULL ELSE 'c' || round END AS file_claims, 'b' || round AS file_brief,
+ CASE WHEN place = 1 THEN CASE WHEN k = 3 THEN 'diff' ELSE 'full' END WHEN k IN (0, 10) THEN 'full' ELSE 'diff' END AS mode, CASE WHEN place = 1 THEN CASE WHEN k = 4 THEN 'd' || round END WHEN k = 8 THEN 'x' ELSE 'd' || round END AS report_diff, 'd' || round AS file_diff,
+ k <> 5 AS made, CASE WHEN k = 6 THEN place + 1 ELSE place END AS round_number, place - 1 AS since_round, CASE WHEN k = 7 THEN 'old' ELSE 'c' || round END AS diff_claims, 'b' || round AS diff_brief, k IN (0, 9) AS escalated, k IN (10, 11) AS asks, k = 11 AS carried FROM o),
+v AS (SELECT *, CASE WHEN report_claims IS DISTINCT FROM file_claims OR file_claims IS NULL THEN 'report is not of the current claims' WHEN report_brief IS DISTINCT FROM file_brief THEN 'report is not of the current brief'
+ WHEN place = 1 THEN CASE WHEN mode <> 'full' OR report_diff IS NOT NULL THEN 'the first round must be full and without a diff' END WHEN NOT made THEN 'the round has no diff' WHEN round_number <> place OR since_round <> place - 1 THEN 'diff is of another round'
+ WHEN diff_claims IS DISTINCT FROM file_claims OR diff_brief IS DISTINCT FROM file_brief THEN 'diff is stale' WHEN report_diff IS DISTINCT FROM file_diff THEN 'report is not of the current diff' WHEN escalated AND mode <> 'full' THEN 'an escalated round must be full'
+ WHEN asks AND mode <> 'diff' THEN 'only a diff review may ask for a full one' WHEN carried THEN 'changed claims are carried forward: claim-' || round END AS message FROM r)"""
+
+
+def _chain(spark, sf_dir) -> DataFrame:
+    """Rounds of every customer's orders; each thirteenth breaks another rule."""
+    o, k = F.col("round"), F.col("k")
+    rows = rounds.places(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("round"), (F.col("o_orderkey") % 13).alias("k")))
+    first = F.col("place") == 1
+    sha = lambda letter: text_of(letter, o)
+    mode = F.when(first, F.when(k == 3, "diff").otherwise("full")).when(k.isin(0, 10), "full").otherwise("diff")
+    named = F.when(first, F.when(k == 4, sha("d"))).when(k == 8, "x").otherwise(sha("d"))
+    reports = rows.select("run_id", "round", mode.alias("mode"), F.lit("pass").alias("verdict"), k.isin(10, 11).alias("escalate"), F.when(k == 1, "x").otherwise(sha("c")).alias("claims_sha"), F.when(k != 2, sha("b")).alias("brief_sha"), named.alias("diff_sha"))
+    files = rows.select("run_id", "round", F.when(k != 12, sha("c")).alias("claims_sha"), sha("b").alias("brief_sha"), sha("d").alias("diff_sha"))
+    diffs = rows.where(k != 5).select("run_id", "round", F.when(k == 6, F.col("place") + 1).otherwise(F.col("place")).alias("round_number"), (F.col("place") - 1).alias("since_round"), F.when(k == 7, "old").otherwise(sha("c")).alias("claims_sha"), sha("b").alias("brief_sha"), k.isin(0, 9).alias("escalated"))
+    listed = rows.select("run_id", "round", F.when(k == 11, "carried_forward").otherwise("reviewed_ok").alias("bucket"), sha("claim-").alias("claim_id"))
+    # What changed comes from the claims of two rounds: each has a claim of its own, so that both differ.
+    changed = rounds.changed_claims(rows.select("run_id", "round", sha("claim-").alias("claim_id"), F.lit("q").alias("quote")), ["quote"])
+    return rounds.round_chain(reports, files, diffs, changed, listed)
+
+
+@query(_ROUNDS + """ SELECT run_id, round, CAST(place AS INTEGER) AS place, previous, message IS NULL AS bound, message FROM v""")
 def round_bindings(spark, sf_dir):
-    """Review rounds that are not bound to what they reviewed."""
-    c, k = F.col("c_custkey"), F.col("c_custkey") % 6
-    rounds = table(spark, sf_dir, "customer").select(
-        c.alias("run_id"), (c % 2 + 1).alias("round"), F.when(k.isin(0, 4, 5), "full").otherwise("diff").alias("mode"),
-        F.when(k == 0, "x").when(k != 4, "c").alias("report_claims_sha"), F.lit("c").alias("claims_sha"), F.when(k == 1, "x").otherwise("b").alias("report_brief_sha"), F.lit("b").alias("brief_sha"),
-        F.when(k.isin(1, 3), None).otherwise("c").cast("string").alias("diff_claims_sha"), (k == 3).alias("escalated"),
-    )
-    return reviews.round_binding(rounds).select("run_id", "message")
+    """Every review round against the bytes it reviewed and the round before it: the first rule it breaks."""
+    return _chain(spark, sf_dir)
 
 
-@query("""SELECT c_custkey AS run_id, CASE WHEN c_custkey % 4 = 3 AND c_custkey % 13 <> 0 THEN 4 WHEN c_custkey % 11 = 0 THEN 2 WHEN c_custkey % 7 = 0 THEN 2 WHEN c_custkey % 9 = 0 THEN 2 WHEN c_custkey % 5 = 0 THEN 3 WHEN c_custkey % 3 = 0 THEN 2 WHEN c_custkey % 3 = 1 THEN 1 ELSE 0 END AS code FROM customer""")
+@query(_ROUNDS + """ SELECT run_id, count(*) AS rounds, coalesce(min(place) FILTER (WHERE message IS NOT NULL) - 1, count(*)) AS held, arg_min(round, place) FILTER (WHERE message IS NOT NULL) AS broken_round, arg_min(message, place) FILTER (WHERE message IS NOT NULL) AS message FROM v GROUP BY run_id""")
+def round_chains(spark, sf_dir):
+    """Runs by how many of their rounds hold before the first that is not bound."""
+    return rounds.chain_verdicts(_chain(spark, sf_dir))
+
+
+@query("""WITH r AS (SELECT o_custkey AS run_id, o_orderkey AS round, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders),
+c AS (SELECT r.*, 'claim-' || l_linenumber AS claim_id, CASE WHEN l_linenumber % 2 = 0 THEN 'same' ELSE CAST(l_quantity AS VARCHAR) END AS said FROM r JOIN lineitem ON l_orderkey = round),
+p AS (SELECT run_id, place + 1 AS place, claim_id, said FROM c WHERE EXISTS (SELECT 1 FROM r n WHERE n.run_id = c.run_id AND n.place = c.place + 1)), n AS (SELECT * FROM c WHERE place > 1)
+SELECT coalesce(n.run_id, p.run_id) AS run_id, (SELECT round FROM r WHERE r.run_id = coalesce(n.run_id, p.run_id) AND r.place = coalesce(n.place, p.place)) AS round, coalesce(n.claim_id, p.claim_id) AS claim_id, CASE WHEN p.claim_id IS NULL THEN 'added' WHEN n.claim_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM n FULL JOIN p ON n.run_id = p.run_id AND n.place = p.place AND n.claim_id = p.claim_id WHERE p.said IS DISTINCT FROM n.said""")
+def changed_rounds(spark, sf_dir):
+    """Claims of every round that were added, removed or changed since the round before it."""
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    n = F.col("l_linenumber")
+    own = lines.select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("round"), text_of("claim-", n).alias("claim_id"), F.when(n % 2 == 0, "same").otherwise(F.col("l_quantity").cast("string")).alias("said"))
+    held = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("round"))
+    return rounds.changed_claims(own, ["said"], held).select("run_id", "round", "claim_id", "change")
+
+
+@query("""SELECT c_custkey AS run_id, CASE WHEN c_custkey % 4 = 3 AND c_custkey % 13 <> 0 THEN 4 WHEN c_custkey % 17 = 0 THEN 2 WHEN c_custkey % 11 = 0 THEN 2 WHEN c_custkey % 7 = 0 THEN 2 WHEN c_custkey % 19 = 0 THEN 2 WHEN c_custkey % 9 = 0 AND (c_custkey % 2 = 0 OR c_custkey % 13 <> 0) THEN 2
+ WHEN c_custkey % 5 = 0 THEN 3 WHEN c_custkey % 3 = 0 THEN 2 WHEN c_custkey % 3 = 1 THEN 1 ELSE 0 END AS code FROM customer""")
 def review_gates(spark, sf_dir):
-    """Verdict codes of review rounds: the cap, what blocks, issues, escalation and verdicts, in this order."""
+    """Verdict codes of review rounds: the cap, what blocks, issues, escalation and verdicts, in this order.
+    A missing receipt is no issue of a bundle that was accepted already."""
     c = F.col("c_custkey")
     customers = table(spark, sf_dir, "customer")
     verdict = F.element_at(F.array(F.lit("fail"), F.lit("pass_with_warnings"), F.lit("pass")), (c % 3 + 1).cast("int"))
-    reports = customers.select(c.alias("run_id"), (c % 4 + 1).alias("round"), verdict.alias("verdict"), (c % 5 == 0).alias("escalated"), (c % 13 == 0).alias("repeated"), F.when(c % 11 != 0, True).alias("claims_ok"), (c % 7 != 0).alias("bound"))
-    found = customers.where(c % 9 == 0).select(c.alias("run_id"), F.lit("review_receipt").alias("check"), F.lit("planted").alias("message"))
+    reports = customers.select(c.alias("run_id"), (c % 4 + 1).alias("round"), verdict.alias("verdict"), (c % 5 == 0).alias("escalated"), (c % 13 == 0).alias("repeated"), (c % 17 != 0).alias("named"), F.when(c % 11 != 0, True).alias("claims_ok"), (c % 7 != 0).alias("bound"), (c % 19 != 0).alias("chained"))
+    planted = F.when(c % 2 == 0, F.struct(F.lit("review_receipt").alias("check"), F.lit("source_checks is empty").alias("message"))).otherwise(F.struct(F.lit(reviews.RECEIPT).alias("check"), F.lit(reviews.NO_RECEIPT).alias("message")))
+    found = customers.where(c % 9 == 0).select(c.alias("run_id"), planted.alias("i")).select("run_id", "i.*")
     return reviews.review_gate(reports, found).select("run_id", "code")
 
 
@@ -258,21 +300,45 @@ def ordered_bars(spark, sf_dir):
     return selection.by_date(bars, ["ticker"]).select("ticker", F.col("date").cast("string").alias("date"), "nth")
 
 
-@query("""WITH a AS (SELECT event_id AS e, event_id % 4 AS k, ((event_id * 37) % 301) / 100.0 AS s, ((event_id * 13) % 50) / 100.0 AS p FROM events)
-SELECT e, CASE WHEN k = 0 AND e % 8 = 0 THEN 'defect' WHEN k = 0 AND p >= 0.2 THEN 'check' WHEN k = 0 AND e % 12 = 4 THEN 'check' WHEN k = 1 AND s < 2 THEN 'defect' WHEN k = 1 AND s < 2.65 THEN 'check' END AS severity,
-CASE WHEN k = 1 THEN 'rung ' || CAST(floor(s) AS INTEGER) END AS rung FROM a WHERE k < 2 AND CASE WHEN k = 0 THEN e % 8 = 0 OR p >= 0.2 OR e % 12 = 4 ELSE s < 2.65 END""")
+@query("""WITH a AS (SELECT user_id AS run_id, event_id AS e, ((event_id * 37) % 301) / 100.0 AS s, ((event_id * 13) % 50) / 100.0 AS p, ((event_id * 29) % 101) / 100.0 AS t FROM events WHERE event_id % 4 <> 3),
+i AS (SELECT run_id, e, 'claim_vs_evidence' AS q, CASE WHEN e % 8 = 0 THEN 'defect' WHEN p >= 0.2 OR e % 12 = 4 THEN 'check' END AS severity, CASE WHEN e % 8 = 0 THEN 'contradicts' ELSE 'supports' END AS reading,
+ CASE WHEN e % 8 = 0 THEN 'answered ''contradicts'' at 90% where the record implies ''supports' || chr(39) WHEN p >= 0.2 THEN 'answered ''supports'' at 60% but gave ''says_nothing'' ' || CAST(round(p * 100) AS INTEGER) || '%' ELSE 'answered ''supports'' with a confidence of 0.50 only' END AS why FROM a
+UNION ALL SELECT run_id, e, 'classification', CASE WHEN e % 3 = 1 THEN 'defect' END, 'reported_fact', 'answered ''reported_fact'' at 100% where the record implies ''analyst_question' || chr(39) FROM a
+UNION ALL SELECT run_id, e, 'values_capture', CASE WHEN s < 2 THEN 'defect' WHEN s < 2.65 THEN 'check' END, NULL, NULL FROM a
+UNION ALL SELECT run_id, e, 'claim_text_traceable', CASE WHEN t < 0.5 THEN 'defect' WHEN t < 0.7 THEN 'check' END, NULL, 'true with ' || CAST(round(t * 100) AS INTEGER) || '% only' FROM a)
+SELECT run_id, e || '::' || q AS "key", severity, reading, why, CAST(row_number() OVER (PARTITION BY run_id ORDER BY severity DESC, lpad(CAST(e AS VARCHAR), 9, '0'), q) AS INTEGER) AS nth FROM i WHERE severity IS NOT NULL""")
 def answer_severities(spark, sf_dir):
-    """Choices with wrong winners, strong rivals or low confidence, and scores below their top rung."""
-    e, k = F.col("event_id"), F.col("event_id") % 4
-    p, s = ((e * 13) % 50) / F.lit(100.0), ((e * 37) % 301) / F.lit(100.0)
+    """Items of calls whose answers are maps: choices with wrong winners, strong rivals or low confidence,
+    scores below their top rung, weak truths. What a label should be comes from its claim. Defects first."""
+    e = F.col("event_id")
+    p, s, t = ((e * 13) % 50) / F.lit(100.0), ((e * 37) % 301) / F.lit(100.0), ((e * 29) % 101) / F.lit(100.0)
+    legend = F.create_map(*[F.lit(x) for i in range(4) for x in (str(i), f"rung {i}")])
+    kinds = {"type": "string", "noul": "double", "choice": "string", "confidence": "double", "probabilities": "map<string,double>", "score": "double", "legend": "map<string,string>"}
+
+    def answer(**parts) -> Column:
+        return F.struct(*[(parts[n] if n in parts else F.lit(None)).cast(k).alias(n) for n, k in kinds.items()])
+
+    spread = F.when(e % 8 == 0, F.create_map(F.lit("contradicts"), F.lit(0.9))).otherwise(F.create_map(F.lit("supports"), F.lit(0.6), F.lit("says_nothing"), p))
+    evidence = answer(type=F.lit("choice"), choice=F.when(e % 8 == 0, "contradicts").otherwise("supports"), confidence=F.when(e % 12 == 4, 0.5).otherwise(0.9), probabilities=spread)
+    label = answer(type=F.lit("choice"), choice=F.lit("reported_fact"), confidence=F.lit(0.9), probabilities=F.create_map(F.lit("reported_fact"), F.lit(1.0)))
+    answers = F.create_map(F.lit("claim_vs_evidence"), evidence, F.lit("classification"), label, F.lit("values_capture"), answer(type=F.lit("score"), score=s, legend=legend), F.lit("claim_text_traceable"), answer(type=F.lit("noul"), noul=t))
+    claim_id = F.lpad(e.cast("string"), 9, "0")
+    events = table(spark, sf_dir, "events")
+    calls = events.select(F.col("user_id").alias("run_id"), e.cast("string").alias("subject"), claim_id.alias("claim_id"), F.lit("g").alias("generation_id"), F.when(e % 4 == 3, "error").otherwise("ok").alias("status"), answers.alias("answers"))
+    own = events.where(e % 3 != 2).select(F.col("user_id").alias("run_id"), claim_id.alias("id"), F.when(e % 3 == 0, "reported_fact").otherwise("analyst_question").alias("classification"))
+    found = triage.ordered(triage.triage(triage.answers_of(calls, claims=own)))
+    scored = F.col("question_id") == "values_capture"
+    return found.select("run_id", "key", "severity", F.when(F.col("type") == "choice", F.col("reading")).alias("reading"), F.when(~scored, F.col("why")).alias("why"), "nth")
+
+
+@query("""SELECT event_id AS e, 'scored ' || printf('%.2f', s) || ' of 3: rung ' || CAST(floor(s) AS INTEGER) AS why, 'rung ' || CAST(floor(s) AS INTEGER) AS rung FROM (SELECT event_id, ((event_id * 37) % 301) / 100.0 AS s FROM events) WHERE s < 2.65""")
+def score_shortfalls(spark, sf_dir):
+    """Scores below their top rung, with the text of the rung below the score."""
+    s = ((F.col("event_id") * 37) % 301) / F.lit(100.0)
+    none = {"noul": "double", "choice": "string", "expected": "string", "confidence": "double", "probabilities": "map<string,double>"}
     legend = F.create_map(*[F.lit(x) for i in range(4) for x in (str(i), f"rung {i}")])
-    rows = table(spark, sf_dir, "events").select(
-        e, F.when(k == 0, "choice").when(k == 1, "score").otherwise("noul").alias("type"), F.when(k == 3, 0.1).otherwise(0.9).alias("noul"), F.when(k == 3, "error").otherwise("ok").alias("status"),
-        F.when(e % 8 == 0, "contradicts").otherwise("supports").alias("choice"), F.lit("supports").alias("expected"), F.when(e % 12 == 4, 0.5).otherwise(0.9).alias("confidence"),
-        F.create_map(F.lit("supports"), F.lit(0.6), F.lit("says_nothing"), p).alias("probabilities"), F.when(k == 1, s).alias("score"), F.when(k == 1, legend).alias("legend"),
-    )
-    found = triage.triage(rows.withColumn("probabilities", F.when(e % 8 == 0, F.create_map(F.lit("contradicts"), F.lit(0.9))).otherwise(F.col("probabilities"))))
-    return found.select(F.col("event_id").alias("e"), "severity", "rung")
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("e"), F.lit("score").alias("type"), s.alias("score"), legend.alias("legend"), *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
+    return triage.triage(rows).select("e", "why", "rung")
 
 
 @query("""WITH i AS (SELECT user_id AS r, event_id AS e, event_id % 3 = 0 AS defect FROM events), o AS (SELECT *, row_number() OVER (PARTITION BY r, defect ORDER BY lpad(CAST(e AS VARCHAR), 9, '0')) AS nth FROM i WHERE e % 4 <> 0 AND (defect OR r % 10 <> 0)),
@@ -311,11 +377,16 @@ def quote_windows(spark, sf_dir):
     return docs.select("doc_id", w["text"].alias("part"), w["quote_offset"].alias("quote_offset"), w["start"].alias("start"))
 
 
-@query(r"""SELECT page_id, sha256(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>', ' ', 'g'), '&[a-z]+;', ' ', 'g'), '[^a-zA-Z]+', '', 'g')) AS letters FROM pages""")
-def page_letters(spark, sf_dir):
-    """ASCII letters of every page's text, in order, as a digest."""
-    text = documents.sanitize(F.coalesce("html", F.lit("")), True)
-    return table(spark, sf_dir, "pages").select("page_id", F.sha2(F.regexp_replace(text, "[^a-zA-Z]+", ""), 256).alias("letters"))
+@query(r"""WITH p AS (SELECT page_id, coalesce(html, '') || CASE page_id % 4 WHEN 0 THEN '<p>margin 5 < 6 here</p>' WHEN 1 THEN 'a<!-- c -->b' WHEN 2 THEN '<pre> ' || chr(10) || '</pre>' ELSE ' ' || chr(10) || ' ' END AS html FROM pages),
+n AS (SELECT page_id, list_filter(string_split_regex(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', '<br>', 'g'), '(?s)<!--.*?-->|</?[a-zA-Z!][^>]*>'), lambda x: x <> '') AS nodes, page_id % 4 = 2 AS pre FROM p),
+t AS (SELECT page_id, array_to_string([CASE WHEN regexp_full_match(x, '[ \n\t\f\r]+') AND NOT (pre AND x = ' ' || chr(10)) THEN CASE WHEN contains(x, chr(10)) THEN chr(10) ELSE ' ' END ELSE x END FOR x IN nodes], chr(10)) AS text FROM n)
+SELECT page_id, sha256(regexp_replace(replace(replace(replace(replace(replace(replace(text, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[\x00-\x08\x0b-\x1f\x7f]', '', 'g')) AS sha256, strlen(text) > 0 AS filled FROM t""")
+def page_texts(spark, sf_dir):
+    """Text of every page, its text nodes line by line: bare angle brackets, comments, blank nodes."""
+    k = F.col("page_id") % 4
+    planted = F.when(k == 0, "<p>margin 5 < 6 here</p>").when(k == 1, "a<!-- c -->b").when(k == 2, "<pre> \n</pre>").otherwise(" \n ")
+    text = documents.sanitize(F.concat(F.coalesce("html", F.lit("")), planted), True)
+    return table(spark, sf_dir, "pages").select("page_id", text.alias("text")).select("page_id", F.sha2("text", 256).alias("sha256"), (F.length("text") > 0).alias("filled"))
 
 
 @query("""WITH s AS (SELECT s_suppkey AS k, s_suppkey % 8 AS m, replace(s_name, '#', ' ') AS n FROM supplier)
@@ -365,16 +436,58 @@ def speakerless_documents(spark, sf_dir):
     return segments.speakerless(segments.transcript_lines(docs, "run_id"), "run_id")
 
 
-@query("""SELECT c_custkey AS run_id, n AS rounds, failed, escalations, n AS stages, hash FROM (SELECT c_custkey, count(o_orderkey) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS failed, count(*) FILTER (WHERE o_totalprice > 200000) AS escalations, sha256(CAST(c_custkey AS VARCHAR)) AS hash FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE c_custkey % 2 = 0 GROUP BY c_custkey)""".replace("n AS stages, ", ""))
+@query("""WITH c AS (SELECT c_custkey AS k, 'T' || c_custkey AS t FROM customer WHERE c_custkey % 2 = 0),
+o AS (SELECT o_custkey AS k, o_orderkey AS round, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, CASE WHEN o_orderstatus = 'F' THEN 'fail' ELSE 'pass' END AS verdict, o_totalprice > 200000 AS esc, o_orderkey % 3 AS high, o_orderkey % 2 AS info FROM orders),
+h AS (SELECT k, count(*) AS n, count(*) FILTER (WHERE verdict = 'fail') AS failed, count(*) FILTER (WHERE esc) AS escs, CAST(sum(high) AS BIGINT) AS high, CAST(sum(info) AS BIGINT) AS info, arg_max(verdict, round) AS v, max(round) AS last, arg_max(high, round) AS lh, arg_max(info, round) AS li,
+ string_agg('round ' || round || ' ' || verdict || CASE WHEN high + info > 0 THEN ' with ' || concat_ws(', ', CASE WHEN high > 0 THEN high || ' high' END, CASE WHEN info > 0 THEN info || ' info' END) || ' finding(s)' ELSE '' END, '; ' ORDER BY round) AS told,
+ string_agg('{"stage":"review","round":' || round || ',"status":"' || verdict || '"}', ',' ORDER BY round) AS trace FROM o GROUP BY k),
+a AS (SELECT c.*, coalesce(n, 0) AS n, coalesce(failed, 0) AS failed, coalesce(escs, 0) AS escs, coalesce(high, 0) AS high, coalesce(info, 0) AS info, v, last, coalesce(lh, 0) AS lh, coalesce(li, 0) AS li, told, trace, 1 + k % 3 AS tries, k % 3 AS bad, k % 5 = 0 AS briefs FROM c LEFT JOIN h USING (k)),
+s AS (SELECT *, 'Analysis drew on ' || 2 + k % 2 || ' recorded source(s) (transcript, SEC/web evidence). ' || tries || ' claim-validation attempt(s) were made' || CASE WHEN bad > 0 THEN ', ' || bad || ' with issues,' ELSE '' END || ' before passing.' || CASE WHEN briefs THEN ' 2 outlook-validation attempt(s) were made, 2 with issues or blocked, before passing.' ELSE '' END || CASE WHEN n > 0 THEN ' Review ran ' || n || ' round(s): ' || told || '.' ELSE '' END AS summary FROM a)
+SELECT t || '/e' AS run_id, summary AS trace_summary, '{"run_id":"' || t || ':e","ticker":"' || t || '","event_id":"e","status":"accepted","final_review_round":' || coalesce(CAST(last AS VARCHAR), 'null') || ',"generated_at":"2026-01-01","decision":{"verdict":' || coalesce('"' || v || '"', 'null') || ',"summary":' || CASE WHEN n > 0 THEN '"said \\"so\\""' ELSE 'null' END || ',"finding_counts":{"critical":0,"high":' || lh || ',"medium":0,"low":0,"info":' || li || '}},"trace_summary":"' || summary || '","workflow_trace":[{"stage":"claim_validation","attempts":' || tries || ',"status":"passed"},{"stage":"outlook_validation","attempts":' || CASE WHEN briefs THEN 2 ELSE 0 END || ',"status":"' || CASE WHEN briefs THEN 'blocked' WHEN k % 4 = 0 THEN 'passed' ELSE 'unknown' END || '"}' || coalesce(',' || trace, '')
+ || '],"review_history_summary":{"review_rounds":' || n || ',"failed_review_rounds":' || failed || ',"historical_findings":{"critical":0,"high":' || high || ',"medium":0,"low":0,"info":' || info || '}},"guardrail_summary":{"validation_retries":' || tries - 1 || ',"validation_rejections":' || bad || ',"outlook_validation_retries":' || CASE WHEN briefs THEN 1 ELSE 0 END || ',"outlook_validation_rejections":' || CASE WHEN briefs THEN 2 ELSE 0 END || ',"review_rejections":' || failed || ',"escalations":' || escs || '},"tool_decisions":' || CASE WHEN k % 4 = 0 THEN '{"price":"used"}' ELSE 'null' END
+ || ',"hashes":{"transcript_sha256":"' || CASE WHEN k % 4 = 2 THEN 'md' ELSE 'txt' END || '","manifest_sha256":"m","claims_sha256":"' || CASE WHEN k % 4 = 0 THEN 'c2' ELSE 'c1' END || '","outlook_brief_sha256":null,"review_report_sha256":"r"},"evidence_summary":{"source_count":' || 2 + k % 2 || '},"reviewer_model":' || CASE WHEN n > 0 THEN '"m1"' ELSE 'null' END || ',"agent_provenance":{"extractor":{"model":"x"},"outlook_author":null,"reviewer":{"model":' || CASE WHEN n > 0 THEN '"m1"' ELSE 'null' END || ',"reasoning_effort":' || CASE WHEN n > 0 THEN '"high"' ELSE 'null' END || '},"basis":"agent_declared"}}' AS record FROM s""")
 def audit_records(spark, sf_dir):
-    """Nested records of the accepted runs: rounds, failures, escalations and hashes."""
+    """The whole audit record of every accepted run as JSON: decision, trace and its sentence, history of
+    findings, guardrails, tool decisions, hashes, provenance."""
     customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    c, o = F.col("c_custkey"), F.col("o_orderkey")
-    runs = customers.select(c.alias("run_id"), (c % 2 == 0).alias("accepted"))
-    rounds = orders.select(F.col("o_custkey").alias("run_id"), o.alias("round"), F.when(F.col("o_orderstatus") == "F", "fail").otherwise("pass").alias("verdict"), (F.col("o_totalprice") > 200000).alias("escalated"))
-    attempts = rounds.select("run_id", F.lit("analysis").alias("stage"), F.col("round").alias("attempt"), F.lit("passed").alias("outcome"))
-    findings = rounds.select("run_id", F.lit("low").alias("severity"))
-    hashes = runs.select("run_id", F.lit("claims").alias("name"), F.sha2(F.col("run_id").cast("string"), 256).alias("sha256"))
-    found = audits.audit_record(runs, attempts, rounds, findings, hashes)
-    zero = lambda x: F.coalesce(F.col(x), F.lit(0))
-    return found.select("run_id", zero("record.rounds").alias("rounds"), zero("record.failed_rounds").alias("failed"), zero("record.escalations").alias("escalations"), F.col("record.hashes")["claims"].alias("hash"))
+    c, o, k = F.col("c_custkey"), F.col("o_orderkey"), F.col("k")
+    run = lambda x: text_of("T", x, "/e").alias("run_id")
+    base = customers.select(run(c), c.alias("k"))
+    runs = base.select("run_id", text_of("T", k).alias("ticker"), F.lit("e").alias("event_id"), (k % 2 == 0).alias("accepted"), F.lit("2026-01-01").alias("generated_at"), (k % 4 == 0).alias("brief_ok"), F.when(k % 4 == 0, '{"price":"used"}').alias("tool_decisions"), F.lit('{"model":"x"}').alias("extractor"), F.lit(None).cast("string").alias("outlook_author"))
+    tries = base.select("run_id", "k", F.explode(F.sequence(F.lit(1).cast("long"), 1 + k % 3)).alias("attempt")).select("run_id", F.lit(audits.CLAIM_STAGE).alias("stage"), "attempt", F.when(F.col("attempt") == 1 + k % 3, "passed").otherwise("rejected").alias("outcome"))
+    again = base.where(k % 5 == 0).select("run_id", F.lit(audits.BRIEF_STAGE).alias("stage"), F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("attempt")).withColumn("outcome", F.when(F.col("attempt") == 1, "failed").otherwise("blocked"))
+    held = orders.select(run(F.col("o_custkey")), o.alias("round"), F.when(F.col("o_orderstatus") == "F", "fail").otherwise("pass").alias("verdict"), (F.col("o_totalprice") > 200000).alias("escalated"), F.lit('said "so"').alias("summary"), F.lit("m1").alias("model"), F.lit("high").alias("reasoning_effort"))
+    each = F.concat(F.array_repeat(F.lit("high"), (F.col("round") % 3).cast("int")), F.array_repeat(F.lit("info"), (F.col("round") % 2).cast("int")))
+    findings = held.select("run_id", "round", F.explode(each).alias("severity"))
+    path = F.struct(F.lit(0).alias("pos"), F.when(k % 4 == 2, "raw/transcript.pdf.converted.md").otherwise("raw/transcript.txt").alias("path"), F.when(k % 4 == 2, "pdf").otherwise("txt").alias("sha256"))
+    other = F.struct(F.lit(1).alias("pos"), F.when(k % 4 == 2, "raw/transcript.md").otherwise("raw/page.html").alias("path"), F.lit("md").alias("sha256"))
+    more = F.struct(F.lit(2).alias("pos"), F.lit("raw/z.html").alias("path"), F.lit("z").alias("sha256"))
+    sources = base.select("run_id", F.explode(F.concat(F.array(path, other), F.when(k % 2 == 1, F.array(more)).otherwise(F.slice(F.array(more), 1, 0)))).alias("s")).select("run_id", "s.*")
+    hash_ = lambda n, h: F.struct(F.lit(n).alias("name"), F.lit(h).alias("sha256"))
+    twice = F.array(hash_("manifest", "m"), hash_("claims", "c1"), hash_("review_report", "r"))
+    hashes = base.select("run_id", F.explode(F.when(k % 4 == 0, F.concat(twice, F.array(hash_("claims", "c2")))).otherwise(twice)).alias("h")).select("run_id", "h.*")
+    return audits.audit_record(runs, tries.unionByName(again), held, findings, sources, hashes)
+
+
+@query(r"""WITH b AS (SELECT doc_id AS d, doc_id % 7 AS k FROM documents), p AS (
+SELECT d, 'Revenue was ' || CASE WHEN k = 4 THEN '$' ELSE chr(92) || '$' END || CASE WHEN k = 3 THEN d + 501 ELSE d + 500 END || ' million [claim-' || d || '].' AS passage, k FROM b
+UNION ALL SELECT d, '- margin ' || CASE WHEN k = 5 THEN 32 ELSE 31 END || '% [claim-' || d || ']' || chr(10) || '  as before' || chr(10) || '- 12 shops opened in FY2026', k FROM b)
+SELECT 'r' || d AS run_id, 'claim-' || d || '@' || substr(sha256(passage), 1, 8) AS "key", 2 AS questions, sha256('PASSAGE FROM THE OUTLOOK BRIEF (the point being argued):' || chr(10) || passage || chr(10) || chr(10) || 'THE CITED CLAIM:' || chr(10) || '{' || chr(10) || '  "quote": "Revenue was ' || d + 500 || ' million.",' || chr(10) || '  "claim_text": ""' || chr(10) || '}' || chr(10)) AS state_hash FROM p WHERE k NOT IN (1, 2)""")
+def citation_requests(spark, sf_dir):
+    """What a model would be asked of every citation in the briefs: the request's text, byte for byte."""
+    texts, own = _briefs(spark, sf_dir)
+    raw = F.concat(F.lit('{"id": "x", "quote": "'), "quote", F.lit('", "claim_text": "", "values": {"margin": 0.31}}'))
+    found = triage.state_hash(triage.citation_states(briefs.citation_pairs(texts, own), own.withColumn("raw", raw)))
+    return found.select("run_id", "key", F.size("questions").alias("questions"), "state_hash")
+
+
+@query(r"""WITH s AS (SELECT conv_id, turn, 'seg-' || turn AS id, role, coalesce(text, '') AS text FROM conversations), w AS (SELECT *, '[' || id || ', ' || CASE WHEN turn % 3 = 0 THEN 'unattributed' ELSE role END || '] ' || text || chr(10) AS line FROM s),
+l AS (SELECT *, coalesce(lag(line, 2) OVER (PARTITION BY conv_id ORDER BY turn), '') || coalesce(lag(line) OVER (PARTITION BY conv_id ORDER BY turn), '') AS lead FROM w)
+SELECT conv_id AS run_id, id, sha256('CALL CONTEXT: C' || conv_id || ' e earnings call, event date None.' || chr(10) || chr(10) || CASE WHEN lead <> '' THEN 'PRECEDING TURNS (context only, do not judge these):' || chr(10) || lead || chr(10) ELSE '' END
+ || 'SEGMENT UNDER REVIEW (' || id || ', section qa, speaker ' || CASE WHEN turn % 3 = 0 THEN 'unattributed' ELSE role END || '):' || chr(10) || text || chr(10)) AS state_hash FROM l WHERE turn % 2 = 0""")
+def coverage_requests(spark, sf_dir):
+    """What a model would be asked of every segment called immaterial, with the two turns before it."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("run_id"), text_of("seg-", F.col("turn")).alias("id"), F.col("turn").alias("seq"), F.lit("qa").alias("section"), F.when(F.col("turn") % 3 != 0, F.col("role")).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
+    receipt = turns.select("run_id", "id", F.when(F.col("seq") % 2 == 0, coverage.IMMATERIAL).otherwise(coverage.EXTRACTED).alias("outcome"))
+    runs = turns.select("run_id").distinct().select("run_id", text_of("C", F.col("run_id")).alias("ticker"), F.lit("e").alias("event_id"), F.lit(None).cast("string").alias("event_date"))
+    return triage.state_hash(triage.coverage_states(receipt, turns, triage.call_context(runs))).select("run_id", "id", "state_hash")

@@ -255,11 +255,17 @@ def triage_sweep(spark, sf_dir):
     return triage.sweep(_answers(spark, sf_dir), [triage.Thresholds(accept=a) for a in (0.8, 0.7, 0.6)]).select("accept", "flagged", "defect", "check")
 
 
-@query(f"""SELECT user_id AS run_id, count(*) AS audited, count(*) FILTER (WHERE noul < 0.7) AS flagged, count(*) FILTER (WHERE noul < 0.5) AS defect, count(*) FILTER (WHERE noul >= 0.5 AND noul < 0.7) AS "check" FROM {_ANSWERS} GROUP BY user_id""")
+@query(f"""WITH a AS {_ANSWERS}, c AS (SELECT *, event_id % 6 = 5 AS failed FROM a), w AS (SELECT user_id, event_id, failed, unnest([noul, 1 - noul, 0.6]) AS p FROM c)
+SELECT user_id AS run_id, count(DISTINCT event_id) AS audited, count(*) FILTER (WHERE NOT failed AND p < 0.7) AS flagged, count(*) FILTER (WHERE NOT failed AND p < 0.5) AS defect, count(*) FILTER (WHERE NOT failed AND p >= 0.5 AND p < 0.7) AS "check" FROM w GROUP BY user_id""")
 def triage_counts(spark, sf_dir):
-    """Answers triaged at the chosen thresholds, by run."""
-    answers = _answers(spark, sf_dir)
-    return triage.counts(answers, triage.triage(answers))
+    """Calls of three questions each, some of them failed, and what is flagged of their answers, by run."""
+    p = ((F.col("event_id") * 37) % 101) / F.lit(100.0)
+    none = lambda t: F.lit(None).cast(t)
+    answer = lambda x: F.struct(F.lit("noul").alias("type"), x.alias("noul"), none("string").alias("choice"), none("double").alias("confidence"), none("map<string,double>").alias("probabilities"), none("double").alias("score"), none("map<string,string>").alias("legend"))
+    asked = F.create_map(F.lit("claim_text_traceable"), answer(p), F.lit("period_correct"), answer(1 - p), F.lit("value__a"), answer(F.lit(0.6)))
+    subject = F.col("event_id").cast("string")
+    calls = table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), subject.alias("subject"), subject.alias("claim_id"), subject.alias("generation_id"), F.when(F.col("event_id") % 6 == 5, "error").otherwise("ok").alias("status"), asked.alias("answers"))
+    return triage.counts(calls, triage.triage(triage.answers_of(calls)))
 
 
 def _answers(spark, sf_dir):
@@ -292,9 +298,11 @@ def prose_flags(spark, sf_dir):
 def card_categories(spark, sf_dir):
     """Signal cards: a run's categories, their place, first claim and how many lines they have."""
     docs = table(spark, sf_dir, "documents")
-    own = docs.select(F.col("source").alias("run_id"), F.col("lang").alias("category"), F.col("doc_id").alias("claim_index"), F.lit("fact").alias("claim_text"), F.col("doc_id").cast("string").alias("id"))
-    card = audits.signal_card(own).groupBy("run_id", "category", "place").agg(F.min_by("line", "claim_index").alias("line"), F.count(F.lit(1)).alias("n"))
-    return card.select("run_id", "category", F.regexp_extract("line", r"\[(\d+)\]$", 1).cast("long").alias("first"), "n", F.col("place").cast("long").alias("place"))
+    none = {c: "string" for c in ("status", "classification", "speaker", "quote", "segment_id", "web_evidence_id")} | {"caveats": "array<string>"}
+    own = docs.select(F.col("source").alias("run_id"), F.col("lang").alias("category"), F.col("doc_id").alias("claim_index"), F.lit("fact").alias("claim_text"), *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
+    runs = docs.select(F.col("source").alias("run_id")).distinct().select("run_id", F.col("run_id").alias("ticker"), F.lit("e").alias("event_id"), F.lit("now").alias("generated_at"))
+    card = audits.signal_card(own, runs).where("part = 0 and place > 0").groupBy(F.col("ticker").alias("run_id"), "category", "place").agg(F.min("claim_index").alias("first"), F.count(F.lit(1)).alias("n"))
+    return card.select("run_id", "category", "first", "n", F.col("place").cast("long").alias("place"))
 
 
 
@@ -456,12 +464,26 @@ def escaped_currency(spark, sf_dir):
     return docs.select("doc_id", (F.length("text") - F.length(F.replace("text", F.lit("$"), F.lit("")))).alias("signs"), F.sha2(tx.escape_currency(F.col("text")), 256).alias("escaped"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT doc_id, source AS run_id, coalesce(lang, 'None') AS section, coalesce(text, '') AS text FROM documents),
+c AS (SELECT d.*, substr(text, CAST(floor(length(text) / 2.0) AS INTEGER) + 1, 80) || CASE WHEN doc_id % 5 = 0 THEN ' altered' ELSE '' END AS quote FROM d WHERE doc_id % 7 <> 0),
+e AS (SELECT *, regexp_replace(quote, '[^\x20-\x7E]|["\\]', '', 'g') AS plain FROM c)
+SELECT run_id, 'claim-' || doc_id AS id, 5 AS questions, sha256('CALL CONTEXT: ' || run_id || ' e earnings call, event date 2026-07-14.' || chr(10) || chr(10) || 'SOURCE SEGMENT (' || doc_id || ', ' || section || '):' || chr(10) || text || chr(10) || chr(10)
+ || 'EXTRACTED CLAIM RECORD — audit each field separately:' || chr(10) || '{' || chr(10) || '  "classification": "reported_fact",' || chr(10) || '  "claim_text": "Length was ' || length(text) || ' in FY2026. \u20ac",' || chr(10) || '  "quote": "' || plain || '",' || chr(10)
+ || '  "values": {' || chr(10) || '    "length": ' || length(text) || ',' || chr(10) || '    "half": ' || length(text) // 2 || '.5' || chr(10) || '  },' || chr(10) || '  "inferred_from": []' || chr(10) || '}' || chr(10)) AS state_hash FROM e""")
 def audit_questions(spark, sf_dir):
-    """What a model would be asked of every claim cut from the documents."""
+    """What a model would be asked of every claim cut from the documents: the request's text, byte for byte."""
     docs = table(spark, sf_dir, "documents")
-    found = triage.state_hash(triage.audit_states(tables.claims(docs), tables.evidence(docs), tables.no_pages(docs)))
-    return found.select("run_id", "id", F.size("questions").alias("questions"), "note", "state_hash")
+    text = F.coalesce("text", F.lit(""))
+    own = tables.claims(docs).withColumn("quote", F.regexp_replace("quote", "[^\\x20-\\x7E]|[\"\\\\]", ""))
+    n = F.regexp_extract("claim_text", r"(\d+) in", 1).cast("long")
+    own = own.withColumns({"claim_text": F.concat("claim_text", F.lit(" €")), "values": F.concat(F.lit('{"length": '), n.cast("string"), F.lit(', "half": '), F.expr("cast(regexp_extract(claim_text, '([0-9]+) in', 1) as bigint) div 2").cast("string"), F.lit(".50}"))})
+    quoted = F.concat(F.lit('"'), F.col("quote"), F.lit('"'))
+    raw = F.concat(F.lit('{"id": "x", "classification": "reported_fact", "claim_text": "'), F.col("claim_text"), F.lit('", "quote": '), quoted, F.lit(', "segment_id": "s", "values": '), F.col("values"), F.lit(', "speaker": null, "inferred_from": []}'))
+    own = own.withColumn("raw", raw).where("segment_id <> 'missing'")
+    runs = docs.select(F.col("source").alias("run_id")).distinct().select("run_id", F.col("run_id").alias("ticker"), F.lit("e").alias("event_id"), F.lit("2026-07-14").alias("event_date"))
+    passages = docs.select(F.col("source").alias("run_id"), F.col("doc_id").cast("string").alias("id"), F.coalesce("lang", F.lit("None")).alias("section"), text.alias("text"))
+    found = triage.state_hash(triage.audit_states(own, passages, tables.no_pages(docs), triage.call_context(runs)))
+    return found.select("run_id", "id", (F.size("questions") - 1).alias("questions"), "state_hash")
 
 
 @query("""SELECT 'd' || doc_id AS "key", p AS pattern, CASE WHEN p = 'jailbreak' THEN 2 ELSE 1 END AS n FROM documents, (VALUES ('jailbreak'), ('system prompt')) v(p) WHERE doc_id % 10 = 0""")

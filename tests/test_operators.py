@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from groundcheck.operators import audits, briefs, claims, coverage, integrity, reviews, segments, selection, triage
+from groundcheck.functions.jsontext import indented_json
+from groundcheck.operators import audits, briefs, claims, coverage, integrity, reviews, rounds as chain, segments, selection, triage
 
 CLAIM = "run_id string, claim_index int, id string, classification string, claim_text string, quote string, segment_id string, web_evidence_id string, values string, inferred_from array<string>"
 
@@ -243,6 +244,28 @@ def test_triage(spark):
     assert {i.key for i in triage.open_items(keyed, settled).collect()} == {"s3", "c1"}
 
 
+def test_answer_maps_are_counted_by_call(spark):
+    answer = "struct<type:string,noul:double,choice:string,confidence:double,probabilities:map<string,double>,score:double,legend:map<string,string>>"
+    weak = ("noul", 0.6, None, None, None, None, None)
+    label = ("choice", None, "reported_fact", 0.9, {"reported_fact": 0.95}, None, None)
+    rows = [("r", "a", "c1", "g", "ok", {"x": weak, "y": weak, "classification": label}), ("r", "b", "c2", "g", "ok", {"classification": label}), ("r", "c", "c3", "g", "error", {"x": weak})]
+    calls = spark.createDataFrame(rows, f"run_id string, subject string, claim_id string, generation_id string, status string, answers map<string,{answer}>")
+    own = spark.createDataFrame([("r", "c1", "reported_fact"), ("r", "c2", "management_opinion")], "run_id string, id string, classification string")
+    asked = spark.createDataFrame([("r", "a", [("x", "noul", "Is x so?", "{}")])], "run_id string, subject string, questions array<struct<key:string,type:string,instructions:string,criteria:string>>")
+    answers = triage.answers_of(calls, asked, own)
+    items = triage.ordered(triage.triage(answers))
+    got = [(i.nth, i.key, i.severity, i.asked, i.reading, i.why) for i in items.orderBy("nth").collect()]
+    assert got == [(1, "b::classification", "defect", "classification", "reported_fact", "answered 'reported_fact' at 95% where the record implies 'management_opinion'"), (2, "a::x", "check", "Is x so?", "0.6", "true with 60% only"), (3, "a::y", "check", "y", "0.6", "true with 60% only")]
+    assert triage.counts(calls, items).first().asDict() == {"run_id": "r", "audited": 3, "flagged": 3, "defect": 1, "check": 2}
+
+
+def test_json_as_python_writes_it(spark):
+    texts = ['{"b": 1, "a": {"x": [1, 2.50, 1e16, -0.0, {"y": []}], "z": {}}, "id": "drop", "s": "\\u00e9\\n\\"€😀"}', '{"a": 1, "b": 2, "a": 3}', "[1, true, null]", "torn {", None, "12345678901234567890123"]
+    got = [r.j for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(indented_json(F.col("t"), drop=("id",)).alias("j")).collect()]
+    want = [json.dumps({k: v for k, v in json.loads(t).items() if k != "id"} if t.startswith("{") else json.loads(t), indent=2) if t and t != "torn {" else None for t in texts]
+    assert got == want
+
+
 def test_audits(spark):
     rounds = spark.createDataFrame([("r", 1, "fail", False), ("r", 2, "pass_with_warnings", True)], "run_id string, round int, verdict string, escalated boolean")
     got = audits.round_rollup(rounds).first()
@@ -251,22 +274,42 @@ def test_audits(spark):
     s = audits.severity_counts(findings, ["run_id"]).first()
     assert (s.high, s.medium, s.low) == (1, 3, 0)
     attempts = spark.createDataFrame([("r", "analysis", 1, "rejected"), ("r", "analysis", 2, "passed")], "run_id string, stage string, attempt int, outcome string")
-    runs = spark.createDataFrame([("r", True), ("x", False)], "run_id string, accepted boolean")
-    hashes = spark.createDataFrame([("r", "claims", "h")], "run_id string, name string, sha256 string")
-    record = audits.audit_record(runs, attempts, rounds, findings, hashes).collect()
-    assert len(record) == 1 and record[0].record.stages[0].retries == 1 and record[0].record.hashes == {"claims": "h"}
+    rolled = audits.attempt_rollup(attempts).first()
+    assert (rolled.attempts, rolled.rejections, rolled.retries, rolled.outcome) == (2, 1, 1, "passed")
     found = spark.createDataFrame([("r", "a"), ("r", "a"), ("r", "b")], "run_id string, check string")
     assert audits.issue_counts(found, ["run_id"]).first().issue_counts == {"a": 2, "b": 1}
     lessons = spark.createDataFrame([(" x ",), ("x",), ("y",), ("",)], "line string")
     assert [r.line for r in audits.new_lessons(lessons, spark.createDataFrame([("y",)], "line string")).collect()] == ["x"]
 
 
+def test_audit_record_is_whole(spark):
+    runs = spark.createDataFrame([("r", "T", "e", True, "now", None, None, '{"model": "x"}', None), ("q", "T", "e", False, "now", True, None, None, None), ("bare", "B", "e", True, "now", False, None, None, None)], "run_id string, ticker string, event_id string, accepted boolean, generated_at string, brief_ok boolean, tool_decisions string, extractor string, outlook_author string")
+    attempts = spark.createDataFrame([("r", audits.CLAIM_STAGE, 1, "rejected"), ("r", audits.CLAIM_STAGE, 2, "passed"), ("r", audits.BRIEF_STAGE, 1, "passed")], "run_id string, stage string, attempt int, outcome string")
+    rounds = spark.createDataFrame([("r", 2, "pass", None, 'fine "now"', "m", "high"), ("r", 1, "fail", True, "bad", "m", "low")], "run_id string, round int, verdict string, escalated boolean, summary string, model string, reasoning_effort string")
+    findings = spark.createDataFrame([("r", 1, "high"), ("r", 1, "high"), ("r", 1, "info"), ("r", 1, "other")], "run_id string, round int, severity string")
+    sources = spark.createDataFrame([("r", 0, "raw/transcript.pdf.converted.md", "c"), ("r", 1, "raw/transcript.pdf", "p"), ("r", 2, "raw/w.html", "w")], "run_id string, pos int, path string, sha256 string")
+    hashes = spark.createDataFrame([("r", "claims", "h1"), ("r", "claims", "h2")], "run_id string, name string, sha256 string")
+    got = {r.run_id: json.loads(r.record) for r in audits.audit_record(runs, attempts, rounds, findings, sources, hashes).collect()}
+    assert set(got) == {"r", "bare"}
+    record = got["r"]
+    assert list(record) == ["run_id", "ticker", "event_id", "status", "final_review_round", "generated_at", "decision", "trace_summary", "workflow_trace", "review_history_summary", "guardrail_summary", "tool_decisions", "hashes", "evidence_summary", "reviewer_model", "agent_provenance"]
+    assert record["trace_summary"] == "Analysis drew on 3 recorded source(s) (transcript, SEC/web evidence). 2 claim-validation attempt(s) were made, 1 with issues, before passing. 1 outlook-validation attempt(s) were made before passing. Review ran 2 round(s): round 1 fail with 2 high, 1 info finding(s); round 2 pass."
+    assert record["workflow_trace"] == [{"stage": "claim_validation", "attempts": 2, "status": "passed"}, {"stage": "outlook_validation", "attempts": 1, "status": "passed"}, {"stage": "review", "round": 1, "status": "fail"}, {"stage": "review", "round": 2, "status": "pass"}]
+    assert record["decision"] == {"verdict": "pass", "summary": 'fine "now"', "finding_counts": {"critical": 0, "high": 0, "medium": 0, "low": 0, "info": 0}}
+    assert record["guardrail_summary"] == {"validation_retries": 1, "validation_rejections": 1, "outlook_validation_retries": 0, "outlook_validation_rejections": 0, "review_rejections": 1, "escalations": 1}
+    assert record["hashes"]["transcript_sha256"] == "p" and record["hashes"]["claims_sha256"] == "h2" and record["hashes"]["manifest_sha256"] is None
+    assert record["review_history_summary"]["historical_findings"]["high"] == 2 and record["agent_provenance"]["reviewer"] == {"model": "m", "reasoning_effort": "high"} and record["agent_provenance"]["extractor"] == {"model": "x"}
+    assert got["bare"]["workflow_trace"][1]["status"] == "unknown" and got["bare"]["final_review_round"] is None and got["bare"]["trace_summary"].endswith("0 claim-validation attempt(s) were made before passing.")
+
+
 def test_signal_cards_are_rows_in_order(spark):
-    rows = [("r", 4, "c4", "b", "four"), ("r", 2, "c2", None, "two"), ("r", 1, "c1", "b", "one"), ("r", 3, "c3", "a", "three"), (None, 0, "c0", "a", "zero")]
-    own = spark.createDataFrame(rows, "run_id string, claim_index int, id string, category string, claim_text string")
-    card = audits.signal_card(own)
-    got = sorted(((r.run_id or "", r.place, r.claim_index, r.category, r.line) for r in card.collect()), key=lambda x: x[:3])
-    assert got == [("", 1, 0, "a", "- zero [c0]"), ("r", 1, 1, "b", "- one [c1]"), ("r", 1, 4, "b", "- four [c4]"), ("r", 2, 2, None, "- two [c2]"), ("r", 3, 3, "a", "- three [c3]")]
+    rows = [("r", 4, "b_two", "draft", "fact", None, "four $4", "q4", "s4", None, None), ("r", 2, None, "verified", "fact", "Ann", "two", "q2", None, "w2", ["over $1", "x"]), ("r", 1, "b_two", "verified", "fact", "", "one", "q1", "", "w1", [])]
+    own = spark.createDataFrame(rows, "run_id string, claim_index int, category string, status string, classification string, speaker string, claim_text string, quote string, segment_id string, web_evidence_id string, caveats array<string>")
+    runs = spark.createDataFrame([("r", "tt", "e", "now"), ("empty", "uu", "e", "now")], "run_id string, ticker string, event_id string, generated_at string")
+    card = audits.signal_card(own, runs)
+    lines = [r.line for r in card.where("ticker = 'tt'").orderBy("place", "claim_index", "part").collect()]
+    assert lines == ["# Signal Card: TT — e", "", "_Generated: now_", "", "## B Two", "- **verified** [fact]: one", '  > "q1" — w1', "- **draft** [fact]: four \\$4", '  > "q4" — s4', "", "## None", "- **verified** [fact] (Ann): two", '  > "q2" — w2', "  - *caveat:* over \\$1", "  - *caveat:* x", ""]
+    assert card.where("ticker = 'uu'").count() == 4
 
 
 def test_audit_states_window_only_web_evidence(spark):
@@ -274,10 +317,12 @@ def test_audit_states_window_only_web_evidence(spark):
     values = '{"m": 0.31, "n": 5, "half": 1.50, "big": 12345678.0, "huge": 2.5e20, "tiny": 1e-5, "s": "12", "flag": true, "calculation": {"op": "x"}, "none": null, "minus": -3, "zero": 0.0}'
     rows = [("r", "c1", "s", None, "not there", "FY2026", values), ("r", "c2", None, "w", "tail", None, None), ("r", "c3", None, "w", "not there", "", "{}"), ("r", "c4", None, "gone", "x", None, "{}")]
     own = spark.createDataFrame(rows, "run_id string, id string, segment_id string, web_evidence_id string, quote string, period string, values string")
-    passages = spark.createDataFrame([("r", "s", text)], "run_id string, id string, text string")
+    passages = spark.createDataFrame([("r", "s", "qa", text)], "run_id string, id string, section string, text string")
+    contexts = triage.call_context(spark.createDataFrame([("r", "T", "e", None)], "run_id string, ticker string, event_id string, event_date string"))
     pages = spark.createDataFrame([("r", "w", text)], "run_id string, id string, content string")
-    got = {r.id: r for r in triage.audit_states(own, passages, pages, 100).collect()}
-    passage = {i: r.state.split("PASSAGE\n", 1)[1] for i, r in got.items()}
+    got = {r.id: r for r in triage.audit_states(own, passages, pages, contexts, 100).collect()}
+    assert all(r.state.startswith("CALL CONTEXT: T e earnings call, event date None.\n\nSOURCE ") for r in got.values())
+    passage = {i: r.state.split("):\n", 1)[1].split("\n\nEXTRACTED CLAIM RECORD")[0] for i, r in got.items()}
     flat = " ".join(text.split())
     assert passage == {"c1": text, "c2": flat[-100:], "c3": flat[:100], "c4": ""}
     assert [got[i].note for i in ("c1", "c2", "c3", "c4")] == [None, "windowed", "quote not found; head only", None]
@@ -288,3 +333,63 @@ def test_audit_states_window_only_web_evidence(spark):
     assert [[q.key for q in got[i].questions] for i in ("c2", "c3", "c4")] == [always] * 3
     assert [q.type for q in got["c2"].questions] == ["choice", "choice", "score", "noul"] and len(json.loads(got["c2"].questions[2].criteria)) == 4
     assert set(json.loads(got["c1"].questions[5].criteria)) == {"true", "false"}
+
+
+def test_ids_beyond_their_padding(spark):
+    lines = spark.range(1, 10_013).select(F.lit("r").alias("run_id"), F.concat(F.lit("Jane Smith: turn "), F.col("id").cast("string")).alias("line"), F.col("id").cast("int").alias("line_no"))
+    found = segments.segments(lines, "run_id")
+    assert found.select("id").distinct().count() == 10_012 and found.where("id = 'seg-1000'").count() == 1 and found.where("seq = 10012").first().id == "seg-10012"
+    ids = selection.evidence_ids(spark.range(1, 1002).select(F.col("id").cast("int").alias("selected")))
+    assert ids.select("id").distinct().count() == 1001 and {r.id for r in ids.where("selected in (7, 1001)").collect()} == {"web-007", "web-1001"}
+
+
+def test_repeated_keys_end_no_job(spark):
+    values = ['{"calculation": {"name": "margin", "inputs": {"numerator": 1, "numerator": 20, "denominator": 40}, "result": 0.5}}', '{"growth": 7, "growth": 10, "text": "12"}', '{"growth": 10, "growth": "x"}']
+    rows = [("r", i, f"claim-{i}", "reported_fact", "It was so.", "Costs were 20 of 40, 10 percent", "s", None, v, []) for i, v in enumerate(values)]
+    own = spark.createDataFrame(rows, "run_id string, claim_index int, id string, classification string, claim_text string, quote string, segment_id string, web_evidence_id string, values string, inferred_from array<string>")
+    segs = spark.createDataFrame([("r", "s", "Costs were 20 of 40, 10 percent")], "run_id string, id string, text string")
+    pages = spark.createDataFrame([], "run_id string, id string, content string, temporal_status string")
+    facts = spark.createDataFrame([], "run_id string, value double")
+    assert claims.issues(own, segs, pages, facts).collect() == []
+
+
+def test_many_claims_of_one_passage(spark, monkeypatch):
+    monkeypatch.setattr(claims, "CLAIMS_IN_ROW", 3)
+    rows = [("r", i, f"claim-{i}", "reported_fact", f"It was {i}.", f"was {i} of" if i % 2 else "never", "s" if i % 3 else None, None if i % 3 else "w", "{}", []) for i in range(40)]
+    own = spark.createDataFrame(rows, "run_id string, claim_index int, id string, classification string, claim_text string, quote string, segment_id string, web_evidence_id string, values string, inferred_from array<string>")
+    text = " ".join(f"was {i} of\n " for i in range(40))
+    segs = spark.createDataFrame([("r", "s", text)], "run_id string, id string, text string")
+    pages = spark.createDataFrame([("r", "w", text, "pre_event")], "run_id string, id string, content string, temporal_status string")
+    facts = spark.createDataFrame([], "run_id string, value double")
+    got = {(i.claim_index, i.check) for i in claims.issues(own, segs, pages, facts).collect()}
+    assert got == {(i, "exact_quote") for i in range(0, 40, 2)} | {(i, "claim_text_quote_traceable") for i in range(0, 40, 2)}
+
+
+def test_facts_of_all_magnitudes(spark):
+    numbers = [1.0, 1.0000005, 9007199254.740993, 9007199254.74, 9007199253.0, 1e13, 1e13 + 0.5, 3e300, -2e18, 0.0, -0.0000004]
+    needs = spark.createDataFrame([("r", i, v) for i, v in enumerate(numbers)], "run_id string, claim_index int, value double")
+    known = [1.0000002, 9007199254.740992, 1e13, 3e300, -2e18, 0.0, 5e18]
+    found = claims.near_facts(needs, spark.createDataFrame([("r", v) for v in known] + [("other", 9007199253.0)], "run_id string, value double"))
+    assert {r.claim_index for r in found.collect()} == {i for i, v in enumerate(numbers) if any(v == k or abs(v - k) < 1e-6 for k in known)}
+
+
+def test_chain_of_rounds(spark):
+    reports = [("r", 1, "full", "pass", False, "c1", "b1", None), ("r", 5, "full", "pass", False, "c2", "b2", None), ("ok", 1, "full", "fail", False, "c1", "b1", None), ("ok", 2, "diff", "pass", True, "c2", "b1", "d2"), ("carried", 1, "full", "fail", False, "c", "b", None), ("carried", 2, "diff", "pass", False, "c", "b", "d")]
+    schema = "run_id string, round int, mode string, verdict string, escalate boolean, claims_sha string, brief_sha string, diff_sha string"
+    files = [("r", 1, "c1", "b1", None), ("r", 5, "c2", "b2", None), ("ok", 1, "c1", "b1", None), ("ok", 2, "c2", "b1", "d2"), ("carried", 1, "c", "b", None), ("carried", 2, "c", "b", "d")]
+    diffs = [("ok", 2, 2, 1, "c2", "b1", False), ("carried", 2, 2, 1, "c", "b", False)]
+    changed = spark.createDataFrame([("carried", 2, "claim-1"), ("ok", 2, "claim-1")], "run_id string, round int, claim_id string")
+    receipts = spark.createDataFrame([("carried", 2, "carried_forward", "claim-1"), ("carried", 2, "carried_forward", "claim-2"), ("ok", 2, "reviewed_ok", "claim-1")], "run_id string, round int, bucket string, claim_id string")
+    got = chain.round_chain(spark.createDataFrame(reports, schema), spark.createDataFrame(files, "run_id string, round int, claims_sha string, brief_sha string, diff_sha string"), spark.createDataFrame(diffs, "run_id string, round int, round_number int, since_round int, claims_sha string, brief_sha string, escalated boolean"), changed, receipts)
+    assert {(r.run_id, r.round): r.message for r in got.where("not bound").collect()} == {("r", 5): "the round has no diff", ("carried", 2): "changed claims are carried forward: claim-1"}
+    assert {(r.run_id, r.round): (r.place, r.previous) for r in got.where("run_id = 'r'").collect()} == {("r", 1): (1, None), ("r", 5): (2, 1)}
+    verdicts = {r.run_id: (r.rounds, r.held, r.broken_round) for r in chain.chain_verdicts(got).collect()}
+    assert verdicts == {"r": (2, 1, 5), "ok": (2, 2, None), "carried": (2, 1, 2)}
+
+
+def test_gates_without_tables_and_receipts(spark):
+    runs = spark.createDataFrame([("r",)], "run_id string")
+    assert [tuple(r) for r in briefs.outlook_gate(runs, runs.withColumn("ok", F.lit(True)), runs.withColumn("fresh", F.lit(True))).collect()] == [("r", "passed")]
+    reports = spark.createDataFrame([("r", 9, "pass", False, True), ("s", 1, "pass", False, False)], "run_id string, round int, verdict string, escalated boolean, repeated boolean")
+    found = spark.createDataFrame([("r", reviews.RECEIPT, reviews.NO_RECEIPT), ("s", reviews.RECEIPT, reviews.NO_RECEIPT)], "run_id string, check string, message string")
+    assert {r.run_id: r.code for r in reviews.review_gate(reports, found).collect()} == {"r": 0, "s": 2}

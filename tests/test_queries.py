@@ -6,7 +6,7 @@ import re
 import duckdb
 import pytest
 
-from groundcheck.plans import checks, registry  # noqa: F401
+from groundcheck.plans import checks, landed, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

@@ -66,10 +66,13 @@ def test_price_shapes(spark):
         ("C", [{"Date": "2026-01-02T00:00:00", "Open": 1, "High": 2, "Low": 0.5, "Close": 1.5, "Volume": 10.0}]),
         ("D", {"Note": "limit reached"}),
     ]
-    bars, errors = io.price_bars(spark.createDataFrame([(t, json.dumps(p)) for t, p in shapes], "ticker string, value string"))
+    shapes += [("E", []), ("F", {"historical": []}), ("G", {"Time Series (Daily)": {}, "Note": "later"}), ("H", {})]
+    rows = [(t, json.dumps(p)) for t, p in shapes] + [("I", "no json"), ("J", None)]
+    bars, came = io.price_bars(spark.createDataFrame(rows, "ticker string, value string"))
     got = bars.collect()
-    assert {r.ticker for r in got} == {"A", "B", "C"} and {str(r.date) for r in got} == {"2026-01-02"} and {(r.open, r.close, r.volume) for r in got} == {(1.0, 1.5, 10)}
-    assert [r.ticker for r in errors.collect()] == ["D"]
+    assert {r.ticker for r in got} == {"A", "B", "C"} and {str(r.date) for r in got} == {"2026-01-02"} and {(r.open, r.close, r.volume, r.nth) for r in got} == {(1.0, 1.5, 10, 1)}
+    assert {r.ticker: r.error for r in came.where("status = 'error'").collect()} == {"D": "limit reached", "E": "no data returned", "G": "later", "I": "payload does not parse", "J": "payload does not parse"}
+    assert {r.ticker: r.row_count for r in came.where("status = 'ok'").collect()} == {"A": 1, "B": 1, "C": 1, "F": 0, "H": 0}
 
 
 def test_sinks(spark, tmp_path):
@@ -79,6 +82,37 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "log")).count() == 2
     io.write_artifacts(rows, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).first().ticker == "T"
-    io.write_cards(rows, str(tmp_path / "cards"), F.lit("# card"))
-    assert spark.read.text(str(tmp_path / "cards")).first().value == "# card"
+    lines = spark.range(200).select(F.lit("T").alias("ticker"), F.lit("e f").alias("event_id"), F.col("id").alias("n"), F.when(F.col("id") % 7 != 0, F.concat(F.lit("line "), F.col("id").cast("string"))).otherwise("").alias("line"))
+    io.write_cards(lines, str(tmp_path / "cards"), ["n"], parts=5)
+    back = io.read_cards(spark, str(tmp_path / "cards"))
+    assert back.select("file").distinct().count() > 1 and {r.event_id for r in back.collect()} == {"e f"}
+    assert [r.line for r in back.orderBy("file", "line_no").collect()] == ["" if i % 7 == 0 else f"line {i}" for i in range(200)]
     assert io.binary_sources(spark, str(tmp_path / "cards")).count() >= 1
+
+
+def test_log_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([("r", "a", 1), ("r", "b", 2), ("s", "a", 3)], "run_id string, subject string, n int")
+    for batch, attempt in ((rows, 1), (rows, 1), (rows.where("n = 2").withColumn("n", F.lit(20)), 2)):
+        io.append_log(batch, path, attempt=attempt)
+    io.append_log(rows.where("n = 2").withColumn("n", F.lit(5)), path, attempt=1)
+    got = io.read_log(spark, path, "run_id string, subject string, n int", ["run_id", "subject"])
+    assert {(r.run_id, r.subject): r.n for r in got.collect()} == {("r", "a"): 1, ("r", "b"): 20, ("s", "a"): 3}
+
+
+def test_layouts_and_quarantine(spark, tmp_path):
+    for run, manifest, stage in (("A", '{"layout_version": 2}', "claims/"), ("B", "{", ""), ("C", '{"layout_version": true}', "")):
+        root = tmp_path / "runs" / run / "e"
+        (root / "claims").mkdir(parents=True)
+        (root / "manifest.json").write_text(manifest)
+        (root / "claims.json").write_text('[{"id": "claim-flat"}]')
+        (root / "claims" / "claims.json").write_text('[{"id": "claim-deep"}, {"id": null}]' if run == "A" else "[{]")
+    tree = io.run_tree(spark, str(tmp_path / "runs"))
+    texts = spark.read.option("wholetext", True).text(f"{tmp_path}/runs/*/*/manifest.json").select(F.concat(F.regexp_extract("_metadata.file_path", "/([^/]+)/e/", 1), F.lit("/e")).alias("run_id"), F.col("value").alias("text"))
+    layout = io.layouts(texts)
+    assert {r.run_id: r.layout for r in layout.collect()} == {"A/e": 2, "B/e": 1, "C/e": 1}
+    assert {(r.ticker, r.stage) for r in io.current_artifacts(tree, layout).where("name = 'claims.json'").collect()} == {("A", "claims"), ("B", "flat"), ("C", "flat")}
+    records = io.json_array(spark, f"{tmp_path}/runs/*/*/claims/claims.json", io.CLAIM).cache()
+    good, issues = io.quarantine(records)
+    assert good.count() == 2 and {(i.run_id, i.check) for i in issues.collect()} == {("B/e", "schema"), ("C/e", "schema")}
+    assert {i.run_id for i in io.quarantine(records, ("id",))[1].collect()} == {"A/e", "B/e", "C/e"}
