@@ -6,6 +6,8 @@ and gives columns, stays inside the JVM, and gives null for a null text unless i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ INVISIBLE = r"\p{Cf}|[\x00-\x08\x0b-\x1f\x7f]"
 WHITE = r"(?U)[\s\x1c-\x1f]+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def normalize_whitespace(text: Column) -> Column:
     """Runs of white space become one blank; none at the ends."""
     return F.trim(F.regexp_replace(text, WHITE, " "))
@@ -49,13 +56,9 @@ def number_tokens(text: Column) -> Column:
 
 def number_value(token: Column) -> Column:
     """Value of a written number; null if it has none."""
-    bare = F.regexp_replace(F.regexp_replace(token, r"(?U)^\s+|\s+$", ""), r"^-", "")
-    minus = F.regexp_replace(token, r"(?U)^\s+", "").startswith("-")
-    coined = F.regexp_replace(bare, r"^[$€£]+", "")
-    inner = coined.startswith("-")
-    digits = F.regexp_replace(F.regexp_replace(coined, r"^-", ""), r"(?U)[,%\s]", "")
-    value = digits.try_cast("double")
-    return F.when(minus | inner, -value).otherwise(value)
+    minus = token.rlike(r"(?U)^\s*(?:-|-?[$€£]+-)")
+    value = F.regexp_replace(token, r"(?U)^\s*-?[$€£]*-?|[,%\s]", "").try_cast("double")
+    return F.when(minus, -value).otherwise(value)
 
 
 def numbers(text: Column) -> Column:

@@ -24,16 +24,27 @@ TOLERANCE = 1e-6
 
 def json_pairs(text: Column) -> Column:
     """``key, value`` of a JSON object in the order of its keys; of a repeated key the last value."""
-    pairs = F.coalesce(F.map_entries(F.from_json(text, "map<string,string>")), F.array().cast("array<struct<key:string,value:string>>"))
-    keys = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
-    last = F.transform(keys, lambda k: F.named_struct(F.lit("key"), k, F.lit("value"), last_value(pairs, k)))
-    return F.when(F.size(keys) < F.size(pairs), last).otherwise(pairs)
+    entries = F.coalesce(F.map_entries(F.from_json(text, "map<string,string>")), F.array().cast("array<struct<key:string,value:string>>"))
+
+    def unique(pairs: Column) -> Column:
+        def one_each(keys: Column) -> Column:
+            last = F.transform(keys, lambda k: F.named_struct(F.lit("key"), k, F.lit("value"), last_value(pairs, k)))
+            return F.when(F.size(keys) < F.size(pairs), last).otherwise(pairs)
+
+        return tx.let(F.array_distinct(F.transform(pairs, lambda e: e["key"])), one_each)
+
+    return tx.let(entries, unique)
 
 
 def last_value(pairs: Column, key: Column) -> Column:
     return F.try_element_at(F.filter(pairs, lambda e: e["key"] == key), F.lit(-1))["value"]
 
 
+def kinds_of(json: Column) -> Column:
+    """``key, value`` of a JSON object with values as VARIANT, which know their types."""
+    return F.map_entries(F.from_json(json, "map<string,variant>"))
+
+
 def with_values(claims: DataFrame) -> DataFrame:
     """Claims with what their values say: ``n_values``, ``scalars`` (key, value; in the order of the
     text), the calculation (``calc`` and its parts) and ``declared``, all numbers among them.
@@ -42,24 +53,25 @@ def with_values(claims: DataFrame) -> DataFrame:
     no VARIANT; what looks like a number counts as one there."""
     number = lambda s: F.when(s == "true", 1.0).when(s == "false", 0.0).otherwise(s.try_cast("double"))  # noqa: E731  JSON booleans are numbers
 
-    def numeric(kinds: str, key: Column, value: Column) -> Column:
-        told = F.schema_of_variant(last_value(F.map_entries(kinds), key)).rlike(NUMERIC)
-        return F.coalesce(told, F.col(kinds).isNull() & value.rlike(r"^(-?[0-9].*|true|false)$"), F.lit(False))
+    def numeric(kinds: Column, key: Column, value: Column) -> Column:
+        told = F.schema_of_variant(last_value(kinds, key)).rlike(NUMERIC)
+        return F.coalesce(told, kinds.isNull() & value.rlike(r"^(-?[0-9].*|true|false)$"), F.lit(False))
 
-    def numbers(pairs: Column, kinds: str) -> Column:
-        return F.transform(pairs, lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), F.when(numeric(kinds, e["key"], e["value"]), number(e["value"]))))
+    def numbers(pairs: Column, json: Column) -> Column:
+        one = lambda kinds, e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), F.when(numeric(kinds, e["key"], e["value"]), number(e["value"])))
+        return tx.let(kinds_of(json), lambda kinds: F.transform(pairs, lambda e: one(kinds, e)))
 
     there = lambda pairs: F.filter(pairs, lambda e: e["value"].isNotNull())
-    rows = claims.withColumns({"_pairs": json_pairs(F.col("values")), "_kinds": F.from_json("values", "map<string,variant>")})
-    rows = rows.withColumns({"n_values": F.size("_pairs"), "scalars": there(numbers(F.filter("_pairs", lambda e: e["key"] != "calculation"), "_kinds")), "calc": last_value(F.col("_pairs"), F.lit("calculation"))})
-    rows = rows.withColumns({"_parts": json_pairs(F.col("calc")), "_part_kinds": F.from_json("calc", "map<string,variant>")})
+    rows = claims.withColumn("_pairs", json_pairs(F.col("values")))
+    rows = rows.withColumns({"n_values": F.size("_pairs"), "scalars": there(numbers(F.filter("_pairs", lambda e: e["key"] != "calculation"), F.col("values"))), "calc": last_value(F.col("_pairs"), F.lit("calculation"))})
+    rows = rows.withColumn("_parts", json_pairs(F.col("calc")))
     part = lambda key: last_value(F.col("_parts"), F.lit(key))
     rows = rows.withColumns({"calc_name": part("name"), "calc_has_inputs": part("inputs"), "calc_result_text": part("result")})
-    rows = rows.withColumns({"_inputs": json_pairs(F.col("calc_has_inputs")), "_input_kinds": F.from_json("calc_has_inputs", "map<string,variant>")})
-    rows = rows.withColumns({"calc_numbers": numbers(F.col("_inputs"), "_input_kinds"), "calc_result": F.when(numeric("_part_kinds", F.lit("result"), F.col("calc_result_text")), number(F.col("calc_result_text")))})
-    rows = rows.withColumns({"calc_inputs": F.map_from_entries("calc_numbers"), "calc_entries": there(F.col("calc_numbers"))})
+    result = tx.let(kinds_of(F.col("calc")), lambda kinds: F.when(numeric(kinds, F.lit("result"), F.col("calc_result_text")), number(F.col("calc_result_text"))))
+    rows = rows.withColumns({"_inputs": numbers(json_pairs(F.col("calc_has_inputs")), F.col("calc_has_inputs")), "calc_result": result})
+    rows = rows.withColumns({"calc_inputs": F.map_from_entries("_inputs"), "calc_entries": there(F.col("_inputs"))})
     declared = F.concat(F.transform("scalars", lambda e: e["value"]), F.transform("calc_entries", lambda e: e["value"]), F.filter(F.array("calc_result"), lambda v: v.isNotNull()))
-    return rows.withColumn("declared", declared).drop("_pairs", "_kinds", "_parts", "_part_kinds", "_inputs", "_input_kinds", "calc_numbers")
+    return rows.withColumn("declared", declared).drop("_pairs", "_parts", "_inputs")
 
 
 def near_facts(needs: DataFrame, financials: DataFrame, tolerance: float = TOLERANCE, salts: int = 8) -> DataFrame:
