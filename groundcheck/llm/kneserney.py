@@ -1,22 +1,26 @@
-"""Language-model scoring with an interpolated modified Kneser-Ney bigram model.
-
-Counting is distributed in two passes. The first turns words into 64-bit hashes and sums them by
-hash range; the sorted hashes of all ranges form one array, and a word's id is its place there.
-The second sums pairs ``previous id, id`` packed into 64 bits. Tasks sum what they see before
-anything is shuffled, and shuffles carry packed arrays. Each bucket is merged by one task, which
-writes sorted arrays into the shared folder; scoring tasks map these files into memory and look
-up the sorted distinct pairs of a chunk of texts at once.
-
-A previous word with more than ``1 / (4 * buckets)`` of all tokens would fill a bucket alone, so
-its pairs are dealt over all buckets by the second word (there are fewer than ``4 * buckets`` such
-words). Nothing is pruned: every n-gram of every training text is counted.
+"""Language-model scoring with an interpolated modified Kneser-Ney model of order 2 or 3.
+
+Counting is distributed. The first pass turns words into 64-bit hashes and sums them by hash range;
+the sorted hashes of all ranges form one array, and a word's id is its place there. The second sums
+n-grams of ids. They are dealt out by the word before the last, which all contexts of the last word
+end in, so that a bucket has every count it needs: raw counts of the highest order and, of lower ones,
+in how many ways an n-gram is continued to the left. An n-gram that begins a text can't be; it keeps
+its raw count. Tasks sum what they see before anything is shuffled, and shuffles carry packed arrays.
+Each bucket is merged by one task, which writes sorted arrays into the shared folder: contexts, their
+next words, counts. Scoring tasks map these files into memory and search the distinct n-grams of a
+chunk of texts in them at once.
+
+A word with more than ``1 / (4 * buckets)`` of all tokens would fill a bucket as a context; its
+n-grams are dealt over all buckets by the word before it (by the last word where there is none), and
+what is counted of it in several buckets is summed in Spark. There are fewer than ``4 * buckets`` such
+words. Nothing is pruned: every n-gram of every training text is counted.
 
 The shared folder must be visible to tasks as a file system path (a mount), as files are mapped.
 
 Defined results: a null or wordless text consists of the end token alone; unknown words share the
 uniform share of the lowest order; without training rows every token gets probability 1 (there is
 one token type: unknown); repeated rows count and score each; empty tables give empty results;
-further columns are ignored.
+further columns are ignored; a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -34,45 +38,61 @@ from groundcheck.llm.common import lowered, mix, pieces, scratch_path, span_hash
 
 #: Hash of the end token; spans hash with their length, which is never zero.
 END = int(mix(np.zeros(1, np.uint64) + np.uint64(0x5E5E5E5E5E5E5E5E))[0])
-ROWS_PER_BUCKET = 20_000
+BYTES_PER_BUCKET = 16 << 20
 LEAST_BUCKETS = 64
 HELD_KEYS = 2_000_000
+#: Contexts with more next words than this have their sums stored; those of others are made anew.
+FEW = 16
+#: Files that a worker keeps mapped.
+MOST_MAPPED = 8192
 
 
 # --- packed arrays ---------------------------------------------------------------------------
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Bytes of 64-bit integers, plane by plane: sorted or small values compress well."""
-    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Bytes of whole numbers, plane by plane, as many planes as the largest needs: sorted or small
+    values compress well."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + np.ascontiguousarray(planes.T).tobytes()
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
+    width = raw[0]
+    planes = np.frombuffer(raw, np.uint8)[1:].reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and their summed counts."""
-    if not len(keys):
+def summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of the key columns, in order, and their summed counts."""
+    if not len(counts):
         return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    keys, counts = [k[order] for k in keys], counts[order]
+    new = np.ones(len(counts), bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    return [k[first] for k in keys], np.add.reduceat(counts, first)
 
 
 class Held:
     """Sums of what a task has seen, given out once they are many."""
 
-    def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
+    def __init__(self, columns: int) -> None:
+        self.columns = columns
+        self.keys: list[list[np.ndarray]] = []
         self.counts: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+    def add(self, keys: list[np.ndarray], counts: np.ndarray) -> None:
         self.keys.append(keys)
         self.counts.append(counts.astype(np.uint64))
-        self.size += len(keys)
+        self.size += len(counts)
 
     def full(self) -> bool:
         if self.size > HELD_KEYS:
@@ -81,36 +101,40 @@ class Held:
 
     def settle(self) -> None:
         if self.keys:
-            keys, counts = summed(np.concatenate(self.keys), np.concatenate(self.counts))
-            self.keys, self.counts, self.size = [keys], [counts], len(keys)
+            keys, counts = summed([np.concatenate(k) for k in zip(*self.keys)], np.concatenate(self.counts))
+            self.keys, self.counts, self.size = [keys], [counts], len(counts)
 
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
+    def take(self) -> tuple[list[np.ndarray], np.ndarray]:
         self.settle()
-        out = (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        none = np.zeros(0, np.uint64)
+        out = (self.keys[0], self.counts[0]) if self.keys else ([none] * self.columns, none)
         self.keys, self.counts, self.size = [], [], 0
         return out
 
 
-def dealt(kind: str, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> list[tuple[str, int, bytes, bytes]]:
+Packed = tuple[str, int, list[bytes], bytes]
+
+
+def dealt(kind: str, keys: list[np.ndarray], counts: np.ndarray, bucket: np.ndarray) -> list[Packed]:
     """Packed rows by bucket; keys stay in order within each."""
     order = np.argsort(bucket, kind="stable")
-    keys, counts, bucket = keys[order], counts[order], bucket[order]
+    keys, counts, bucket = [k[order] for k in keys], counts[order], bucket[order]
     at = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(bucket)) if len(bucket) else [0]
-    return [(kind, int(bucket[a]), pack(keys[a:b]), pack(counts[a:b])) for a, b in zip(at[:-1], at[1:])]
+    return [(kind, int(bucket[a]), [pack(k[a:b]) for k in keys], pack(counts[a:b])) for a, b in zip(at[:-1], at[1:])]
 
 
-_PACKED = "kind string, bucket int, keys binary, counts binary"
+_PACKED = "kind string, bucket int, keys array<binary>, counts binary"
 
 
-def _packed_batch(rows: list[tuple[str, int, bytes, bytes]]) -> pa.RecordBatch:
+def _packed_batch(rows: list[Packed]) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [(), (), (), ()]
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())], ["kind", "bucket", "keys", "counts"])
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.binary())), pa.array(cols[3], pa.binary())], ["kind", "bucket", "keys", "counts"])
 
 
-def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [unpack(x.as_py()) for x in table.column("keys")]
-    counts = [unpack(x.as_py()) for x in table.column("counts")]
-    return summed(np.concatenate(keys), np.concatenate(counts))
+def _merged(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    keys = [[unpack(raw) for raw in row] for row in table.column("keys").to_pylist()]
+    counts = [unpack(x) for x in table.column("counts").to_pylist()]
+    return summed([np.concatenate(k) for k in zip(*keys)], np.concatenate(counts))
 
 
 def _write(folder: str, name: str, values: np.ndarray) -> None:
@@ -133,6 +157,8 @@ _MAPPED: dict[str, np.ndarray] = {}
 def mapped(path: str, kind: type) -> np.ndarray:
     """The file mapped into memory, once for each worker process."""
     if path not in _MAPPED:
+        while len(_MAPPED) >= MOST_MAPPED:
+            _MAPPED.pop(next(iter(_MAPPED)))
         _MAPPED[path] = np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
     return _MAPPED[path]
 
@@ -146,6 +172,63 @@ def _counts_at(path: str, place: np.ndarray) -> np.ndarray:
     return found
 
 
+def search(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Place of each target in its own sorted stretch ``lo`` to ``hi`` of the values, -1 if it isn't there."""
+    lo, hi, end = lo.astype(np.int64), hi.astype(np.int64), hi.astype(np.int64)
+    live = np.flatnonzero(lo < hi)
+    while len(live):
+        mid = (lo[live] + hi[live]) >> 1
+        less = values[mid] < target[live]
+        lo[live[less]] = mid[less] + 1
+        hi[live[~less]] = mid[~less]
+        live = live[lo[live] < hi[live]]
+    found = np.full(len(target), -1, np.int64)
+    inside = np.flatnonzero(lo < end)
+    hit = inside[values[lo[inside]] == target[inside]]
+    found[hit] = lo[hit]
+    return found
+
+
+def class_sums(counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each stretch of counts: how many are one, two, more, and their sum."""
+    if not len(starts):
+        return np.zeros((0, 4), np.uint64)
+    return np.stack([np.add.reduceat(x.astype(np.uint64), starts) for x in (counts == 1, counts == 2, counts >= 3, counts)], axis=1)
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    if values.max(initial=0) >= 1 << 32:
+        raise OverflowError("a bucket holds 2^32 n-grams or more: lower BYTES_PER_BUCKET")
+    return values.astype(np.uint32)
+
+
+def write_pairs(folder: str, name: str, head: np.ndarray, w: np.ndarray, c: np.ndarray, heads: int, kind: type) -> np.ndarray:
+    """Next words and counts by head (a dense number); gives the heads' sums."""
+    per = np.bincount(head, minlength=heads)
+    _write(folder, f"{name}-at", _narrow(np.concatenate([[0], np.cumsum(per)])))
+    _write(folder, f"{name}-w", w.astype(kind))
+    _write_counts(folder, f"{name}-c", c)
+    sums = np.zeros((heads, 4), np.uint64)
+    there = np.flatnonzero(per)
+    sums[there] = class_sums(c, np.cumsum(per)[there] - per[there])
+    return sums
+
+
+def write_contexts(folder: str, name: str, head: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, heads: int, kind: type) -> None:
+    """Contexts (head, u) with their next words and counts; rows are sorted by head, u, w."""
+    new = np.ones(len(c), bool)
+    new[1:] = (head[1:] != head[:-1]) | (u[1:] != u[:-1])
+    first = np.flatnonzero(new)
+    _write(folder, f"{name}-at", _narrow(np.concatenate([[0], np.cumsum(np.bincount(head[first], minlength=heads))])))
+    _write(folder, f"{name}-u", u[first].astype(kind))
+    _write(folder, f"{name}-s", _narrow(np.append(first, len(c))))
+    _write(folder, f"{name}-w", w.astype(kind))
+    _write_counts(folder, f"{name}-c", c)
+    many = np.flatnonzero(np.diff(np.append(first, len(c))) > FEW)
+    _write(folder, f"{name}-many", _narrow(many))
+    _write(folder, f"{name}-sums", class_sums(c, first)[many].astype(np.uint64))
+
+
 # --- the model -------------------------------------------------------------------------------
 
 
@@ -157,35 +240,62 @@ class Model:
     sizes: np.ndarray
     tokens: int
     texts: int
+    order: int
     hot: np.ndarray
-    #: Pairs in each bucket, distinct pairs in all, discounts for pairs and for continuations.
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    #: Distinct pairs in all; discounts by order, of which the first is for continuations of words.
     types: int = 0
-    discount: np.ndarray = field(default_factory=lambda: np.zeros(4))
-    low_discount: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    discount: dict[int, np.ndarray] = field(default_factory=dict)
     low_rest: float = 1.0
-    #: Contexts dealt over all buckets: how many words follow once, twice, more often.
-    hot_follow: np.ndarray = field(default_factory=lambda: np.zeros((0, 3)))
+    #: Of contexts dealt over all buckets: how many words follow once, twice, more often, and the sum.
+    hot_sums: np.ndarray = field(default_factory=lambda: np.zeros((0, 4)))
 
     @property
     def vocabulary(self) -> int:
         return int(self.sizes.sum())
 
+    @property
+    def begin(self) -> int:
+        """The id of a text's begin; the next one stands for no word at all."""
+        return self.vocabulary
+
+    @property
+    def kind(self) -> type:
+        return np.uint32 if self.vocabulary + 2 < 1 << 32 else np.uint64
+
     def range_of(self, ids: np.ndarray) -> np.ndarray:
-        """Id range, one of as many as buckets, of each id; id ``vocabulary`` stands for a text's begin."""
+        """Id range, one of as many as buckets, of each id up to the begin's."""
         return (ids.astype(np.uint64) * np.uint64(self.buckets) // np.uint64(self.vocabulary + 1)).astype(np.int64)
 
     def range_start(self, bucket: int) -> int:
         return -(-bucket * (self.vocabulary + 1) // self.buckets)
 
-    def bucket_of(self, keys: np.ndarray) -> np.ndarray:
-        before = keys >> np.uint64(32)
-        bucket = self.range_of(before)
-        if len(self.hot):
-            spread = np.isin(before, self.hot)
-            bucket[spread] = (mix(keys[spread] & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets)).astype(np.int64)
+    def hot_place(self, v: np.ndarray) -> np.ndarray:
+        """Place among the hot words, -1 for others."""
+        if not len(self.hot):
+            return np.full(len(v), -1, np.int64)
+        place = np.minimum(np.searchsorted(self.hot, v), len(self.hot) - 1)
+        return np.where(self.hot[place] == v, place, -1)
+
+    def bucket_of(self, v: np.ndarray, spread_by: np.ndarray) -> np.ndarray:
+        """Bucket of n-grams by the word before the last; of hot ones by another word."""
+        bucket = self.range_of(v)
+        hot = self.hot_place(v) >= 0
+        bucket[hot] = (mix(spread_by[hot].astype(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
         return bucket
 
+    def files(self, name: str, v: np.ndarray, spread_by: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """Path of each set of arrays that is needed, whose rows of ``v`` lie there, and their heads."""
+        hot = self.hot_place(v)
+        bucket = self.bucket_of(v, spread_by)
+        group = bucket * 2 + (hot >= 0)
+        order = np.argsort(group, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else []:
+            b, is_hot = divmod(int(group[at[0]]), 2)
+            head = hot[at] if is_hot else v[at].astype(np.int64) - self.range_start(b)
+            path = f"{self.folder}/{name}{'-hot' if is_hot else ''}-{b}"
+            if os.path.exists(f"{path}-at"):
+                yield path, at, head
+
     def ids_of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and training counts of sorted distinct hashes."""
         ids = np.full(len(hashes), -1, np.int64)
@@ -204,21 +314,6 @@ class Model:
                 counts[where] = _counts_at(f"{self.folder}/word-count-{b}", place[hit])
         return ids, counts
 
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Training counts of sorted distinct pairs."""
-        counts = np.zeros(len(keys), np.uint64)
-        bucket = self.bucket_of(keys)
-        order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
-        for b in np.flatnonzero(np.diff(cut)).tolist():
-            if self.pairs[b]:
-                at = order[cut[b] : cut[b + 1]]
-                known = mapped(f"{self.folder}/pair-{b}", np.uint64)
-                place = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
-                hit = known[place] == keys[at]
-                counts[at[hit]] = _counts_at(f"{self.folder}/pair-count-{b}", place[hit])
-        return counts
-
     def by_id(self, ids: np.ndarray, name: str, width: int) -> np.ndarray:
         """Rows of the ``name`` arrays for sorted distinct ids."""
         out = np.zeros((len(ids), width))
@@ -237,17 +332,54 @@ class Model:
         known = ids >= 0
         if self.types:
             n = self.by_id(ids[known], "continued", 1)[:, 0]
-            p[known] += np.maximum(n - self.low_discount[np.minimum(n, 3).astype(int)], 0) / self.types
+            p[known] += np.maximum(n - self.discount[1][np.minimum(n, 3).astype(int)], 0) / self.types
         return p
 
-    def rest(self, contexts: np.ndarray) -> np.ndarray:
-        """What the discounts leave, in counts, after each of the sorted distinct contexts."""
-        follow = self.by_id(contexts, "follow", 3)
-        if len(self.hot):
-            place = np.minimum(np.searchsorted(self.hot, contexts), len(self.hot) - 1)
-            hit = self.hot[place] == contexts
-            follow[hit] = self.hot_follow[place[hit]]
-        return follow @ self.discount[1:]
+    def one_word(self, v: np.ndarray) -> np.ndarray:
+        """Sums after each of the sorted distinct one-word contexts; zeros for contexts never seen."""
+        sums = self.by_id(v, "two-sums", 4)
+        hot = self.hot_place(v)
+        sums[hot >= 0] = self.hot_sums[hot[hot >= 0]]
+        return sums
+
+    def pair_counts(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        counts = np.zeros(len(v), np.uint64)
+        for path, at, head in self.files("two", v, w):
+            ends = mapped(f"{path}-at", np.uint32)
+            place = search(mapped(f"{path}-w", self.kind), ends[head], ends[head + 1], w[at])
+            counts[at[place >= 0]] = _counts_at(f"{path}-c", place[place >= 0])
+        return counts
+
+    def two_words(self, v: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each context ``u v`` in its arrays, -1 for one never seen, and its sums."""
+        places, sums = np.full(len(v), -1, np.int64), np.zeros((len(v), 4))
+        for path, at, head in self.files("three", v, u):
+            ends = mapped(f"{path}-at", np.uint32)
+            place = search(mapped(f"{path}-u", self.kind), ends[head], ends[head + 1], u[at])
+            places[at] = place
+            at, place = at[place >= 0], place[place >= 0]
+            if not len(at):
+                continue
+            s = mapped(f"{path}-s", np.uint32)
+            begin, n = s[place].astype(np.int64), s[place + 1].astype(np.int64) - s[place]
+            many = n > FEW
+            if many.any():
+                stored_at = np.searchsorted(mapped(f"{path}-many", np.uint32), place[many])
+                sums[at[many]] = mapped(f"{path}-sums", np.uint64).reshape(-1, 4)[stored_at]
+            begin, n, at = begin[~many], n[~many], at[~many]
+            starts = np.cumsum(n) - n
+            each = np.arange(int(n.sum())) - np.repeat(starts, n) + np.repeat(begin, n)
+            sums[at] = class_sums(_counts_at(f"{path}-c", each), starts)
+        return places, sums
+
+    def triple_counts(self, v: np.ndarray, u: np.ndarray, place: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Counts of words after contexts that have a place."""
+        counts = np.zeros(len(v), np.uint64)
+        for path, at, _ in self.files("three", v, u):
+            s = mapped(f"{path}-s", np.uint32)
+            found = search(mapped(f"{path}-w", self.kind), s[place[at]], s[place[at] + 1], w[at])
+            counts[at[found >= 0]] = _counts_at(f"{path}-c", found[found >= 0])
+        return counts
 
 
 def _hash_range(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -263,12 +395,19 @@ def token_hashes(part: pa.RecordBatch, text_col: str) -> tuple[np.ndarray, np.nd
     return np.insert(hashes, np.cumsum(counts), np.uint64(END)), counts + 1
 
 
-def pair_keys(ids: np.ndarray, counts: np.ndarray, begin: int) -> np.ndarray:
-    """``previous id << 32 | id`` for every token; a text's first token follows ``begin``."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[np.cumsum(counts) - counts] = begin
-    return (before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)
+def contexts_of(ids: np.ndarray, counts: np.ndarray, begin: int, order: int) -> list[np.ndarray]:
+    """The word before each token and, for order 3, the one before that: ``begin`` before a text's
+    first token, ``begin + 1`` where there is none."""
+    first = np.cumsum(counts) - counts
+    v = np.empty_like(ids)
+    v[1:] = ids[:-1]
+    v[first] = begin
+    if order == 2:
+        return [v]
+    u = np.empty_like(ids)
+    u[1:] = v[:-1]
+    u[first] = begin + 1
+    return [v, u]
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -290,32 +429,36 @@ def _local(path: str) -> str:
     return path
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Counts every training text; what comes to the driver are sums for each bucket."""
+def train(docs: DataFrame, text_col: str = "text", order: int = 3) -> Model:
+    """Counts every training text; what comes to the driver are a few sums for each bucket and each
+    hot word."""
+    if order not in (2, 3):
+        raise ValueError(f"no such order: {order}")
     spark = docs.sparkSession
     folder = _local(scratch_path(spark, "kneser-ney"))
     os.makedirs(folder, exist_ok=True)
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    n_texts = texts.count()
-    buckets = max(LEAST_BUCKETS, n_texts // ROWS_PER_BUCKET)
+    n_texts, size = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = int(max(LEAST_BUCKETS, size // BYTES_PER_BUCKET))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held()
+        held = Held(1)
 
         def give() -> pa.RecordBatch:
             keys, counts = held.take()
-            return _packed_batch(dealt("word", keys, counts, _hash_range(keys, buckets)))
+            return _packed_batch(dealt("word", keys, counts, _hash_range(keys[0], buckets)))
 
         for batch in batches:
             for part in pieces(batch, "text"):
-                held.add(*np.unique(token_hashes(part, "text")[0], return_counts=True))
+                keys, counts = np.unique(token_hashes(part, "text")[0], return_counts=True)
+                held.add([keys], counts)
                 if held.full():
                     yield give()
         yield give()
 
     def merge_words(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        keys, counts = _merged(table)
+        (keys,), counts = _merged(table)
         _write(folder, f"word-{bucket}", keys)
         _write_counts(folder, f"word-count-{bucket}", counts)
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "size": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
@@ -325,7 +468,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     for r in found:
         sizes[r.bucket] = r.size
     tokens = sum(r.tokens for r in found)
-    model = Model(folder, buckets, sizes, tokens, n_texts, np.zeros(0, np.uint64))
+    model = Model(folder, buckets, sizes, tokens, n_texts, order, np.zeros(0, np.int64))
     if not n_texts:
         return model
     first = np.concatenate([[0], np.cumsum(sizes)])
@@ -342,75 +485,116 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
                     ids += (place + first[b]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], ["id"])
 
-    model.hot = np.sort(np.array([r.id for r in spark.range(0, buckets, 1, min(buckets, 64)).mapInArrow(frequent, "id long").collect()], np.int64)).astype(np.uint64)
+    model.hot = np.sort(np.array([r.id for r in spark.range(0, buckets, 1, min(buckets, 64)).mapInArrow(frequent, "id long").collect()], np.int64))
     if n_texts > most:  # every text begins with the same context
-        model.hot = np.append(model.hot, np.uint64(model.vocabulary))
+        model.hot = np.append(model.hot, model.begin)
     shared = spark.sparkContext.broadcast(model)  # a few numbers for each bucket
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, held = shared.value, Held()
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        held = Held(m.order)
 
         def give() -> pa.RecordBatch:
             keys, counts = held.take()
-            return _packed_batch(dealt("pair", keys, counts, m.bucket_of(keys)))
+            last = keys[-1]
+            by = last if m.order == 2 else np.where(keys[1] == np.uint64(m.begin + 1), last, keys[1])
+            return _packed_batch(dealt("gram", keys, counts, m.bucket_of(keys[0].astype(np.int64), by)))
 
         for batch in batches:
             for part in pieces(batch, "text"):
                 hashes, counts = token_hashes(part, "text")
                 distinct, back = np.unique(hashes, return_inverse=True)
                 ids = m.ids_of(distinct)[0][back]
-                held.add(*np.unique(pair_keys(ids, counts, m.vocabulary), return_counts=True))
+                held.add([x.astype(np.uint64) for x in (*contexts_of(ids, counts, m.begin, m.order), ids)], np.ones(len(ids), np.uint64))
                 if held.full():
                     yield give()
         yield give()
 
-    def merge_pairs(table: pa.Table) -> pa.Table:
+    def pair_rows(m: Model, bucket: int, hot: bool, v: np.ndarray, w: np.ndarray, c: np.ndarray) -> list[Packed]:
+        """Writes a bucket's pairs; what others have to sum goes on."""
+        lo, hi = m.range_start(bucket), m.range_start(bucket + 1)
+        head, heads = (m.hot_place(v), len(m.hot)) if hot else (v - lo, hi - lo)
+        sums = write_pairs(folder, f"two{'-hot' if hot else ''}-{bucket}", head, w, c, heads, m.kind)
+        rows = []
+        if hot:
+            there = np.flatnonzero(sums[:, 3])
+            if len(there):
+                rows.append(("hot-sums", bucket, [pack(there.astype(np.uint64)), *[pack(sums[there, k]) for k in range(4)]], pack(np.ones(len(there), np.uint64))))
+        else:
+            _write(folder, f"two-sums-{bucket}", _narrow(sums))
+        ids, n = np.unique(w, return_counts=True)
+        rows += dealt("continued", [ids.astype(np.uint64)], n.astype(np.uint64), m.range_of(ids))
+        return [*rows, _of_counts("sums-2", bucket, c)]
+
+    def merge_grams(table: pa.Table) -> pa.Table:
         m = shared.value
         bucket = table.column("bucket")[0].as_py()
         keys, counts = _merged(table)
-        _write(folder, f"pair-{bucket}", keys)
-        _write_counts(folder, f"pair-count-{bucket}", counts)
-        before = keys >> np.uint64(32)
-        spread = np.isin(before, m.hot)
+        v, w = keys[0].astype(np.int64), keys[-1].astype(np.int64)
+        hot = m.hot_place(v) >= 0
         lo, hi = m.range_start(bucket), m.range_start(bucket + 1)
-        follow = np.zeros((hi - lo, 3), np.uint32)
-        own = ~spread
-        np.add.at(follow, ((before[own] - np.uint64(lo)).astype(np.int64), np.minimum(counts[own], 3).astype(np.int64) - 1), 1)
-        _write(folder, f"follow-{bucket}", follow)
-        hot = np.zeros((len(m.hot), 3), np.int64)
-        np.add.at(hot, (np.searchsorted(m.hot, before[spread]), np.minimum(counts[spread], 3).astype(np.int64) - 1), 1)
-        of_counts = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
-        ids, n = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-        rows = dealt("continued", ids, n.astype(np.uint64), m.range_of(ids))
-        rows.append(("sums", bucket, pack(np.array([len(keys), *of_counts], np.uint64)), pack(hot.reshape(-1).astype(np.uint64))))
+        rows: list[Packed] = []
+        if m.order == 3:
+            u = keys[1].astype(np.int64)
+            whole = u != m.begin + 1
+            for name, mine, heads in ((f"three-{bucket}", whole & ~hot, hi - lo), (f"three-hot-{bucket}", whole & hot, len(m.hot))):
+                head = m.hot_place(v[mine]) if "hot" in name else v[mine] - lo
+                write_contexts(folder, name, head, u[mine], w[mine], counts[mine], heads, m.kind)
+            rows.append(_of_counts("sums-3", bucket, counts[whole]))
+            # A pair counts once for every word before it; at a text's begin as often as it is there.
+            counts = np.where(whole, np.uint64(1), counts)
+            (v, w), counts = summed([v, w], counts)
+            hot = m.hot_place(v) >= 0
+        rows += pair_rows(m, bucket, False, v[~hot], w[~hot], counts[~hot])
+        pairs = [v[hot].astype(np.uint64), w[hot].astype(np.uint64)]
+        rows += dealt("hot", pairs, counts[hot], m.bucket_of(v[hot], w[hot]))
         return pa.Table.from_batches([_packed_batch(rows)])
 
+    def merge_hot(table: pa.Table) -> pa.Table:
+        kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
+        if kind != "hot":
+            return table
+        (v, w), counts = _merged(table)
+        return pa.Table.from_batches([_packed_batch(pair_rows(shared.value, bucket, True, v.astype(np.int64), w.astype(np.int64), counts))])
+
     def merge_continued(table: pa.Table) -> pa.Table:
         m = shared.value
         kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
-        if kind == "sums":
+        if kind != "continued":
             return table
-        ids, n = _merged(table)
+        (ids,), n = _merged(table)
         lo, hi = m.range_start(bucket), m.range_start(bucket + 1)
         dense = np.zeros(hi - lo, np.uint32)
-        dense[(ids - np.uint64(lo)).astype(np.int64)] = n
+        dense[ids.astype(np.int64) - lo] = _narrow(n)
         _write(folder, f"continued-{bucket}", dense)
-        of_counts = [int((n == i).sum()) for i in (1, 2, 3, 4)] + [int((n >= 3).sum())]
-        return pa.Table.from_batches([_packed_batch([(kind, bucket, pack(np.array(of_counts, np.uint64)), b"")])])
-
-    merged = texts.mapInArrow(pairs, _PACKED).groupBy("bucket").applyInArrow(merge_pairs, _PACKED)
-    told = merged.groupBy("kind", "bucket").applyInArrow(merge_continued, _PACKED).collect()
-    sums = {r.bucket: unpack(r["keys"]).astype(np.int64) for r in told if r.kind == "sums"}
-    model.pairs = np.array([sums[b][0] if b in sums else 0 for b in range(buckets)], np.int64)
-    model.types = int(model.pairs.sum())
-    model.hot_follow = np.sum([unpack(r["counts"]).astype(np.int64).reshape(-1, 3) for r in told if r.kind == "sums"], axis=0).astype(float)
-    model.discount = discounts(np.sum([s[1:] for s in sums.values()], axis=0))
-    low = np.sum([unpack(r["keys"]).astype(np.int64) for r in told if r.kind == "continued"], axis=0)
-    model.low_discount = discounts(low[:4])
-    model.low_rest = float(model.low_discount[1:] @ np.array([low[0], low[1], low[4]])) / model.types
+        return pa.Table.from_batches([_packed_batch([_of_counts("sums-1", bucket, n)])])
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                values = [unpack(k).astype(np.int64) for k in keys]
+                named = values if kind == "hot-sums" else [np.full(1, -int(kind[-1]))] + [values[0][i : i + 1] for i in range(6)]
+                named = named + [np.zeros(len(named[0]), np.int64)] * (7 - len(named))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in named], ["key", *"abcdef"])
+
+    merged = texts.mapInArrow(grams, _PACKED).groupBy("bucket").applyInArrow(merge_grams, _PACKED)
+    hot_merged = merged.groupBy("kind", "bucket").applyInArrow(merge_hot, _PACKED)
+    told = hot_merged.groupBy("kind", "bucket").applyInArrow(merge_continued, _PACKED)
+    sums = told.select("kind", "keys").mapInArrow(unpacked, "key long, a long, b long, c long, d long, e long, f long").groupBy("key").agg(*[F.sum(x).alias(x) for x in "abcdef"]).collect()
+    by_key = {r.key: [r[x] for x in "abcdef"] for r in sums}
+    model.hot_sums = np.array([by_key.get(k, [0] * 6)[:4] for k in range(len(model.hot))], float).reshape(-1, 4)
+    model.discount = {k: discounts(by_key[-k][:4]) for k in range(1, order + 1)}
+    model.types = by_key[-1][5]
+    model.low_rest = float(model.discount[1][1:] @ np.array([by_key[-1][0], by_key[-1][1], by_key[-1][4]])) / model.types
     return model
 
 
+def _of_counts(kind: str, bucket: int, counts: np.ndarray) -> Packed:
+    """How many counts are 1, 2, 3, 4, are 3 or more, and their sum."""
+    told = [*[int((counts == i).sum()) for i in (1, 2, 3, 4)], int((counts >= 3).sum()), int(counts.sum())]
+    return kind, bucket, [pack(np.array(told, np.uint64))], pack(np.ones(1, np.uint64))
+
+
 def score_part(part: pa.RecordBatch, m: Model, text_col: str) -> dict[str, np.ndarray]:
     hashes, counts = token_hashes(part, text_col)
     ends = np.cumsum(counts)
@@ -421,30 +605,44 @@ def score_part(part: pa.RecordBatch, m: Model, text_col: str) -> dict[str, np.nd
     order = np.argsort(ids, kind="stable")
     low = np.empty(len(ids))
     low[order] = m.low_order(ids[order])
-    p = low[back]
-    before = np.empty(len(hashes), np.int64)
-    before[1:] = ids[back][:-1]
-    before[ends - counts] = m.vocabulary if m.texts else -1
-    context = before >= 0
-    if context.any():
-        contexts, at = np.unique(before[context], return_inverse=True)
-        total = np.empty(len(contexts))
-        begin = contexts == m.vocabulary
-        count_of = np.zeros(len(ids), float)
-        count_of[order] = seen[order]
-        inner = np.searchsorted(ids[order], contexts[~begin])
-        total[~begin] = count_of[order][inner]
-        total[begin] = m.texts
-        rest = m.rest(contexts.astype(np.uint64)) / total
-        word = ids[back][context]
-        c = np.zeros(len(word))
-        is_known = word >= 0
-        keys, where = np.unique((before[context][is_known].astype(np.uint64) << np.uint64(32)) | word[is_known].astype(np.uint64), return_inverse=True)
-        c[is_known] = m.pair_counts(keys)[where]
-        p[context] = np.maximum(c - m.discount[np.minimum(c, 3).astype(int)], 0) / total[at] + rest[at] * p[context]
+    p, w = low[back], ids[back]
+    around = contexts_of(w, counts, m.begin, m.order)
+    wide = m.vocabulary + 2
+    if m.texts:
+        v = around[0]
+        has = np.flatnonzero(v >= 0)
+        contexts, at = np.unique(v[has], return_inverse=True)
+        c = np.zeros(len(has))
+        asked = np.flatnonzero(w[has] >= 0)
+        keys, where = np.unique(v[has][asked] * wide + w[has][asked], return_inverse=True)
+        c[asked] = m.pair_counts(keys // wide, keys % wide)[where]
+        p[has] = interpolated(p[has], c, m.one_word(contexts)[at], m.discount[2])
+    if m.texts and m.order == 3:
+        v, u = around
+        has = np.flatnonzero((v >= 0) & (u >= 0) & (u <= m.begin))
+        contexts, at = np.unique(v[has] * wide + u[has], return_inverse=True)
+        place, sums = m.two_words(contexts // wide, contexts % wide)
+        c = np.zeros(len(has))
+        asked = np.flatnonzero((w[has] >= 0) & (place[at] >= 0))
+        pairs = np.stack([at[asked], w[has][asked]])
+        order = np.lexsort(pairs[::-1])
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(pairs[:, order], axis=1) != 0).any(axis=0)
+        some = order[new]
+        found = m.triple_counts(contexts[at[asked[some]]] // wide, contexts[at[asked[some]]] % wide, place[at[asked[some]]], w[has[asked[some]]])
+        c[asked[order]] = found[np.cumsum(new) - 1]
+        p[has] = interpolated(p[has], c, sums[at], m.discount[3])
     starts = ends - counts
-    sums = lambda v: np.add.reduceat(v, starts) if len(starts) else np.zeros(0)  # noqa: E731  every text has its end token
-    return {"n_tokens": counts, "n_known": sums(known[back].astype(np.int64)), "base_score": sums(base), "score": sums(np.log10(p))}
+    sums_of = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)  # noqa: E731  every text has its end token
+    return {"n_tokens": counts, "n_known": sums_of(known[back].astype(np.int64)), "base_score": sums_of(base), "score": sums_of(np.log10(p))}
+
+
+def interpolated(low: np.ndarray, c: np.ndarray, sums: np.ndarray, discount: np.ndarray) -> np.ndarray:
+    """Probabilities after contexts with these sums; contexts never seen leave them to the lower order."""
+    total = sums[:, 3]
+    some = np.maximum(total, 1)
+    kept = np.maximum(c - discount[np.minimum(c, 3).astype(int)], 0) / some
+    return np.where(total > 0, kept + sums[:, :3] @ discount[1:] / some * low, low)
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -86,7 +86,7 @@ QUERIES["op6_toxicity"] = op6_toxicity
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document under a model of those outside fold 2 of 7."""
     docs = table(spark, sf_dir, "documents")
-    model = kneserney.train(docs.where(fold(F.col("doc_id"), 7) != 2))
+    model = kneserney.train(docs.where(fold(F.col("doc_id"), 7) != 2), order=3)
     found = kneserney.score_texts(docs, model)
     return found.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
