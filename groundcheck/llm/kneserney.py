@@ -43,6 +43,8 @@ LEAST_BUCKETS = 64
 HELD_KEYS = 2_000_000
 #: Contexts with more next words than this have their sums stored; those of others are made anew.
 FEW = 16
+#: Bytes of text that are scored at once: more of them share a search in a bucket's arrays.
+SCORED_BYTES = 2 << 20
 #: Files that a worker keeps mapped.
 MOST_MAPPED = 8192
 
@@ -159,7 +161,8 @@ def mapped(path: str, kind: type) -> np.ndarray:
     if path not in _MAPPED:
         while len(_MAPPED) >= MOST_MAPPED:
             _MAPPED.pop(next(iter(_MAPPED)))
-        _MAPPED[path] = np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
+        # A plain array over the mapping: the subclass takes a while for every index.
+        _MAPPED[path] = np.asarray(np.memmap(path, kind, "r")) if os.path.getsize(path) else np.zeros(0, kind)
     return _MAPPED[path]
 
 
@@ -288,7 +291,8 @@ class Model:
         hot = self.hot_place(v)
         bucket = self.bucket_of(v, spread_by)
         group = bucket * 2 + (hot >= 0)
-        order = np.argsort(group, kind="stable")
+        small = group.astype(np.uint16) if self.buckets < 1 << 15 else group  # sorted by digits
+        order = np.argsort(small, kind="stable")
         for at in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else []:
             b, is_hot = divmod(int(group[at[0]]), 2)
             head = hot[at] if is_hot else v[at].astype(np.int64) - self.range_start(b)
@@ -606,32 +610,30 @@ def score_part(part: pa.RecordBatch, m: Model, text_col: str) -> dict[str, np.nd
     low = np.empty(len(ids))
     low[order] = m.low_order(ids[order])
     p, w = low[back], ids[back]
-    around = contexts_of(w, counts, m.begin, m.order)
+    v = contexts_of(w, counts, m.begin, 2)[0]
     wide = m.vocabulary + 2
     if m.texts:
-        v = around[0]
+        # A token and the word before it are a pair, which is also the context of the next token.
+        both = np.flatnonzero((v >= 0) & (w >= 0))
+        pairs, which = np.unique(v[both] * wide + w[both], return_inverse=True)
+        first, second = pairs // wide, pairs % wide
         has = np.flatnonzero(v >= 0)
         contexts, at = np.unique(v[has], return_inverse=True)
-        c = np.zeros(len(has))
-        asked = np.flatnonzero(w[has] >= 0)
-        keys, where = np.unique(v[has][asked] * wide + w[has][asked], return_inverse=True)
-        c[asked] = m.pair_counts(keys // wide, keys % wide)[where]
-        p[has] = interpolated(p[has], c, m.one_word(contexts)[at], m.discount[2])
+        c = np.zeros(len(w))
+        c[both] = m.pair_counts(first, second)[which]
+        p[has] = interpolated(p[has], c[has], m.one_word(contexts)[at], m.discount[2])
     if m.texts and m.order == 3:
-        v, u = around
-        has = np.flatnonzero((v >= 0) & (u >= 0) & (u <= m.begin))
-        contexts, at = np.unique(v[has] * wide + u[has], return_inverse=True)
-        place, sums = m.two_words(contexts // wide, contexts % wide)
+        pair_of = np.full(len(w) + 1, -1, np.int64)
+        pair_of[both + 1] = which
+        pair_of[ends - counts] = -1  # a text's first token has one context alone
+        has = np.flatnonzero(pair_of[:-1] >= 0)
+        place, sums = m.two_words(second, first)
+        context = pair_of[has]
         c = np.zeros(len(has))
-        asked = np.flatnonzero((w[has] >= 0) & (place[at] >= 0))
-        pairs = np.stack([at[asked], w[has][asked]])
-        order = np.lexsort(pairs[::-1])
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(pairs[:, order], axis=1) != 0).any(axis=0)
-        some = order[new]
-        found = m.triple_counts(contexts[at[asked[some]]] // wide, contexts[at[asked[some]]] % wide, place[at[asked[some]]], w[has[asked[some]]])
-        c[asked[order]] = found[np.cumsum(new) - 1]
-        p[has] = interpolated(p[has], c, sums[at], m.discount[3])
+        asked = np.flatnonzero((w[has] >= 0) & (place[context] >= 0))
+        some = context[asked]
+        c[asked] = m.triple_counts(second[some], first[some], place[some], w[has[asked]])
+        p[has] = interpolated(p[has], c, sums[context], m.discount[3])
     starts = ends - counts
     sums_of = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)  # noqa: E731  every text has its end token
     return {"n_tokens": counts, "n_known": sums_of(known[back].astype(np.int64)), "base_score": sums_of(base), "score": sums_of(np.log10(p))}
@@ -654,7 +656,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SCORED_BYTES):
                 out = score_part(part, m, "text")
                 perplexity = 10.0 ** np.minimum(-out["score"] / out["n_tokens"], 300)
                 yield pa.RecordBatch.from_arrays(
