@@ -191,6 +191,21 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, parting: np.ndarray = SPAC
     return starts, ends, counts
 
 
+def text_slices(data: np.ndarray, parting: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+    """A text's bytes in slices of about ``most`` bytes, cut where words part; a longer word stays whole."""
+    begin = 0
+    while begin < len(data):
+        end = begin + most
+        while end < len(data):
+            breaks = np.flatnonzero(parting[data[end : end + most]])
+            if len(breaks):
+                end += int(breaks[0])
+                break
+            end += most
+        yield data[begin:end]
+        begin = end
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 

@@ -16,7 +16,7 @@ Defined results: null, empty and wordless texts have no signatures; two fingerpr
 signatures have likeness 1, one without and one with have 0; equal texts have equal fingerprints;
 repeated rows each get a result and are each other's neighbours; a null id comes before all others;
 the next document of the only one is itself; empty tables give empty results; further columns are
-ignored.
+ignored. Ids that are no whole numbers are ordered by their text.
 """
 
 from __future__ import annotations
@@ -118,11 +118,21 @@ def as_text(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), "")
 
 
+def order_key(docs: DataFrame, id_col: str, text: Column) -> tuple[Column, Column]:
+    """``h, tie``: rows go by their id, a null one first, and then by a hash of their text. Whole
+    numbers are ordered as numbers, all other ids by their text."""
+    found, tie = F.col(id_col), F.hex(F.xxhash64(text))
+    if dict(docs.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
+        return F.coalesce(found.cast("long"), F.lit(-(1 << 63))).alias("h"), tie.alias("tie")
+    named = F.concat(F.coalesce(found.cast("string"), F.lit("")), F.lit("\0"), tie)
+    return F.when(found.isNull(), -1).otherwise(0).cast("long").alias("h"), named.alias("tie")
+
+
 def in_order(docs: DataFrame, id_col: str, text_col: str, per_range: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``range, nth, id, text`` by ascending id, ranges partitioned, and for every range the
     key of the row before its first one (around the whole: the last row)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("h"), F.hex(F.xxhash64(text)).alias("tie"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), *order_key(docs, id_col, text), text.alias("text"))
     keys = stored(rows.select("h", "tie", F.octet_length("text").cast("long").alias("bytes"), F.lit(1).cast("long").alias("weight")), "order-keys")
     cuts = range_cuts(keys, "weight", per_range)
     total = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
@@ -131,7 +141,7 @@ def in_order(docs: DataFrame, id_col: str, text_col: str, per_range: int) -> tup
     dealt = placed.repartition(min(wide, max(1, len(cuts) + 1)), "range")
     ordered = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("range").orderBy("h", "tie")))
     last = keys.withColumn("range", range_index(F.col("h"), F.col("tie"), cuts)).groupBy("range").agg(F.max(F.struct("h", "tie")).alias("last"))
-    # One row for each range, a few thousand at most.
+    # One row for each range, by far fewer than the texts.
     around = Window.orderBy("range")
     edges = last.select("range", F.coalesce(F.lag("last").over(around), F.max("last").over(Window.partitionBy())).alias("e")).select("range", F.col("e.h").alias("h"), F.col("e.tie").alias("tie"))
     return ordered, edges
@@ -143,7 +153,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, per_range: int = 1000
     ordered, edges = in_order(docs, id_col, text_col, per_range)
     edges = stored(edges, "order-edges")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("h"), F.hex(F.xxhash64(text)).alias("tie"), text.alias("edge_text"))
+    rows = docs.select(*order_key(docs, id_col, text), text.alias("edge_text"))
     wanted = edges.select("h", "tie").distinct()
     found = rows.join(F.broadcast(wanted), ["h", "tie"], "left_semi").dropDuplicates(["h", "tie"])
     edge_texts = stored(edges.join(found, ["h", "tie"]).select("range", "edge_text"), "order-edge-texts")

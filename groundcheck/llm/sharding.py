@@ -9,8 +9,13 @@ their running weight within their range, and a record belongs to the shard in wh
 begins. A range is a small part of a shard, so that no task holds a shard. Only records equal in
 text and id can't be told apart by their key and share a range.
 
-Law ``bytes``: shards' sums of sizes differ by no more than the largest record. Law ``rows``:
-counts differ by one at most.
+Ranges grow in number with the rows: one for each ``per_range`` rows at first, and beyond some
+thousands one for each ``ROWS_PER_MORE`` rows more, which stay far below what a task can sort. The
+splitters are a few bytes for each range; records find theirs through a tree of three levels.
+
+Law ``bytes``: a record lies where it begins, so that a shard's sum may fall short of, or exceed, the
+even share by less than its last record; two sums differ by less than two of the largest records.
+Law ``rows``: counts differ by one at most.
 
 Defined results: a null text has size 1; null ids and equal records keep their rows, in any order
 among themselves; empty tables give empty results; further columns are ignored.
@@ -18,14 +23,17 @@ among themselves; empty tables give empty results; further columns are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundcheck.llm.common import stored
 
-#: Expected sample keys for each range, and the most ranges that one round of splitters makes.
+#: Expected sample keys for each range.
 SAMPLE_PER_RANGE = 8
-MOST_RANGES = 2048
+#: So many ranges may be as small as the caller asks; beyond, each has as many rows.
+SMALL_RANGES, ROWS_PER_MORE = 2048, 500_000
 #: A range is overfull above so many times its even share of the weight.
 OVERFULL = 3.0
 
@@ -48,24 +56,42 @@ def splitters(keys: DataFrame, weight: Column, total: float, ranges: int) -> lis
 
 
 def range_index(h: Column, tie: Column, cuts: list[tuple[int, str]]) -> Column:
-    """How many splitters lie at or below the key. Two levels keep the comparisons of a record at
-    twice the root of the number of splitters."""
+    """How many splitters lie at or below the key. Three levels keep the comparisons of a record at
+    three times the cubic root of the number of splitters, which are one literal of the plan."""
     if not cuts:
         return F.lit(0)
-    wide = max(1, int(len(cuts) ** 0.5))
-    key = lambda c: F.struct(F.lit(c[0]).cast("long").alias("h"), F.lit(c[1]).alias("tie"))
-    heads = cuts[::wide]
+    wide = max(1, round(len(cuts) ** (1 / 3)))
+    keys = [{"h": a, "tie": b} for a, b in cuts]
+    low = [keys[i : i + wide] for i in range(0, len(keys), wide)]
+    high = [low[i : i + wide] for i in range(0, len(low), wide)]
     me = F.struct(h.alias("h"), tie.alias("tie"))
-    head = F.size(F.filter(F.array(*[key(c) for c in heads]), lambda s: s <= me))
-    groups = F.array(*[F.array(*[key(c) for c in cuts[i : i + wide]]) for i in range(0, len(cuts), wide)])
-    return F.when(head == 0, 0).otherwise((head - 1) * wide + F.size(F.filter(F.element_at(groups, F.greatest(head, F.lit(1))), lambda s: s <= me)))
+
+    def literal(tree: list, depth: int) -> Column:
+        kind = "array<" * depth + "struct<h:bigint,tie:string>" + ">" * depth
+        return F.from_json(F.lit(json.dumps(tree)), kind)
+
+    def below(heads: Column) -> Column:
+        return F.size(F.filter(heads, lambda s: s <= me))
+
+    inner = literal([[[leaf[0] for leaf in group] for group in high]], 3)[0]
+    # The last group at each level whose first splitter is not beyond the key.
+    top = below(literal([group[0][0] for group in high], 1))
+    middle = below(F.element_at(inner, F.greatest(top, F.lit(1))))
+    group = (top - 1) * wide + middle
+    last = below(F.element_at(literal(low, 2), F.greatest(group, F.lit(1))))
+    return F.when(top == 0, 0).otherwise((group - 1) * wide + last)
+
+
+def range_count(rows: int, per_range: int) -> int:
+    """Ranges for so many rows: small ones while they are few, then more with every row."""
+    return int(max(1, min(rows // per_range, SMALL_RANGES + rows // ROWS_PER_MORE)))
 
 
 def range_cuts(keys: DataFrame, weight_col: str, per_range: int, rounds: int = 3) -> list[tuple[int, str]]:
     """Splitters for ranges of about ``per_range`` rows; overfull ranges are subdivided by splitters
     drawn from their own records."""
     rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight_col), F.lit(0))).first()
-    ranges = int(min(MOST_RANGES, max(1, rows // per_range)))
+    ranges = range_count(rows, per_range)
     cuts = splitters(keys, F.col(weight_col), float(total), ranges) if ranges > 1 else []
     for _ in range(rounds if cuts else 0):
         placed = keys.withColumn("range", range_index(F.col("h"), F.col("tie"), cuts))
@@ -103,7 +129,7 @@ def shard(docs: DataFrame, shards: int = 16, law: str = "bytes", id_col: str = "
     keys = stored(keys.withColumn("weight", F.col("size") if law == "bytes" else F.lit(1).cast("long")), "shard-keys")
     placed = stored(ranged(keys, "weight", per_range), "shard-ranges")
     sums = placed.groupBy("range").agg(F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n"))
-    # No more than a few thousand ranges: their running sums fit one task.
+    # A row for each range, by far fewer than the records: their running sums fit one task.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("range", F.coalesce(F.sum("w").over(before), F.lit(0)).alias("w0"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"))
     total = placed.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]

@@ -9,8 +9,9 @@ fitting the unlabelled texts as negatives. The class prior is the toxic share of
 The fit sees about ``positives`` confirmed texts, and about ``unlabelled`` of all labelled rows, whose
 labels are not read there; both are drawn by a hash of the id: documented bounds on labelled rows,
 whatever the table's size. Where labels tell of toxic texts alone, all texts serve as unlabelled.
-Its words are those whose shares in the two samples differ by ``z`` standard errors. Every text is
-scored whole.
+Its words are those that ``least_texts`` confirmed texts hold, as fewer tell nothing of a word, and
+whose shares in the two samples differ by ``z`` standard errors. Every text is scored whole, long ones
+slice by slice.
 
 Defined results: a null or empty text has no words and gets the score of the bias alone; without a
 confirmed toxic text every score is that of log odds of -5, 0.0067; a row with several labels counts as toxic if one of
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.llm.common import MARKS, counted_small, lowered, pieces, span_hashes, text_column, utf8, word_spans
+from groundcheck.llm.common import MARKS, counted_small, lowered, pieces, span_hashes, text_column, text_slices, utf8, word_spans
 
 
 @dataclass
@@ -50,10 +51,20 @@ def hashed_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return span_hashes(data, starts, ends), np.repeat(np.arange(len(counts)), counts)
 
 
+def distinct_words(data: np.ndarray) -> np.ndarray:
+    """Sorted distinct word hashes of one text, of any length."""
+    parts = [np.unique(hashed_words(part, np.array([0, len(part)]))[0]) for part in text_slices(data, MARKS)]
+    return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
 def word_hits(data: np.ndarray, at: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Text and word index of every model word that a text holds, once each."""
     if not len(words):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(at) == 2:
+        found = distinct_words(data)
+        place = np.minimum(np.searchsorted(words, found), len(words) - 1)
+        return np.zeros(int((words[place] == found).sum()), np.int64), place[words[place] == found]
     hashes, owner = hashed_words(data, at)
     place = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
     hit = words[place] == hashes
@@ -110,9 +121,8 @@ def _word_sets(df: DataFrame) -> list[np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                hashes, owner = hashed_words(*utf8(text_column(part, "text")))
-                cut = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
+                data, at = utf8(text_column(part, "text"))
+                sets = [distinct_words(data[a:b]).tobytes() for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary())], ["words"])
 
     found = sorted(df.select("text").mapInArrow(run, "words binary").toArrow().column("words").to_pylist())
@@ -129,7 +139,7 @@ def _presence(sets: list[np.ndarray], words: np.ndarray) -> Presence:
     return Presence(np.concatenate(rows), np.concatenate(places), len(sets), len(words))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", positives: int = 3000, unlabelled: int = 9000, z: float = 4.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", positives: int = 3000, unlabelled: int = 9000, z: float = 4.0, least_texts: int = 3) -> Model:
     """A classifier from ``docs`` and the labels of their ids; held-out rows must be left out of
     both by the caller."""
     told = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(toxic_col).alias("toxic"))
@@ -157,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not p or not u:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     words, count = np.unique(np.concatenate(p), return_counts=True)
-    words, count = words[count >= 3], count[count >= 3]
+    words, count = words[count >= least_texts], count[count >= least_texts]
     in_u = np.zeros(len(words))
     for held in u:
         place = np.minimum(np.searchsorted(words, held), max(len(words) - 1, 0))

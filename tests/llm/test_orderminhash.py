@@ -79,3 +79,12 @@ def test_order_matters_and_edge_rows(spark):
     a, b = (r.fingerprint for r in orderminhash.fingerprints(moved).collect())
     shared = len(set(a) & set(b)) / 32
     assert 0.1 < shared < 0.9  # nearly the same k-mers, but in another order
+
+
+def test_ids_that_are_no_numbers(spark):
+    texts = {"b": "one two three four", "a10": "five six seven", "a9": "eight nine ten eleven", None: "twelve"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {r.id: r for r in orderminhash.edited_likeness(docs).collect()}
+    order = ["b", "a9", "a10", None]
+    for i, name in enumerate(order):
+        assert got[name].edited_sha256 == hashlib.sha256(edit(texts[name], texts[order[(i + 1) % 4]]).encode()).hexdigest()

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from groundcheck.llm import queries, sharding
 
@@ -46,6 +47,36 @@ def test_range_index_follows_key_order(spark):
     assert ordered == sorted(ordered) and len(set(ordered)) > 20
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 26, 27, 28, 500])
+def test_range_index_counts_splitters(spark, n):
+    cuts = sorted({(i * 7919 % 1000 - 500, f"t{i % 3}\"\\") for i in range(n)})
+    keys = sorted({(h + d, t) for h, t in cuts for d in (-1, 0, 1)} | {(h, "") for h, _ in cuts} | {(5000, "z")})
+    rows = spark.createDataFrame(keys, "h long, tie string").select("h", "tie", sharding.range_index(F.col("h"), F.col("tie"), cuts).alias("r")).collect()
+    assert len(rows) == len(keys)
+    for r in rows:
+        assert r.r == sum((h, t) <= (r.h, r.tie) for h, t in cuts)
+
+
+def test_ranges_grow_with_the_rows():
+    assert [sharding.range_count(n, 1000) for n in (0, 999, 5000, 2_048_000, 10**9, 10**11)] == [1, 1, 5, 2048, 4048, 202_048]
+
+
+def test_shards_and_slots_equal_plain_version(spark):
+    """In key order, a record lies in the shard where its weight begins; slots count within it."""
+    rows = [(i, f"text {i} " * (i % 23)) for i in range(400)] + [(i, "same") for i in range(1000, 1100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.selectExpr("doc_id", "octet_length(text) + 1 as size", "xxhash64(text) as h").collect()
+    order = sorted(keyed, key=lambda r: (r.h, f"{r.doc_id:020d}"))
+    total, before, want, slots = sum(r.size for r in order), 0, {}, defaultdict(int)
+    for r in order:
+        shard = before * 7 // total
+        want[r.doc_id] = (shard, slots[shard])
+        slots[shard] += 1
+        before += r.size
+    got = sharding.shard(docs, 7, per_range=20).collect()
+    assert {r.id: (r.shard, r.slot) for r in got} == want
+
+
 @pytest.mark.parametrize("shards", [1, 2])
 def test_small_records_at_the_end_stay_in_the_last_shard(spark, shards):
     rows = [(i, f"{i:02d}") for i in range(40)] + [(100, "x" * 20_000_000)]

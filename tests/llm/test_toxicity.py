@@ -1,6 +1,11 @@
+import re
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from groundcheck.llm import queries, toxicity
+from groundcheck.llm import common, queries, toxicity
+from groundcheck.llm.common import fold
 
 
 def test_held_out_results(spark):
@@ -57,3 +62,34 @@ def test_fit_lowers_the_non_negative_risk():
     assert (np.sign(moved[np.abs(slope) > 1e-6]) == -np.sign(slope[np.abs(slope) > 1e-6])).all()
     weights, bias = toxicity.nnpu_fit(x, n, prior)
     assert risk(np.append(weights, bias))[0] < risk(start)[0] and weights[0] == max(weights)
+
+
+def test_long_texts_are_taken_in_slices(monkeypatch):
+    text = ("alpha beta, GAMMA delta " * 40 + "x" * 900 + " omega").encode()
+    data = np.frombuffer(text, np.uint8)
+    at = np.array([0, len(data)])
+    whole = np.unique(toxicity.hashed_words(data, at)[0])
+    assert (toxicity.distinct_words(data) == whole).all()
+    slices = list(common.text_slices(data, common.MARKS, 100))
+    assert len(slices) > 5 and b"".join(x.tobytes() for x in slices) == text
+    monkeypatch.setattr(toxicity, "text_slices", lambda d, parting: common.text_slices(d, parting, 100))
+    assert (toxicity.distinct_words(data) == whole).all()
+    words = np.sort(whole[::2])
+    two = toxicity.word_hits(np.concatenate([data, data]), np.array([0, len(data), 2 * len(data)]), words)
+    one = toxicity.word_hits(data, at, words)
+    assert one[1].tolist() == two[1][two[0] == 0].tolist() == list(range(len(words)))
+    assert len(toxicity.distinct_words(np.zeros(0, np.uint8))) == 0
+
+
+def test_query_equals_plain_scores(spark, small_dir):
+    """Scores of the query from the model's own words and weights, by plain sets of words."""
+    docs, labels = queries.table(spark, small_dir, "documents"), queries.table(spark, small_dir, "labels")
+    learned = fold(F.col("doc_id"), 4) != 2
+    model = toxicity.train(docs.where(learned), labels.where(learned))
+    weight = dict(zip(model.words.tolist(), model.weights.tolist()))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in queries.op6_toxicity(spark, small_dir).collect():
+        words = {w for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in texts[r.doc_id])) if w}
+        hashes = [int(common.span_hashes(np.frombuffer(w.encode(), np.uint8), np.zeros(1, np.int64), np.array([len(w.encode())]))[0]) for w in words]
+        margin = model.bias + sum(weight.get(h, 0.0) for h in hashes)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9) and r.predicted == (r.score >= 0.3)
