@@ -7,7 +7,7 @@ recommendation; ``receipts`` run_id, bucket, claim_id; ``claims`` run_id, id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundcheck.functions.text import claim_ids, sample_ids
@@ -21,6 +21,30 @@ def _issue(df: DataFrame, check: str, message) -> DataFrame:
     return df.select("run_id", F.lit(check).alias("check"), message.alias("message"))
 
 
+FINDING_LISTS = ["source_checks", "claim_findings", "outlook_findings", "process_findings"]
+BUCKETS = ["reviewed_ok", "with_findings", "unverifiable", "carried_forward"]
+
+
+def findings_of(reports: DataFrame) -> DataFrame:
+    """``run_id, list_name, idx, severity, artifact, passage, evidence, recommendation``: the four lists of
+    reports (run_id and a column for each list, an array of structs or null) as one table."""
+
+    def listed(name: str) -> Column:
+        parts = ("severity", "artifact", "passage", "evidence", "recommendation")
+        return F.transform(name, lambda f, i: F.struct(F.lit(name).alias("list_name"), i.alias("idx"), *[f[x].alias(x) for x in parts]))
+
+    each = [listed(c) for c in FINDING_LISTS]  # null for a list that isn't there
+    return reports.select("run_id", F.explode(F.flatten(F.array_compact(F.array(*each)))).alias("f")).select("run_id", "f.*")
+
+
+def receipts_of(reports: DataFrame) -> DataFrame:
+    """``run_id, bucket, claim_id``: the four buckets of receipts (a column for each, an array of ids or
+    null) as one table; an id in two buckets, or twice in one, has two rows."""
+    none = F.array().cast("array<string>")
+    pairs = F.array(*[F.struct(F.lit(b).alias("bucket"), F.coalesce(b, none).alias("ids")) for b in BUCKETS])
+    return reports.select("run_id", F.explode(pairs).alias("p")).select("run_id", "p.bucket", F.explode("p.ids").alias("claim_id"))
+
+
 def finding_citations(findings: DataFrame) -> DataFrame:
     """``run_id, list_name, idx, severity, claim_id``: ids cited in any of a finding's texts."""
     text = F.concat_ws(" ", "artifact", "passage", "evidence", "recommendation")

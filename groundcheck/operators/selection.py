@@ -32,11 +32,11 @@ def point_in_time(facts: DataFrame, keys: list[str]) -> DataFrame:
     return facts.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def expand_queries(companies: DataFrame, templates: DataFrame, peers: DataFrame) -> DataFrame:
-    """``run_id, class, select_key, pos, query``: templates (class, pos, template) filled for every
-    company, those with class ``peer`` for each of its peers. Templates are a setting, a list by hand."""
+def expand_queries(companies: DataFrame, templates: list[tuple[str, int, str]], peers: DataFrame) -> DataFrame:
+    """``run_id, class, select_key, pos, query``: templates (class, pos, template), a setting, filled for
+    every company, those with class ``peer`` for each of its peers."""
     # A company carries the templates as one array, so that no side of a product needs a size.
-    listed = [F.struct(F.lit(t["class"]).alias("class"), F.lit(t["pos"]).alias("pos"), F.lit(t["template"]).alias("template")) for t in templates.collect()]
+    listed = [F.struct(F.lit(kind).alias("class"), F.lit(pos).alias("pos"), F.lit(text).alias("template")) for kind, pos, text in templates]
     none = F.array().cast("array<struct<class:string,pos:int,template:string>>")
     base = companies.withColumn("t", F.explode(F.array(*listed) if listed else none)).select("*", "t.*").drop("t")
     own = base.where("class <> 'peer'").withColumn("peer", F.lit("")).withColumn("peer_pos", F.lit(0))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundcheck.functions import documents, text as tx
+from groundcheck.functions import calc, documents, text as tx
 from groundcheck.operators import audits, briefs, claims, coverage, reviews, rounds, segments, selection, triage
 from groundcheck.plans.registry import query
 from groundcheck.plans.tables import table
@@ -491,3 +491,56 @@ def coverage_requests(spark, sf_dir):
     receipt = turns.select("run_id", "id", F.when(F.col("seq") % 2 == 0, coverage.IMMATERIAL).otherwise(coverage.EXTRACTED).alias("outcome"))
     runs = turns.select("run_id").distinct().select("run_id", text_of("C", F.col("run_id")).alias("ticker"), F.lit("e").alias("event_id"), F.lit(None).cast("string").alias("event_date"))
     return triage.state_hash(triage.coverage_states(receipt, turns, triage.call_context(runs))).select("run_id", "id", "state_hash")
+
+
+@query(r"""WITH d AS (SELECT doc_id AS d, doc_id % 13 AS k FROM documents)
+SELECT d AS doc_id, CASE WHEN k < 10 THEN ' ' ELSE ['$2026', '2026 million', 'GBP50m'][k - 9] END || ' and ' || d || ' units' AS stripped, CASE WHEN k < 10 THEN 0 ELSE 1 END + 1 AS numbers FROM d""")
+def period_labels(spark, sf_dir):
+    """Calendar labels of all seven kinds go from prose, amounts that look like them stay."""
+    d = F.col("doc_id")
+    labels = ["FY2026", "fy 2025", "Q3", "H2", "1H", "2H25", "2024-2026", "2024–25", "2026", "CET1", "$2026", "2026 million", "GBP50m"]
+    text = F.concat(F.element_at(F.array(*[F.lit(x) for x in labels]), (d % 13 + 1).cast("int")), F.lit(" and "), d.cast("string"), F.lit(" units"))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.strip_periods(text).alias("stripped"), F.size(tx.prose_tokens(text)).alias("numbers"))
+
+
+@query(r"""SELECT c_custkey AS k, 'John Doe — Chief Officer:' || chr(10) || 'Revenue rose to' || chr(10) || '500' || chr(10) || 'million dollars in ' || c_custkey || '.' || CASE WHEN c_custkey % 2 = 0 THEN chr(10) || 'Copyright 2026 Firm' ELSE '' END || chr(10) || 'Jane Roe — Analyst:' || chr(10) || 'Thanks ' || c_custkey || '.' AS text FROM customer""")
+def vendor_banners(spark, sf_dir):
+    """Vendor transcripts whose page banners go, while figures that wrapping left alone on a line stay."""
+    k = F.col("c_custkey")
+    rule = "............\n"
+    notice = F.when(k % 2 == 0, "Copyright 2026 Firm\n").otherwise("Copyright © 2026 Firm\n")
+    text = F.concat(F.lit(f"FINAL TRANSCRIPT\n{rule}John Doe\nChief Officer\nRevenue rose to\n500\nmillion dollars in "), k.cast("string"), F.lit(".\n12\n"), notice, F.lit(f"{rule}Jane Roe\nAnalyst\nThanks "), k.cast("string"), F.lit(".\n7\n"))
+    docs = table(spark, sf_dir, "customer").select(k.alias("k"), text.alias("text"))
+    return documents.reformat_vendor_layout(docs, "k")
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE round((2 * o_orderkey + 1 - o_orderkey) / CAST(o_orderkey AS DOUBLE), 6) END AS growth FROM orders""")
+def eps_growths(spark, sf_dir):
+    """Growth of earnings per share, recomputed by name; a missing argument or a zero prior gives none."""
+    k = F.col("o_orderkey")
+    prior = F.when(k % 8 == 0, 0).otherwise(k).cast("double")
+    inputs = F.when(k % 8 == 4, F.create_map(F.lit("current_eps"), prior)).otherwise(F.create_map(F.lit("current_eps"), (2 * k + 1).cast("double"), F.lit("prior_eps"), prior))
+    return table(spark, sf_dir, "orders").select(k.alias("k"), F.round(calc.recompute(F.lit("eps_growth"), inputs), 6).alias("growth"))
+
+
+@query("""SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey AS INTEGER) END AS round FROM customer""")
+def round_numbers(spark, sf_dir):
+    """Rounds by the number that their folder's name ends in."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(k.alias("k"), audits.round_number(F.when(k % 3 == 0, "round-x").otherwise(text_of("round-00", k))).alias("round"))
+
+
+@query("""WITH r AS (SELECT o_custkey AS run_id, o_orderkey AS o FROM orders) SELECT run_id, list_name, severity, count(*) AS n FROM (
+SELECT run_id, 'source_checks' AS list_name, CASE WHEN o % 2 = 0 THEN 'low' ELSE 'high' END AS severity FROM r WHERE o % 5 = 0 UNION ALL SELECT run_id, 'claim_findings', CASE WHEN o % 2 = 0 THEN 'low' ELSE 'high' END FROM r WHERE o % 5 = 1
+UNION ALL SELECT run_id, 'outlook_findings', CASE WHEN o % 2 = 0 THEN 'low' ELSE 'high' END FROM r WHERE o % 5 = 2 UNION ALL SELECT run_id, 'reviewed_ok', CAST(count(*) AS VARCHAR) FROM r GROUP BY run_id UNION ALL SELECT run_id, 'carried_forward', CAST(count(*) FILTER (WHERE o % 2 = 0) AS VARCHAR) FROM r GROUP BY run_id HAVING count(*) FILTER (WHERE o % 2 = 0) > 0) GROUP BY ALL""")
+def report_lists(spark, sf_dir):
+    """The four lists and the four buckets of every report as one table each, some of them null."""
+    o = F.col("o_orderkey")
+    finding = F.struct(F.when(o % 2 == 0, "low").otherwise("high").alias("severity"), o.cast("string").alias("artifact"), F.lit("p").alias("passage"), F.lit("e").alias("evidence"), F.lit("r").alias("recommendation"))
+    lists = [F.array_sort(F.collect_list(F.when(o % 5 == i, finding))).alias(c) for i, c in enumerate(reviews.FINDING_LISTS[:3])]
+    reports = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("run_id")).agg(*lists, F.collect_list(text_of("claim-", o)).alias("reviewed_ok"), F.collect_list(F.when(o % 2 == 0, text_of("claim-", o))).alias("carried_forward"))
+    empty = F.filter(F.col("source_checks"), lambda _: F.lit(False))
+    reports = reports.withColumns({"process_findings": F.when(F.col("run_id") % 2 == 0, empty), "with_findings": F.lit(None).cast("array<string>"), "unverifiable": F.array().cast("array<string>")})
+    found = reviews.findings_of(reports).groupBy("run_id", "list_name", "severity").agg(F.count(F.lit(1)).alias("n"))
+    listed = reviews.receipts_of(reports).groupBy("run_id", "bucket").agg(F.count(F.lit(1)).cast("string").alias("severity")).select("run_id", F.col("bucket").alias("list_name"), "severity", F.lit(1).cast("long").alias("n"))
+    return found.unionByName(listed)

@@ -114,7 +114,7 @@ def landed_pages(spark, sf_dir):
 
 
 @query("""WITH h AS (SELECT s_suppkey AS k, s_suppkey % 10 AS r, row_number() OVER (PARTITION BY s_suppkey % 10, s_suppkey % 3 ORDER BY s_suppkey) AS nth FROM supplier)
-SELECT 'h' || r || '/e' AS run_id, 'u' || k AS url, CAST((k % 3 + 1) * 1000 + nth AS INTEGER) AS pos, CASE WHEN k % 4 = 0 THEN NULL ELSE k / 100.0 END AS score, CASE WHEN k % 5 = 0 THEN NULL ELSE '2026-01-01' END AS published_date FROM h""")
+SELECT 'h' || r || '/e' AS run_id, 'u' || k AS url, CAST((k % 3 + 1) * 100000 + nth AS INTEGER) AS pos, CASE WHEN k % 4 = 0 THEN NULL ELSE k / 100.0 END AS score, CASE WHEN k % 5 = 0 THEN NULL ELSE '2026-01-01' END AS published_date FROM h""")
 def landed_hits(spark, sf_dir):
     """Search hits of both providers, a file each, whose names give their positions."""
     k = F.col("s_suppkey")

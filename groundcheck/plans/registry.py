@@ -283,7 +283,7 @@ def expanded_queries(spark, sf_dir):
     companies = customers.select(F.col("c_custkey").cast("string").alias("run_id"), F.col("c_name").alias("company"), F.lit("").alias("ticker"), F.lit("").alias("event_id"))
     own = nations.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     peers = customers.join(own, "c_nationkey").join(nations, "n_regionkey").where(F.col("c_nationkey") != F.col("n_nationkey")).select(F.col("c_custkey").cast("string").alias("run_id"), F.col("n_name").alias("peer"), F.col("n_nationkey").alias("peer_pos"))
-    templates = spark.createDataFrame([("consensus", 0, "{company} consensus"), ("peer", 1, "{peer} against {company}")], "class string, pos int, template string")
+    templates = [("consensus", 0, "{company} consensus"), ("peer", 1, "{peer} against {company}")]
     return selection.expand_queries(companies, templates, peers).select("run_id", "class", "select_key", "query")
 
 

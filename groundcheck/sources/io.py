@@ -149,7 +149,7 @@ def search_hits(spark: SparkSession, path: str, depth: int = 2) -> DataFrame:
     """One hit to a file; the position comes from ``query-NN-hit-NN`` in its name."""
     rows = spark.read.schema(HIT).option("multiLine", True).json(path).withColumn("_path", F.col("_metadata.file_path"))
     name = r"query-(\d+)-hit-(\d+)"
-    place = F.regexp_extract("_path", name, 1).try_cast("int") * 1000 + F.regexp_extract("_path", name, 2).try_cast("int")
+    place = F.regexp_extract("_path", name, 1).try_cast("int") * 100_000 + F.regexp_extract("_path", name, 2).try_cast("int")
     named = {"_class": "class", "_select_key": "select_key", "_provider": "provider", "_query": "query", "_retrieved_at": "retrieved_at"}
     return with_run(rows, depth).withColumn("pos", place).withColumnsRenamed(named).drop("_path", "_temporal_status")
 
@@ -166,7 +166,7 @@ def company_facts(rows: DataFrame, json_col: str, key: str = "cik") -> DataFrame
 def ticker_ids(payload: DataFrame, json_col: str = "value") -> DataFrame:
     """``ticker, cik`` of a map of listings; ids are padded to ten digits."""
     entries = payload.select(F.explode(F.from_json(json_col, "map<string,struct<cik_str:bigint,ticker:string,title:string>>")).alias("k", "v"))
-    return entries.select(F.upper("v.ticker").alias("ticker"), F.lpad(F.col("v.cik_str").cast("string"), 10, "0").alias("cik"))
+    return entries.select(F.upper("v.ticker").alias("ticker"), F.format_string("%010d", "v.cik_str").alias("cik"))
 
 
 def price_bars(payloads: DataFrame, json_col: str = "value") -> tuple[DataFrame, DataFrame]:

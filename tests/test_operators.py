@@ -119,7 +119,7 @@ def test_round_robin_equals_loop(spark, seed):
 
 def test_queries_hits_and_guard(spark):
     companies = spark.createDataFrame([("r", "Acme", "ACM", "2026-q2")], "run_id string, company string, ticker string, event_id string")
-    templates = spark.createDataFrame([("consensus", 0, "{company} ({ticker}) {event_id}"), ("peer", 0, "{peer} vs {ticker}")], "class string, pos int, template string")
+    templates = [("consensus", 0, "{company} ({ticker}) {event_id}"), ("peer", 0, "{peer} vs {ticker}")]
     peers = spark.createDataFrame([("r", "Bolt", 0), ("r", "Cog", 1)], "run_id string, peer string, peer_pos int")
     got = [(q.select_key, q.query) for q in selection.expand_queries(companies, templates, peers).orderBy("pos").collect()]
     assert got == [("consensus", "Acme (ACM) 2026-q2"), ("Bolt", "Bolt vs ACM"), ("Cog", "Cog vs ACM")]

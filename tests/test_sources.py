@@ -46,7 +46,7 @@ def test_json_readers(spark, runs):
     bad = io.json_array(spark, f"{runs}/*/*/claims.json", io.CLAIM, depth=0).cache()
     assert [(i.run_id, i.check) for i in io.schema_issues(bad).collect()] == [("BBB/2026-h1", "schema")]
     hit = io.search_hits(spark, f"{runs}/*/*/raw/web/*.json").first()
-    assert (hit.pos, hit.run_id, hit["class"], hit.score) == (1003, "AAA/2026-q2", "peer", None)
+    assert (hit.pos, hit.run_id, hit["class"], hit.score) == (100_003, "AAA/2026-q2", "peer", None)
     page = io.web_evidence(spark, f"{runs}/*/*/evidence/web.jsonl", f"{runs}/AAA/2026-q2/evidence/web").first()
     assert page.content == "page text"
 

@@ -97,29 +97,27 @@ def test_html_and_injection(spark):
 
 
 def laid_out(text, banners):
-    """The rule read line by line: what has been put out so far decides about banners."""
+    """The rule by boundaries: dotted lines part the text into blocks. A block's first line that isn't a
+    banner to be dropped heads it if it is a name, with the title below it if there is one; of the rest,
+    banners go where what was told last ends a sentence."""
+    told = []
     word = "[^\\W\\d_](?:[^\\W\\d_]|['’.\\-])*"
-    out, fresh, lines, i = [], True, [x.strip() for x in text.split("\n")], 0
-    while i < len(lines):
-        line = lines[i]
-        words = line.split()
-        name = bool(re.fullmatch(rf"{word}(?:\s+{word}){{0,4}}", line)) and all(w[0].isupper() for w in words)
-        if not line:
-            pass
-        elif re.match(r"[.]{10,}$", line):
-            fresh = True
-        elif any(re.match(b, line) for b in banners):
-            if out and not re.search("[.?!:]$", out[-1]):
-                out, fresh = [*out, line], False
-        elif fresh and name:
-            after = lines[i + 1] if i + 1 < len(lines) else ""
-            titled = bool(after) and len(after) < 150 and after[-1] not in "?!" and sum(w[0].isupper() for w in after.split()) >= max(1, (len(after.split()) + 1) // 2)
-            out, fresh = [*out, f"{line} — {after}:" if titled else f"{line}:"], False
-            i += titled
-        else:
-            out, fresh = [*out, line], False
-        i += 1
-    return "\n".join(out)
+    capitals = lambda line: sum(w[0].isupper() for w in line.split())
+    named = lambda line: re.fullmatch(rf"{word}(?:\s+{word}){{0,4}}", line) and capitals(line) == len(line.split())
+    titled = lambda line: line and len(line) < 150 and line[-1] not in "?!" and capitals(line) >= max(1, (len(line.split()) + 1) // 2)
+    dropped = lambda line: any(re.match(b, line) for b in banners) and (not told or re.search("[.?!:]$", told[-1]))
+    for block in re.split(r"(?m)^[.]{10,}$", "\n".join(line.strip() for line in text.split("\n"))):
+        lines = block.split("\n")
+        while lines and (not lines[0] or dropped(lines[0])):
+            del lines[0]
+        if lines and named(lines[0]) and not any(re.match(b, lines[0]) for b in banners):
+            title = lines[1:2] if titled("".join(lines[1:2])) else []
+            told.append(" — ".join([lines[0], *title]) + ":")
+            del lines[: 1 + len(title)]
+        for line in lines:
+            if line and not dropped(line):
+                told.append(line)
+    return "\n".join(told)
 
 
 def test_vendor_layout(spark):
