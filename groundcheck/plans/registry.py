@@ -177,7 +177,13 @@ def preceding_turns(spark, sf_dir):
     return rows.select("conv_id", "turn", F.when(n > 0, F.element_at("context", -1)["text"]).alias("previous"), F.when(n > 1, F.element_at("context", -2)["text"]).alias("earlier"))
 
 
-@query()
+_PAGE_TEXT = r"""p AS (SELECT page_id, list_filter(string_split_regex(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', '<br>', 'g'), '(?s)<!--.*?-->|</?[a-zA-Z!][^>]*>'), lambda x: x <> '') AS nodes FROM pages),
+t AS (SELECT page_id, array_to_string([CASE WHEN regexp_full_match(x, '[ \n\t\f\r]+') THEN CASE WHEN contains(x, chr(10)) THEN chr(10) ELSE ' ' END ELSE x END FOR x IN nodes], chr(10)) AS raw FROM p),
+s AS (SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(raw, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[\x00-\x08\x0b-\x1f\x7f]', '', 'g') AS text FROM t)"""
+_FINDINGS = " + ".join(f"len(regexp_extract_all(text, '(?i){pattern}'))" for pattern in documents.INJECTION_PATTERNS)
+
+
+@query(f"WITH {_PAGE_TEXT} SELECT page_id, text, CAST(least({documents.MOST_FINDINGS}, {_FINDINGS}) AS INTEGER) AS findings FROM s")
 def sanitized_pages(spark, sf_dir):
     """Text of every page without markup and invisible characters, and its injection findings."""
     pages = table(spark, sf_dir, "pages").select("page_id", documents.sanitize(F.col("html"), True).alias("text"))
@@ -239,7 +245,7 @@ def severity_pivot(spark, sf_dir):
 
 @query("""SELECT event_type, CAST(ts AS DATE) AS date, min(value) AS low, max(value) AS high, arg_min(value, event_id) AS open, arg_max(value, event_id) AS close, count(*) AS row_count FROM events WHERE value IS NOT NULL GROUP BY 1, 2""")
 def daily_series(spark, sf_dir):
-    """Daily bars of every event type."""
+    """Daily bars of every event type. An event without a value has no price and makes no bar."""
     events = table(spark, sf_dir, "events").where("value is not null").withColumn("date", F.col("ts").cast("date"))
     counts = selection.series_summary(events, ["event_type", "date"]).select("event_type", "date", "row_count")
     bars = events.groupBy("event_type", "date").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.min_by("value", "event_id").alias("open"), F.max_by("value", "event_id").alias("close"))
