@@ -63,7 +63,7 @@ def landed_runs(spark, sf_dir):
 
 
 @query("WITH " + _DOCS + """, r AS (SELECT ticker || '/' || event_id AS run_id, bool_or((k = 0 AND (d // 100) % 3 = 0) OR (k = 1 AND d % 100 = 7)) AS broken, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM docs GROUP BY 1)
-SELECT run_id, CASE WHEN broken THEN 0 ELSE n END AS checked_claims, CASE WHEN broken THEN 0 ELSE chars END AS chars, CASE WHEN broken THEN 1 ELSE 0 END AS issues FROM r""")
+SELECT run_id, CASE WHEN broken THEN 0 ELSE n END AS checked_claims, CASE WHEN broken THEN 0 ELSE chars END AS chars, CAST(CASE WHEN broken THEN 1 ELSE 0 END AS BIGINT) AS issues FROM r""")
 def landed_claims(spark, sf_dir):
     """Claims as JSON arrays, a file for each hundred documents of a run. Some runs have a file cut short,
     some a record without its id: these runs fail whole, with one issue, and no other."""
@@ -131,7 +131,7 @@ def landed_hits(spark, sf_dir):
  CAST(CAST(l_shipdate AS DATE) - CAST(60 + (l_orderkey % 3) * 30 AS INTEGER) AS VARCHAR) AS start, 60 + (l_orderkey % 3) * 30 AS days, CASE WHEN l_orderkey % 4 = 0 THEN '' ELSE CAST(CAST(l_shipdate AS DATE) + CAST(l_linenumber AS INTEGER) AS VARCHAR) END AS filed FROM lineitem),
 q AS (SELECT *, max(CASE WHEN days BETWEEN 80 AND 100 THEN 1 ELSE 0 END) OVER (PARTITION BY s, c) AS fits FROM l WHERE days BETWEEN 80 AND 100),
 p AS (SELECT *, row_number() OVER (PARTITION BY s, c ORDER BY "end" DESC, filed, CASE unit WHEN 'USD' THEN 0 ELSE 1 END, o, n) AS nth FROM q)
-SELECT 's' || s AS cik, 'Concept' || c AS concept, unit, "end", days AS duration_days, val FROM p WHERE nth = 1""")
+SELECT 's' || s AS cik, 'Concept' || c AS concept, unit, "end", CAST(days AS INTEGER) AS duration_days, val FROM p WHERE nth = 1""")
 def landed_facts(spark, sf_dir):
     """Payloads of nested company facts down to one fact for each concept: only quarters, the latest end,
     of it the first filed, else the first in the payload."""
