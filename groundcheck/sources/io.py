@@ -1,9 +1,14 @@
-"""Readers and sinks of a run tree: ``<runs>/<ticker>/<event>/<stage>/<file>``, flat or staged."""
+"""Readers and sinks of a run tree: ``<runs>/<ticker>/<event>/<stage>/<file>``, flat or staged.
+
+Readers take the path of a tree, or its files as rows (path, content, length) of ``packed``: a tree is
+listed by the driver, file by file, so that millions of small files are landed as rows of few large ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 RUN_PATH = r".*/([^/]+)/([^/]+)/"
 
@@ -37,7 +42,7 @@ def placed(path: Column) -> Column:
     """``ticker, event_id, stage, name`` of a file from its place: ``<ticker>/<event>/<stage>/.../<name>``,
     flat ``<ticker>/<event>/<name>``, or as Spark lands it, in folders that name their key
     (``ticker=.../event_id=.../stage=.../name=.../part-...``)."""
-    keyed = r"ticker=([^/]+)/event_id=([^/]+)/(?:stage=([^/]+)/)?name=([^/]+)/[^/]+$"
+    keyed = r"ticker=([^/]*)/event_id=([^/]*)/(?:stage=([^/]+)/)?name=([^/]+)/[^/]+$"
     staged = rf"([^/]+)/([^/]+)/({'|'.join(STAGES)})/(?:.*/)?([^/]+)$"
     flat = r"([^/]+)/([^/]+)/([^/]+)$"
 
@@ -54,12 +59,32 @@ def with_run(df: DataFrame, depth: int = 1) -> DataFrame:
     folders name their key."""
     below = "[^/]+/" * depth if depth else ""
     pattern = rf"([^/]+)/([^/]+)/{below}[^/]+$"
-    path, keyed = F.col("_path"), F.col("_path").rlike(r"ticker=[^/]+/event_id=[^/]+/")
+    path, keyed = F.col("_path"), F.col("_path").rlike(r"ticker=[^/]*/event_id=[^/]*/")
     own = placed(path)
     named = df.withColumns({"ticker": F.when(keyed, own["ticker"]).otherwise(F.regexp_extract(path, pattern, 1)), "event_id": F.when(keyed, own["event_id"]).otherwise(F.regexp_extract(path, pattern, 2))})
     return named.withColumn("run_id", F.concat_ws("/", "ticker", "event_id"))
 
 
+def pack(files: DataFrame, path: str) -> None:
+    """Writes whole files (ticker, event_id, stage, name, content) as rows of a table, under the paths that
+    ``placed`` reads. The table is not compressed, so that tasks that read it have equal bytes of content."""
+    key = lambda c: F.concat(F.lit(f"{c}="), F.url_encode(c))
+    placed_at = F.concat_ws("/", *[key(c) for c in ("ticker", "event_id", "stage", "name")], F.lit("whole"))
+    files.select(placed_at.alias("path"), "content").write.option("compression", "none").parquet(path)
+
+
+def packed(spark: SparkSession, path: str) -> DataFrame:
+    """``path, content, length`` of packed files."""
+    return spark.read.schema("path string, content binary").parquet(path).withColumn("length", F.octet_length("content").cast("long"))
+
+
+def contents(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    """``path, content, length`` of the files of a tree, or of files given as such rows."""
+    if isinstance(source, DataFrame):
+        return source.select("path", "content", "length")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", "content", "length")
+
+
 def run_tree(spark: SparkSession, runs: str) -> DataFrame:
     """``ticker, event_id, stage, name, path, bytes`` of all artifacts in either layout."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(runs).select("path", F.col("length").alias("bytes"))
@@ -85,18 +110,18 @@ def current_artifacts(tree: DataFrame, layout: DataFrame) -> DataFrame:
     return rows.where(F.col("stage") == expected)
 
 
-def whole_texts(spark: SparkSession, path: str) -> DataFrame:
+def whole_texts(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """``path, text, bytes`` of files, read byte for byte; what is no UTF-8 is replaced. (The text source
     drops line breaks at the end of a whole file.)"""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = contents(spark, path)
     text = F.coalesce(F.expr("try_validate_utf8(cast(content as string))"), F.expr("make_valid_utf8(cast(content as string))"))
     return files.select("path", text.alias("text"), F.col("length").alias("bytes"))
 
 
-def transcripts(spark: SparkSession, path: str, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
+def transcripts(spark: SparkSession, path: str | DataFrame, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
     """Accepted transcripts (path, is_html, text, byte_length) and rejected files with a reason. A
     file above the limit is rejected, never cut."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = contents(spark, path)
     suffix = F.lower(F.regexp_extract(placed(F.col("path"))["name"], r"\.([^./]+)$", 1))
     reason = F.when(~suffix.isin("txt", "md", "html", "htm"), "unsupported suffix").when(F.col("length") > most_bytes, "too large")
     marked = files.withColumn("reason", reason)
@@ -109,10 +134,28 @@ def json_lines(spark: SparkSession, path: str, schema: str, depth: int = 1) -> D
     return with_run(spark.read.schema(schema).json(path).withColumn("_path", F.col("_metadata.file_path")), depth).drop("_path")
 
 
-def json_array(spark: SparkSession, path: str, schema: str, depth: int = 1) -> DataFrame:
+def json_files(spark: SparkSession, path: str | DataFrame, schema: str) -> DataFrame:
+    """Records of JSON files, each an array or one object, with their file's ``_path``. What does not parse
+    gives a row, with its text in ``_corrupt_record`` if the schema has that; blank files give none.
+    JSON taken as a string has its own text from a tree, and is written anew (``1.50`` as ``1.5``) from rows."""
+    if not isinstance(path, DataFrame):
+        rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+        return rows.withColumn("_path", F.col("_metadata.file_path"))
+    valid = F.expr("try_validate_utf8(cast(content as string))")
+    texts = contents(spark, path).select(F.col("path").alias("_path"), valid.alias("text"), F.expr("make_valid_utf8(cast(content as string))").alias("given")).where(F.col("given").rlike(r"\S"))
+    # Records one by one: within an array, from_json would not tell of a value of another type.
+    each = F.when(F.col("text").rlike(r"^\s*\["), F.from_json("text", ArrayType(StringType()))).when(F.col("text").isNotNull(), F.array("text"))
+    found = texts.select("_path", F.when(each.isNull(), F.col("given")).alias("torn"), F.explode(F.coalesce(each, F.array(F.lit(None).cast("string")))).alias("one"))
+    fields = StructType.fromDDL(schema)
+    kept = fields if "_corrupt_record" in fields.names else StructType(list(fields.fields)).add("_corrupt_record", "string")
+    rows = found.withColumn("r", F.from_json("one", kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    told = lambda c: F.coalesce("torn", "r._corrupt_record") if c == "_corrupt_record" else F.col(f"r.{c}")
+    return rows.select(*[told(c).alias(c) for c in fields.names], "_path")
+
+
+def json_array(spark: SparkSession, path: str | DataFrame, schema: str, depth: int = 1) -> DataFrame:
     """Records of JSON arrays; what does not parse is kept in ``_corrupt_record`` for that run."""
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    return with_run(rows.withColumn("_path", F.col("_metadata.file_path")), depth).drop("_path")
+    return with_run(json_files(spark, path, schema), depth).drop("_path")
 
 
 def schema_issues(records: DataFrame, required: tuple[str, ...] = ()) -> DataFrame:
@@ -131,7 +174,7 @@ def quarantine(records: DataFrame, required: tuple[str, ...] = ()) -> tuple[Data
     return records.join(issues.select("run_id"), "run_id", "left_anti").drop("_corrupt_record"), issues
 
 
-def web_evidence(spark: SparkSession, index: str, content: str, depth: int = 1) -> DataFrame:
+def web_evidence(spark: SparkSession, index: str, content: str | DataFrame, depth: int = 1) -> DataFrame:
     """Index rows joined to their pages' text by content path."""
     rows = json_lines(spark, index, WEB, depth)
     texts = whole_texts(spark, content).select(F.col("path").alias("_path"), F.col("text").alias("content"))
@@ -145,9 +188,9 @@ def web_evidence(spark: SparkSession, index: str, content: str, depth: int = 1)
     return pages.join(found, "_row", "left").drop("tails", "_row")
 
 
-def search_hits(spark: SparkSession, path: str, depth: int = 2) -> DataFrame:
+def search_hits(spark: SparkSession, path: str | DataFrame, depth: int = 2) -> DataFrame:
     """One hit to a file; the position comes from ``query-NN-hit-NN`` in its name."""
-    rows = spark.read.schema(HIT).option("multiLine", True).json(path).withColumn("_path", F.col("_metadata.file_path"))
+    rows = json_files(spark, path, HIT)
     name = r"query-(\d+)-hit-(\d+)"
     place = F.regexp_extract("_path", name, 1).try_cast("int") * 100_000 + F.regexp_extract("_path", name, 2).try_cast("int")
     named = {"_class": "class", "_select_key": "select_key", "_provider": "provider", "_query": "query", "_retrieved_at": "retrieved_at"}
@@ -206,8 +249,8 @@ def price_bars(payloads: DataFrame, json_col: str = "value") -> tuple[DataFrame,
     return bars.select("ticker", nth.alias("nth"), "date", "open", "high", "low", "close", "volume"), came
 
 
-def binary_sources(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content", F.col("length").alias("byte_length"))
+def binary_sources(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    return contents(spark, path).select("path", "content", F.col("length").alias("byte_length"))
 
 
 def append_log(df: DataFrame, path: str, by: list[str] | None = None, attempt: int | None = None) -> None:
