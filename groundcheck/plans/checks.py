@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from groundcheck.functions import calc, documents, text as tx
 from groundcheck.operators import audits, briefs, claims, coverage, reviews, rounds, segments, selection, triage
-from groundcheck.plans.registry import query
+from groundcheck.plans.registry import INVISIBLE_SQL, query, referenced
 from groundcheck.plans.tables import table
 
 
@@ -379,8 +379,10 @@ def quote_windows(spark, sf_dir):
 
 @query(r"""WITH p AS (SELECT page_id, coalesce(html, '') || CASE page_id % 4 WHEN 0 THEN '<p>margin 5 < 6 here</p>' WHEN 1 THEN 'a<!-- c -->b' WHEN 2 THEN '<pre> ' || chr(10) || '</pre>' ELSE ' ' || chr(10) || ' ' END AS html FROM pages),
 n AS (SELECT page_id, list_filter(string_split_regex(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>', '<br>', 'g'), '(?s)<!--.*?-->|</?[a-zA-Z!][^>]*>'), lambda x: x <> '') AS nodes, page_id % 4 = 2 AS pre FROM p),
-t AS (SELECT page_id, array_to_string([CASE WHEN regexp_full_match(x, '[ \n\t\f\r]+') AND NOT (pre AND x = ' ' || chr(10)) THEN CASE WHEN contains(x, chr(10)) THEN chr(10) ELSE ' ' END ELSE x END FOR x IN nodes], chr(10)) AS text FROM n)
-SELECT page_id, sha256(regexp_replace(replace(replace(replace(replace(replace(replace(text, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[\x00-\x08\x0b-\x1f\x7f]', '', 'g')) AS sha256, strlen(text) > 0 AS filled FROM t""")
+""" + referenced("n") + r""",
+t AS (SELECT page_id, array_to_string([CASE WHEN regexp_full_match(x, '[ \n\t\f\r]+') AND NOT (pre AND x = ' ' || chr(10)) THEN CASE WHEN contains(x, chr(10)) THEN chr(10) ELSE ' ' END ELSE x END FOR x IN nodes], chr(10)) AS raw FROM u),
+s AS (SELECT page_id, regexp_replace(raw, '""" + INVISIBLE_SQL + r"""', '', 'g') AS text FROM t)
+SELECT page_id, sha256(text) AS sha256, strlen(text) > 0 AS filled FROM s""")
 def page_texts(spark, sf_dir):
     """Text of every page, its text nodes line by line: bare angle brackets, comments, blank nodes."""
     k = F.col("page_id") % 4

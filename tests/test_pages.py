@@ -12,7 +12,7 @@ BODIES = [
 
 
 @pytest.mark.parametrize("bodies", [BODIES, ["none", None]])
-@pytest.mark.parametrize("name", ["sanitized_pages"])
+@pytest.mark.parametrize("name", ["sanitized_pages", "page_texts"])
 def test_references_in_pages(spark, tmp_path, name, bodies):
     spark.createDataFrame(list(enumerate(bodies)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     duck = duckdb.connect()
