@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundcheck.functions.text import event_cutoff, period_type, temporal_status
+from groundcheck.functions.text import event_cutoff, let, period_kind, temporal_status
 
 
 def with_period(facts: DataFrame) -> DataFrame:
     """Days and kind of every fact's period."""
     start, end = event_cutoff(F.col("start")), event_cutoff(F.col("end"))
-    return facts.withColumns({"duration_days": F.datediff(end, start), "period_type": period_type(start, end)})
+    period = let(F.datediff(end, start), lambda days: F.struct(days.alias("duration_days"), period_kind(days).alias("period_type")))
+    return facts.withColumn("_p", period).withColumns({c: F.col(f"_p.{c}") for c in ("duration_days", "period_type")}).drop("_p")
 
 
 def in_period(facts: DataFrame, keys: list[str], end: str | None = None, kind: str | None = None, required: bool = False) -> DataFrame:

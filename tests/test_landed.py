@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from groundcheck.operators import selection
 from groundcheck.plans import landed, registry
 from groundcheck.sources import io
 
@@ -53,3 +54,10 @@ def test_hits_and_bytes_of_packed_files(spark):
     back = landed.packed(spark.createDataFrame(rows, "ticker string, event_id string, stage string, name string, value string"), "hits")
     assert {(r.run_id, r.pos, r.url, r.score, r.publishedDate) for r in io.search_hits(spark, back).collect()} == {("A/e", 100_003, "u", 0.5, "2026-01-01"), ("A/e", 300_000, None, None, None)}
     assert {(bytes(r.content), r.byte_length) for r in io.binary_sources(spark, back).collect()} == {(f"{r[-1]}\n".encode(), len(r[-1]) + 1) for r in rows}
+
+
+def test_a_period_is_computed_once_for_a_filter_on_its_kind(spark):
+    facts = selection.with_period(spark.createDataFrame([("2026-01-01", "2026-03-31")], "start string, end string")).where("period_type = 'quarter'")
+    assert facts.first()[2:] == (89, "quarter")
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("yyyyMMdd") <= 2 * 3  # two dates; in the filter, and for each of two columns at most
