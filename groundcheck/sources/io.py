@@ -181,11 +181,11 @@ def web_evidence(spark: SparkSession, index: str, content: str | DataFrame, dept
     landed = placed(F.col("_path"))
     whole = F.concat_ws("/", landed["ticker"], landed["event_id"], landed["stage"], landed["name"])
     tail = F.when(F.col("_path").rlike(r"/name=[^/]+/"), whole).otherwise(F.regexp_extract("_path", r"([^/]+/[^/]+/[^/]+)$", 1))
-    texts = texts.select(tail.alias("tail"), "content")
     keyed = F.concat_ws("/", "run_id", "content_path")
     pages = rows.withColumn("tails", F.array_distinct(F.array(keyed, F.regexp_extract(keyed, r"([^/]+/[^/]+/[^/]+)$", 1)))).withColumn("_row", F.monotonically_increasing_id())
-    found = pages.select("_row", F.explode("tails").alias("tail")).join(texts, "tail").groupBy("_row").agg(F.first("content").alias("content"))
-    return pages.join(found, "_row", "left").drop("tails", "_row")
+    # Paths are matched first, so that the texts are dealt out once.
+    found = pages.select("_row", F.explode("tails").alias("tail")).join(texts.select("_path", tail.alias("tail")), "tail").groupBy("_row").agg(F.min("_path").alias("_path"))
+    return pages.join(found, "_row", "left").join(texts, "_path", "left").drop("tails", "_row", "_path")
 
 
 def search_hits(spark: SparkSession, path: str | DataFrame, depth: int = 2) -> DataFrame:
