@@ -156,7 +156,8 @@ def links(values: DataFrame, radius: int = 4, bands: int = 7, tile: int = 4096)
     choices = list(combinations(range(bands), agree))
     keyed = values.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("choice"), band_key(F.col("fp"), c, bands).alias("key")) for i, c in enumerate(choices)])).alias("b")).select("fp", "b.choice", "b.key")
     sizes = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = keyed.join(sizes, ["choice", "key"])
+    # Spark sizes what an explode makes like what it reads, and would send all entries or buckets to the driver.
+    shared = keyed.join(sizes.hint("merge"), ["choice", "key"])
     # Members of a large bucket go to tiles by hash; each tile meets itself and every other one.
     tiles = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     own = F.pmod(F.xxhash64("fp"), tiles).cast("int")

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from groundcheck.llm import queries, simhash
 
@@ -73,6 +74,14 @@ def test_links_lose_nothing_with_or_without_tiles(spark, tile):
     assert {k: v for k, v in want.items() if k != v} == got
 
 
+def test_bucket_entries_are_not_broadcast(spark):
+    """There are 35 entries a fingerprint, which Spark takes to be as small as the fingerprints."""
+    found = simhash.links(spark.range(1000).select(F.xxhash64("id").alias("fp")))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (4, "One two"), (5, "x " * 30000), (6, "one TWO"), (None, "one two")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "2 as component")
