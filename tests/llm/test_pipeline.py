@@ -2,7 +2,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from groundcheck.llm import langid, queries
+from groundcheck.llm import langid, queries, simhash
 from groundcheck.llm.common import fold
 from tests.llm.test_decontam import brute_contamination
 from tests.llm.test_simhash import brute_components
@@ -57,6 +57,14 @@ def test_edge_rows(spark, tmp_path):
         assert none.count() == 0 and (name == "sentencepiece" or none.columns == kept.columns), name
 
 
+def test_near_duplicates_stage_broadcasts_no_bucket_entries(spark, small_dir, monkeypatch):
+    seen, components = [], simhash.components
+    monkeypatch.setattr(simhash, "components", lambda edges: seen.append(edges) or components(edges))
+    corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{small_dir}/documents.parquet"), small_dir).collect()
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stages_against_plain_versions(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
