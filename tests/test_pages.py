@@ -20,3 +20,13 @@ def test_references_in_pages(spark, tmp_path, name, bodies):
     found = registry.QUERIES[name](spark, str(tmp_path))
     told = duck.execute(f"SELECT {', '.join(found.columns)} FROM ({registry.ORACLES[name]})").fetchall()
     assert sorted(map(tuple, found.collect())) == sorted(told)
+
+
+def test_all_findings_of_a_page_count(spark, tmp_path):
+    bodies = ["<p>jailbreak</p> system prompt, " * n for n in (0, 1, 250, 251, 700)]
+    spark.createDataFrame(list(enumerate(bodies)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    found = {r.page_id: r.findings for r in registry.QUERIES["sanitized_pages"](spark, str(tmp_path)).collect()}
+    assert found == dict(duck.execute(f"SELECT page_id, findings FROM ({registry.ORACLES['sanitized_pages']})").fetchall())
+    assert [found[i] for i in range(5)] == [0, 2, 500, 502, 1400]

@@ -96,6 +96,14 @@ def test_html_and_injection(spark):
     assert [(r.pattern, r.n) for r in documents.injection_counts(df, "id", "t").collect()] == [("jailbreak", 2)]
 
 
+def test_findings_without_a_limit(spark):
+    text = "".join(f"{'jailbreak' * (i % 5)}{'é' * (i % 50)}\n System  prompt " for i in range(400)) + "DAN"
+    found = one(spark, documents.scan_for_injection(F.lit(text), ["jailbreak", "system\\s+prompt", "\\bdan"], most=None))
+    hits = [(p, m) for p in ("jailbreak", "system\\s+prompt", "\\bdan") for m in re.finditer(p, text, re.I)]
+    want = [(p, m[0], " ".join(text[max(0, m.start() - 40) : m.end() + 40].split())) for p, m in hits]
+    assert len(want) == 1201 and [tuple(f) for f in found] == want
+
+
 def laid_out(text, banners):
     """The rule by boundaries: dotted lines part the text into blocks. A block's first line that isn't a
     banner to be dropped heads it if it is a name, with the title below it if there is one; of the rest,
